@@ -10,85 +10,97 @@ from pyspark.sql.types import BooleanType
 
 from addrweave.functions import geometry as G
 from addrweave.operators.cells import explode_segments, segment_pairs
-from addrweave.operators.skew import ROWS_PER_TASK, skew_join
-
-
-def _disc(cx: Column, cy: Column, r: float) -> tuple[Column, Column]:
-    """Stretch of t in which the left segment runs inside a disc; (2, -1) if nowhere."""
-    x1, y1 = F.col("x1"), F.col("y1")
-    dx, dy = F.col("x2") - x1, F.col("y2") - y1
-    a = (dx * dx + dy * dy).cast("double")
-    b = dx * (x1 - cx) + dy * (y1 - cy)
-    c = (x1 - cx) * (x1 - cx) + (y1 - cy) * (y1 - cy) - r * r
-    root = b * b - a * c
-    hit = (root >= 0) & (a > 0)
-    s = F.sqrt(F.greatest(root, F.lit(0.0)))
-    lo, hi = F.greatest((-b - s) / F.nullif(a, F.lit(0.0)), F.lit(0.0)), F.least((-b + s) / F.nullif(a, F.lit(0.0)), F.lit(1.0))
-    ok = hit & (lo <= hi)
-    return F.when(ok, lo).otherwise(2.0), F.when(ok, hi).otherwise(-1.0)
-
-
-def _slab(f0: Column, fd: Column, low: Column, high: Column) -> tuple[Column, Column]:
-    """Stretch of t with ``low <= f0 + t*fd <= high``."""
-    a, b = (low - f0) / F.nullif(fd, F.lit(0.0)), (high - f0) / F.nullif(fd, F.lit(0.0))
-    flat = fd == 0
-    inside = (f0 >= low) & (f0 <= high)
-    lo = F.when(flat, F.when(inside, 0.0).otherwise(2.0)).otherwise(F.least(a, b))
-    hi = F.when(flat, F.when(inside, 1.0).otherwise(-1.0)).otherwise(F.greatest(a, b))
-    return lo, hi
-
-
-def _near_stretch(r: float, flat_start: Column, flat_end: Column) -> Column:
-    """Stretch of the left segment within ``r`` of the right one; a flat end drops the half disc there."""
-    x1, y1, u1, v1 = F.col("x1"), F.col("y1"), F.col("u1"), F.col("v1")
-    dx, dy, ex, ey = F.col("x2") - x1, F.col("y2") - y1, F.col("u2") - u1, F.col("v2") - v1
-    n = F.sqrt((ex * ex + ey * ey).cast("double"))
-    n0 = F.nullif(n, F.lit(0.0))
-    along = _slab(((x1 - u1) * ex + (y1 - v1) * ey) / n0, (dx * ex + dy * ey) / n0, F.lit(0.0), n)
-    across = _slab(((x1 - u1) * ey - (y1 - v1) * ex) / n0, (dx * ey - dy * ex) / n0, F.lit(-float(r)), F.lit(float(r)))
-    lo, hi = F.greatest(along[0], across[0], F.lit(0.0)), F.least(along[1], across[1], F.lit(1.0))
-    bar = (n > 0) & (lo <= hi)
-    da, db = _disc(u1, v1, r), _disc(F.col("u2"), F.col("v2"), r)
-    lows = F.least(F.when(bar, lo).otherwise(2.0), F.when(flat_start, 2.0).otherwise(da[0]), F.when(flat_end, 2.0).otherwise(db[0]))
-    highs = F.greatest(F.when(bar, hi).otherwise(-1.0), F.when(flat_start, -1.0).otherwise(da[1]), F.when(flat_end, -1.0).otherwise(db[1]))
-    return F.struct(lows.alias("lo"), highs.alias("hi"))
-
-
-def covered_length(left: DataFrame, right: DataFrame, radius: float, keys: list[str], flat: bool = False, on: list[str] | None = None,
-                   scope: list[str] | None = None, size: float = 200.0, blocks: int = 1, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Metres of each left line within ``radius`` of the right lines, one row per ``keys``.
-
-    ``left`` has ``lines`` and ``right`` has ``other_lines`` next to their key columns; ``keys`` may name columns of both. ``on`` adds an
-    equality between the sides. Every near pair of segments gives one stretch of the left segment (a capsule is convex); stretches are
-    united per left segment by a running maximum. With ``blocks`` > 1 stretches are first united inside hashed blocks, so a left segment
-    under very many right ones reaches its last task as a few united stretches.
+from addrweave.operators.skew import ROWS_PER_TASK
+
+
+def _disc(df: DataFrame, name: str, cx: Column, cy: Column, r: float, drop: Column) -> DataFrame:
+    """Adds ``{name}lo, {name}hi``: the stretch of t in which the left segment runs inside a disc; (2, -1) if nowhere or dropped."""
+    b = F.col("_dx") * (F.col("x1") - cx) + F.col("_dy") * (F.col("y1") - cy)
+    gap = (F.col("x1") - cx) * (F.col("x1") - cx) + (F.col("y1") - cy) * (F.col("y1") - cy) - r * r
+    d = df.withColumns({"_b": b, "_c": gap}).withColumn("_root", F.col("_b") * F.col("_b") - F.col("_qa") * F.col("_c"))
+    d = d.withColumn("_s", F.when((F.col("_root") >= 0) & (F.col("_qa") > 0) & ~drop, F.sqrt("_root")))
+    lo, hi = F.greatest((-F.col("_b") - F.col("_s")) / F.col("_qa"), F.lit(0.0)), F.least((-F.col("_b") + F.col("_s")) / F.col("_qa"), F.lit(1.0))
+    return _valid(d, name, F.when(F.col("_s").isNotNull(), lo), F.when(F.col("_s").isNotNull(), hi)).drop("_b", "_c", "_root", "_s")
+
+
+def _valid(df: DataFrame, name: str, lo: Column, hi: Column) -> DataFrame:
+    d = df.withColumns({"_lo0": lo, "_hi0": hi}).withColumn("_ok", F.coalesce(F.col("_lo0") <= F.col("_hi0"), F.lit(False)))
+    return d.withColumns({f"{name}lo": F.when(F.col("_ok"), F.col("_lo0")).otherwise(2.0), f"{name}hi": F.when(F.col("_ok"), F.col("_hi0")).otherwise(-1.0)}).drop("_lo0", "_hi0", "_ok")
+
+
+def _slab(df: DataFrame, name: str, f0: Column, fd: Column, low: Column, high: Column) -> DataFrame:
+    """Adds ``{name}lo, {name}hi``: the stretch of t with ``low <= f0 + t*fd <= high``."""
+    d = df.withColumns({"_f0": f0, "_fd": fd})
+    flat, inside = F.col("_fd") == 0, (F.col("_f0") >= low) & (F.col("_f0") <= high)
+    d = d.withColumns({"_ta": (low - F.col("_f0")) / F.nullif("_fd", F.lit(0.0)), "_tb": (high - F.col("_f0")) / F.nullif("_fd", F.lit(0.0))})
+    return d.withColumns({f"{name}lo": F.when(flat, F.when(inside, 0.0).otherwise(2.0)).otherwise(F.least("_ta", "_tb")),
+                          f"{name}hi": F.when(flat, F.when(inside, 1.0).otherwise(-1.0)).otherwise(F.greatest("_ta", "_tb"))}).drop("_f0", "_fd", "_ta", "_tb")
+
+
+def near_stretch(pairs: DataFrame, r: float) -> DataFrame:
+    """Adds ``_lo, _hi``: the stretch of segment ``x1..y2`` within ``r`` of ``u1..v2`` (a capsule, so one stretch), 0 and 0 if none.
+
+    ``_fs``/``_fe`` mark flat ends of the right segment, which lose their half disc. Every intermediate value is a column of its own, so
+    generated code computes it once.
     """
-    lsegs = explode_segments(left, "lines")
-    rsegs = explode_segments(right.withColumn("_parts", F.size("other_lines")), "other_lines", ("u1", "v1", "u2", "v2"), "_rseg")
-    if flat:  # ends of a part: no neighbouring segment on that side
-        rsegs = _mark_ends(right)
-    else:
-        rsegs = rsegs.withColumns({"_fs": F.lit(False), "_fe": F.lit(False)}).drop("_parts")
-    same = list(scope or []) + list(on or [])
-    pairs = segment_pairs(lsegs, rsegs, radius, size, same, rows_per_task)
-    seg_keys = list(dict.fromkeys(keys + ["seg"]))
-    stretch = (pairs.withColumn("_s", _near_stretch(radius, F.col("_fs"), F.col("_fe")))
-               .select(*seg_keys, G.distance(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")).alias("_len"), F.col("_s.lo").alias("_lo"), F.col("_s.hi").alias("_hi"),
-                       F.pmod(F.xxhash64("u1", "v1", "u2", "v2"), F.lit(blocks)).alias("_block"))
-               .where("_lo <= _hi"))
-    if blocks > 1:
-        stretch = _unite(stretch, [*seg_keys, "_block"])
-    w = Window.partitionBy(*seg_keys).orderBy("_lo", "_hi").rowsBetween(Window.unboundedPreceding, -1)
-    fresh = F.greatest(F.lit(0.0), F.col("_hi") - F.greatest(F.col("_lo"), F.coalesce(F.max("_hi").over(w), F.lit(0.0))))
-    return stretch.withColumn("_add", fresh * F.col("_len")).groupBy(*keys).agg(F.sum("_add").alias("covered"))
-
-
-def _mark_ends(right: DataFrame) -> DataFrame:
-    cols = [c for c in right.columns if c != "other_lines"]
-    parts = right.select(*cols, F.explode("other_lines").alias("_part"))
-    segs = parts.select(*cols, F.posexplode(G.segments(F.array("_part"))).alias("_rseg", "_g"), (F.size("_part") - 2).alias("_last"))
-    return segs.select(*cols, "_rseg", *[F.col("_g")[k].alias(n) for k, n in zip(("x1", "y1", "x2", "y2"), ("u1", "v1", "u2", "v2"))],
-                       (F.col("_rseg") == 0).alias("_fs"), (F.col("_rseg") == F.col("_last")).alias("_fe"))
+    x1, y1, u1, v1, u2, v2 = (F.col(c).cast("double") for c in ("x1", "y1", "u1", "v1", "u2", "v2"))
+    d = pairs.withColumns({"_dx": F.col("x2") - x1, "_dy": F.col("y2") - y1, "_ex": u2 - u1, "_ey": v2 - v1})
+    dx, dy, ex, ey = (F.col(c) for c in ("_dx", "_dy", "_ex", "_ey"))
+    d = d.withColumns({"_qa": dx * dx + dy * dy, "_n": F.sqrt(ex * ex + ey * ey)})
+    n0 = F.nullif("_n", F.lit(0.0))
+    d = _slab(d, "_al", ((x1 - u1) * ex + (y1 - v1) * ey) / n0, (dx * ex + dy * ey) / n0, F.lit(0.0), F.col("_n"))
+    d = _slab(d, "_ac", ((x1 - u1) * ey - (y1 - v1) * ex) / n0, (dx * ey - dy * ex) / n0, F.lit(-float(r)), F.lit(float(r)))
+    some = F.col("_n") > 0
+    d = _valid(d, "_bar", F.when(some, F.greatest("_allo", "_aclo", F.lit(0.0))), F.when(some, F.least("_alhi", "_achi", F.lit(1.0))))
+    d = _disc(_disc(d, "_da", u1, v1, r, F.col("_fs")), "_db", u2, v2, r, F.col("_fe"))
+    d = d.withColumns({"_l": F.least("_barlo", "_dalo", "_dblo"), "_h": F.greatest("_barhi", "_dahi", "_dbhi")})
+    hit = F.col("_l") <= F.col("_h")
+    d = d.withColumns({"_lo": F.when(hit, F.col("_l")).otherwise(0.0), "_hi": F.when(hit, F.col("_h")).otherwise(0.0), "_len": F.sqrt("_qa")})
+    return d.select(*pairs.columns, "_lo", "_hi", "_len")
+
+
+def covered_length(left: DataFrame, right: DataFrame, radius: float, keys: list[str], scope: list[str] | None = None, size: float = 200.0,
+                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Metres of each left line within ``radius`` of each right line (round ends), one row per near pair ``keys``.
+
+    ``left`` has ``lines`` and ``right`` has ``other_lines`` next to their key columns. Near segments meet by cell; each pair of segments gives
+    one stretch of the left segment and stretches are united by a running maximum.
+    """
+    rsegs = explode_segments(right, "other_lines", ("u1", "v1", "u2", "v2"), "_rseg").withColumns({"_fs": F.lit(False), "_fe": F.lit(False)})
+    pairs = segment_pairs(explode_segments(left, "lines"), rsegs, radius, size, scope, rows_per_task)
+    return _united_length(near_stretch(pairs, radius).select(*keys, "seg", "_lo", "_hi", "_len"), keys)
+
+
+def covered_by_partners(rows: DataFrame, radius: float, key: str, blocks: int = 8) -> DataFrame:
+    """G9 with flat ends: metres of each key's ``lines`` within ``radius`` of the union of its partners' ``other_lines``.
+
+    Each row already holds a line and one partner, so no join is needed; segments whose boxes are apart are dropped inside the row. Stretches
+    are first united inside hashed blocks, so a segment under very many partners reaches its last task as a few united stretches.
+    """
+    segs = rows.select(key, F.explode(_end_marked("other_lines")).alias("o"), F.col("lines"))
+    o = F.col("o")
+    near = F.filter(F.transform(G.segments("lines"), lambda s, i: F.struct(i.alias("seg"), *[s[c].alias(c) for c in ("x1", "y1", "x2", "y2")])), lambda s: (
+        (F.least(s["x1"], s["x2"]) - radius <= F.greatest(o["x1"], o["x2"])) & (F.greatest(s["x1"], s["x2"]) + radius >= F.least(o["x1"], o["x2"]))
+        & (F.least(s["y1"], s["y2"]) - radius <= F.greatest(o["y1"], o["y2"])) & (F.greatest(s["y1"], s["y2"]) + radius >= F.least(o["y1"], o["y2"]))))
+    p = segs.select(key, "o", F.explode(near).alias("s")).select(
+        key, "s.*", o["x1"].alias("u1"), o["y1"].alias("v1"), o["x2"].alias("u2"), o["y2"].alias("v2"), o["fs"].alias("_fs"), o["fe"].alias("_fe"))
+    st = near_stretch(p, radius).select(key, "seg", "_lo", "_hi", "_len", F.pmod(F.xxhash64("u1", "v1", "u2", "v2"), F.lit(blocks)).alias("_block"))
+    return _united_length(_unite(st, [key, "seg", "_block"]), [key])
+
+
+def _end_marked(parts: str) -> Column:
+    """All segments with flags for the first and last one of a part."""
+    def of_part(part: Column) -> Column:
+        last = F.size(part) - 2
+        return F.transform(G.segments(F.array(part)), lambda s, i: F.struct(*[s[c].alias(c) for c in ("x1", "y1", "x2", "y2")], (i == 0).alias("fs"), (i == last).alias("fe")))
+    return F.flatten(F.transform(parts, of_part))
+
+
+def _united_length(stretch: DataFrame, keys: list[str]) -> DataFrame:
+    w = Window.partitionBy(*keys, "seg").orderBy("_lo", "_hi").rowsBetween(Window.unboundedPreceding, -1)
+    d = stretch.withColumn("_seen", F.coalesce(F.max("_hi").over(w), F.lit(0.0)))
+    fresh = F.greatest(F.lit(0.0), F.col("_hi") - F.greatest("_lo", "_seen"))
+    return d.groupBy(*keys).agg(F.sum(fresh * F.col("_len")).alias("covered"))
 
 
 def _unite(stretch: DataFrame, keys: list[str]) -> DataFrame:
@@ -102,19 +114,17 @@ def _unite(stretch: DataFrame, keys: list[str]) -> DataFrame:
         F.first("_len").alias("_len"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")).drop("_island")
 
 
-def hausdorff(left: DataFrame, right: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Discrete Hausdorff distance (vertices to nearest segment, both ways) of each left line to all right lines of the same key.
+def hausdorff(rows: DataFrame, key: str) -> DataFrame:
+    """Discrete Hausdorff distance (vertices to nearest segment, both ways) between each key's ``lines`` and all its ``other_lines``.
 
-    ``left`` is unique on ``key`` with ``lines``; ``right`` has ``other_lines``, any number of rows per key. Each right row meets the one left
-    row, and its distances are reduced to one minimum per left vertex before the shuffle.
+    Each row holds the key's line and one partner; its distances shrink to one minimum per vertex of the line before the shuffle.
     """
-    def near(parts: Column, others: Column) -> Column:
+    def near(parts: str, others: str) -> Column:
         segs = G.segments(others)
-        return F.transform(F.flatten(parts), lambda p: F.array_min(F.transform(
+        return F.transform(F.flatten(F.col(parts)), lambda p: F.array_min(F.transform(
             segs, lambda s: G.point_segment_distance(p["x"], p["y"], s["x1"], s["y1"], s["x2"], s["y2"]))))
 
-    j = skew_join(right.select(key, "other_lines"), left.select(key, "lines"), [key], "left", rows_per_task).where(F.col("lines").isNotNull())
-    d = j.select(key, F.array_max(near(F.col("other_lines"), F.col("lines"))).alias("_r"), F.posexplode(near(F.col("lines"), F.col("other_lines"))).alias("_pos", "_l"))
+    d = rows.select(key, F.array_max(near("other_lines", "lines")).alias("_r"), F.posexplode(near("lines", "other_lines")).alias("_pos", "_l"))
     per_vertex = d.groupBy(key, "_pos").agg(F.min("_l").alias("_l"), F.max("_r").alias("_r"))
     return per_vertex.groupBy(key).agg(F.greatest(F.max("_l"), F.max("_r")).alias("hausdorff"))
 

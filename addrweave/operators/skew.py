@@ -16,13 +16,21 @@ ROWS_PER_TASK = 500_000
 _BROADCAST_KEYS = 10_000
 
 
-def _hot(left: DataFrame, right: DataFrame, on: list[str], rows: int) -> tuple[DataFrame, int]:
-    counts = left.groupBy(*on).agg(F.count("*").alias("_nl"), F.lit(0).cast("long").alias("_nr")).unionByName(
-        right.groupBy(*on).agg(F.lit(0).cast("long").alias("_nl"), F.count("*").alias("_nr")))
-    hot = (counts.groupBy(*on).agg(F.sum("_nl").alias("_nl"), F.sum("_nr").alias("_nr"))
-           .where(((F.col("_nl") > rows) | (F.col("_nr") > rows)) & (F.col("_nl") > 0) & (F.col("_nr") > 0))
-           .select(*on, F.ceil(F.col("_nl") / rows).cast("int").alias("_sl"), F.ceil(F.col("_nr") / rows).cast("int").alias("_sr")))
+def _hot(left: DataFrame, right: DataFrame | None, on: list[str], rows: int) -> tuple[DataFrame, int]:
+    """Keys with more than ``rows`` rows on a side and the blocks each side of them needs; ``right=None`` says the right side is unique.
+
+    Each side is counted once, with map-side sums; all but the hot keys are filtered out before anything leaves the counting tasks.
+    """
+    def heavy(df: DataFrame, blocks: str, other: str) -> DataFrame:
+        n = df.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > rows)
+        return n.select(*on, F.ceil(F.col("_n") / rows).cast("int").alias(blocks), F.lit(1).alias(other)).select(*on, "_sl", "_sr")
+    hot = heavy(left, "_sl", "_sr")
+    if right is not None:
+        hot = hot.unionByName(heavy(right, "_sr", "_sl"))
     found = hot.limit(_BROADCAST_KEYS + 1).collect()  # at most 10,001 key rows
+    if found and right is not None:
+        hot = hot.groupBy(*on).agg(F.max("_sl").alias("_sl"), F.max("_sr").alias("_sr"))
+        found = hot.limit(_BROADCAST_KEYS + 1).collect() if len(found) <= _BROADCAST_KEYS else found
     if len(found) <= _BROADCAST_KEYS:
         return left.sparkSession.createDataFrame(found, hot.schema), len(found)
     return hot, len(found)
@@ -32,9 +40,10 @@ def _not_null(on: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
 
 
-def split_hot(left: DataFrame, right: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides, ready for an inner join on the returned keys, with the rows of hot keys spread over blocks."""
-    hot, n = _hot(left.where(_not_null(on)), right.where(_not_null(on)), on, rows_per_task)
+def split_hot(left: DataFrame, right: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK,
+              unique_right: bool = False) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides, ready for a join on the returned keys, with the rows of hot keys spread over blocks."""
+    hot, n = _hot(left.where(_not_null(on)), None if unique_right else right.where(_not_null(on)), on, rows_per_task)
     if n == 0:
         return left, right, on
     if n <= _BROADCAST_KEYS:
@@ -63,8 +72,8 @@ def _is_map(df: DataFrame, c: str) -> bool:
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Inner join, or left join to a side that is unique on ``on``, safe for keys holding most of the rows."""
+    """Inner or left join of rows with uneven keys to a side that is unique on ``on``. Count and join both read ``left``: keep it cheap to derive."""
     if how not in ("inner", "left"):
         raise ValueError("skew_join does inner and left joins")
-    l2, r2, keys = split_hot(left, right, on, rows_per_task)
+    l2, r2, keys = split_hot(left, right, on, rows_per_task, unique_right=True)
     return l2.join(r2, keys, how).drop("_bl", "_br")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from addrweave.functions import geometry as G
 from addrweave.functions import names as N
 from addrweave.functions import text as T
-from addrweave.operators.lines import covered_length, hausdorff, is_ring
+from addrweave.operators.lines import covered_by_partners, covered_length, hausdorff, is_ring
 from addrweave.operators.ranking import keep_first
 from addrweave.operators.skew import skew_join
 from addrweave.options import DEFAULTS, Options
@@ -18,10 +18,10 @@ NO_STREET = ["footway", "cycleway", "path", "steps", "proposed", "construction",
 
 
 def conflated_ways(streets: DataFrame, ways: DataFrame, options: Options = DEFAULTS) -> DataFrame:
-    """Map ways that carry the street's code, with their length."""
+    """Map ways that carry the street's code: one row per street and way with both lines and the way's length."""
     carriers = ways.where(F.col("street_ref").isNotNull()).select(F.col("street_ref").alias("street_code"), "osm_id", F.col("lines").alias("other_lines"),
                                                                   F.round(G.length("lines"), 2).alias("way_length"))
-    return skew_join(carriers, streets.select("street_code", "street_id"), ["street_code"], "inner", options.rows_per_task)
+    return skew_join(carriers, streets.select("street_code", "street_id", "lines"), ["street_code"], "inner", options.rows_per_task)
 
 
 def near_ways(streets: DataFrame, ways: DataFrame, options: Options = DEFAULTS) -> DataFrame:
@@ -37,7 +37,7 @@ def near_ways(streets: DataFrame, ways: DataFrame, options: Options = DEFAULTS)
 def found_ways(streets: DataFrame, ways: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """Q9, candidate side: each way with its one best street (W5: same name first, then share, then street id), with name comparisons."""
     names = streets.select("street_id", F.col("proper_name").alias("proper"), T.norm(F.coalesce("proper_name", "street_name")).alias("street_key"))
-    j = skew_join(near_ways(streets, ways, options), names, ["street_id"], "left", options.rows_per_task)
+    j = near_ways(streets, ways, options).join(names, "street_id")  # names are unique; adaptive execution splits a street under very many ways
     key = T.norm("name")
     same = F.coalesce(F.col("street_key") == key, F.lit(True))  # W6: a missing name does not speak against a pair
     best = keep_first(j.withColumn("same_name", same), ["osm_id"], [F.desc("same_name"), F.desc("share"), F.asc("street_id")])
@@ -50,10 +50,8 @@ def street_summary(streets: DataFrame, ways: DataFrame, options: Options = DEFAU
     """Q9, register side: per street its length, the ways that carry its code, covered length and largest distance to them."""
     con = conflated_ways(streets, ways, options)
     sums = con.groupBy("street_id").agg(F.count("*").alias("conflated_count"), F.sum("way_length").alias("conflated_length"), F.max("way_length").alias("conflated_max_length"))
-    left = streets.select("street_id", "street_code", "lines")
-    right = con.select(F.col("street_code"), "other_lines")
-    cover = covered_length(left, right, options.buffer, ["street_id"], flat=True, scope=["street_code"], blocks=8, rows_per_task=options.rows_per_task)
-    error = hausdorff(left, con.select("street_id", "other_lines"), "street_id", options.rows_per_task).withColumnRenamed("hausdorff", "max_error")
+    cover = covered_by_partners(con, options.buffer, "street_id")
+    error = hausdorff(con, "street_id").withColumnRenamed("hausdorff", "max_error")
     base = streets.select("street_id", "street_code", "muni_id", "settl_id", "street_name", "proper_name", T.is_hamlet("street_code").alias("is_hamlet"),
                           G.length("lines").alias("street_length"))
     out = base.join(sums, "street_id", "left").join(cover, "street_id", "left").join(error, "street_id", "left")
@@ -87,7 +85,7 @@ def settlement_totals(report: DataFrame) -> DataFrame:
     def total(c: str) -> Column:
         return F.bround(F.sum(F.bround(F.coalesce(c, F.lit(0.0))))).alias(c)
     return report.where(~F.col("is_hamlet")).groupBy("settl_id").agg(total("street_length"), total("covered"), total("uncovered"),
-                                                                      F.bround(F.sum("conflated_length")).alias("conflated_length"), total("max_error"))
+                                                                      F.bround(F.round(F.sum("conflated_length"), 2)).alias("conflated_length"), total("max_error"))
 
 
 def name_mismatch(found: DataFrame, ways: DataFrame) -> DataFrame:

@@ -36,12 +36,12 @@ def INTNAME(c: str) -> str:
 
 def lcs_sql(a: str, b: str) -> str:
     """Longest common subsequence by the row table, as nested list folds over one-element lists (a fold keeps one type)."""
-    zeros = f"list_transform(range(0, length({b}) + 1), lambda z: cast(0 AS bigint))"
-    over_b = f"list_prepend([cast(0 AS bigint)], list_transform(range(1, length({b}) + 1), lambda t: [t]))"
-    over_a = f"list_prepend({zeros}, list_transform(range(1, length({a}) + 1), lambda t: [t]))"
-    cell = (f"CASE WHEN substr({b}, cast(j[1] AS int), 1) = substr({a}, cast(i[1] AS int), 1) THEN prev[j[1]] + 1 "
-            "ELSE greatest(out[-1], prev[j[1] + 1]) END")
-    return f"list_extract(list_reduce({over_a}, lambda prev, i: list_reduce({over_b}, lambda out, j: list_append(out, {cell}))), -1)"
+    zeros = f"list_transform(range(0, length({b}) + 1), lambda t_z: cast(0 AS bigint))"
+    over_b = f"list_prepend([cast(0 AS bigint)], list_transform(range(1, length({b}) + 1), lambda t_x: [t_x]))"
+    over_a = f"list_prepend({zeros}, list_transform(range(1, length({a}) + 1), lambda t_x: [t_x]))"
+    cell = (f"CASE WHEN substr({b}, cast(t_j[1] AS int), 1) = substr({a}, cast(t_i[1] AS int), 1) THEN t_prev[t_j[1]] + 1 "
+            "ELSE greatest(t_out[-1], t_prev[t_j[1] + 1]) END")
+    return f"list_extract(list_reduce({over_a}, lambda t_prev, t_i: list_reduce({over_b}, lambda t_out, t_j: list_append(t_out, {cell}))), -1)"
 
 
 def number_similarity_sql(a: str, b: str) -> str:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,24 @@ def _idiv(col: Column | str, by: int) -> Column:
     return F.floor((F.col(col) if isinstance(col, str) else col) / by)
 
 
+_KEPT: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _kept(build):
+    """Derived input table kept (memory, then disk) for the session: it stands for a stored table that many queries read."""
+    name = build.__name__
+
+    def get(self: World) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.dir, name)
+        if key not in _KEPT:
+            parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            _KEPT[key] = build(self).repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+        return _KEPT[key]
+
+    get.__name__, get.__doc__ = name, build.__doc__
+    return property(get)
+
+
 class World:
     """Derived tables of one data folder."""
 
@@ -81,7 +100,7 @@ class World:
             F.concat(_pool(RGZ_NAMES, k), suffix).alias("street_name"),
             F.concat(_pool(PROPER_NAMES, k), suffix).alias("proper_name"), "p_retailprice")
 
-    @cached_property
+    @_kept
     def auth_address(self) -> DataFrame:
         k = F.col("c_custkey")
         muni = _idiv("c_custkey", 15)
@@ -95,7 +114,7 @@ class World:
                         "street_code", "street_name", "proper_name", "house_no", (F.col("ox") + F.col("dx")).alias("x"),
                         (F.col("oy") + F.col("dy")).alias("y"), "c_acctbal", "c_mktsegment"))
 
-    @cached_property
+    @_kept
     def map_entity(self) -> DataFrame:
         k, a = F.col("o_orderkey"), self.auth_address
         street = (F.when(k % 5 == 0, F.lit(None)).when(k % 7 == 0, _pool(PROPER_NAMES, k)).otherwise(F.col("proper_name")))
@@ -117,14 +136,14 @@ class World:
             F.when(k % 3 == 0, F.when(k % 4 < 3, F.col("house_no"))).alias("house_no"),
             F.when(k % 20 == 0, "apartments").otherwise("yes").alias("building"), (k % 28 == 0).alias("has_note")).drop("house_no_all")
 
-    @cached_property
+    @_kept
     def building_polygon(self) -> DataFrame:
         def pt(x, y):
             return F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
         ring = F.array(pt("xmin", "ymin"), pt("xmax", "ymin"), pt("xmax", "ymax"), pt("xmin", "ymax"), pt("xmin", "ymin"))
         return self.map_building.select("*", F.array(ring).alias("rings"))
 
-    @cached_property
+    @_kept
     def map_node(self) -> DataFrame:
         k = F.col("o_orderkey")
         number = F.when(k % 9 == 0, F.concat("house_no", (k % 3).cast("string"))).when(k % 13 == 0, F.lit(None)).otherwise(F.col("house_no"))
@@ -143,7 +162,7 @@ class World:
             (F.col("ox") + F.col("pos") * 200).alias("x"),
             (F.col("oy") + (F.col("street_id") % 20) * 60 + (F.col("pos") * 37 * (F.col("street_id") + 1)) % 23).alias("y"))
 
-    @cached_property
+    @_kept
     def street_line(self) -> DataFrame:
         """One row per authority street with ``lines array<array<struct<x,y>>>``; five fixed vertices per street."""
         s = self.street.join(self.muni.select(F.col("muni_id").alias("m"), "ox", "oy"), F.col("muni_id") == F.col("m"))
@@ -179,7 +198,7 @@ class World:
         x, y = self._way_xy(F.col("p0") + F.col("pos"))
         return w.select("osm_id", "way_key", "muni_id", "name", "street_ref", "highway", "place", "bridge", "pos", x.alias("x"), y.alias("y"))
 
-    @cached_property
+    @_kept
     def way_line(self) -> DataFrame:
         pts = []
         for i in range(3):
