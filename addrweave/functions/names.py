@@ -126,9 +126,9 @@ def check_alt_names(df: DataFrame, proper: Column, name: Column, alt: Column, la
     tr = _latin if latin else (lambda w: w)
     kinds = [("ordinal", _ordinals(), 0), ("roman", _titles(), 1000), ("cardinal", [(w, i + 1, "") for i, w in enumerate(CARDINALS)], 2000)]
     rules = [(tr(w), *v) for kind, words, base in kinds for w, v in _rule_map(words, kind, base).items()]
-    table = F.create_map(*[x for w in dict.fromkeys(r[0] for r in rules) for x in (
-        F.lit(w), F.array(*[F.struct(F.lit(o).alias("order"), F.lit(out).alias("out"), F.lit(rom).alias("roman"), F.lit(len(w.split())).alias("words"))
-                            for n, o, out, rom in rules if n == w]))])
+    entries = (f"'{w}', array({', '.join(f"named_struct('order', {o}, 'out', '{out}', 'roman', '{rom}', 'words', {len(w.split())})" for n, o, out, rom in rules if n == w)})"
+               for w in dict.fromkeys(r[0] for r in rules))
+    table = F.expr(f"map({', '.join(entries)})")
     p = {k: f"_n_{k}" for k in ("ref", "low", "words", "alt", "cands", "best", "num", "dot", "wrote")}
     c = {k: F.col(v) for k, v in p.items()}
     d = df.withColumns({p["ref"]: F.coalesce(proper, name), p["alt"]: alt})
@@ -176,8 +176,8 @@ def check_alt_names(df: DataFrame, proper: Column, name: Column, alt: Column, la
             written.setdefault(f"{n}.", []).append(tr(w))
     for i, w in enumerate(CARDINALS):
         written[str(i + 1)] = [tr(w)]
-    forms = F.create_map(*[x for k, ws in written.items() for x in (F.lit(k), F.array(*[F.lit(w) for w in ws]))])
-    roman_of = F.create_map(*[x for n, r in romans.items() for x in (F.lit(n).cast("long"), F.lit(r))])
+    forms = F.expr("map(" + ", ".join(f"'{k}', array({', '.join(map(repr, ws))})" for k, ws in written.items()) + ")")
+    roman_of = F.expr("map(" + ", ".join(f"{n}L, '{r}'" for n, r in romans.items()) + ")")
     shown = F.concat(c["num"].cast("string"), F.when(c["dot"], ".").otherwise(""))
     options = F.try_element_at(forms, shown)
     has_roman = _no_null(c["alt"].contains(F.try_element_at(roman_of, c["num"])))

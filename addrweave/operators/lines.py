@@ -13,50 +13,37 @@ from addrweave.operators.cells import explode_segments, segment_pairs
 from addrweave.operators.skew import ROWS_PER_TASK
 
 
-def _disc(df: DataFrame, name: str, cx: Column, cy: Column, r: float, drop: Column) -> DataFrame:
-    """Adds ``{name}lo, {name}hi``: the stretch of t in which the left segment runs inside a disc; (2, -1) if nowhere or dropped."""
-    b = F.col("_dx") * (F.col("x1") - cx) + F.col("_dy") * (F.col("y1") - cy)
-    gap = (F.col("x1") - cx) * (F.col("x1") - cx) + (F.col("y1") - cy) * (F.col("y1") - cy) - r * r
-    d = df.withColumns({"_b": b, "_c": gap}).withColumn("_root", F.col("_b") * F.col("_b") - F.col("_qa") * F.col("_c"))
-    d = d.withColumn("_s", F.when((F.col("_root") >= 0) & (F.col("_qa") > 0) & ~drop, F.sqrt("_root")))
-    lo, hi = F.greatest((-F.col("_b") - F.col("_s")) / F.col("_qa"), F.lit(0.0)), F.least((-F.col("_b") + F.col("_s")) / F.col("_qa"), F.lit(1.0))
-    return _valid(d, name, F.when(F.col("_s").isNotNull(), lo), F.when(F.col("_s").isNotNull(), hi)).drop("_b", "_c", "_root", "_s")
-
-
-def _valid(df: DataFrame, name: str, lo: Column, hi: Column) -> DataFrame:
-    d = df.withColumns({"_lo0": lo, "_hi0": hi}).withColumn("_ok", F.coalesce(F.col("_lo0") <= F.col("_hi0"), F.lit(False)))
-    return d.withColumns({f"{name}lo": F.when(F.col("_ok"), F.col("_lo0")).otherwise(2.0), f"{name}hi": F.when(F.col("_ok"), F.col("_hi0")).otherwise(-1.0)}).drop("_lo0", "_hi0", "_ok")
-
-
-def _slab(df: DataFrame, name: str, f0: Column, fd: Column, low: Column, high: Column) -> DataFrame:
-    """Adds ``{name}lo, {name}hi``: the stretch of t with ``low <= f0 + t*fd <= high``."""
-    d = df.withColumns({"_f0": f0, "_fd": fd})
-    flat, inside = F.col("_fd") == 0, (F.col("_f0") >= low) & (F.col("_f0") <= high)
-    d = d.withColumns({"_ta": (low - F.col("_f0")) / F.nullif("_fd", F.lit(0.0)), "_tb": (high - F.col("_f0")) / F.nullif("_fd", F.lit(0.0))})
-    return d.withColumns({f"{name}lo": F.when(flat, F.when(inside, 0.0).otherwise(2.0)).otherwise(F.least("_ta", "_tb")),
-                          f"{name}hi": F.when(flat, F.when(inside, 1.0).otherwise(-1.0)).otherwise(F.greatest("_ta", "_tb"))}).drop("_f0", "_fd", "_ta", "_tb")
-
-
 def near_stretch(pairs: DataFrame, r: float) -> DataFrame:
-    """Adds ``_lo, _hi``: the stretch of segment ``x1..y2`` within ``r`` of ``u1..v2`` (a capsule, so one stretch), 0 and 0 if none.
+    """Adds ``_lo, _hi``: the stretch of t along segment ``x1..y2`` within ``r`` of ``u1..v2`` (a capsule, so one stretch), 0 and 0 if none.
 
-    ``_fs``/``_fe`` mark flat ends of the right segment, which lose their half disc. Every intermediate value is a column of its own, so
-    generated code computes it once.
+    The capsule is a bar (near the line of the right segment, between its ends) and a disc at each end; ``_fs``/``_fe`` mark flat ends,
+    which lose their disc. Every intermediate value is a column of its own, so generated code computes it once.
     """
-    x1, y1, u1, v1, u2, v2 = (F.col(c).cast("double") for c in ("x1", "y1", "u1", "v1", "u2", "v2"))
-    d = pairs.withColumns({"_dx": F.col("x2") - x1, "_dy": F.col("y2") - y1, "_ex": u2 - u1, "_ey": v2 - v1})
-    dx, dy, ex, ey = (F.col(c) for c in ("_dx", "_dy", "_ex", "_ey"))
-    d = d.withColumns({"_qa": dx * dx + dy * dy, "_n": F.sqrt(ex * ex + ey * ey)})
-    n0 = F.nullif("_n", F.lit(0.0))
-    d = _slab(d, "_al", ((x1 - u1) * ex + (y1 - v1) * ey) / n0, (dx * ex + dy * ey) / n0, F.lit(0.0), F.col("_n"))
-    d = _slab(d, "_ac", ((x1 - u1) * ey - (y1 - v1) * ex) / n0, (dx * ey - dy * ex) / n0, F.lit(-float(r)), F.lit(float(r)))
-    some = F.col("_n") > 0
-    d = _valid(d, "_bar", F.when(some, F.greatest("_allo", "_aclo", F.lit(0.0))), F.when(some, F.least("_alhi", "_achi", F.lit(1.0))))
-    d = _disc(_disc(d, "_da", u1, v1, r, F.col("_fs")), "_db", u2, v2, r, F.col("_fe"))
-    d = d.withColumns({"_l": F.least("_barlo", "_dalo", "_dblo"), "_h": F.greatest("_barhi", "_dahi", "_dbhi")})
-    hit = F.col("_l") <= F.col("_h")
-    d = d.withColumns({"_lo": F.when(hit, F.col("_l")).otherwise(0.0), "_hi": F.when(hit, F.col("_h")).otherwise(0.0), "_len": F.sqrt("_qa")})
-    return d.select(*pairs.columns, "_lo", "_hi", "_len")
+    keep = pairs.columns
+
+    def slab(name: str, low: str, high: str) -> list[str]:  # low <= {name}0 + t * {name}d <= high
+        inside = f"{name}0 >= {low} AND {name}0 <= {high}"
+        a, b = f"({low} - {name}0) / {name}d", f"({high} - {name}0) / {name}d"
+        return [f"CASE WHEN {name}d = 0 THEN IF({inside}, 0D, 2D) ELSE least({a}, {b}) END AS {name}lo",
+                f"CASE WHEN {name}d = 0 THEN IF({inside}, 1D, -1D) ELSE greatest({a}, {b}) END AS {name}hi"]
+
+    def disc(name: str, cx: str, cy: str) -> list[str]:  # qa t^2 + 2 b t + c <= 0
+        return [f"dx * (x1 - {cx}) + dy * (y1 - {cy}) AS {name}b", f"(x1 - {cx}) * (x1 - {cx}) + (y1 - {cy}) * (y1 - {cy}) - {float(r * r)}D AS {name}c"]
+
+    def ends(name: str, lo: str, hi: str, ok: str) -> list[str]:
+        return [f"IF({ok} AND {lo} <= {hi}, {lo}, 2D) AS {name}l", f"IF({ok} AND {lo} <= {hi}, {hi}, -1D) AS {name}h"]
+
+    d = pairs.selectExpr("*", "CAST(x2 - x1 AS DOUBLE) AS dx", "CAST(y2 - y1 AS DOUBLE) AS dy", "CAST(u2 - u1 AS DOUBLE) AS ex", "CAST(v2 - v1 AS DOUBLE) AS ey")
+    d = d.selectExpr("*", "dx * dx + dy * dy AS qa", "nullif(sqrt(ex * ex + ey * ey), 0D) AS n")
+    d = d.selectExpr("*", "((x1 - u1) * ex + (y1 - v1) * ey) / n AS al0", "(dx * ex + dy * ey) / n AS ald", "((x1 - u1) * ey - (y1 - v1) * ex) / n AS ac0",
+                     "(dx * ey - dy * ex) / n AS acd", *disc("p", "u1", "v1"), *disc("q", "u2", "v2"))
+    d = d.selectExpr("*", *slab("al", "0D", "n"), *slab("ac", f"{-float(r)}D", f"{float(r)}D"), "IF(NOT _fs AND qa > 0 AND pb * pb >= qa * pc, sqrt(pb * pb - qa * pc), NULL) AS ps",
+                     "IF(NOT _fe AND qa > 0 AND qb * qb >= qa * qc, sqrt(qb * qb - qa * qc), NULL) AS qs")
+    d = d.selectExpr("*", "greatest(allo, aclo, 0D) AS barlo", "least(alhi, achi, 1D) AS barhi", "greatest((-pb - ps) / nullif(qa, 0D), 0D) AS plo", "least((-pb + ps) / nullif(qa, 0D), 1D) AS phi",
+                     "greatest((-qb - qs) / nullif(qa, 0D), 0D) AS qlo", "least((-qb + qs) / nullif(qa, 0D), 1D) AS qhi")
+    d = d.selectExpr("*", *ends("bar", "barlo", "barhi", "n IS NOT NULL"), *ends("p", "plo", "phi", "ps IS NOT NULL"), *ends("q", "qlo", "qhi", "qs IS NOT NULL"))
+    d = d.selectExpr("*", "least(barl, pl, ql) AS l", "greatest(barh, ph, qh) AS h")
+    return d.selectExpr(*[f"`{c}`" for c in keep], "IF(l <= h, l, 0D) AS _lo", "IF(l <= h, h, 0D) AS _hi", "sqrt(qa) AS _len")
 
 
 def covered_length(left: DataFrame, right: DataFrame, radius: float, keys: list[str], scope: list[str] | None = None, size: float = 200.0,

@@ -56,7 +56,10 @@ def settlement_borders(auth: DataFrame, munis: DataFrame) -> DataFrame:
     all_seeds = s.groupBy("muni_id").agg(F.collect_list(F.struct("settl_id", "x", "y")).alias("_all"))
     j = s.join(all_seeds, "muni_id").join(munis.select("muni_id", "rings"), "muni_id")
     others = F.filter("_all", lambda z: z["settl_id"] != F.col("settl_id"))
-    ring = F.aggregate(others, F.element_at("rings", 1), lambda acc, z: _clip(acc, F.col("x"), F.col("y"), z["x"], z["y"]))
+    none = F.expr(f"CAST(array() AS array<{POINT}>)")
+    same = lambda z: (z["x"] == F.col("x")) & (z["y"] == F.col("y"))  # noqa: E731  equal seeds: the smaller id takes the part
+    ring = F.aggregate(others, F.element_at("rings", 1), lambda acc, z: F.when(same(z), F.when(z["settl_id"] < F.col("settl_id"), none).otherwise(acc)).otherwise(
+        _clip(acc, F.col("x"), F.col("y"), z["x"], z["y"])))
     return j.select("muni_id", "settl_id", "addresses", ring.alias("ring"))
 
 

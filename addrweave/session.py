@@ -17,6 +17,7 @@ def local_session(cores: int | str = 8, memory: str = "8g", app: str = "addrweav
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site capture per column expression
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["address_queries", "text_queries", "street_queries"]
+FAMILIES = ["address_queries", "text_queries", "street_queries", "building_queries", "plan_queries"]
 
 
 def load() -> tuple[dict, dict]:

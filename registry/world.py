@@ -98,7 +98,7 @@ class World:
         return self.table("part").select(
             k.alias("street_id"), code.alias("street_code"), muni.alias("muni_id"), (muni * 10 + k % 3).alias("settl_id"),
             F.concat(_pool(RGZ_NAMES, k), suffix).alias("street_name"),
-            F.concat(_pool(PROPER_NAMES, k), suffix).alias("proper_name"), "p_retailprice")
+            F.concat(_pool(PROPER_NAMES, k), suffix).alias("proper_name"), "p_type")
 
     @_kept
     def auth_address(self) -> DataFrame:
@@ -123,8 +123,8 @@ class World:
         return self.table("orders").join(a, F.col("o_custkey") == F.col("addr_key")).select(
             F.concat(kind, k.cast("string")).alias("osm_id"), k.alias("entity_key"), "muni_id", street.alias("street"), number.alias("house_no"),
             F.when(F.col("o_orderpriority") == "1-URGENT", F.col("addr_id")).alias("house_ref"),
-            (F.col("x") + (k * 31) % 301 - 150).alias("x"), (F.col("y") + (k * 17) % 301 - 150).alias("y"),
-            F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
+            (F.col("x") + (k * 31) % 301 - 150 + F.when(F.col("muni_id") % 4 == 3, 1600).otherwise(0)).alias("x"),
+            (F.col("y") + (k * 17) % 301 - 150).alias("y"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
 
     @cached_property
     def map_building(self) -> DataFrame:
@@ -254,7 +254,7 @@ CTES: dict[str, tuple[list[str], str]] = {
           || lpad(cast(p_partkey AS varchar), 12, '0') AS street_code,
         cast(floor(p_partkey / 20) AS bigint) AS muni_id, cast(floor(p_partkey / 20) AS bigint) * 10 + p_partkey % 3 AS settl_id,
         {_duck_pool(RGZ_NAMES, 'p_partkey')} || CASE WHEN p_size % 2 = 0 THEN ' ' || p_size ELSE '' END AS street_name,
-        {_duck_pool(PROPER_NAMES, 'p_partkey')} || CASE WHEN p_size % 2 = 0 THEN ' ' || p_size ELSE '' END AS proper_name, p_retailprice
+        {_duck_pool(PROPER_NAMES, 'p_partkey')} || CASE WHEN p_size % 2 = 0 THEN ' ' || p_size ELSE '' END AS proper_name, p_type
       FROM part"""),
     "auth_address": (["street", "muni"], """
       SELECT cast(c_custkey AS varchar) AS addr_id, c_custkey AS addr_key, s.muni_id, m.muni_name, s.settl_id, s.street_id, s.street_code,
@@ -268,7 +268,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN {_duck_pool(PROPER_NAMES, 'o_orderkey')} ELSE proper_name END AS street,
         CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 6 = 0 THEN house_no || 'b' ELSE house_no END AS house_no,
         CASE WHEN o_orderpriority = '1-URGENT' THEN addr_id END AS house_ref,
-        x + (o_orderkey * 31) % 301 - 150 AS x, y + (o_orderkey * 17) % 301 - 150 AS y, o_orderstatus AS status, o_totalprice AS price
+        x + (o_orderkey * 31) % 301 - 150 + CASE WHEN muni_id % 4 = 3 THEN 1600 ELSE 0 END AS x, y + (o_orderkey * 17) % 301 - 150 AS y, o_orderstatus AS status, o_totalprice AS price
       FROM orders JOIN auth_address ON addr_key = o_custkey"""),
     "map_building": (["auth_address"], """
       SELECT CASE WHEN addr_key % 41 = 0 THEN 'n' ELSE 'w' END || (addr_key + 9000000000) AS osm_id, addr_key, muni_id,
