@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,6 +26,11 @@ def _zone(crs: str) -> tuple[float, float]:
     return math.radians((code % 100) * 6 - 183), 0.0 if code < 32700 else 10_000_000.0
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _atanh(c: Column) -> Column:
     return 0.5 * F.ln((1.0 + c) / (1.0 - c))
 
@@ -32,33 +38,42 @@ def _atanh(c: Column) -> Column:
 def to_utm(lon: Column, lat: Column, crs: str = "EPSG:32634") -> tuple[Column, Column]:
     """Degrees to metres in a UTM zone."""
     lon0, north0 = _zone(crs)
-    phi, lam = F.radians(lat), F.radians(lon) - lon0
-    s = F.sin(phi)
-    t = F.sinh(_atanh(s) - _E * _atanh(_E * s))
-    xi, eta = F.atan2(t, F.cos(lam)), _atanh(F.sin(lam) / F.sqrt(1.0 + t * t))
-    x, y = eta, xi
-    for j, a in enumerate(_ALPHA, 1):
-        x = x + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        y = y + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    return 500_000.0 + 0.9996 * _RECT * x, north0 + 0.9996 * _RECT * y
+    lam = F.radians(lon) - lon0
+    t = _let(F.sin(F.radians(lat)), lambda s: F.sinh(_atanh(s) - _E * _atanh(_E * s)))
+    base = _let(t, lambda t: F.struct(F.atan2(t, F.cos(lam)).alias("xi"), _atanh(F.sin(lam) / F.sqrt(1.0 + t * t)).alias("eta")))
+
+    def shifted(p: Column) -> Column:
+        x, y = p["eta"], p["xi"]
+        for j, a in enumerate(_ALPHA, 1):
+            x = x + a * F.cos(2 * j * p["xi"]) * F.sinh(2 * j * p["eta"])
+            y = y + a * F.sin(2 * j * p["xi"]) * F.cosh(2 * j * p["eta"])
+        return F.struct((500_000.0 + 0.9996 * _RECT * x).alias("x"), (north0 + 0.9996 * _RECT * y).alias("y"))
+    out = _let(base, shifted)
+    return out["x"], out["y"]
 
 
 def from_utm(x: Column, y: Column, crs: str = "EPSG:32634") -> tuple[Column, Column]:
     """Metres in a UTM zone to degrees."""
     lon0, north0 = _zone(crs)
     xi, eta = (y - north0) / (0.9996 * _RECT), (x - 500_000.0) / (0.9996 * _RECT)
-    u, v = xi, eta
-    for j, b in enumerate(_BETA, 1):
-        u = u - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        v = v - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    tau1 = F.sin(u) / F.sqrt(F.sinh(v) * F.sinh(v) + F.cos(u) * F.cos(u))
-    tau = tau1
-    for _ in range(3):  # Newton steps from conformal to geographic latitude
-        sigma = F.sinh(_E * _atanh(_E * tau / F.sqrt(1.0 + tau * tau)))
-        guess = tau * F.sqrt(1.0 + sigma * sigma) - sigma * F.sqrt(1.0 + tau * tau)
-        step = (tau1 - guess) / F.sqrt(1.0 + guess * guess) * (1.0 + (1.0 - _E**2) * tau * tau) / ((1.0 - _E**2) * F.sqrt(1.0 + tau * tau))
-        tau = tau + step
-    return F.degrees(lon0 + F.atan2(F.sinh(v), F.cos(u))), F.degrees(F.atan(tau))
+
+    def unshifted(p: Column) -> Column:
+        u, v = p["xi"], p["eta"]
+        for j, b in enumerate(_BETA, 1):
+            u = u - b * F.sin(2 * j * p["xi"]) * F.cosh(2 * j * p["eta"])
+            v = v - b * F.cos(2 * j * p["xi"]) * F.sinh(2 * j * p["eta"])
+        return F.struct(u.alias("u"), v.alias("v"))
+
+    def newton(tau1: Column) -> Column:  # three steps from conformal to geographic latitude
+        def step(tau: Column, _: Column) -> Column:
+            sigma = F.sinh(_E * _atanh(_E * tau / F.sqrt(1.0 + tau * tau)))
+            guess = _let(sigma, lambda g: tau * F.sqrt(1.0 + g * g) - g * F.sqrt(1.0 + tau * tau))
+            return tau + _let(guess, lambda g: (tau1 - g) / F.sqrt(1.0 + g * g) * (1.0 + (1.0 - _E**2) * tau * tau) / ((1.0 - _E**2) * F.sqrt(1.0 + tau * tau)))
+        return F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)), tau1, step)
+    out = _let(_let(F.struct(xi.alias("xi"), eta.alias("eta")), unshifted), lambda w: F.struct(
+        F.degrees(lon0 + F.atan2(F.sinh(w["v"]), F.cos(w["u"]))).alias("lon"),
+        F.degrees(F.atan(_let(F.sin(w["u"]) / F.sqrt(F.sinh(w["v"]) * F.sinh(w["v"]) + F.cos(w["u"]) * F.cos(w["u"])), newton))).alias("lat")))
+    return out["lon"], out["lat"]
 
 
 def _q(s: Column | float):

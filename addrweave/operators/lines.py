@@ -19,8 +19,6 @@ def near_stretch(pairs: DataFrame, r: float) -> DataFrame:
     The capsule is a bar (near the line of the right segment, between its ends) and a disc at each end; ``_fs``/``_fe`` mark flat ends,
     which lose their disc. Every intermediate value is a column of its own, so generated code computes it once.
     """
-    keep = pairs.columns
-
     def slab(name: str, low: str, high: str) -> list[str]:  # low <= {name}0 + t * {name}d <= high
         inside = f"{name}0 >= {low} AND {name}0 <= {high}"
         a, b = f"({low} - {name}0) / {name}d", f"({high} - {name}0) / {name}d"
@@ -33,7 +31,8 @@ def near_stretch(pairs: DataFrame, r: float) -> DataFrame:
     def ends(name: str, lo: str, hi: str, ok: str) -> list[str]:
         return [f"IF({ok} AND {lo} <= {hi}, {lo}, 2D) AS {name}l", f"IF({ok} AND {lo} <= {hi}, {hi}, -1D) AS {name}h"]
 
-    d = pairs.selectExpr("*", "CAST(x2 - x1 AS DOUBLE) AS dx", "CAST(y2 - y1 AS DOUBLE) AS dy", "CAST(u2 - u1 AS DOUBLE) AS ex", "CAST(v2 - v1 AS DOUBLE) AS ey")
+    own = F.struct(*pairs.columns).alias("_row")  # caller's columns, out of the way of the names below
+    d = pairs.select(own, "x1", "y1", "x2", "y2", "u1", "v1", "u2", "v2", "_fs", "_fe").selectExpr("*", "CAST(x2 - x1 AS DOUBLE) AS dx", "CAST(y2 - y1 AS DOUBLE) AS dy", "CAST(u2 - u1 AS DOUBLE) AS ex", "CAST(v2 - v1 AS DOUBLE) AS ey")
     d = d.selectExpr("*", "dx * dx + dy * dy AS qa", "nullif(sqrt(ex * ex + ey * ey), 0D) AS n")
     d = d.selectExpr("*", "((x1 - u1) * ex + (y1 - v1) * ey) / n AS al0", "(dx * ex + dy * ey) / n AS ald", "((x1 - u1) * ey - (y1 - v1) * ex) / n AS ac0",
                      "(dx * ey - dy * ex) / n AS acd", *disc("p", "u1", "v1"), *disc("q", "u2", "v2"))
@@ -43,7 +42,7 @@ def near_stretch(pairs: DataFrame, r: float) -> DataFrame:
                      "greatest((-qb - qs) / nullif(qa, 0D), 0D) AS qlo", "least((-qb + qs) / nullif(qa, 0D), 1D) AS qhi")
     d = d.selectExpr("*", *ends("bar", "barlo", "barhi", "n IS NOT NULL"), *ends("p", "plo", "phi", "ps IS NOT NULL"), *ends("q", "qlo", "qhi", "qs IS NOT NULL"))
     d = d.selectExpr("*", "least(barl, pl, ql) AS l", "greatest(barh, ph, qh) AS h")
-    return d.selectExpr(*[f"`{c}`" for c in keep], "IF(l <= h, l, 0D) AS _lo", "IF(l <= h, h, 0D) AS _hi", "sqrt(qa) AS _len")
+    return d.selectExpr("_row.*", "IF(l <= h, l, 0D) AS _lo", "IF(l <= h, h, 0D) AS _hi", "sqrt(qa) AS _len")
 
 
 def covered_length(left: DataFrame, right: DataFrame, radius: float, keys: list[str], scope: list[str] | None = None, size: float = 200.0,
@@ -116,35 +115,30 @@ def hausdorff(rows: DataFrame, key: str) -> DataFrame:
     return per_vertex.groupBy(key).agg(F.greatest(F.max("_l"), F.max("_r")).alias("hausdorff"))
 
 
-def _closes(parts: list) -> bool:
-    """Do at most 99 parts chain up into one closed line? The two nearest free ends (under 20 m) are joined each time.
+def _closes(chains: np.ndarray) -> bool:
+    """Do at most 99 parts (rows of start, end, length) chain up into one closed line? The two nearest free ends (under 20 m) are joined each time.
 
     A chain is only its two ends and its length, joints included; its middle plays no part in the answer.
     """
-    ends, lengths = [], []
-    for part in parts:
-        xy = np.array([(p["x"], p["y"]) for p in part], dtype=float)
-        ends.append((xy[0], xy[-1]))
-        lengths.append(float(np.hypot(*np.diff(xy, axis=0).T).sum()))
+    ends, lengths = chains[:, :4].reshape(-1, 2, 2), chains[:, 4]
     while len(ends) > 1:
-        flat = np.array(ends).reshape(-1, 2)
+        flat = ends.reshape(-1, 2)
         gaps = np.hypot(flat[:, None, 0] - flat[None, :, 0], flat[:, None, 1] - flat[None, :, 1])
         owner = np.arange(len(flat)) // 2
         gaps[owner[:, None] <= owner[None, :]] = np.inf
         i, j = divmod(int(gaps.argmin()), len(flat))
         if not gaps[i, j] < 20:
             return False
-        a, b = owner[i], owner[j]
-        merged = (flat[i ^ 1], flat[j ^ 1])  # the far ends stay free
-        total = lengths[a] + lengths[b] + float(gaps[i, j])
-        ends = [e for k, e in enumerate(ends) if k not in (a, b)] + [merged]
-        lengths = [n for k, n in enumerate(lengths) if k not in (a, b)] + [total]
-    return bool(np.hypot(*(ends[0][0] - ends[0][1])) < 0.2 * lengths[0])
+        rest = np.setdiff1d(np.arange(len(ends)), [owner[i], owner[j]])
+        total = lengths[owner[i]] + lengths[owner[j]] + gaps[i, j]
+        ends = np.concatenate([ends[rest], flat[[i ^ 1, j ^ 1]][None]])  # the far ends stay free
+        lengths = np.append(lengths[rest], total)
+    return bool(np.hypot(*(ends[0, 0] - ends[0, 1])) < 0.2 * lengths[0])
 
 
 @F.pandas_udf(BooleanType())
-def _chain_closes(parts: pd.Series) -> pd.Series:
-    return parts.map(lambda p: False if p is None else _closes(p))
+def _chain_closes(chains: pd.Series) -> pd.Series:
+    return chains.map(lambda c: None if c is None else _closes(np.asarray(c, dtype=float).reshape(-1, 5)))
 
 
 def is_ring(parts: Column | str) -> Column:
@@ -153,5 +147,6 @@ def is_ring(parts: Column | str) -> Column:
     line = F.element_at(p, 1)
     a, b = F.element_at(line, 1), F.element_at(line, -1)
     one = G.distance(a["x"], a["y"], b["x"], b["y"]) < 0.2 * G.length(p)
-    many = _chain_closes(F.when((F.size(p) > 1) & (F.size(p) < 100), p))
+    chains = F.flatten(F.transform(p, lambda q: F.array(q[0]["x"], q[0]["y"], F.element_at(q, -1)["x"], F.element_at(q, -1)["y"], G.length(F.array(q)))))
+    many = _chain_closes(F.when((F.size(p) > 1) & (F.size(p) < 100), chains))
     return F.when(F.size(p) == 1, one).when(F.size(p) < 100, many).otherwise(False)

@@ -68,10 +68,11 @@ def first_value(df: DataFrame, keys: list[str], value: str, order: str) -> DataF
 
 
 def require_complete(df: DataFrame, key: str, at_least: int) -> DataFrame:
-    """``df``, failing at run time when it has fewer than ``at_least`` distinct keys."""
-    seen = df.agg(F.count_distinct(key).alias("_n")).select(
-        F.assert_true(F.col("_n") >= at_least, F.concat(F.lit(f"expected at least {at_least} {key} values, found "), F.col("_n").cast("string"))).alias("_ok"), "_n")
-    return df.join(F.broadcast(seen.select(F.coalesce(F.col("_ok").cast("string"), F.lit("")).alias("_ok"))), F.lit(True)).drop("_ok")  # one row
+    """``df``; fails when it has fewer than ``at_least`` distinct keys (one number comes to the driver)."""
+    seen = df.agg(F.count_distinct(key)).first()[0]
+    if seen < at_least:
+        raise ValueError(f"expected at least {at_least} {key} values, found {seen}")
+    return df
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

@@ -63,7 +63,7 @@ def assemble_relations(relations: DataFrame, way_geoms: DataFrame) -> DataFrame:
     j = skew_join(m.select("id", F.col("m.ref").alias("ref"), F.col("m.role").alias("role")), g, ["ref"], "inner")
     outer = F.col("role") == "outer"
     return j.groupBy("id").agg(
-        F.collect_list(F.when(F.col("closed"), F.col("points"))).alias("rings"), ~F.bool_or(outer & F.col("closed")) .alias("all_open"),
+        F.collect_list(F.when(F.col("closed"), F.col("points"))).alias("rings"), (~F.bool_or(outer & F.col("closed"))).alias("all_open"),
         F.flatten(F.collect_list(F.when(outer & ~F.col("closed"), F.col("points")))).alias("outer_points"))
 
 

@@ -108,7 +108,7 @@ def load_admin_units(spark: SparkSession, path: str, admin_type: str, id_from_gm
 
     Exterior rings only; coordinates are stored latitude first and are swapped. Codes lose leading zeros; three names are overruled.
     """
-    d = (spark.read.format("xml").option("rowTag", "au:AdministrativeUnit").option("ignoreNamespace", "true").option("attributePrefix", "_").schema(_XML).load(path))
+    d = (spark.read.format("xml").option("rowTag", "AdministrativeUnit").option("ignoreNamespace", "true").option("attributePrefix", "_").schema(_XML).load(path))
     d = d.where(F.exists("nationalLevelName.LocalisedCharacterString", lambda t: t.contains(admin_type)))
     bare = F.regexp_replace(F.trim("nationalCode"), "^0+", "")
     code = F.when(F.coalesce("nationalCode", F.lit("")) == "", "").when(bare == "", "0").otherwise(bare)
