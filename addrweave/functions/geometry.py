@@ -62,7 +62,7 @@ def segments(parts: Column | str) -> Column:
     def of_part(part: Column) -> Column:
         ends = F.when(F.size(part) > 1, F.slice(part, F.lit(2), F.size(part) - 1)).otherwise(part)
         starts = F.when(F.size(part) > 1, F.slice(part, F.lit(1), F.size(part) - 1)).otherwise(part)
-        return F.zip_with(starts, ends, lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")))
+        return F.zip_with(starts, ends, lambda a, b: F.named_struct(F.lit("x1"), a["x"], F.lit("y1"), a["y"], F.lit("x2"), b["x"], F.lit("y2"), b["y"]))
     return F.flatten(F.transform(_col(parts), of_part))
 
 

@@ -39,8 +39,8 @@ def radius_pairs(left: DataFrame, right: DataFrame, radius: float, scope: list[s
     return pairs, keys
 
 
-def polygon_cells(polygons: DataFrame, size: float, grow: float = 0.0) -> DataFrame:
-    """Cut polygons into cells: ``(_cx, _cy, _whole, _edges)`` next to the polygon's other columns.
+def polygon_cells(polygons: DataFrame, size: float, grow: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """Cut polygons into cells: ``(_cx, _cy, _whole, _edges)`` next to the polygon's other columns; and the edge rows behind them.
 
     ``polygons`` has a unique ``polygon_id`` and ``rings``. A cell keeps the edges a rightward ray from it can cross; cells no
     edge comes near are either dropped (outside) or marked whole (inside) and carry no edges.
@@ -56,8 +56,9 @@ def polygon_cells(polygons: DataFrame, size: float, grow: float = 0.0) -> DataFr
     cells = spread.groupBy("polygon_id", *attrs, "_cx", "_cy").agg(F.collect_list("e").alias("_edges"), F.bool_or(near).alias("_near"))
     mid_x, mid_y = (F.col("_cx") + 0.5) * size, (F.col("_cy") + 0.5) * size
     inside = G.crossings(F.col("_edges"), mid_x, mid_y) % 2 == 1
-    return (cells.withColumn("_whole", ~F.col("_near")).where(F.col("_near") | inside)
-            .withColumn("_edges", F.when(F.col("_near"), F.col("_edges"))).drop("_near"))
+    cells = (cells.withColumn("_whole", ~F.col("_near")).where(F.col("_near") | inside)
+             .withColumn("_edges", F.when(F.col("_near"), F.col("_edges"))).drop("_near"))
+    return cells, spread
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, border: bool = True, grow: float = 0.0, scope: list[str] | None = None,
@@ -68,9 +69,9 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, bord
     from those of ``points``, except ``scope``).
     """
     px, py = F.col(xy[0]).cast("double"), F.col(xy[1]).cast("double")
-    cells = polygon_cells(polygons, size, grow)
+    cells, edge_rows = polygon_cells(polygons, size, grow)
     pts = points.withColumns({"_cx": cell_of(px, size), "_cy": cell_of(py, size)})
-    p2, c2, keys = split_hot(pts, cells, (scope or []) + ["_cx", "_cy"], rows_per_task)
+    p2, c2, keys = split_hot(pts, cells, (scope or []) + ["_cx", "_cy"], rows_per_task, count_right=edge_rows)
     hit = G.inside_edges(F.col("_edges"), px, py, border)
     if grow:
         hit = hit | (F.array_min(F.transform("_edges", lambda s: G.point_segment_distance(px, py, s["x1"], s["y1"], s["x2"], s["y2"]))) <= grow)

@@ -63,13 +63,11 @@ def covered_by_partners(rows: DataFrame, radius: float, key: str, blocks: int =
     Each row already holds a line and one partner, so no join is needed; segments whose boxes are apart are dropped inside the row. Stretches
     are first united inside hashed blocks, so a segment under very many partners reaches its last task as a few united stretches.
     """
-    segs = rows.select(key, F.explode(_end_marked("other_lines")).alias("o"), F.col("lines"))
-    o = F.col("o")
-    near = F.filter(F.transform(G.segments("lines"), lambda s, i: F.struct(i.alias("seg"), *[s[c].alias(c) for c in ("x1", "y1", "x2", "y2")])), lambda s: (
-        (F.least(s["x1"], s["x2"]) - radius <= F.greatest(o["x1"], o["x2"])) & (F.greatest(s["x1"], s["x2"]) + radius >= F.least(o["x1"], o["x2"]))
-        & (F.least(s["y1"], s["y2"]) - radius <= F.greatest(o["y1"], o["y2"])) & (F.greatest(s["y1"], s["y2"]) + radius >= F.least(o["y1"], o["y2"]))))
-    p = segs.select(key, "o", F.explode(near).alias("s")).select(
-        key, "s.*", o["x1"].alias("u1"), o["y1"].alias("v1"), o["x2"].alias("u2"), o["y2"].alias("v2"), o["fs"].alias("_fs"), o["fe"].alias("_fe"))
+    p = rows.select(key, F.posexplode(G.segments("lines")).alias("seg", "s"), _end_marked("other_lines").alias("_others")).select(
+        key, "seg", "s", F.explode("_others").alias("o")).selectExpr(
+        f"`{key}`", "seg", "s.x1", "s.y1", "s.x2", "s.y2", "o.x1 AS u1", "o.y1 AS v1", "o.x2 AS u2", "o.y2 AS v2", "o.fs AS _fs", "o.fe AS _fe").where(
+        f"least(x1, x2) - {radius} <= greatest(u1, u2) AND greatest(x1, x2) + {radius} >= least(u1, u2) "
+        f"AND least(y1, y2) - {radius} <= greatest(v1, v2) AND greatest(y1, y2) + {radius} >= least(v1, v2)")
     st = near_stretch(p, radius).select(key, "seg", "_lo", "_hi", "_len", F.pmod(F.xxhash64("u1", "v1", "u2", "v2"), F.lit(blocks)).alias("_block"))
     return _united_length(_unite(st, [key, "seg", "_block"]), [key])
 
@@ -78,7 +76,8 @@ def _end_marked(parts: str) -> Column:
     """All segments with flags for the first and last one of a part."""
     def of_part(part: Column) -> Column:
         last = F.size(part) - 2
-        return F.transform(G.segments(F.array(part)), lambda s, i: F.struct(*[s[c].alias(c) for c in ("x1", "y1", "x2", "y2")], (i == 0).alias("fs"), (i == last).alias("fe")))
+        return F.transform(G.segments(F.array(part)), lambda s, i: F.named_struct(
+            *[x for c in ("x1", "y1", "x2", "y2") for x in (F.lit(c), s[c])], F.lit("fs"), i == 0, F.lit("fe"), i == last))
     return F.flatten(F.transform(parts, of_part))
 
 
@@ -100,19 +99,21 @@ def _unite(stretch: DataFrame, keys: list[str]) -> DataFrame:
         F.first("_len").alias("_len"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")).drop("_island")
 
 
-def hausdorff(rows: DataFrame, key: str) -> DataFrame:
+def hausdorff(rows: DataFrame, key: str, partner: str) -> DataFrame:
     """Discrete Hausdorff distance (vertices to nearest segment, both ways) between each key's ``lines`` and all its ``other_lines``.
 
-    Each row holds the key's line and one partner; its distances shrink to one minimum per vertex of the line before the shuffle.
+    Each row holds the key's line and one partner (``key, partner`` is unique). Vertices meet segments inside the row as exploded rows, so
+    distances run in generated code; a task sends one minimum per vertex.
     """
-    def near(parts: str, others: str) -> Column:
-        segs = G.segments(others)
-        return F.transform(F.flatten(F.col(parts)), lambda p: F.array_min(F.transform(
-            segs, lambda s: G.point_segment_distance(p["x"], p["y"], s["x1"], s["y1"], s["x2"], s["y2"]))))
-
-    d = rows.select(key, F.array_max(near("other_lines", "lines")).alias("_r"), F.posexplode(near("lines", "other_lines")).alias("_pos", "_l"))
-    per_vertex = d.groupBy(key, "_pos").agg(F.min("_l").alias("_l"), F.max("_r").alias("_r"))
-    return per_vertex.groupBy(key).agg(F.greatest(F.max("_l"), F.max("_r")).alias("hausdorff"))
+    def side(points: str, segs: str, owner: Column) -> Column:
+        return F.transform(F.flatten(F.col(points)), lambda p, i: F.named_struct(
+            F.lit("rid"), owner, F.lit("pos"), i, F.lit("x"), p["x"], F.lit("y"), p["y"], F.lit("segs"), F.col(segs)))
+
+    own = F.lit(None).cast(rows.schema[partner].dataType)
+    both = F.concat(side("lines", "_so", own), side("other_lines", "_sl", F.col(partner)))
+    d = rows.withColumns({"_sl": G.segments("lines"), "_so": G.segments("other_lines")}).select(key, F.explode(both).alias("v")).select(key, "v.rid", "v.pos", "v.x", "v.y", F.explode("v.segs").alias("s"))
+    d = d.select(key, "rid", "pos", G.point_segment_distance(F.col("x"), F.col("y"), *[F.col(f"s.{c}") for c in ("x1", "y1", "x2", "y2")]).alias("_d"))
+    return d.groupBy(key, "rid", "pos").agg(F.min("_d").alias("_d")).groupBy(key).agg(F.max("_d").alias("hausdorff"))
 
 
 def _closes(chains: np.ndarray) -> bool:

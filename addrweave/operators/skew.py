@@ -41,9 +41,13 @@ def _not_null(on: list[str]) -> Column:
 
 
 def split_hot(left: DataFrame, right: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK,
-              unique_right: bool = False) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides, ready for a join on the returned keys, with the rows of hot keys spread over blocks."""
-    hot, n = _hot(left.where(_not_null(on)), None if unique_right else right.where(_not_null(on)), on, rows_per_task)
+              unique_right: bool = False, count_right: DataFrame | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides, ready for a join on the returned keys, with the rows of hot keys spread over blocks.
+
+    ``count_right`` may name rows that are cheaper to count than ``right`` and at least as many per key.
+    """
+    counted = right if count_right is None else count_right
+    hot, n = _hot(left.where(_not_null(on)), None if unique_right else counted.where(_not_null(on)), on, rows_per_task)
     if n == 0:
         return left, right, on
     if n <= _BROADCAST_KEYS:

@@ -69,8 +69,8 @@ def diff_streets(old: DataFrame, new: DataFrame) -> DataFrame:
     """Q14: same street code, other settlement, name or course (Hausdorff distance in whole metres)."""
     cols = ["settl_id", "street_name"]
     p = _paired(old, new, "street_code", cols).where((F.col("muni_id") == F.col("_om")) & (F.col("muni_name") == F.col("_on")))
-    both = old.select("street_code", "lines").join(new.select("street_code", F.col("lines").alias("other_lines")), "street_code")
-    far = hausdorff(both, "street_code")
+    both = old.select("street_code", "lines").join(new.select("street_code", F.col("lines").alias("other_lines"), F.lit(0).alias("_one")), "street_code")
+    far = hausdorff(both, "street_code", "_one")
     out = _flags(p, cols).join(far, "street_code", "left").withColumn("moved_metres", F.bround("hausdorff").cast("long"))
     return out.where(_any([F.col(f"{c}_changed") for c in cols] + [F.col("moved_metres") > 0])).drop("_om", "_on", "hausdorff")
 

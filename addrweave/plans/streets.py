@@ -51,7 +51,7 @@ def street_summary(streets: DataFrame, ways: DataFrame, options: Options = DEFAU
     con = conflated_ways(streets, ways, options)
     sums = con.groupBy("street_id").agg(F.count("*").alias("conflated_count"), F.sum("way_length").alias("conflated_length"), F.max("way_length").alias("conflated_max_length"))
     cover = covered_by_partners(con, options.buffer, "street_id")
-    error = hausdorff(con, "street_id").withColumnRenamed("hausdorff", "max_error")
+    error = hausdorff(con, "street_id", "osm_id").withColumnRenamed("hausdorff", "max_error")
     base = streets.select("street_id", "street_code", "muni_id", "settl_id", "street_name", "proper_name", T.is_hamlet("street_code").alias("is_hamlet"),
                           G.length("lines").alias("street_length"))
     out = base.join(sums, "street_id", "left").join(cover, "street_id", "left").join(error, "street_id", "left")

@@ -128,11 +128,11 @@ def test_covered_length_agrees_with_sampling(spark):
     for i, p in enumerate(a):
         for j, o in enumerate(b):
             assert got.get((i, j), 0.0) == pytest.approx(covered(p, [o], 30, False), abs=0.3)
-    rows = left.crossJoin(right).drop("r")
+    rows = left.crossJoin(right)
     flat = {r.l: r.covered for r in L.covered_by_partners(rows, 30, "l").collect()}
     for i, p in enumerate(a):
         assert flat.get(i, 0.0) == pytest.approx(covered(p, b, 30, True), abs=0.4)
-    far = {r.l: r.hausdorff for r in L.hausdorff(rows, "l").collect()}
+    far = {r.l: r.hausdorff for r in L.hausdorff(rows, "l", "r").collect()}
     for i, p in enumerate(a):
         one = max(min(point_segment(*v, s) for o in b for s in zip(o, o[1:])) for v in p)
         two = max(min(point_segment(*v, s) for s in zip(p, p[1:])) for o in b for v in o)
