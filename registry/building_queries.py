@@ -14,7 +14,7 @@ from addrweave.plans import buildings as B
 from addrweave.plans import settlements as SE
 from registry.address_queries import STEPS as MATCH
 from registry.address_queries import auth, matched
-from registry.sql import NORM, NORM_LATIN
+from registry.sql import NORM, NORM_LATIN, _dst
 from registry.world import World, duck
 
 QUERIES, ORACLES = {}, {}
@@ -179,8 +179,20 @@ add("address_listing", lambda s, d: SE.address_listing(matched(World(s, d))).wit
 add("place_settlements", lambda s, d: (lambda w: SE.place_settlements(auth(w).withColumn("settl_id", F.col("street_id")), w.street.select(
     F.col("street_id").alias("settl_id"), F.when(F.col("street_id") % 2 == 0, T.cyr2lat("proper_name")).otherwise("Насеље").alias("settl_name"))))(World(s, d)),
     q("SELECT street_id AS settl_id, min(proper_name) AS street, street_id % 2 = 0 AS use_place FROM auth_address GROUP BY street_id HAVING count(DISTINCT proper_name) = 1", "auth_address"))
-add("fill_settlements", lambda s, d: (lambda w: SE.fill_settlements(w.map_entity.select(F.col("osm_id").alias("addr_id"), "x", "y"), muni_polygons(w), 1000.0, 4000.0).select("addr_id", "polygon_id", F.round("distance", 4).alias("distance")))(World(s, d)), None)
-add("ways_in_munis", lambda s, d: (lambda w: lines_in_polygons(w.way_line.select(F.col("osm_id").alias("line_id"), "lines"), muni_polygons(w), 1000.0, 100.0))(World(s, d)), None)
+add("fill_settlements", lambda s, d: (lambda w: SE.fill_settlements(w.map_entity.select(F.col("osm_id").alias("addr_id"), "x", "y"), muni_polygons(w), 1000.0, 4000.0).select("addr_id", "polygon_id", F.round("distance", 4).alias("distance")))(World(s, d)),
+    q(_dst("""SELECT e.osm_id AS addr_id, coalesce(i.pid, arg_min(m.muni_id, (m.d, m.muni_id))) AS polygon_id, CASE WHEN i.pid IS NOT NULL THEN 0.0 ELSE round(min(m.d), 4) END AS distance
+      FROM map_entity e LEFT JOIN (SELECT osm_id, min(poly_id) AS pid FROM in_muni GROUP BY 1) i ON i.osm_id = e.osm_id
+      LEFT JOIN (SELECT a.osm_id, g.muni_id, DST(a.x, a.y, g.x1, g.y1, g.x2, g.y2) AS d FROM map_entity a JOIN muni_edge g ON abs(a.x - g.x1) < 6000 AND abs(a.y - g.y1) < 6000) m ON m.osm_id = e.osm_id AND m.d <= 4000
+      GROUP BY e.osm_id, i.pid"""), "map_entity", "in_muni", "muni_edge"))
+WAYS = {**STEPS, "seg_edge": (["way_segment", "muni_edge"], """SELECT w.osm_id, m.muni_id, w.x1, w.y1, w.x2, w.y2, m.x1 AS u1, m.y1 AS v1, m.x2 AS u2, m.y2 AS v2 FROM way_segment w JOIN muni_edge m
+        ON least(w.x1, w.x2) - 100 <= greatest(m.x1, m.x2) AND least(m.x1, m.x2) <= greatest(w.x1, w.x2) + 100 AND least(w.y1, w.y2) - 100 <= greatest(m.y1, m.y2) AND least(m.y1, m.y2) <= greatest(w.y1, w.y2) + 100"""),
+        "vert_in": (["way_vertex", "muni_edge"], f"""SELECT osm_id, muni_id FROM (SELECT v.osm_id, v.pos, v.x AS px, v.y AS py, m.muni_id, m.x1, m.y1, m.x2, m.y2 FROM way_vertex v
+          JOIN (SELECT *, min(x1) OVER w AS bx0, max(x1) OVER w AS bx1, min(y1) OVER w AS by0, max(y1) OVER w AS by1 FROM muni_edge WINDOW w AS (PARTITION BY muni_id)) m ON v.x BETWEEN bx0 AND bx1 AND v.y BETWEEN by0 AND by1)
+          GROUP BY osm_id, pos, px, py, muni_id HAVING {inside_sql('px', 'py')}""")}
+add("ways_in_munis", lambda s, d: (lambda w: lines_in_polygons(w.way_line.select(F.col("osm_id").alias("line_id"), "lines"), muni_polygons(w), 1000.0, 100.0))(World(s, d)),
+    duck(_dst("""SELECT DISTINCT osm_id AS line_id, muni_id AS polygon_id FROM seg_edge WHERE DST(x1, y1, u1, v1, u2, v2) <= 100 OR DST(x2, y2, u1, v1, u2, v2) <= 100 OR DST(u1, v1, x1, y1, x2, y2) <= 100 OR DST(u2, v2, x1, y1, x2, y2) <= 100
+      OR (sign((x2 - x1) * (v1 - y1) - (y2 - y1) * (u1 - x1)) * sign((x2 - x1) * (v2 - y1) - (y2 - y1) * (u2 - x1)) < 0 AND sign((u2 - u1) * (y1 - v1) - (v2 - v1) * (x1 - u1)) * sign((u2 - u1) * (y2 - v1) - (v2 - v1) * (x2 - u1)) < 0)
+      UNION SELECT osm_id, muni_id FROM vert_in"""), "seg_edge", "vert_in", extra=WAYS))
 add("duplicate_numbers", lambda s, d: R.with_group_counts(World(s, d).map_entity.select("osm_id", "muni_id", "street", "house_no"), ["muni_id", "street", "house_no"], copies=F.lit(True)).select("osm_id", "copies"),
     q("""SELECT osm_id, CASE WHEN street IS NULL OR house_no IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY muni_id, street, house_no) END AS copies FROM map_entity""", "map_entity"))
 add("address_batches", lambda s, d: R.batch_numbers(auth(World(s, d)), ["muni_id"], ["street", "house_no", "addr_id"], 4).select("addr_id", "batch_no"),

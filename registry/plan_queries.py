@@ -16,7 +16,7 @@ from addrweave.sources import register as RG
 from registry.address_queries import auth, matched
 from registry.building_queries import STEPS as BUILDING
 from registry.building_queries import flagged, q2
-from registry.sql import CYR2LAT, INTNAME, NORM, NORM_LATIN
+from registry.sql import CYR2LAT, INTNAME, NORM_LATIN, _dst
 from registry.street_queries import STEPS as STREET
 from registry.street_queries import found, q7, summary
 from registry.text_queries import named_streets
@@ -138,7 +138,7 @@ add("diff_streets", lambda s, d: (lambda w: D.diff_streets(w.street_line.withCol
         UNION ALL
         SELECT v.street_code, v.street_id, v.pos, min(DST) FROM (SELECT * REPLACE (y + CASE WHEN pos = 3 AND street_id % 4 = 0 THEN 30 ELSE 0 END AS y) FROM street_vertex) v JOIN street_segment s ON s.street_id = v.street_id GROUP BY ALL)
       GROUP BY ALL HAVING street_id % 5 = 0 OR round_even(max(d), 0) > 0""".replace("DST", "_DST_"), "street_segment").replace(
-        "_DST_", __import__("registry.street_queries", fromlist=["x"])._dst("DST(v.x, v.y, s.x1, s.y1, s.x2, s.y2)")))
+        "_DST_", _dst("DST(v.x, v.y, s.x1, s.y1, s.x2, s.y2)")))
 
 
 # --- housing

@@ -52,3 +52,18 @@ def number_similarity_sql(a: str, b: str) -> str:
         return f"regexp_replace({c}, '[0-9]', '', 'g')"
     return (f"CASE WHEN {b} IS NULL THEN 0.0 ELSE 0.9 * greatest(0.0, (5.0 - abs({digits(a)} - {digits(b)})) / 5.0) "
             f"+ 0.1 * CASE WHEN {letters(a)} = {letters(b)} THEN 1.0 ELSE 0.0 END END")
+
+
+def _dst(body: str) -> str:
+    """Point to segment distance, for the text DST(px, py, x1, y1, x2, y2)."""
+    while "DST(" in body:
+        i = body.index("DST(")
+        j, depth = i + 4, 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(body[j], 0)
+            j += 1
+        px, py, x1, y1, x2, y2 = [p.strip() for p in body[i + 4:j - 1].split(",")]
+        t = (f"greatest(0.0, least(1.0, cast(({px}-{x1})*({x2}-{x1})+({py}-{y1})*({y2}-{y1}) AS double) / cast(({x2}-{x1})*({x2}-{x1})+({y2}-{y1})*({y2}-{y1}) AS double)))")
+        sx, sy = f"({px}-({x1}+{t}*({x2}-{x1})))", f"({py}-({y1}+{t}*({y2}-{y1})))"
+        body = body[:i] + f"sqrt({sx}*{sx}+{sy}*{sy})" + body[j:]
+    return body

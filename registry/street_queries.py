@@ -10,7 +10,7 @@ from addrweave.operators.lines import covered_by_partners, covered_length, hausd
 from addrweave.plans import streets as ST
 from addrweave.functions import geometry as G
 from addrweave.functions import names as N
-from registry.sql import NORM
+from registry.sql import NORM, _dst
 from registry.text_queries import NAMED, named_streets
 from registry.world import World, duck
 
@@ -98,21 +98,6 @@ STEPS = {
 }
 
 
-def _dst(body: str) -> str:
-    """Point to segment distance, for the text DST(px, py, x1, y1, x2, y2)."""
-    while "DST(" in body:
-        i = body.index("DST(")
-        j, depth = i + 4, 1
-        while depth:
-            depth += {"(": 1, ")": -1}.get(body[j], 0)
-            j += 1
-        px, py, x1, y1, x2, y2 = [p.strip() for p in body[i + 4:j - 1].split(",")]
-        t = (f"greatest(0.0, least(1.0, cast(({px}-{x1})*({x2}-{x1})+({py}-{y1})*({y2}-{y1}) AS double) / cast(({x2}-{x1})*({x2}-{x1})+({y2}-{y1})*({y2}-{y1}) AS double)))")
-        sx, sy = f"({px}-({x1}+{t}*({x2}-{x1})))", f"({py}-({y1}+{t}*({y2}-{y1})))"
-        body = body[:i] + f"sqrt({sx}*{sx}+{sy}*{sy})" + body[j:]
-    return body
-
-
 STEPS = {k: (n, _dst(b)) for k, (n, b) in STEPS.items()}
 
 

@@ -8,7 +8,7 @@ from addrweave.functions import names as N
 from addrweave.functions import similarity as S
 from addrweave.functions import text as T
 from registry.sql import CYR2LAT, INTNAME, NORM, NORM_LATIN, lcs_sql, number_similarity_sql
-from registry.world import World, duck
+from registry.world import World, _duck_pool, duck
 
 QUERIES, ORACLES = {}, {}
 
@@ -58,9 +58,13 @@ add("hamlet_streets",
     lambda s, d: World(s, d).street.select("street_id", T.is_hamlet("street_code").alias("is_hamlet"), T.strip_id("street_code", "^0+").alias("bare_code")),
     duck("SELECT street_id, substr(street_code, 7, 1) = '2' AS is_hamlet, regexp_replace(street_code, '^0+', '') AS bare_code FROM street", "street"))
 
+# The pool names as best-effort decapitalising gives them.
+GUESSES = ["Петра Драпшина", "Двадесет Друге дивизије", "Његошева", "Ђуре Јакшића", "Првог маја", "Др Десе Милосављевић", "Пут за Љиг", "Краља Петра Првог", "Шеста", "15. октобра",
+           "Џорџа Вашингтона", "Липова"]
 add("serbian_order_key",
     lambda s, d: World(s, d).street.select("street_id", T.serbian_sort_key("street_name").alias("sort_key"), T.decapitalize("street_name").alias("guess")),
-    None)
+    duck("SELECT street_id, translate(upper(street_name), 'АБВГДЂЕЖЗИЈКЛЉМНЊОПРСТЋУФХЦЧЏШ', '" + "".join(chr(0xE000 + i) for i in range(30)) + "') AS sort_key, "
+         + _duck_pool(GUESSES, "street_id") + " || coalesce(' ' || nullif(regexp_extract(street_name, ' ([0-9]+)$', 1), ''), '') AS guess FROM street", "street"))
 
 add("name_similarity_pairs",
     lambda s, d: (lambda w: w.map_entity.join(w.auth_address.select(F.col("addr_key").alias("k"), F.col("proper_name"), F.col("house_no").alias("a_no")),
