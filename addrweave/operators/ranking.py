@@ -72,4 +72,4 @@ def group_order(df: DataFrame, keys: list[str], value: str, order: Column, name:
     ranked = row_numbers(distinct, keys, [order, value], "_no")
     widths = distinct.groupBy(*keys).agg(F.length(F.count("*").cast("string")).alias("_w"))
     ranked = ranked.join(widths, keys).select(*keys, value, F.lpad(F.col("_no").cast("string"), F.col("_w"), "0").alias(name))
-    return skew_join(df, ranked, [*keys, value], "left")
+    return df.join(ranked, [*keys, value], "left")  # ranked is unique; df may be costly to derive, so it is not counted first

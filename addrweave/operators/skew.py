@@ -2,7 +2,8 @@
 
 Keys that hold more rows than one task should see are found by a pre-aggregated count. Only then are both sides of such a
 key cut into blocks: a row stays in one block of its own side and is repeated over the blocks of the other side, so every
-pair meets exactly once and no row is dropped.
+pair meets exactly once and no row is dropped. The count reads the inputs once more, so this is for stored or cheaply derived tables; joins of
+costly results to a unique side are plain joins, whose uneven partitions adaptive execution splits.
 """
 
 from __future__ import annotations

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from addrweave.functions import text as T
 from addrweave.operators.cells import points_in_polygons
-from addrweave.operators.skew import skew_join
 from addrweave.options import DEFAULTS, Options
 
 # Resolution codes.
@@ -95,7 +94,7 @@ def addresses_in_buildings(nodes: DataFrame, buildings: DataFrame, options: Opti
     """
     pairs = nodes_in_buildings(nodes, buildings, options=options)
     codes = resolution(building_facts(pairs)).where(F.col("resolution") != NO_ACTION).select("building_id", "resolution", "pois", "simple")
-    return skew_join(pairs, codes, ["building_id"], "inner", options.rows_per_task)
+    return pairs.join(codes, "building_id")  # one code per building; adaptive execution splits a crowded one
 
 
 def resolution_breakdown(q2: DataFrame) -> DataFrame:

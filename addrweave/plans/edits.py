@@ -81,7 +81,7 @@ def move_into_buildings(q2: DataFrame, node_tags: DataFrame, building_tags: Data
     d = q2.where((F.col("resolution") == merge_code) & F.col("building_id").startswith("w"))
     b = batch_numbers(d.select("muni_id", "building_id").groupBy("building_id").agg(F.min("muni_id").alias("muni_id")), ["muni_id"], ["building_id"], per_file, "_b")
     b = b.select("building_id", F.concat(F.col("muni_id").cast("string"), F.lit("-address_to_building-"), F.col("_b").cast("string")).alias("batch_id"))
-    nodes = skew_join(d.select("building_id", "osm_id"), node_tags, ["osm_id"], "inner")
+    nodes = d.select("building_id", "osm_id").join(node_tags, "osm_id")
     merged = merged_tags(nodes, "building_id")
     own = building_tags.select(F.col("osm_id").alias("building_id"), F.explode("tags").alias("tag", "old_value"))
     j = merged.join(own, ["building_id", "tag"], "left").join(b, "building_id")
@@ -90,7 +90,7 @@ def move_into_buildings(q2: DataFrame, node_tags: DataFrame, building_tags: Data
     new = F.when(F.col("old_value").isNull(), F.col("value")).when(stays, F.col("old_value")).otherwise(F.array_join(F.concat(F.array("old_value"), fresh), ";"))
     changed = j.withColumn("new_value", new).where(~F.col("old_value").eqNullSafe(F.col("new_value"))).select(
         F.col("building_id").alias("entity_id"), F.lit("modify").alias("action"), "tag", "old_value", "new_value", "batch_id", F.lit("move address to building").alias("reason"))
-    gone = skew_join(d.select("building_id", "osm_id").distinct(), b, ["building_id"], "inner").select(
+    gone = d.select("building_id", "osm_id").distinct().join(b, "building_id").select(
         F.col("osm_id").alias("entity_id"), F.lit("delete").alias("action"), F.expr(NO_TEXT).alias("tag"), F.expr(NO_TEXT).alias("old_value"),
         F.expr(NO_TEXT).alias("new_value"), "batch_id", F.lit("move address to building").alias("reason"))
     return changed.unionByName(gone)
@@ -105,7 +105,7 @@ def attach_street_refs(found: DataFrame, streets: DataFrame, ways: DataFrame, pe
     named = box.join(streets.select("street_id", "street_code", "settl_id", "street_name"), "street_id")
     batched = batch_numbers(named, ["settl_id"], ["street_name", "street_id"], per_file, "_b").withColumn(
         "batch", F.concat(F.col("settl_id").cast("string"), F.lit("-streets-"), F.col("_b").cast("string")))
-    d = skew_join(hit, batched, ["street_id"], "inner")
+    d = hit.join(batched, "street_id")
     return tag_rows(d, "osm_id", "attach street id", [(DEFAULTS.street_ref, F.expr(NO_TEXT), F.col("street_code"))], batch="batch", keep=["xmin", "ymin", "xmax", "ymax"])
 
 
@@ -115,7 +115,7 @@ def reref_or_remove(removed: DataFrame, moved: DataFrame, osm: DataFrame, on_dat
     ``removed``: ``addr_id``; ``moved``: ``old_id, new_id``; ``osm``: ``osm_id, house_ref, removed_ref, note``.
     """
     d = skew_join(osm.where(F.col("house_ref").isNotNull()), removed.select(F.col("addr_id").alias("house_ref")), ["house_ref"], "inner")
-    d = skew_join(d, moved.select(F.col("old_id").alias("house_ref"), "new_id"), ["house_ref"], "left")
+    d = d.join(moved.select(F.col("old_id").alias("house_ref"), "new_id"), "house_ref", "left")
     text = f"Izbrisano iz {options.authority}-a {on_date}"
     again = d.where(F.col("new_id").isNotNull() & (F.col("house_ref") != F.col("new_id")))
     gone = d.where(F.col("new_id").isNull() & F.col("removed_ref").isNull())
@@ -145,7 +145,7 @@ def rewrite_streets(import_problems: DataFrame, decisions: DataFrame) -> DataFra
     """Street rewritten where the pair (map name, register name) is accepted. ``decisions``: ``street, a_street, accepted``."""
     d = import_problems.where(F.col("known") & ~F.col("street_perfect"))
     ok = decisions.where("accepted").select("street", "a_street").distinct()
-    return tag_rows(skew_join(d, ok, ["street", "a_street"], "inner"), "osm_id", "street rewritten", [("addr:street", F.col("street"), F.col("a_street"))])
+    return tag_rows(d.join(ok, ["street", "a_street"]), "osm_id", "street rewritten", [("addr:street", F.col("street"), F.col("a_street"))])
 
 
 def removed_streets(removed: DataFrame, ways: DataFrame, options: Options = DEFAULTS) -> DataFrame:
@@ -176,7 +176,7 @@ def renamed_streets(changed: DataFrame, ways: DataFrame, keep_old: bool = True)
 def auto_street_refs(found: DataFrame, summary: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """Ways with a matching name or spelling get the street code; no hamlets, no unnamed ways."""
     hit = found.where((F.col("name_match") | F.col("norm_match")) & F.col("name").isNotNull() & is_kind("osm_id", "w"))
-    d = skew_join(hit, summary.where(~F.col("is_hamlet")).select("street_id", "street_code"), ["street_id"], "inner")
+    d = hit.join(summary.where(~F.col("is_hamlet")).select("street_id", "street_code"), "street_id")
     return tag_rows(d, "osm_id", "auto street id", [(options.street_ref, F.expr(NO_TEXT), F.col("street_code"))])
 
 
@@ -204,7 +204,7 @@ def fix_int_names(q7: DataFrame) -> DataFrame:
 
 def fix_alt_names(q8: DataFrame, replacements: DataFrame) -> DataFrame:
     """Missing alternative names set to the suggestion; partial ones only where the table gives the full form. ``replacements``: ``alt_suggestion, full_name``."""
-    d = skew_join(q8.where(F.col("alt_missing") & is_kind("osm_id", "w")).dropDuplicates(["osm_id"]), replacements, ["alt_suggestion"], "left")
+    d = q8.where(F.col("alt_missing") & is_kind("osm_id", "w")).dropDuplicates(["osm_id"]).join(replacements, "alt_suggestion", "left")
     new = F.when(F.col("alt_partial"), F.col("full_name")).otherwise(F.col("alt_suggestion"))
     return tag_rows(d.withColumn("_new", new).where("_new IS NOT NULL"), "osm_id", "alt_name", [("alt_name", F.col("alt_name"), F.col("_new"))])
 
@@ -214,7 +214,7 @@ def unnamed_ways(found: DataFrame, ways: DataFrame, summary: DataFrame, munis: D
     w = ways.where(F.col("bridge").isNull() & F.col("name").isNull() & F.col("street_ref").isNull()).select("osm_id")
     d = found.where((F.col("share") >= 0.9) & (F.col("way_length") >= 20) & is_kind("osm_id", "w")).join(w, "osm_id", "left_semi")
     s = summary.where(~F.col("is_hamlet") & F.col("proper_name").isNotNull()).select("street_id", "street_code", "proper_name")
-    d = skew_join(skew_join(d, s, ["street_id"], "inner"), munis.select("muni_id", "district"), ["muni_id"], "inner")
+    d = d.join(s, "street_id").join(munis.select("muni_id", "district"), "muni_id")
     none, p = F.expr(NO_TEXT), F.col("proper_name")
     return tag_rows(d, "osm_id", "unnamed way", [(options.street_ref, none, F.col("street_code")), ("name", none, p), ("name:sr", none, p),
                                                  ("name:sr-Latn", none, T.cyr2lat_small(p)), ("int_name", none, T.cyr2intname(p))], batch="district")

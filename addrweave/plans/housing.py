@@ -60,7 +60,7 @@ def housing_status(addresses: DataFrame, osm: DataFrame, resolutions: DataFrame)
     carriers = osm.where(F.col("house_ref").isNotNull()).select(F.col("house_ref").alias("addr_id"), "osm_id")
     wanted = addresses.where("addr_id IS NOT NULL").select("addr_id")
     e = skew_join(carriers, wanted, ["addr_id"], "inner")
-    coded = skew_join(e, resolutions, ["osm_id"], "left")
+    coded = e.join(resolutions, "osm_id", "left")
     counts = coded.groupBy("addr_id").agg(F.count("*").alias("entities"))
     best = keep_first(coded, ["addr_id"], [F.desc("code"), F.asc("osm_id")]).select("addr_id", F.col("code").alias("resolution"), F.col("closest").alias("closest_building"))
     return addresses.join(counts, "addr_id", "left").join(best, "addr_id", "left").withColumns(
