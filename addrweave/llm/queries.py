@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["near_duplicate_queries", "toxicity_queries", "decontamination_queries"]
+MODULES = ["near_duplicate_queries", "toxicity_queries", "decontamination_queries", "secrets_queries"]
 
 
 def load() -> tuple[dict, dict]:
