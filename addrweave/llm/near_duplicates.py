@@ -184,3 +184,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = components(links.union(more).union(twice))
     out = info.join(labels, info.doc_id == labels.node, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group (the smallest id); null ids and wordless texts stay."""
+    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["near_duplicate_queries", "toxicity_queries", "decontamination_queries", "secrets_queries"]
+import corpus_pipeline
+
+MODULES = ["near_duplicate_queries", "toxicity_queries", "decontamination_queries", "secrets_queries", "packing_queries"]
 
 
 def load() -> tuple[dict, dict]:
-    queries, oracles = {}, {}
+    queries, oracles = {"pipeline": corpus_pipeline.run}, {}
     for name in MODULES:
         m = importlib.import_module(f"addrweave.llm.{name}")
         queries |= m.QUERIES
