@@ -5,8 +5,8 @@ continuation counts are shared by both classes, so that expressions rare in eith
 the length-normalised difference of its two log-likelihoods. Where neither class has seen a whole n-gram, the shared part cancels and the difference
 is that of the two backoff weights; so scoring needs two look-ups a byte of each distinct word.
 
-The n-gram counts of a sample (``SAMPLE_BYTES`` of labelled text per class, by a hash of ``doc_id``; all rows where there are fewer)
-are summed by Spark and the model, no larger than the sample, is broadcast. Labelled rows of crc32 remainder 0 and 3 give the counts, those
+The n-gram counts of a sample (about ``SAMPLE_ROWS`` labelled rows per class and use, by a hash of ``doc_id``; all where there are fewer)
+are summed by Spark and the model, no larger than the sample, is broadcast. The sample's ids, bounded alike, are broadcast to pick its texts. Labelled rows of crc32 remainder 0 and 3 give the counts, those
 of remainder 1 the calibration, those of remainder 2 nothing.
 """
 
@@ -25,7 +25,7 @@ from addrweave.llm.words import LOWER, blocks, split
 
 ORDER = 5
 DISCOUNT = 0.75
-SAMPLE_BYTES = 24 << 20
+SAMPLE_ROWS = 10_000
 CUT = 0.3
 STEADY, POWER = 30, 0.7  #: a difference is divided by (words + STEADY) ** POWER: short texts weigh less, long ones with few such words more
 _GAP = b" " * (ORDER - 1)
@@ -167,13 +167,12 @@ def _crc(column: str):
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("fold", F.pmod(_crc("doc_id"), F.lit(4))).where("fold != 2")
-    rows = texts(docs).join(marked, "doc_id")
-    sizes = {(r.toxic, r.calibration): r.bytes for r in rows.groupBy("toxic", (F.col("fold") == 1).alias("calibration")).agg(F.sum(F.octet_length("text")).alias("bytes")).collect()}
+    marked = marked.withColumn("calibration", F.col("fold") == 1)
     share = F.lit(1.0)
-    for (toxic, calibration), size in sizes.items():
-        share = F.when((F.col("toxic") == toxic) & ((F.col("fold") == 1) == F.lit(calibration)), F.lit(min(1.0, SAMPLE_BYTES / max(size or 0, 1)))).otherwise(share)
-    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
-    counted = rows.where("fold != 1").select("text", "toxic").mapInArrow(_count, "toxic int, gram long, n long").groupBy("gram").agg(
+    for r in marked.groupBy("toxic", "calibration").count().collect():
+        share = F.when((F.col("toxic") == r.toxic) & (F.col("calibration") == r.calibration), F.lit(min(1.0, SAMPLE_ROWS / r["count"]))).otherwise(share)
+    rows = texts(docs).join(F.broadcast(marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)).select("doc_id", "toxic", "calibration")), "doc_id")
+    counted = rows.where("not calibration").select("text", "toxic").mapInArrow(_count, "toxic int, gram long, n long").groupBy("gram").agg(
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("ordinary"), F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"))
     table = counted.toArrow()
     gram = np.asarray(table.column("gram").combine_chunks() if table.num_rows else [], np.int64).astype(np.uint64)
@@ -185,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             for lo, hi, buf, offsets in blocks(batch):
                 yield pa.RecordBatch.from_arrays([batch.column("toxic").slice(lo, hi - lo), pa.array(model.differences(buf, offsets))], ["toxic", "difference"])
 
-    held = rows.where("fold = 1").select("text", "toxic").mapInArrow(measure, "toxic int, difference double").toPandas()
+    held = rows.where("calibration").select("text", "toxic").mapInArrow(measure, "toxic int, difference double").toPandas()
     return calibrate(model, held.difference.to_numpy(), held.toxic.to_numpy())
 
 
