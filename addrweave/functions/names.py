@@ -2,38 +2,77 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrweave.functions import similarity as S
 from addrweave.functions import text as T
 
-# Ordinal stems with number and Roman numeral; the endings each stem takes, in rule order.
-UNIT_STEMS = [("прв", 1, "I"), ("друг", 2, "II"), ("трећ", 3, "III"), ("четврт", 4, "IV"), ("пет", 5, "V"), ("шест", 6, "VI"),
-              ("седм", 7, "VII"), ("осм", 8, "VIII"), ("девет", 9, "IX"), ("десет", 10, "X")]
-TEEN_STEMS = [("једанаест", 11, "XI"), ("дванаест", 12, "XII"), ("тринаест", 13, "XIII"), ("петнаест", 15, "XV"), ("шеснаест", 16, "XVI"),
-              ("седамнаест", 17, "XVII"), ("осамнаест", 18, "XVIII"), ("деветнаест", 19, "XIX")]
-UNIT_ENDINGS = ["и", "а", "е", "о"]
-COMPOUND_ENDINGS = ["а", "е", "и", "ог"]
+# Ordinal words of each number with its Roman numeral, in rule order (longer numbers first).
+ORDINALS = """
+21 XXI: двадесет прва, двадесет прве, двадесет први, двадесет првог
+22 XXII: двадесет друга, двадесет друге, двадесет други, двадесет другог
+23 XXIII: двадесет трећа, двадесет треће, двадесет трећи, двадесет трећег
+24 XXIV: двадесет четврта, двадесет четврте, двадесет четврти, двадесет четвртог
+25 XXV: двадесет пета, двадесет пете, двадесет пети, двадесет петог
+26 XXVI: двадесет шеста, двадесет шесте, двадесет шести, двадесет шестог
+27 XXVII: двадесет седма, двадесет седме, двадесет седми, двадесет седмог
+28 XXVIII: двадесет осма, двадесет осме, двадесет осми, двадесет осмог
+29 XXIX: двадесет девета
+11 XI: једанаести, једанаеста, једанаесте, једанаесто
+12 XII: дванаести, дванаеста, дванаесте, дванаесто
+13 XIII: тринаести, тринаеста, тринаесте, тринаесто
+15 XV: петнаести, петнаеста, петнаесте, петнаесто
+16 XVI: шеснаести, шеснаеста, шеснаесте, шеснаесто
+17 XVII: седамнаести, седамнаеста, седамнаесте, седамнаесто
+18 XVIII: осамнаести, осамнаеста, осамнаесте, осамнаесто
+19 XIX: деветнаести, деветнаеста, деветнаесте, деветнаесто
+1 I: први, прва, прве, прво
+2 II: други, друга, друге, друго
+3 III: трећи, трећа, треће
+4 IV: четврти, четврта, четврте, четврто
+5 V: пети, пета, пете, пето
+6 VI: шести, шеста, шесте, шесто
+7 VII: седми, седма, седме, седмо
+8 VIII: осми, осма, осме, осмо
+9 IX: девети, девета, девете, девето
+10 X: десети, десета, десете, десето
+"""
+# Genitives of ordinals in rulers' titles.
+TITLES = """
+1 I: првог, првога
+2 II: другог, другога
+3 III: трећег, трећега
+4 IV: четвртог, четвртога
+5 V: петог, петога
+6 VI: шестог, шестога
+7 VII: седмог, седмога
+8 VIII: осмог, осмога
+9 IX: деветог, деветога
+10 X: десетог, десетога
+"""
 # Cardinal words, and tens that make a following unit part of a larger number.
 CARDINALS = ["један", "два", "три", "четири", "пет", "шест", "седам", "осам", "девет", "десет"]
 TENS = ["двадесет", "тридесет", "четрдесет", "педесет", "шестдесет", "седамдесет", "осамдесет", "деведесет"]
 DOCTOR, DOCTOR_SHORT, PRINCESS, PRINCESS_FIXED = "доктора", "др", "књегиње", "Кнегиње"
 
 
+def _rules(table: str) -> list[tuple[str, int, str]]:
+    """(word, number, Roman numeral) of a table's lines, in their order."""
+    out = []
+    for number, roman, words in re.findall(r"(\d+) (\w+): (.+)", table):
+        out += [(word, int(number), roman) for word in words.split(", ")]
+    return out
+
+
 def _ordinals() -> list[tuple[str, int, str]]:
-    rules = []
-    for stem, n, roman in UNIT_STEMS[:8]:
-        for e in COMPOUND_ENDINGS:
-            rules.append((f"двадесет {stem}{'ег' if (stem, e) == ('трећ', 'ог') else e}", 20 + n, "XX" + roman))
-    rules.append(("двадесет девета", 29, "XXIX"))
-    rules += [(stem + e, n, roman) for stem, n, roman in TEEN_STEMS for e in UNIT_ENDINGS]
-    rules += [(stem + e, n, roman) for stem, n, roman in UNIT_STEMS for e in UNIT_ENDINGS if (stem, e) != ("трећ", "о")]
-    return rules
+    return _rules(ORDINALS)
 
 
 def _titles() -> list[tuple[str, int, str]]:
-    return [(stem + ("ег" if stem == "трећ" else "ог") + tail, n, roman) for stem, n, roman in UNIT_STEMS for tail in ("", "а")]
+    return _rules(TITLES)
 
 
 def _latin(word: str) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from addrweave.functions import geometry as G
 from addrweave.operators.skew import ROWS_PER_TASK, by_keys, split_hot
+from addrweave.session import stable
 
 
 def cell_of(c: Column | str, size: float) -> Column:
@@ -135,14 +136,16 @@ def lines_in_polygons(lines: DataFrame, polygons: DataFrame, size: float, grow:
     return inside.unionByName(touching).distinct()
 
 
-def nearest_polygon(points: DataFrame, polygons: DataFrame, start: float, reach: float, xy: tuple[str, str] = ("x", "y")) -> DataFrame:
-    """Nearest polygon of each point (ties: smaller id) by search radii that grow fourfold from ``start`` until ``reach``.
+def nearest_polygon(points: DataFrame, polygons: DataFrame, start: float, reach: float | None = None, xy: tuple[str, str] = ("x", "y")) -> DataFrame:
+    """Nearest polygon of each point (ties: smaller id) by search radii that grow fourfold from ``start`` until no point is open.
 
-    Each round joins only the points still open, through cells as wide as its radius. Points with nothing within ``reach`` get null.
+    Each round joins only the points still open, through cells as wide as its radius, and is written once. With ``reach`` the search
+    ends there and farther points get null; without it the last radius spans all points and edges.
     """
     px, py = F.col(xy[0]).cast("double"), F.col(xy[1]).cast("double")
     edges = explode_segments(polygons.select("polygon_id", "rings"), "rings", ("u1", "v1", "u2", "v2"), "edge")
     open_points, found, radius = points, None, float(start)
+    last = reach if reach is not None else _span(points, edges, xy)
     while True:
         pts = open_points.withColumns({"x1": px, "y1": py, "x2": px, "y2": py})
         d = G.point_segment_distance(px, py, F.col("u1"), F.col("v1"), F.col("u2"), F.col("v2"))
@@ -150,15 +153,23 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, start: float, reach:
                 .withColumn("distance", d).where(F.col("distance") <= radius)
                 .groupBy("point_id").agg(F.min(F.struct("distance", "polygon_id")).alias("n"))
                 .select("point_id", F.col("n.polygon_id").alias("polygon_id"), F.col("n.distance").alias("distance")))
+        hits = stable(hits)
         found = hits if found is None else found.unionByName(hits)
-        if radius >= reach:
-            break
         open_points = open_points.join(hits.select("point_id"), "point_id", "left_anti")
+        if radius >= last or open_points.isEmpty():
+            break
         radius *= 4
     return points.join(found, "point_id", "left")
 
 
-def within_or_nearest(points: DataFrame, polygons: DataFrame, size: float, reach: float, xy: tuple[str, str] = ("x", "y")) -> DataFrame:
+def _span(points: DataFrame, edges: DataFrame, xy: tuple[str, str]) -> float:
+    """Width and height of all points and edges together: no distance is longer."""
+    ends = points.select(F.col(xy[0]).cast("double").alias("x"), F.col(xy[1]).cast("double").alias("y")).union(edges.select("u1", "v1")).union(edges.select("u2", "v2"))
+    b = ends.agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
+    return (b[0] or 0.0) + (b[1] or 0.0)
+
+
+def within_or_nearest(points: DataFrame, polygons: DataFrame, size: float, reach: float | None = None, xy: tuple[str, str] = ("x", "y")) -> DataFrame:
     """The polygon a point lies in (smaller id on a shared border), else the nearest one; ``distance`` is 0 inside."""
     inside = (points_in_polygons(points, polygons.select("polygon_id", "rings"), size, True, 0.0, None, xy)
               .groupBy("point_id").agg(F.min("polygon_id").alias("polygon_id")))

@@ -54,12 +54,9 @@ def merged_tags(tagged: DataFrame, key: str) -> DataFrame:
 
 
 def distinct_values(df: DataFrame, keys: list[str], *cols: str) -> DataFrame:
-    """Number, smallest and largest distinct value per key; a set of any size stays out of memory."""
-    per = None
-    for c in cols:
-        d = df.select(*keys, c).distinct().groupBy(*keys).agg(F.count(c).alias(f"{c}_count"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))
-        per = d if per is None else per.join(d, keys)
-    return per
+    """Every distinct value per key, one row each (``attribute``, ``value``); nulls are left out. A set of any size stays rows."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("attribute"), F.col(c).cast("string").alias("value")) for c in cols]))
+    return df.select(*keys, pairs.alias("p")).select(*keys, "p.attribute", "p.value").where("value IS NOT NULL").distinct()
 
 
 def first_value(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:

@@ -10,7 +10,7 @@ from addrweave.operators.ranking import keep_top
 from addrweave.operators.skew import skew_join
 from addrweave.options import DEFAULTS, Options
 
-SHOWN_REFS = 5
+SHOWN_REFS = 5  #: references that the listing shows; a display rule only
 
 
 def _named_ways(ways: DataFrame) -> DataFrame:
@@ -18,22 +18,23 @@ def _named_ways(ways: DataFrame) -> DataFrame:
 
 
 def ref_names(ways: DataFrame) -> DataFrame:
-    """M1: distinct names per street reference with the number of ways and the first way ids."""
-    w = _named_ways(ways).where(F.col("street_ref").isNotNull()).select("street_ref", "name", "osm_id")
-    return _with_first_refs(w, ["street_ref", "name"])
+    """M1: distinct names per street reference with the number of ways; the ways themselves are ``ref_name_ways``."""
+    return ref_name_ways(ways).groupBy("street_ref", "name").agg(F.count("*").alias("way_count"))
+
+
+def ref_name_ways(ways: DataFrame) -> DataFrame:
+    """Every named way with a street reference: ``street_ref, name, osm_id``."""
+    return _named_ways(ways).where(F.col("street_ref").isNotNull()).select("street_ref", "name", "osm_id")
 
 
 def latin_names(ways: DataFrame) -> DataFrame:
-    """M2: distinct Cyrillic names per Latin comparison form."""
-    w = _named_ways(ways).where(T.is_cyrillic("name")).select(T.norm_latin("name").alias("name_key"), "name", "osm_id")
-    return _with_first_refs(w, ["name_key", "name"])
+    """M2: distinct Cyrillic names per Latin comparison form with the number of ways; the ways themselves are ``latin_name_ways``."""
+    return latin_name_ways(ways).groupBy("name_key", "name").agg(F.count("*").alias("way_count"))
 
 
-def _with_first_refs(w: DataFrame, keys: list[str]) -> DataFrame:
-    """Way count per key and its five smallest way ids (T3); the whole id list of a popular name never sits in one row."""
-    counts = w.groupBy(*keys).agg(F.count("*").alias("way_count"))
-    first = keep_top(w, keys, [F.asc("osm_id")], SHOWN_REFS).groupBy(*keys).agg(F.array_sort(F.collect_list("osm_id")).alias("first_refs"))
-    return counts.join(first, keys)
+def latin_name_ways(ways: DataFrame) -> DataFrame:
+    """Every way with a Cyrillic name: ``name_key, name, osm_id``."""
+    return _named_ways(ways).where(T.is_cyrillic("name")).select(T.norm_latin("name").alias("name_key"), "name", "osm_id")
 
 
 def _only_one(names: DataFrame, key: str) -> DataFrame:
@@ -45,17 +46,16 @@ def _only_one(names: DataFrame, key: str) -> DataFrame:
 def resolve_names(streets: DataFrame, curated: DataFrame, ref: DataFrame, latin: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """M3: name and source of distinct ``(street_code, street_name)``: curated, one name by reference, one name by spelling, best effort."""
     s = streets.select("street_code", "street_name", T.squeeze("street_name").alias("rgz_name")).withColumn("name_key", T.norm_latin("rgz_name"))
-    by_ref = _only_one(ref, "street_ref").select(F.col("street_ref").alias("street_code"), F.col("name").alias("ref_name"), F.col("first_refs").alias("ref_refs"), F.col("way_count").alias("ref_ways"))
-    by_latin = _only_one(latin, "name_key").select("name_key", F.col("name").alias("osm_name"), F.col("first_refs").alias("osm_refs"), F.col("way_count").alias("osm_ways"))
+    by_ref = _only_one(ref, "street_ref").select(F.col("street_ref").alias("street_code"), F.col("name").alias("ref_name"), F.col("way_count").alias("ref_ways"))
+    by_latin = _only_one(latin, "name_key").select("name_key", F.col("name").alias("osm_name"), F.col("way_count").alias("osm_ways"))
     cur = curated.select("rgz_name", F.col("name").alias("curated_name"))
     j = skew_join(s, cur, ["rgz_name"], "left").join(by_ref, "street_code", "left")
     j = skew_join(j, by_latin, ["name_key"], "left")
     guess = T.decapitalize("rgz_name") if options.decapitalize else F.col("rgz_name")
     source = F.when(F.col("curated_name").isNotNull(), "curated").when(F.col("ref_name").isNotNull(), options.street_ref).when(F.col("osm_name").isNotNull(), "OSM")
-    refs = F.when(F.col("curated_name").isNotNull(), F.lit(None)).when(F.col("ref_name").isNotNull(), F.col("ref_refs")).otherwise(F.col("osm_refs"))
     ways = F.when(F.col("curated_name").isNotNull(), F.lit(0)).when(F.col("ref_name").isNotNull(), F.col("ref_ways")).otherwise(F.col("osm_ways"))
     return j.select("street_code", F.col("street_name").alias("rgz_name"), F.coalesce("curated_name", "ref_name", "osm_name", guess).alias("name"),
-                    F.coalesce(source, F.lit("BestEffort")).alias("source"), F.coalesce(F.array_join(refs, ","), F.lit("")).alias("refs"), F.coalesce(ways, F.lit(0)).alias("ref_count"))
+                    F.coalesce(source, F.lit("BestEffort")).alias("source"), F.coalesce(ways, F.lit(0)).alias("ref_count"))
 
 
 def build_mapping(streets: DataFrame, curated: DataFrame, ref: DataFrame, latin: DataFrame, options: Options = DEFAULTS) -> DataFrame:
@@ -63,9 +63,17 @@ def build_mapping(streets: DataFrame, curated: DataFrame, ref: DataFrame, latin:
     pairs = streets.select("street_code", "street_name").distinct()  # U4
     resolved = resolve_names(pairs, curated, ref, latin, options)
     rest = resolved.join(curated.select("rgz_name"), "rgz_name", "left_anti")
-    first = rest.groupBy("rgz_name").agg(F.min(F.struct("street_code", "name", "source", "refs", "ref_count")).alias("m"))
-    return curated.select("rgz_name", "name", F.lit("curated").alias("source"), F.lit("").alias("refs"), F.lit(0).cast("long").alias("ref_count")).unionByName(
-        first.select("rgz_name", "m.name", "m.source", "m.refs", "m.ref_count"))
+    first = rest.groupBy("rgz_name").agg(F.min(F.struct("street_code", "name", "source", "ref_count")).alias("m"))
+    return curated.select("rgz_name", "name", F.lit("curated").alias("source"), F.lit(0).cast("long").alias("ref_count"), F.lit(None).cast("string").alias("street_code")).unionByName(
+        first.select("rgz_name", "m.name", "m.source", "m.ref_count", "m.street_code"))
+
+
+def mapping_ways(mapping: DataFrame, ways: DataFrame, options: Options = DEFAULTS) -> DataFrame:
+    """All ways that a mapped name was taken from, one row each: ``rgz_name, osm_id``."""
+    by_ref = mapping.where(F.col("source") == options.street_ref).select("rgz_name", F.col("street_code").alias("street_ref"))
+    by_name = mapping.where("source = 'OSM'").select("rgz_name", T.norm_latin(T.squeeze("rgz_name")).alias("name_key"))
+    return by_ref.join(ref_name_ways(ways), "street_ref").select("rgz_name", "osm_id").unionByName(
+        skew_join(latin_name_ways(ways), by_name, ["name_key"], "inner").select("rgz_name", "osm_id"))
 
 
 def lookup_name(df: DataFrame, mapping: DataFrame, overrides: DataFrame, default: Column, out: str = "proper_name") -> DataFrame:
@@ -104,9 +112,11 @@ def name_list(streets: DataFrame, curated: DataFrame) -> DataFrame:
     return plain.union(curated.join(used, "rgz_name", "left_semi").select("name")).distinct()
 
 
-def mapping_listing(mapping: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Q18: default name, source, references, number of exceptions; outer blanks made visible; in Serbian order."""
+def mapping_listing(mapping: DataFrame, overrides: DataFrame, ways: DataFrame, options: Options = DEFAULTS) -> DataFrame:
+    """Q18: default name, source, first references for display, number of exceptions; outer blanks made visible; in Serbian order."""
     o = overrides.groupBy("rgz_name").agg(F.count("*").alias("exceptions"))
-    return mapping.join(o, "rgz_name", "left").select(
-        T.show_blank("rgz_name").alias("rgz_name"), T.show_blank("name").alias("name"), "source", "refs",
+    shown = keep_top(mapping_ways(mapping, ways, options), ["rgz_name"], [F.asc("osm_id")], SHOWN_REFS)
+    shown = shown.groupBy("rgz_name").agg(F.array_join(F.array_sort(F.collect_list("osm_id")), ",").alias("refs"))
+    return mapping.join(o, "rgz_name", "left").join(shown, "rgz_name", "left").select(
+        T.show_blank("rgz_name").alias("rgz_name"), T.show_blank("name").alias("name"), "source", F.coalesce("refs", F.lit("")).alias("refs"),
         "ref_count", F.coalesce("exceptions", F.lit(0)).alias("exceptions"), T.serbian_sort_key("rgz_name").alias("sort_key"))

@@ -63,7 +63,7 @@ def settlement_borders(auth: DataFrame, munis: DataFrame) -> DataFrame:
     return j.select("muni_id", "settl_id", "addresses", ring.alias("ring"))
 
 
-def fill_settlements(auth: DataFrame, polygons: DataFrame, size: float, reach: float) -> DataFrame:
+def fill_settlements(auth: DataFrame, polygons: DataFrame, size: float, reach: float | None = None) -> DataFrame:
     """Q16: settlement of each address by the polygon it lies in, else the nearest. ``auth`` has ``addr_id, x, y``; ``polygons`` ``polygon_id, rings``."""
     pts = auth.select(F.col("addr_id").alias("point_id"), "x", "y")
     return within_or_nearest(pts, polygons, size, reach).withColumnRenamed("point_id", "addr_id")

@@ -151,8 +151,8 @@ add("building_ratio", lambda s, d: RU.building_ratio(auth(World(s, d)), World(s,
       round(coalesce(least(100.0 * coalesce(b.n, 0) / nullif(coalesce(a.n, 0), 0), 100000.0), 100001.0), 6) AS ratio_order
       FROM (SELECT muni_id, count(*) AS n FROM auth_address GROUP BY 1) a FULL JOIN (SELECT muni_id, count(*) AS n FROM map_node WHERE is_poi GROUP BY 1) b ON a.muni_id = b.muni_id""", "auth_address", "map_node"))
 add("distinct_values", lambda s, d: RU.distinct_values(World(s, d).map_entity.where("house_ref IS NOT NULL"), ["house_ref"], "street", "house_no"),
-    q("""SELECT house_ref, count(DISTINCT street) AS street_count, min(street) AS street_min, max(street) AS street_max, count(DISTINCT house_no) AS house_no_count, min(house_no) AS house_no_min,
-      max(house_no) AS house_no_max FROM map_entity WHERE house_ref IS NOT NULL GROUP BY house_ref""", "map_entity"))
+    q("""SELECT DISTINCT house_ref, 'street' AS attribute, street AS value FROM map_entity WHERE house_ref IS NOT NULL AND street IS NOT NULL
+      UNION ALL SELECT DISTINCT house_ref, 'house_no', house_no FROM map_entity WHERE house_ref IS NOT NULL AND house_no IS NOT NULL""", "map_entity"))
 add("first_value", lambda s, d: RU.first_value(World(s, d).map_entity.where("street IS NOT NULL"), ["muni_id"], "street", "osm_id"),
     q("SELECT muni_id, arg_min(street, osm_id) AS street FROM map_entity WHERE street IS NOT NULL GROUP BY muni_id", "map_entity"))
 add("merged_tags", lambda s, d: RU.merged_tags(World(s, d).map_entity.where("house_ref IS NOT NULL").select("house_ref", F.create_map(F.lit("addr:street"), F.coalesce("street", F.lit("")), F.lit("status"), F.col("status")).alias("tags")), "house_ref"),
@@ -179,10 +179,10 @@ add("address_listing", lambda s, d: SE.address_listing(matched(World(s, d))).wit
 add("place_settlements", lambda s, d: (lambda w: SE.place_settlements(auth(w).withColumn("settl_id", F.col("street_id")), w.street.select(
     F.col("street_id").alias("settl_id"), F.when(F.col("street_id") % 2 == 0, T.cyr2lat("proper_name")).otherwise("Насеље").alias("settl_name"))))(World(s, d)),
     q("SELECT street_id AS settl_id, min(proper_name) AS street, street_id % 2 = 0 AS use_place FROM auth_address GROUP BY street_id HAVING count(DISTINCT proper_name) = 1", "auth_address"))
-add("fill_settlements", lambda s, d: (lambda w: SE.fill_settlements(w.map_entity.select(F.col("osm_id").alias("addr_id"), "x", "y"), muni_polygons(w), 1000.0, 4000.0).select("addr_id", "polygon_id", F.round("distance", 4).alias("distance")))(World(s, d)),
+add("fill_settlements", lambda s, d: (lambda w: SE.fill_settlements(w.map_entity.select(F.col("osm_id").alias("addr_id"), "x", "y"), muni_polygons(w), 1000.0).select("addr_id", "polygon_id", F.round("distance", 4).alias("distance")))(World(s, d)),
     q(_dst("""SELECT e.osm_id AS addr_id, coalesce(i.pid, arg_min(m.muni_id, (m.d, m.muni_id))) AS polygon_id, CASE WHEN i.pid IS NOT NULL THEN 0.0 ELSE round(min(m.d), 4) END AS distance
       FROM map_entity e LEFT JOIN (SELECT osm_id, min(poly_id) AS pid FROM in_muni GROUP BY 1) i ON i.osm_id = e.osm_id
-      LEFT JOIN (SELECT a.osm_id, g.muni_id, DST(a.x, a.y, g.x1, g.y1, g.x2, g.y2) AS d FROM map_entity a JOIN muni_edge g ON abs(a.x - g.x1) < 6000 AND abs(a.y - g.y1) < 6000) m ON m.osm_id = e.osm_id AND m.d <= 4000
+      LEFT JOIN (SELECT a.osm_id, g.muni_id, DST(a.x, a.y, g.x1, g.y1, g.x2, g.y2) AS d FROM map_entity a CROSS JOIN muni_edge g WHERE a.osm_id NOT IN (SELECT osm_id FROM in_muni)) m ON m.osm_id = e.osm_id
       GROUP BY e.osm_id, i.pid"""), "map_entity", "in_muni", "muni_edge"))
 WAYS = {**STEPS, "seg_edge": (["way_segment", "muni_edge"], """SELECT w.osm_id, m.muni_id, w.x1, w.y1, w.x2, w.y2, m.x1 AS u1, m.y1 AS v1, m.x2 AS u2, m.y2 AS v2 FROM way_segment w JOIN muni_edge m
         ON least(w.x1, w.x2) - 100 <= greatest(m.x1, m.x2) AND least(m.x1, m.x2) <= greatest(w.x1, w.x2) + 100 AND least(w.y1, w.y2) - 100 <= greatest(m.y1, m.y2) AND least(m.y1, m.y2) <= greatest(w.y1, w.y2) + 100"""),

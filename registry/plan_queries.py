@@ -35,21 +35,23 @@ VOWEL = "regexp_matches(name, '[aeiou]')"
 STEPS = {
     **BUILDING, **STREET,
     "hwy": (["way_base"], "SELECT * FROM way_base WHERE name IS NOT NULL"),
-    "ref_name": (["hwy"], "SELECT street_ref, name, count(*) AS way_count, array_to_string(list_sort(list(osm_id))[1:5], ',') AS first_refs FROM hwy WHERE street_ref IS NOT NULL GROUP BY ALL"),
-    "latin_name": (["hwy"], f"SELECT {NORM_LATIN('name')} AS name_key, name, count(*) AS way_count, array_to_string(list_sort(list(osm_id))[1:5], ',') AS first_refs FROM hwy WHERE NOT {VOWEL} GROUP BY ALL"),
+    "ref_name": (["hwy"], "SELECT street_ref, name, count(*) AS way_count FROM hwy WHERE street_ref IS NOT NULL GROUP BY ALL"),
+    "latin_name": (["hwy"], f"SELECT {NORM_LATIN('name')} AS name_key, name, count(*) AS way_count FROM hwy WHERE NOT {VOWEL} GROUP BY ALL"),
     "curated": (["street"], "SELECT street_name AS rgz_name, min(proper_name) || ' (к)' AS name FROM street WHERE p_type IN ('STANDARD', 'PROMO') GROUP BY street_name HAVING count(*) > 1"),
     "override": (["street"], "SELECT street_name AS rgz_name, street_code, proper_name || ' (о)' AS name FROM street WHERE substr(street_code, 7, 1) = '2'"),
     "resolved_name": (["street", "curated", "ref_name", "latin_name"], f"""
       SELECT s.street_code, s.street_name AS rgz_name, coalesce(c.name, r.name, l.name, s.street_name) AS name,
         CASE WHEN c.name IS NOT NULL THEN 'curated' WHEN r.name IS NOT NULL THEN 'ref:RS:ulica' WHEN l.name IS NOT NULL THEN 'OSM' ELSE 'BestEffort' END AS source,
-        CASE WHEN c.name IS NOT NULL THEN '' WHEN r.name IS NOT NULL THEN r.first_refs ELSE coalesce(l.first_refs, '') END AS refs,
         CASE WHEN c.name IS NOT NULL THEN 0 WHEN r.name IS NOT NULL THEN r.way_count ELSE coalesce(l.way_count, 0) END AS ref_count
       FROM street s LEFT JOIN curated c ON c.rgz_name = s.street_name
       LEFT JOIN (SELECT * FROM ref_name QUALIFY count(*) OVER (PARTITION BY street_ref) = 1) r ON r.street_ref = s.street_code
       LEFT JOIN (SELECT * FROM latin_name QUALIFY count(*) OVER (PARTITION BY name_key) = 1) l ON l.name_key = {NORM_LATIN('s.street_name')}"""),
     "mapping": (["resolved_name", "curated"], """
-      SELECT rgz_name, name, 'curated' AS source, '' AS refs, 0 AS ref_count FROM curated UNION ALL
-      SELECT rgz_name, name, source, refs, ref_count FROM resolved_name WHERE rgz_name NOT IN (SELECT rgz_name FROM curated) QUALIFY row_number() OVER (PARTITION BY rgz_name ORDER BY street_code) = 1"""),
+      SELECT rgz_name, name, 'curated' AS source, 0 AS ref_count, NULL AS street_code FROM curated UNION ALL
+      SELECT rgz_name, name, source, ref_count, street_code FROM resolved_name WHERE rgz_name NOT IN (SELECT rgz_name FROM curated) QUALIFY row_number() OVER (PARTITION BY rgz_name ORDER BY street_code) = 1"""),
+    "mapping_way": (["mapping", "hwy"], f"""
+      SELECT m.rgz_name, h.osm_id FROM mapping m JOIN hwy h ON h.street_ref = m.street_code WHERE m.source = 'ref:RS:ulica' UNION ALL
+      SELECT m.rgz_name, h.osm_id FROM mapping m JOIN hwy h ON {NORM_LATIN('h.name')} = {NORM_LATIN('m.rgz_name')} WHERE m.source = 'OSM' AND NOT {VOWEL.replace('name', 'h.name')}"""),
     "moved": (["auth_old", "auth_new"], """
       SELECT o.addr_id AS old_id, n.addr_id AS new_id, sqrt(cast((o.x - n.x) * (o.x - n.x) + (o.y - n.y) * (o.y - n.y) AS double)) AS distance
       FROM (SELECT * FROM auth_old WHERE addr_id NOT IN (SELECT addr_id FROM auth_new)) o JOIN (SELECT * FROM auth_new WHERE addr_id NOT IN (SELECT addr_id FROM auth_old)) n
@@ -87,11 +89,13 @@ def mapping(w: World):
     return M.build_mapping(w.street, curated(w), M.ref_names(w.way_line), M.latin_names(w.way_line))
 
 
-ME = ["rgz_name", "name", "source", "refs", "ref_count"]
-add("ref_names", lambda s, d: M.ref_names(World(s, d).way_line).withColumn("first_refs", F.array_join("first_refs", ",")), q("SELECT * FROM ref_name", "ref_name"))
-add("latin_names", lambda s, d: M.latin_names(World(s, d).way_line).withColumn("first_refs", F.array_join("first_refs", ",")), q("SELECT * FROM latin_name", "latin_name"))
+ME = ["rgz_name", "name", "source", "ref_count"]
+add("ref_names", lambda s, d: M.ref_names(World(s, d).way_line), q("SELECT * FROM ref_name", "ref_name"))
+add("latin_names", lambda s, d: M.latin_names(World(s, d).way_line), q("SELECT * FROM latin_name", "latin_name"))
 add("resolve_names", lambda s, d: (lambda w: M.resolve_names(w.street, curated(w), M.ref_names(w.way_line), M.latin_names(w.way_line)))(World(s, d)), q("SELECT * FROM resolved_name", "resolved_name"))
-add("build_mapping", lambda s, d: mapping(World(s, d)).select(*ME), q("SELECT rgz_name, name, source, refs, cast(ref_count AS bigint) AS ref_count FROM mapping", "mapping"))
+add("build_mapping", lambda s, d: mapping(World(s, d)).select(*ME), q("SELECT rgz_name, name, source, cast(ref_count AS bigint) AS ref_count FROM mapping", "mapping"))
+add("mapping_ways", lambda s, d: (lambda w: M.mapping_ways(mapping(w), w.way_line))(World(s, d)), q("SELECT rgz_name, osm_id FROM mapping_way", "mapping_way"))
+add("ref_name_ways", lambda s, d: M.ref_name_ways(World(s, d).way_line), q("SELECT street_ref, name, osm_id FROM hwy WHERE street_ref IS NOT NULL", "hwy"))
 add("lookup_names", lambda s, d: (lambda w: M.lookup_name(w.street.select("street_id", "street_code", "street_name"), mapping(w), overrides(w), F.col("street_name")).select("street_id", "proper_name"))(World(s, d)),
     q("""SELECT s.street_id, CASE WHEN m.name IS NULL THEN s.street_name ELSE coalesce(o.name, m.name) END AS proper_name FROM street s LEFT JOIN mapping m ON m.rgz_name = s.street_name
       LEFT JOIN override o ON o.rgz_name = s.street_name AND o.street_code = s.street_code""", "street", "mapping", "override"))
@@ -101,8 +105,9 @@ add("overrides_without_base", lambda s, d: (lambda w: M.overrides_without_base(o
     q("SELECT rgz_name, street_code FROM override WHERE rgz_name NOT IN (SELECT rgz_name FROM curated)", "override", "curated"))
 add("street_name_list", lambda s, d: (lambda w: M.name_list(w.street, curated(w)))(World(s, d)),
     q("SELECT street_name AS name FROM (SELECT DISTINCT street_name FROM street) WHERE street_name NOT IN (SELECT rgz_name FROM curated) UNION SELECT name FROM curated WHERE rgz_name IN (SELECT street_name FROM street)", "street", "curated"))
-add("mapping_listing", lambda s, d: (lambda w: M.mapping_listing(mapping(w), overrides(w)).drop("sort_key"))(World(s, d)),
-    q("""SELECT m.rgz_name, m.name, m.source, m.refs, cast(m.ref_count AS bigint) AS ref_count, coalesce(o.n, 0) AS exceptions FROM mapping m LEFT JOIN (SELECT rgz_name, count(*) AS n FROM override GROUP BY 1) o ON o.rgz_name = m.rgz_name""", "mapping", "override"))
+add("mapping_listing", lambda s, d: (lambda w: M.mapping_listing(mapping(w), overrides(w), w.way_line).drop("sort_key"))(World(s, d)),
+    q("""SELECT m.rgz_name, m.name, m.source, coalesce(array_to_string(list_sort(r.ids)[1:5], ','), '') AS refs, cast(m.ref_count AS bigint) AS ref_count, coalesce(o.n, 0) AS exceptions
+      FROM mapping m LEFT JOIN (SELECT rgz_name, count(*) AS n FROM override GROUP BY 1) o ON o.rgz_name = m.rgz_name LEFT JOIN (SELECT rgz_name, list(osm_id) AS ids FROM mapping_way GROUP BY 1) r ON r.rgz_name = m.rgz_name""", "mapping", "mapping_way", "override"))
 add("sorted_curated", lambda s, d: M.sorted_curated(curated(World(s, d))), q("SELECT rgz_name, name FROM curated", "curated"))
 
 # --- snapshot diffs

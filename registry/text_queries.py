@@ -59,8 +59,8 @@ add("hamlet_streets",
     duck("SELECT street_id, substr(street_code, 7, 1) = '2' AS is_hamlet, regexp_replace(street_code, '^0+', '') AS bare_code FROM street", "street"))
 
 # The pool names as best-effort decapitalising gives them.
-GUESSES = ["Петра Драпшина", "Двадесет Друге дивизије", "Његошева", "Ђуре Јакшића", "Првог маја", "Др Десе Милосављевић", "Пут за Љиг", "Краља Петра Првог", "Шеста", "15. октобра",
-           "Џорџа Вашингтона", "Липова"]
+GUESSES = ["Милана Кадевића", "Двадесет Пете бригаде", "Змајевачка", "Џемала Живковића", "Трећег марта", "Др Ане Радић", "Пут за Његовац", "Краља Стефана Другог", "Осма", "7. априла",
+           "Ђурђа Љубичића", "Јасенова"]
 add("serbian_order_key",
     lambda s, d: World(s, d).street.select("street_id", T.serbian_sort_key("street_name").alias("sort_key"), T.decapitalize("street_name").alias("guess")),
     duck("SELECT street_id, translate(upper(street_name), 'АБВГДЂЕЖЗИЈКЛЉМНЊОПРСТЋУФХЦЧЏШ', '" + "".join(chr(0xE000 + i) for i in range(30)) + "') AS sort_key, "

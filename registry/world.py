@@ -14,14 +14,14 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Authority spelling and curated spelling of the street-name pool.
+# Street-name pool, in the authority's spelling and in the curated one.
 RGZ_NAMES = [
-    "ПЕТРА ДРАПШИНА", "ДВАДЕСЕТ ДРУГЕ ДИВИЗИЈЕ", "ЊЕГОШЕВА", "ЂУРЕ ЈАКШИЋА", "ПРВОГ МАЈА", "ДР ДЕСЕ МИЛОСАВЉЕВИЋ",
-    "ПУТ ЗА ЉИГ", "КРАЉА ПЕТРА ПРВОГ", "ШЕСТА", "15. ОКТОБРА", "ЏОРЏА ВАШИНГТОНА", "ЛИПОВА",
+    "МИЛАНА КАДЕВИЋА", "ДВАДЕСЕТ ПЕТЕ БРИГАДЕ", "ЗМАЈЕВАЧКА", "ЏЕМАЛА ЖИВКОВИЋА", "ТРЕЋЕГ МАРТА", "ДР АНЕ РАДИЋ",
+    "ПУТ ЗА ЊЕГОВАЦ", "КРАЉА СТЕФАНА ДРУГОГ", "ОСМА", "7. АПРИЛА", "ЂУРЂА ЉУБИЧИЋА", "ЈАСЕНОВА",
 ]
 PROPER_NAMES = [
-    "Петра Драпшина", "Двадесет друге дивизије", "Његошева", "Ђуре Јакшића", "Првог маја", "Др Десе Милосављевић",
-    "Пут за Љиг", "Краља Петра Првог", "Шеста", "15. октобра", "Џорџа Вашингтона", "Липова",
+    "Милана Кадевића", "Двадесет пете бригаде", "Змајевачка", "Џемала Живковића", "Трећег марта", "Др Ане Радић",
+    "Пут за Његовац", "Краља Стефана Другог", "Осма", "7. априла", "Ђурђа Љубичића", "Јасенова",
 ]
 
 

@@ -76,8 +76,9 @@ def test_points_in_polygons(spark):
 def test_within_or_nearest(spark):
     polys = spark.createDataFrame([(1, parts([(0, 0), (10, 0), (10, 10), (0, 10), (0, 0)])), (2, parts([(100, 0), (110, 0), (110, 10), (100, 10), (100, 0)]))], f"polygon_id int, rings {LINES}")
     pts = spark.createDataFrame([(1, 5.0, 5.0), (2, 40.0, 5.0), (3, 70.0, 5.0), (4, 55.0, 5.0), (5, 9000.0, 0.0)], "point_id int, x double, y double")
-    got = {r.point_id: (r.polygon_id, r.distance) for r in C.within_or_nearest(pts, polys, 10.0, 2000.0).collect()}
-    assert got == {1: (1, 0.0), 2: (1, 30.0), 3: (2, 30.0), 4: (1, 45.0), 5: (None, None)}
+    got = {r.point_id: (r.polygon_id, r.distance) for r in C.within_or_nearest(pts, polys, 10.0).collect()}
+    assert got == {1: (1, 0.0), 2: (1, 30.0), 3: (2, 30.0), 4: (1, 45.0), 5: (2, 8890.0)}
+    assert {r.point_id for r in C.within_or_nearest(pts, polys, 10.0, 2000.0).collect() if r.polygon_id is None} == {5}
 
 
 def test_lines_in_polygons(spark):
