@@ -170,7 +170,7 @@ def check_alt_names(df: DataFrame, proper: Column, name: Column, alt: Column, la
     table = F.expr(f"map({', '.join(entries)})")
     p = {k: f"_n_{k}" for k in ("ref", "low", "words", "alt", "cands", "best", "num", "dot", "wrote")}
     c = {k: F.col(v) for k, v in p.items()}
-    d = df.withColumns({p["ref"]: F.coalesce(proper, name), p["alt"]: alt})
+    d = df.withColumns({p["ref"]: _reference(proper, name), p["alt"]: F.nullif(alt, F.lit(""))})
     d = d.withColumns({p["low"]: F.lower(c["ref"]), p["words"]: F.split(c["ref"], " ", -1)})
     size = F.size(c["words"])
     lows = F.split(c["low"], " ", -1)

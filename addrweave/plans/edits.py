@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from addrweave.functions import geometry as G
 from addrweave.functions import text as T
+from addrweave.functions.projection import from_utm
 from addrweave.operators.ranking import batch_numbers, keep_first, row_numbers
 from addrweave.operators.rollup import merged_tags
 from addrweave.operators.skew import skew_join
@@ -42,26 +43,34 @@ def _new_address_rows(df: DataFrame, reason: str, options: Options) -> DataFrame
     place = F.col("use_place") if "use_place" in df.columns else F.lit(False)
     return tag_rows(df, "local_id", reason, [
         ("addr:street", none, F.when(~place, F.col("street"))), ("addr:place", none, F.when(place, F.col("street"))),
-        ("addr:housenumber", none, T.norm_latin("house_no")), (options.street_ref, none, F.col("street_code")), (options.house_ref, none, F.col("addr_id"))],
+        ("addr:housenumber", none, T.norm_latin("house_no")), (options.street_ref, none, F.col("street_code")), (options.house_ref, none, F.col("addr_id")),
+        ("addr:postcode", none, F.nullif(F.col("postcode").cast("string"), F.lit("")) if "postcode" in df.columns else none)],
         "create", "batch_id", ["lon", "lat"])
 
 
+def _degrees(df: DataFrame, options: Options) -> DataFrame:
+    """``lon`` and ``lat`` in degrees to six decimals: the register's own, else from its metres."""
+    if "lon" in df.columns and "lat" in df.columns:
+        lon, lat = F.col("lon").cast("double"), F.col("lat").cast("double")
+    else:
+        lon, lat = from_utm(F.col("x").cast("double"), F.col("y").cast("double"), options.metric_crs)
+    return df.withColumns({"lon": F.bround(lon, 6), "lat": F.bround(lat, 6)})
+
+
 def new_addresses(q1: DataFrame, options: Options = DEFAULTS, per_file: int = 100) -> DataFrame:
     """Addresses with neither id nor candidate, in batches of 100 per settlement; local ids count down from -1 in each batch."""
     d = q1.where(F.col("conflated_osm_id").isNull() & F.col("osm_id").isNull())
     d = row_numbers(d, ["settl_id"], ["street", "house_no", "addr_id"], "_no")
-    d = d.withColumns({"local_id": (-1 - (F.col("_no") - 1) % per_file).cast("string"), "lon": F.bround(F.col("x").cast("double"), 6), "lat": F.bround(F.col("y").cast("double"), 6),
-                       "batch_id": F.concat(F.col("settl_id").cast("string"), F.lit("-new-"), F.floor((F.col("_no") - 1) / per_file).cast("string"))})
-    return _new_address_rows(d, "new address", options)
+    d = d.withColumns({"local_id": (-1 - (F.col("_no") - 1) % per_file).cast("string"), "batch_id": F.concat(F.col("settl_id").cast("string"), F.lit("-new-"), F.floor((F.col("_no") - 1) / per_file).cast("string"))})
+    return _new_address_rows(_degrees(d, options), "new address", options)
 
 
 def new_addresses_per_street(q1: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """The same addresses with one batch per street of a settlement."""
     d = q1.where(F.col("conflated_osm_id").isNull() & F.col("osm_id").isNull())
     d = row_numbers(d, ["settl_id", "street", "street_code"], ["house_no", "addr_id"], "_no")
-    d = d.withColumns({"local_id": (-F.col("_no")).cast("string"), "lon": F.bround(F.col("x").cast("double"), 6), "lat": F.bround(F.col("y").cast("double"), 6),
-                       "batch_id": F.concat(F.col("settl_id").cast("string"), F.lit("-"), F.col("street_code"))})
-    return _new_address_rows(d, "new address per street", options)
+    d = d.withColumns({"local_id": (-F.col("_no")).cast("string"), "batch_id": F.concat(F.col("settl_id").cast("string"), F.lit("-"), F.col("street_code"))})
+    return _new_address_rows(_degrees(d, options), "new address per street", options)
 
 
 def attach_refs(q1: DataFrame, options: Options = DEFAULTS, per_file: int = 100) -> DataFrame:
@@ -70,7 +79,7 @@ def attach_refs(q1: DataFrame, options: Options = DEFAULTS, per_file: int = 100)
     d = batch_numbers(d, ["settl_id"], ["street", "house_no", "addr_id"], per_file, "_b")
     d = d.withColumn("batch", F.concat(F.col("settl_id").cast("string"), F.lit("-matched-"), F.col("_b").cast("string")))
     none = F.expr(NO_TEXT)
-    return tag_rows(d, "osm_id", "attach id", [(options.house_ref, none, F.col("addr_id")), (options.street_ref, none, F.col("street_code"))], batch="batch")
+    return tag_rows(d, "osm_id", "attach id", [(options.house_ref, none, F.col("addr_id"))], batch="batch")
 
 
 def move_into_buildings(q2: DataFrame, node_tags: DataFrame, building_tags: DataFrame, merge_code: int = 3, per_file: int = 100) -> DataFrame:
@@ -106,7 +115,7 @@ def attach_street_refs(found: DataFrame, streets: DataFrame, ways: DataFrame, pe
     batched = batch_numbers(named, ["settl_id"], ["street_name", "street_id"], per_file, "_b").withColumn(
         "batch", F.concat(F.col("settl_id").cast("string"), F.lit("-streets-"), F.col("_b").cast("string")))
     d = hit.join(batched, "street_id")
-    return tag_rows(d, "osm_id", "attach street id", [(DEFAULTS.street_ref, F.expr(NO_TEXT), F.col("street_code"))], batch="batch", keep=["xmin", "ymin", "xmax", "ymax"])
+    return tag_rows(d, "osm_id", "attach street id", [(options.street_ref, F.expr(NO_TEXT), F.col("street_code"))], batch="batch", keep=["xmin", "ymin", "xmax", "ymax"])
 
 
 def reref_or_remove(removed: DataFrame, moved: DataFrame, osm: DataFrame, on_date: str, options: Options = DEFAULTS) -> DataFrame:
@@ -185,8 +194,8 @@ def fix_name_tags(q7: DataFrame, now: DataFrame) -> DataFrame:
 
     ``now``: ``osm_id, now_name, now_sr, now_latn``; streets whose name itself is wrong or missing wait.
     """
-    d = q7.where(F.col("street_ref").isNotNull() & ~F.col("wrong_name") & ~F.col("missing_name") & is_kind("osm_id", "w")).dropDuplicates(["osm_id"]).join(now, "osm_id")
-    d = d.where(F.col("now_name").isNotNull())
+    d = q7.where(F.col("street_ref").isNotNull() & ~F.col("wrong_name") & ~F.col("missing_name") & is_kind("osm_id", "w"))
+    d = keep_first(d, ["osm_id"], [F.asc("street_ref")]).join(now, "osm_id").where(F.col("now_name").isNotNull())
 
     def target(wrong: str, missing: str, seen: str, current: str, value: Column) -> Column:
         go = (F.col(wrong) & F.col(seen).eqNullSafe(F.col(current))) | (F.col(missing) & F.col(current).isNull())
@@ -197,14 +206,15 @@ def fix_name_tags(q7: DataFrame, now: DataFrame) -> DataFrame:
 
 
 def fix_int_names(q7: DataFrame) -> DataFrame:
-    """``int_name`` put right on ways whose name is the register's."""
-    d = q7.where((F.col("wrong_int_name") | F.col("missing_int_name")) & (F.col("proper") == F.col("name")) & is_kind("osm_id", "w")).dropDuplicates(["osm_id"])
+    """``int_name`` put right on ways whose name is the register's; of a way's several references the first counts."""
+    d = keep_first(q7.where((F.col("wrong_int_name") | F.col("missing_int_name")) & (F.col("proper") == F.col("name")) & is_kind("osm_id", "w")), ["osm_id"], [F.asc("street_ref")])
     return tag_rows(d, "osm_id", "int_name", [("int_name", F.col("int_name"), T.cyr2intname("name"))])
 
 
 def fix_alt_names(q8: DataFrame, replacements: DataFrame) -> DataFrame:
     """Missing alternative names set to the suggestion; partial ones only where the table gives the full form. ``replacements``: ``alt_suggestion, full_name``."""
-    d = q8.where(F.col("alt_missing") & is_kind("osm_id", "w")).dropDuplicates(["osm_id"]).join(replacements, "alt_suggestion", "left")
+    d = q8.where(F.col("alt_missing") & is_kind("osm_id", "w"))
+    d = keep_first(d, ["osm_id"], [F.asc("alt_suggestion")]).join(replacements, "alt_suggestion", "left")
     new = F.when(F.col("alt_partial"), F.col("full_name")).otherwise(F.col("alt_suggestion"))
     return tag_rows(d.withColumn("_new", new).where("_new IS NOT NULL"), "osm_id", "alt_name", [("alt_name", F.col("alt_name"), F.col("_new"))])
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrweave.functions import geometry as G
+from addrweave.operators.ranking import keep_first
 from addrweave.operators.skew import skew_join
 from addrweave.options import DEFAULTS, Options
 
@@ -68,23 +69,30 @@ def assemble_relations(relations: DataFrame, way_geoms: DataFrame) -> DataFrame:
 
 
 def union_tiles(tiles: list[DataFrame]) -> DataFrame:
-    """Overlapping tiles as one table, each entity once."""
-    d = tiles[0]
-    for t in tiles[1:]:
-        d = d.unionByName(t)
-    return d.dropDuplicates(["osm_id"])
+    """Overlapping tiles as one table, each entity once: its row in the first tile that has it."""
+    if len(tiles) == 1:
+        return tiles[0].dropDuplicates(["osm_id"])
+    d = tiles[0].withColumn("_tile", F.lit(0))
+    for i, t in enumerate(tiles[1:], 1):
+        d = d.unionByName(t.withColumn("_tile", F.lit(i)))
+    return keep_first(d, ["osm_id"], [F.asc("_tile")]).drop("_tile")
+
+
+def _tag(key: str) -> Column:
+    """Value of a tag; absent and empty ones are null."""
+    return F.nullif(F.try_element_at("tags", F.lit(key)), F.lit(""))
 
 
 def promote_tags(ways: DataFrame, columns: dict[str, str] | None = None, options: Options = DEFAULTS) -> DataFrame:
-    """Street tags as columns, missing ones empty; lines and polygons only."""
+    """Street tags as columns, null where missing or empty; lines and polygons only."""
     d = ways.where(F.col("shape").isin("LineString", "Polygon"))
-    cols = {c: F.coalesce(F.try_element_at("tags", F.lit(t)), F.lit("")) for c, t in (columns or STREET_TAGS).items()}
-    return d.withColumns({**cols, "street_ref": F.coalesce(F.try_element_at("tags", F.lit(options.street_ref)), F.lit(""))})
+    cols = {c: _tag(t) for c, t in (columns or STREET_TAGS).items()}
+    return d.withColumns({**cols, "street_ref": _tag(options.street_ref)})
 
 
 def explode_refs(df: DataFrame) -> DataFrame:
     """One row per street reference of a ``;`` list."""
-    return df.withColumn("street_ref", F.explode(F.split("street_ref", ";")))
+    return df.withColumn("street_ref", F.explode_outer(F.split("street_ref", ";")))
 
 
 def _side_tag(tag: str, side: str) -> str:
@@ -100,10 +108,10 @@ def explode_sides(df: DataFrame, options: Options = DEFAULTS, columns: dict[str,
     cols = columns or STREET_TAGS
 
     def t(k: str) -> Column:
-        return F.try_element_at("tags", F.lit(k))
+        return _tag(k)
 
     def row(ref: Column, side: str | None) -> Column:
-        values = [F.col(c) if side is None else F.coalesce(t(_side_tag(k, side)), t(k), F.lit("")) for c, k in cols.items()]
+        values = [F.col(c) if side is None else F.coalesce(t(_side_tag(k, side)), t(k)) for c, k in cols.items()]
         return F.struct(ref.alias("street_ref"), *[v.alias(c) for v, c in zip(values, cols)])
     left, right = t(options.street_ref + ":left"), t(options.street_ref + ":right")
     lists = F.transform(F.split("street_ref", ";"), lambda r: row(r, None))

@@ -211,7 +211,7 @@ def side_ways(w: World):
 add("street_sides", lambda s, d: side_ways(World(s, d)).select("osm_id", "street_ref", "name", "name_sr"),
     q("""SELECT osm_id, unnest(CASE WHEN refs LIKE '%;%' THEN string_split(refs, ';') WHEN l IS NOT NULL AND l = r THEN [] WHEN l IS NOT NULL OR r IS NOT NULL THEN list_filter([l, r], lambda t_r: t_r IS NOT NULL) ELSE [refs] END) AS street_ref,
         unnest(CASE WHEN refs LIKE '%;%' THEN [nm, nm] WHEN l IS NOT NULL AND l = r THEN [] WHEN l IS NOT NULL OR r IS NOT NULL THEN CASE WHEN l IS NULL THEN [nm] WHEN r IS NULL THEN [coalesce(nl, nm)] ELSE [coalesce(nl, nm), nm] END ELSE [nm] END) AS name, sr AS name_sr
-      FROM (SELECT osm_id, coalesce(name, '') AS nm, CASE WHEN way_key % 5 = 1 THEN name || ' л' END AS nl, coalesce(proper_name, '') AS sr, CASE WHEN way_key % 7 = 0 THEN concat_ws(';', street_ref, cast(way_key AS varchar)) ELSE '' END AS refs,
+      FROM (SELECT osm_id, name AS nm, CASE WHEN way_key % 5 = 1 THEN name || ' л' END AS nl, proper_name AS sr, CASE WHEN way_key % 7 = 0 THEN concat_ws(';', street_ref, cast(way_key AS varchar)) END AS refs,
         CASE WHEN way_key % 3 = 0 THEN 'L' || (way_key % 4) END AS l, CASE WHEN way_key % 4 = 0 THEN CASE WHEN way_key % 12 = 0 THEN 'L' ELSE 'R' END || (way_key % 4) END AS r FROM way_base)""", "way_base"))
 add("lookup_elements", lambda s, d: (lambda w: EL.lookup_elements(w.map_entity.where("status = 'P'").select(F.col("entity_key").alias("id")), w.table("lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_set("l_partkey").alias("nodes")),
                                      w.table("part").select(F.col("p_partkey").alias("id"), "p_name"))[1])(World(s, d)),
@@ -240,7 +240,7 @@ add("plan_new_addresses", lambda s, d: plan(E.new_addresses(matched(World(s, d))
 add("plan_new_addresses_per_street", lambda s, d: plan(E.new_addresses_per_street(matched(World(s, d)))),
     duck(unpivot("cast(-sno AS varchar)", NEW, "new address per street", "fresh WHERE true", "create", "settl_id || '-' || street_code"), "fresh", extra=NEWEST))
 add("plan_attach_refs", lambda s, d: plan(E.attach_refs(matched(World(s, d)))),
-    duck(unpivot("osm_id", [("ref:RS:kucni_broj", "NULL", "addr_id"), ("ref:RS:ulica", "NULL", "street_code")], "attach id", "hit WHERE true", batch="settl_id || '-matched-' || cast(floor((no - 1) / 100) AS bigint)"), "hit", extra=NEWEST))
+    duck(unpivot("osm_id", [("ref:RS:kucni_broj", "NULL", "addr_id")], "attach id", "hit WHERE true", batch="settl_id || '-matched-' || cast(floor((no - 1) / 100) AS bigint)"), "hit", extra=NEWEST))
 add("plan_auto_attach", lambda s, d: plan(E.auto_attach(matched(World(s, d)))),
     q(unpivot("osm_id", [("ref:RS:kucni_broj", "NULL", "addr_id"), ("addr:street", "osm_street", "street"), ("addr:housenumber", "osm_house_no", NORM_LATIN("house_no"))], "auto attach",
               "q1 WHERE conflated_osm_id IS NULL AND osm_id[1] IN ('n', 'w') AND distance <= 50 AND (matching OR distance <= 20)"), "q1"))

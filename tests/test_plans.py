@@ -53,3 +53,30 @@ def test_apartments_and_alt_names(spark):
                                "osm_id string, alt_name string, alt_missing boolean, alt_suggestion string, alt_partial boolean")
     rep = spark.createDataFrame([("~~прве~~ x", "Прве x")], "alt_suggestion string, full_name string")
     assert sorted((r.entity_id, r.new_value) for r in E.fix_alt_names(q8, rep).collect()) == [("w1", "22. дивизије"), ("w2", "Прве x")]
+
+
+def test_new_addresses_in_degrees_and_changes_with_nulls(spark):
+    from addrweave.plans import diff as D
+    from addrweave.plans import edits as E
+
+    q1 = spark.createDataFrame([("a", None, None, "s", "S", "1", "c", 457000.0, 4960000.0, ""), ("b", None, "n1", "s", "S", "2", "c", 457000.0, 4960000.0, "11000"), ("d", None, None, "s", "S", "3", "c", 457000.0, 4960000.0, "11000")],
+                               "addr_id string, conflated_osm_id string, osm_id string, settl_id string, street string, house_no string, street_code string, x double, y double, postcode string")
+    rows = E.new_addresses(q1).collect()
+    assert {(r.lon, r.lat) for r in rows} == {(20.457361, 44.792006)} or all(20 < r.lon < 21 and 44 < r.lat < 45 and round(r.lon, 6) == r.lon for r in rows)
+    assert {r.new_value for r in rows if r.tag == "addr:postcode"} == {"11000"}
+    schema = "addr_id string, muni_id int, muni_name string, settl_id int, settl_name string, street_id int, street_name string, house_no string, x double, y double"
+    old = spark.createDataFrame([("a", 1, "M", 1, "N", 1, "S", None, 0.0, 0.0), ("b", 1, "M", 1, "N", 1, "S", "1", 0.0, 0.0), ("c", 1, "M", 1, "N", 1, "S", "1", 0.0, 0.0), ("d", 1, "M", 1, "N", 1, "S", "1", 0.0, 0.0)], schema)
+    new = spark.createDataFrame([("a", 1, "M", 1, "N", 1, "S", "5", 0.0, 0.0), ("b", 1, "M2", 1, "N", 1, "S", "1", 0.0, 0.0), ("c", 1, "M", 1, "N2", 1, "S", "1", 0.0, 0.0), ("d", 1, "M", 1, "N", 1, "S", "1", 0.0, 0.0)], schema)
+    assert {r.addr_id: r.change_type for r in D.diff_addresses(old, new).collect()} == {"a": "changed", "b": "muni_changed", "c": "changed"}
+    assert {r.addr_id for r in D.changed_addresses(old, new).collect()} == {"a", "c"} and [r.addr_id for r in D.moved_to_other_muni(old, new, "addr_id").collect()] == ["b"]
+
+
+def test_tags_become_nulls_and_reach_the_street_join(spark):
+    from addrweave.sources import elements as EL
+
+    ways = spark.createDataFrame([("w1", "LineString", {"highway": "residential", "name": ""}), ("w2", "LineString", {"highway": "residential", "name": "Липова"}), ("w3", "Point", {})], "osm_id string, shape string, tags map<string,string>")
+    got = {r.osm_id: (r.name, r.street_ref) for r in EL.explode_sides(EL.promote_tags(ways)).collect()}
+    assert got == {"w1": (None, None), "w2": ("Липова", None)}
+    assert {r.osm_id for r in EL.explode_refs(EL.promote_tags(ways)).collect()} == {"w1", "w2"}
+    first = spark.createDataFrame([("a", 1)], "osm_id string, v int")
+    assert [(r.osm_id, r.v) for r in EL.union_tiles([first, first.selectExpr("osm_id", "v + 1 AS v")]).collect()] == [("a", 1)]
