@@ -99,6 +99,13 @@ def point_in_polygon(rings: Column | str, px: Column, py: Column, border: bool =
     return inside_edges(segments(rings), px, py, border)
 
 
+def shape_distance(px: Column, py: Column, rings: Column | str, x: Column, y: Column) -> Column:
+    """Distance from a point to a shape: 0 inside closed parts, else to the nearest segment; to ``x``, ``y`` where ``rings`` is null."""
+    closed = F.filter(_col(rings), lambda r: (F.size(r) > 3) & (F.get(r, F.lit(0)) == F.get(r, F.size(r) - 1)))
+    inside = F.coalesce(point_in_polygon(closed, px, py), F.lit(False))
+    return F.when(_col(rings).isNull(), distance(px, py, x, y)).when(inside, 0.0).otherwise(point_lines_distance(px, py, rings))
+
+
 def length(parts: Column | str) -> Column:
     """Length of all parts."""
     return F.aggregate(segments(parts), F.lit(0.0), lambda acc, s: acc + distance(s["x1"], s["y1"], s["x2"], s["y2"]))

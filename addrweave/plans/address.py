@@ -8,19 +8,31 @@ from pyspark.sql import functions as F
 from addrweave.functions import geometry as G
 from addrweave.functions import similarity as S
 from addrweave.functions import text as T
-from addrweave.operators.cells import points_in_polygons, radius_pairs
+from addrweave.operators.cells import points_in_polygons, radius_pairs, shape_pairs
 from addrweave.operators.ranking import keep_first
 from addrweave.operators.skew import skew_join
 from addrweave.options import DEFAULTS, Options
 
 
+def _shape(osm: DataFrame) -> Column:
+    """Rings or lines of a map entity; null for points and for tables without shapes."""
+    return F.col("rings") if "rings" in osm.columns else F.lit(None).cast("array<array<struct<x:double,y:double>>>").alias("rings")
+
+
+def _near(auth: DataFrame, free: DataFrame, with_shapes: bool, options: Options) -> tuple[DataFrame, list[str]]:
+    """Pairs within the radius by the distance to the entity's geometry."""
+    if with_shapes:
+        return shape_pairs(auth, free, options.radius, ["muni_id"], options.rows_per_task)
+    return radius_pairs(auth, free.drop("rings"), options.radius, ["muni_id"], rows_per_task=options.rows_per_task)
+
+
 def conflate(auth: DataFrame, osm: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """J1 + W1: nearest map entity that carries the authority id; one row per authority address that has one."""
     carriers = osm.where(F.col("house_ref").isNotNull()).select(
         F.col("house_ref").alias("addr_id"), F.col("osm_id").alias("conflated_osm_id"), F.col("street").alias("conflated_street"),
-        F.col("house_no").alias("conflated_house_no"), F.col("x").alias("mx"), F.col("y").alias("my"))
+        F.col("house_no").alias("conflated_house_no"), F.col("x").alias("mx"), F.col("y").alias("my"), _shape(osm))
     pairs = skew_join(carriers, auth.select("addr_id", "x", "y"), ["addr_id"], "inner", options.rows_per_task)
-    pairs = pairs.withColumn("conflated_distance", G.distance(F.col("x"), F.col("y"), F.col("mx"), F.col("my"))).drop("x", "y", "mx", "my")
+    pairs = pairs.withColumn("conflated_distance", G.shape_distance(F.col("x"), F.col("y"), "rings", F.col("mx"), F.col("my"))).drop("x", "y", "mx", "my", "rings")
     return keep_first(pairs, ["addr_id"], [F.col("conflated_distance"), F.col("conflated_osm_id")])
 
 
@@ -29,8 +41,8 @@ def candidates(auth: DataFrame, osm: DataFrame, options: Options = DEFAULTS) ->
 
     Left join: an address with nothing near comes once, with nulls.
     """
-    free = osm.where(F.col("house_ref").isNull()).select("muni_id", "osm_id", F.col("x").alias("mx"), F.col("y").alias("my"))
-    pairs, _ = radius_pairs(auth.select("muni_id", "addr_id", "x", "y"), free, options.radius, ["muni_id"], rows_per_task=options.rows_per_task)
+    free = osm.where(F.col("house_ref").isNull()).select("muni_id", "osm_id", F.col("x").alias("mx"), F.col("y").alias("my"), _shape(osm))
+    pairs, _ = _near(auth.select("muni_id", "addr_id", "x", "y"), free, "rings" in osm.columns, options)
     pairs = pairs.select("addr_id", "osm_id", "distance")
     return auth.select("addr_id", "muni_id").join(pairs, "addr_id", "left")
 
@@ -44,9 +56,9 @@ def scored_pairs(auth: DataFrame, osm: DataFrame, options: Options = DEFAULTS) -
     a = (auth.select("muni_id", "addr_id", "x", "y", T.norm("street").alias("a_street"), T.norm("house_no").alias("a_number"))
          .groupBy("muni_id", "x", "y", "a_street", "a_number").agg(F.min("addr_id").alias("addr_id")))
     m = (osm.where(F.col("house_ref").isNull())
-         .select("muni_id", "osm_id", F.col("x").alias("mx"), F.col("y").alias("my"), T.norm("street").alias("m_street"), T.norm("house_no").alias("m_number"))
-         .groupBy("muni_id", "mx", "my", "m_street", "m_number").agg(F.max("osm_id").alias("osm_id")))
-    pairs, keys = radius_pairs(a, m, options.radius, ["muni_id"], rows_per_task=options.rows_per_task)
+         .select("muni_id", "osm_id", F.col("x").alias("mx"), F.col("y").alias("my"), T.norm("street").alias("m_street"), T.norm("house_no").alias("m_number"), _shape(osm))
+         .groupBy("muni_id", "mx", "my", "rings", "m_street", "m_number").agg(F.max("osm_id").alias("osm_id")))
+    pairs, keys = _near(a, m, "rings" in osm.columns, options)
     name = S.indel_ratio("a_street", "m_street")
     number = S.house_number_similarity("a_number", "m_number")
     matching = F.coalesce((F.col("a_street") == F.col("m_street")) & (F.col("a_number") == F.col("m_number")), F.lit(False))
@@ -54,14 +66,15 @@ def scored_pairs(auth: DataFrame, osm: DataFrame, options: Options = DEFAULTS) -
                         matching.alias("matching")), keys
 
 
-def best_candidates(pairs: DataFrame, keys: list[str]) -> DataFrame:
+def best_candidates(pairs: DataFrame, keys: list[str], with_shapes: bool = False) -> DataFrame:
     """W2-W4 as two keep-one steps: a map entity goes to its best address (perfect matches first), an address keeps its best entity.
 
-    All pairs of a map entity share one cell, so the first step runs where the join left them; only blocks of split cells need another look.
+    All pairs of a map point share one cell, so the first step runs where the join left them; only blocks of split cells and shapes, which may lie
+    in several cells, need another look.
     """
     order = [F.desc("matching"), F.desc("score"), F.asc("addr_id")]
     won = keep_first(pairs, [*keys, "osm_id"], order)
-    if "_bl" in keys:
+    if "_bl" in keys or with_shapes:
         won = keep_first(won, ["osm_id"], order)
     return keep_first(won.drop(*[k for k in keys]), ["addr_id"], [F.desc("matching"), F.desc("score"), F.desc("osm_id")])
 
@@ -70,10 +83,10 @@ def match_addresses(auth: DataFrame, osm: DataFrame, options: Options = DEFAULTS
     """Q1: every authority address with the map entity that carries its id and the best candidate without id.
 
     ``auth``: ``addr_id, muni_id, street`` (mapped name), ``house_no, x, y`` and more; ``osm``: ``osm_id, muni_id, street, house_no,
-    house_ref, x, y``. Addresses that already carry an id still compete for candidates.
+    house_ref, x, y`` and, where ways and relations have one, ``rings``: distances go to that geometry and are 0 inside. Addresses that already carry an id still compete for candidates.
     """
     pairs, keys = scored_pairs(auth, osm, options)
-    best = best_candidates(pairs, keys)
+    best = best_candidates(pairs, keys, "rings" in osm.columns)
     named = osm.select("osm_id", F.col("street").alias("osm_street"), F.col("house_no").alias("osm_house_no"))
     best = best.join(named, "osm_id")
     out = auth.join(conflate(auth, osm, options), "addr_id", "left").join(best, "addr_id", "left")
@@ -98,7 +111,7 @@ def import_check(osm: DataFrame, auth: DataFrame, options: Options = DEFAULTS) -
     number = T.norm_latin("a_house_no")
     out = j.select(
         "osm_id", "house_ref", "a_muni_id", "street", "house_no", "a_street", "a_house_no", F.coalesce("known", F.lit(False)).alias("known"),
-        G.distance(F.col("x"), F.col("y"), F.col("ax"), F.col("ay")).alias("distance"),
+        G.shape_distance(F.col("ax"), F.col("ay"), _shape(osm), F.col("x"), F.col("y")).alias("distance"),
         same(F.col("a_street"), F.col("street")).alias("street_perfect"), same(T.norm("a_street"), T.norm("street")).alias("street_partial"),
         same(number, F.col("house_no")).alias("number_perfect"), same(number, T.norm_latin("house_no")).alias("number_partial"))
     ok = F.col("street_perfect") & F.col("street_partial") & F.col("number_perfect") & F.col("number_partial")

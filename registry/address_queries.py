@@ -26,14 +26,14 @@ STEPS = {
     "a_address": (["auth_address"], f"SELECT *, {NORM('proper_name')} AS a_street, {NORM('house_no')} AS a_number FROM auth_address"),
     "carried": (["map_entity", "auth_address"], """
       SELECT * EXCLUDE (rn) FROM (SELECT a.addr_id, e.osm_id AS conflated_osm_id, e.street AS conflated_street, e.house_no AS conflated_house_no,
-        sqrt(cast((a.x - e.x) * (a.x - e.x) + (a.y - e.y) * (a.y - e.y) AS double)) AS conflated_distance,
-        row_number() OVER (PARTITION BY a.addr_id ORDER BY (a.x - e.x) * (a.x - e.x) + (a.y - e.y) * (a.y - e.y), e.osm_id) AS rn
+        sqrt(cast(power(greatest(abs(a.x - e.x) - e.half, 0), 2) + power(greatest(abs(a.y - e.y) - e.half, 0), 2) AS double)) AS conflated_distance,
+        row_number() OVER (PARTITION BY a.addr_id ORDER BY power(greatest(abs(a.x - e.x) - e.half, 0), 2) + power(greatest(abs(a.y - e.y) - e.half, 0), 2), e.osm_id) AS rn
       FROM auth_address a JOIN map_entity e ON e.house_ref = a.addr_id) WHERE rn = 1"""),
     "near": (["a_address", "m_entity"], """
       SELECT a.addr_id, a.a_street, a.a_number, e.osm_id, e.street AS osm_street, e.house_no AS osm_house_no, e.m_street, e.m_number,
-        sqrt(cast((a.x - e.x) * (a.x - e.x) + (a.y - e.y) * (a.y - e.y) AS double)) AS distance
+        sqrt(cast(power(greatest(abs(a.x - e.x) - e.half, 0), 2) + power(greatest(abs(a.y - e.y) - e.half, 0), 2) AS double)) AS distance
       FROM a_address a JOIN m_entity e ON e.muni_id = a.muni_id AND e.house_ref IS NULL
-       AND (a.x - e.x) * (a.x - e.x) + (a.y - e.y) * (a.y - e.y) <= 40000"""),
+       AND power(greatest(abs(a.x - e.x) - e.half, 0), 2) + power(greatest(abs(a.y - e.y) - e.half, 0), 2) <= 40000"""),
     "name_pair": (["near"], f"""
       SELECT a_street, m_street, CASE WHEN a_street = m_street THEN 1.0 ELSE 2.0 * {lcs_sql('a_street', 'm_street')} / (length(a_street) + length(m_street)) END AS name_score
       FROM (SELECT DISTINCT a_street, m_street FROM near WHERE m_street IS NOT NULL)"""),

@@ -73,7 +73,7 @@ STEPS = {
     "q2": (["in_building", "resolved"], "SELECT i.*, r.resolution, r.pois, r.simple FROM in_building i JOIN resolved r ON r.building_id = i.building_id WHERE r.resolution <> 1"),
     "problem": (["map_entity", "auth_address"], f"""
       SELECT * FROM (SELECT e.osm_id, e.house_ref, a.muni_id AS a_muni_id, e.street, e.house_no, a.proper_name AS a_street, a.house_no AS a_house_no, a.addr_id IS NOT NULL AS known,
-        sqrt(cast((a.x - e.x) * (a.x - e.x) + (a.y - e.y) * (a.y - e.y) AS double)) AS distance, coalesce(a.proper_name = e.street, false) AS street_perfect,
+        sqrt(cast(power(greatest(abs(a.x - e.x) - e.half, 0), 2) + power(greatest(abs(a.y - e.y) - e.half, 0), 2) AS double)) AS distance, coalesce(a.proper_name = e.street, false) AS street_perfect,
         coalesce({NORM('a.proper_name')} = {NORM('e.street')}, false) AS street_partial, coalesce({NORM_LATIN('a.house_no')} = e.house_no, false) AS number_perfect,
         coalesce({NORM_LATIN('a.house_no')} = {NORM_LATIN('e.house_no')}, false) AS number_partial
       FROM map_entity e LEFT JOIN auth_address a ON a.addr_id = e.house_ref WHERE e.house_ref IS NOT NULL)

@@ -124,7 +124,13 @@ class World:
             F.concat(kind, k.cast("string")).alias("osm_id"), k.alias("entity_key"), "muni_id", street.alias("street"), number.alias("house_no"),
             F.when(F.col("o_orderpriority") == "1-URGENT", F.col("addr_id")).alias("house_ref"),
             (F.col("x") + (k * 31) % 301 - 150 + F.when(F.col("muni_id") % 4 == 3, 1600).otherwise(0)).alias("x"),
-            (F.col("y") + (k * 17) % 301 - 150).alias("y"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
+            (F.col("y") + (k * 17) % 301 - 150).alias("y"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price")).withColumn("rings", self._building())
+
+    @staticmethod
+    def _building() -> Column:
+        """A square of 24 m around ways, nothing for nodes and relations."""
+        corner = lambda dx, dy: F.struct((F.col("x") + dx).cast("double").alias("x"), (F.col("y") + dy).cast("double").alias("y"))
+        return F.when(F.col("entity_key") % 3 == 0, F.array(F.array(corner(-12, -12), corner(12, -12), corner(12, 12), corner(-12, 12), corner(-12, -12))))
 
     @cached_property
     def map_building(self) -> DataFrame:
@@ -268,7 +274,8 @@ CTES: dict[str, tuple[list[str], str]] = {
         CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN {_duck_pool(PROPER_NAMES, 'o_orderkey')} ELSE proper_name END AS street,
         CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 6 = 0 THEN house_no || 'b' ELSE house_no END AS house_no,
         CASE WHEN o_orderpriority = '1-URGENT' THEN addr_id END AS house_ref,
-        x + (o_orderkey * 31) % 301 - 150 + CASE WHEN muni_id % 4 = 3 THEN 1600 ELSE 0 END AS x, y + (o_orderkey * 17) % 301 - 150 AS y, o_orderstatus AS status, o_totalprice AS price
+        x + (o_orderkey * 31) % 301 - 150 + CASE WHEN muni_id % 4 = 3 THEN 1600 ELSE 0 END AS x, y + (o_orderkey * 17) % 301 - 150 AS y, o_orderstatus AS status, o_totalprice AS price,
+        CASE WHEN o_orderkey % 3 = 0 THEN 12 ELSE 0 END AS half
       FROM orders JOIN auth_address ON addr_key = o_custkey"""),
     "map_building": (["auth_address"], """
       SELECT CASE WHEN addr_key % 41 = 0 THEN 'n' ELSE 'w' END || (addr_key + 9000000000) AS osm_id, addr_key, muni_id,
