@@ -1,6 +1,6 @@
 """Equi joins whose keys may be very uneven.
 
-Keys that hold more rows than one task should see are found by a pre-aggregated count. Only then are both sides of such a
+Keys that hold more rows (or, with repeats on both sides, can give more pairs) than one task should see are found by a pre-aggregated count. Only then are both sides of such a
 key cut into blocks: a row stays in one block of its own side and is repeated over the blocks of the other side, so every
 pair meets exactly once and no row is dropped. The count reads the inputs once more, so this is for stored or cheaply derived tables; joins of
 costly results to a unique side are plain joins, whose uneven partitions adaptive execution splits.
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 500_000
+PAIR_ROWS = 10_000  #: rows of a side that one task sees where both sides repeat a key: at most PAIR_ROWS ** 2 pairs of a key meet in a task
 _BROADCAST_KEYS = 10_000
 
 
@@ -45,8 +46,10 @@ def split_hot(left: DataFrame, right: DataFrame, on: list[str], rows_per_task: i
               unique_right: bool = False, count_right: DataFrame | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides, ready for a join on the returned keys, with the rows of hot keys spread over blocks.
 
-    ``count_right`` may name rows that are cheaper to count than ``right`` and at least as many per key.
+    Where both sides repeat keys, blocks are small enough to bound the pairs of a key in a task, not only its rows. ``count_right`` may name
+    rows that are cheaper to count than ``right`` and at least as many per key.
     """
+    rows_per_task = rows_per_task if unique_right else min(rows_per_task, PAIR_ROWS)
     counted = right if count_right is None else count_right
     hot, n = _hot(left.where(_not_null(on)), None if unique_right else counted.where(_not_null(on)), on, rows_per_task)
     if n == 0:

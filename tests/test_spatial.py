@@ -187,3 +187,42 @@ def test_keep_first_limits_groups_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS v")
     plan = R.keep_first(df, ["k"], [F.desc("v")])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_hot_cells_are_split_by_pairs(spark):
+    """20,000 x 20,000 rows of one key could give 4e8 pairs in one task: they are spread over blocks, each row once on its own side."""
+    from addrweave.operators.skew import PAIR_ROWS, split_hot
+
+    left = spark.range(20_000).selectExpr("id AS a", "1 AS k").unionByName(spark.range(5).selectExpr("id AS a", "2 AS k"))
+    right = spark.range(20_000).selectExpr("id AS b", "1 AS k").unionByName(spark.range(5).selectExpr("id AS b", "2 AS k"))
+    l2, r2, keys = split_hot(left, right, ["k"])
+    assert keys == ["k", "_bl", "_br"]
+    sizes = l2.groupBy(*keys).count().join(r2.groupBy(*keys).count().withColumnRenamed("count", "other"), keys)
+    rows = sizes.where("k = 1").collect()
+    assert len(rows) == 4 and all(r["count"] < 1.1 * PAIR_ROWS and r["other"] < 1.1 * PAIR_ROWS for r in rows)
+    assert sum(r["count"] * r["other"] for r in rows) == 20_000**2
+    few = split_hot(left.where("a < 9"), right.where("b < 9"), ["k"])
+    assert few[2] == ["k"] and few[0].join(few[1], few[2]).count() == 81 + 25
+
+
+def test_shape_pairs_against_plain_distances(spark):
+    from addrweave.operators.cells import shape_pairs
+
+    rnd = random.Random(7)
+    pts = [(1, i, rnd.uniform(0, 900), rnd.uniform(0, 900)) for i in range(60)]
+    shapes, square = [], {}
+    for j in range(40):
+        x, y, h = rnd.uniform(0, 900), rnd.uniform(0, 900), rnd.choice([0, 5, 150])
+        ring = [(x - h, y - h), (x + h, y - h), (x + h, y + h), (x - h, y + h), (x - h, y - h)]
+        shapes.append((1, j, x, y, parts(ring) if h else None))
+        square[j] = (x, y, h)
+    df = spark.createDataFrame(shapes, f"scope int, j int, mx double, my double, rings {LINES}")
+    got, _ = shape_pairs(spark.createDataFrame(pts, "scope int, i int, x double, y double"), df, 60.0, ["scope"])
+    want = {}
+    for _, i, px, py in pts:
+        for j, (x, y, h) in square.items():
+            d = math.hypot(max(abs(px - x) - h, 0), max(abs(py - y) - h, 0))
+            if d <= 60:
+                want[i, j] = d
+    rows = got.collect()
+    assert len(rows) == len(want) and all(abs(want[r.i, r.j] - r.distance) < 1e-9 for r in rows)
