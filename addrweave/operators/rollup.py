@@ -42,9 +42,10 @@ def count_per_muni(df: DataFrame, name: str = "n") -> DataFrame:
     return df.groupBy("muni_id").agg(F.count("*").alias(name))
 
 
-def removed_counts(removed: DataFrame) -> DataFrame:
-    """A10: removed addresses still on the map, and those that carry a new id again, per municipality."""
-    return removed.groupBy("muni_id").agg(F.count("*").alias("removed"), F.count_if(F.col("house_ref").isNotNull()).alias("readded"))
+def removed_counts(removed: DataFrame, munis: DataFrame | None = None) -> DataFrame:
+    """Removed addresses still on the map, and those that carry a new id again, per municipality; with ``munis`` also those without any."""
+    counts = removed.groupBy("muni_id").agg(F.count("*").alias("removed"), F.count_if(F.col("house_ref").isNotNull()).alias("readded"))
+    return counts if munis is None else munis.select("muni_id").join(counts, "muni_id", "left").fillna(0, ["removed", "readded"])
 
 
 def merged_tags(tagged: DataFrame, key: str) -> DataFrame:

@@ -205,9 +205,14 @@ def fix_name_tags(q7: DataFrame, now: DataFrame) -> DataFrame:
         ("name:sr-Latn", F.col("now_latn"), target("wrong_name_sr_latn", "missing_name_sr_latn", "name_sr_latn", "now_latn", T.cyr2lat_small("now_name")))])
 
 
-def fix_int_names(q7: DataFrame) -> DataFrame:
-    """``int_name`` put right on ways whose name is the register's; of a way's several references the first counts."""
+def fix_int_names(q7: DataFrame, now: DataFrame | None = None) -> DataFrame:
+    """``int_name`` put right on ways whose name is the register's; of a way's several references the first counts.
+
+    With ``now`` (``osm_id, now_name, now_int_name``) only where name and tag still are what the analysis saw.
+    """
     d = keep_first(q7.where((F.col("wrong_int_name") | F.col("missing_int_name")) & (F.col("proper") == F.col("name")) & is_kind("osm_id", "w")), ["osm_id"], [F.asc("street_ref")])
+    if now is not None:
+        d = d.join(now, "osm_id").where(F.col("name").eqNullSafe(F.col("now_name")) & F.col("int_name").eqNullSafe(F.col("now_int_name")))
     return tag_rows(d, "osm_id", "int_name", [("int_name", F.col("int_name"), T.cyr2intname("name"))])
 
 

@@ -11,7 +11,8 @@ from addrweave.functions import text as T
 from addrweave.operators.lines import covered_by_partners, covered_length, hausdorff, is_ring
 from addrweave.operators.ranking import keep_first
 from addrweave.operators.skew import skew_join
-from addrweave.options import DEFAULTS, Options
+from addrweave.options import DEFAULTS, EXCLUDED_DISTRICTS, Options
+from addrweave.plans.mapping import lookup_name
 
 # Highway classes that are no street candidates.
 NO_STREET = ["footway", "cycleway", "path", "steps", "proposed", "construction", "corridor", "platform", "services", "rest_area", "raceway"]
@@ -150,6 +151,18 @@ def wrong_names(named: DataFrame) -> DataFrame:
     return named.withColumns(flags).where(" OR ".join(shown))
 
 
+def named_by_register(ways: DataFrame, streets: DataFrame, mapping: DataFrame, overrides: DataFrame, munis: DataFrame, excluded: list[int] | None = None) -> DataFrame:
+    """Map streets outside the excluded districts with the register's name of their street code, ``proper`` as the mapping spells it.
+
+    ``proper`` is null where the way has no known code and ``''`` where the mapping lacks the name. ``munis`` has ``muni_id, district``.
+    """
+    here = munis.where(~F.col("district").isin(EXCLUDED_DISTRICTS if excluded is None else excluded)).select("muni_id")
+    named = streets.groupBy("street_code").agg(F.min("street_name").alias("street_name"))
+    j = skew_join(ways.join(here, "muni_id", "left_semi").withColumn("street_code", F.col("street_ref")), named, ["street_code"], "left")
+    known = F.col("street_name").isNotNull() & (F.col("street_name") != "")
+    return lookup_name(j, mapping, overrides, F.lit(""), "_mapped_name").withColumn("proper", F.when(known, F.col("_mapped_name"))).drop("_mapped_name")
+
+
 def suggested_names(df: DataFrame) -> DataFrame:
     """Suggestions from the register name, else the map name, else a question mark."""
     ref = F.coalesce(F.nullif("proper", F.lit("")), F.nullif("name", F.lit("")))

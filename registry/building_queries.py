@@ -112,8 +112,9 @@ add("unaccounted_counts", lambda s, d: RU.with_zero_rows(RU.count_per_muni(A.una
 add("removed_on_map", lambda s, d: A.removed_on_map(flagged(World(s, d)), muni_polygons(World(s, d))).select("osm_id", F.col("polygon_id").alias("poly_id"), F.col("removal_date").cast("string").alias("removal_date")),
     q("""SELECT e.osm_id, i.poly_id, CASE WHEN entity_key % 10 <> 0 THEN '2024-0' || (entity_key % 9 + 1) || '-15' END AS removal_date
       FROM entity_flags e JOIN in_muni i ON i.osm_id = e.osm_id WHERE removed_ref IS NOT NULL""", "entity_flags", "in_muni"))
-add("removed_counts", lambda s, d: RU.removed_counts(A.removed_on_map(flagged(World(s, d)), muni_polygons(World(s, d))).drop("muni_id").withColumnRenamed("polygon_id", "muni_id")),
-    q("""SELECT i.poly_id AS muni_id, count(*) AS removed, count(e.house_ref) AS readded FROM entity_flags e JOIN in_muni i ON i.osm_id = e.osm_id WHERE removed_ref IS NOT NULL GROUP BY 1""", "entity_flags", "in_muni"))
+add("removed_counts", lambda s, d: RU.removed_counts(A.removed_on_map(flagged(World(s, d)), muni_polygons(World(s, d))).drop("muni_id").withColumnRenamed("polygon_id", "muni_id"), World(s, d).muni),
+    q("""SELECT m.muni_id, coalesce(r.removed, 0) AS removed, coalesce(r.readded, 0) AS readded FROM muni m LEFT JOIN (SELECT i.poly_id, count(*) AS removed, count(e.house_ref) AS readded
+      FROM entity_flags e JOIN in_muni i ON i.osm_id = e.osm_id WHERE removed_ref IS NOT NULL GROUP BY 1) r ON r.poly_id = m.muni_id""", "entity_flags", "in_muni", "muni"))
 add("nodes_in_buildings", lambda s, d: B.nodes_in_buildings(World(s, d).map_node, World(s, d).building_polygon).select("osm_id", "building_id"), q("SELECT osm_id, building_id FROM in_building", "in_building"))
 add("building_resolution", lambda s, d: B.resolution(B.building_facts(B.nodes_in_buildings(World(s, d).map_node, World(s, d).building_polygon))).select("building_id", "resolution", "pois", "simple", "addresses"),
     q("SELECT building_id, resolution, pois, simple, addresses FROM resolved", "resolved"))

@@ -100,6 +100,10 @@ add("ref_name_ways", lambda s, d: M.ref_name_ways(World(s, d).way_line), q("SELE
 add("lookup_names", lambda s, d: (lambda w: M.lookup_name(w.street.select("street_id", "street_code", "street_name"), mapping(w), overrides(w), F.col("street_name")).select("street_id", "proper_name"))(World(s, d)),
     q("""SELECT s.street_id, CASE WHEN m.name IS NULL THEN s.street_name ELSE coalesce(o.name, m.name) END AS proper_name FROM street s LEFT JOIN mapping m ON m.rgz_name = s.street_name
       LEFT JOIN override o ON o.rgz_name = s.street_name AND o.street_code = s.street_code""", "street", "mapping", "override"))
+add("street_names_joined", lambda s, d: (lambda w: ST.named_by_register(w.way_line.select("osm_id", "muni_id", "street_ref"), w.street, mapping(w), overrides(w), w.muni, [3, 7]).select("osm_id", "street_name", "proper"))(World(s, d)),
+    q("""SELECT b.osm_id, t.street_name, CASE WHEN t.street_name IS NOT NULL THEN CASE WHEN m.name IS NULL THEN '' ELSE coalesce(o.name, m.name) END END AS proper
+      FROM way_base b JOIN muni u ON u.muni_id = b.muni_id AND u.district NOT IN (3, 7) LEFT JOIN street t ON t.street_code = b.street_ref
+      LEFT JOIN mapping m ON m.rgz_name = t.street_name LEFT JOIN override o ON o.rgz_name = t.street_name AND o.street_code = t.street_code""", "way_base", "muni", "street", "mapping", "override"))
 add("missing_names", lambda s, d: (lambda w: M.missing_names(w.street, curated(w)).select("street_code", "rgz_name"))(World(s, d)),
     q("SELECT DISTINCT street_code, street_name AS rgz_name FROM street WHERE street_name NOT IN (SELECT rgz_name FROM curated)", "street", "curated"))
 add("overrides_without_base", lambda s, d: (lambda w: M.overrides_without_base(overrides(w), curated(w)).select("rgz_name", "street_code"))(World(s, d)),
@@ -300,8 +304,9 @@ add("plan_fix_name_tags", lambda s, d: (lambda w: plan(E.fix_name_tags(q7(w), na
     q(f"""SELECT * FROM ({unpivot('osm_id', [('name:sr', 'now_sr', "CASE WHEN (wrong_name_sr AND name_sr IS NOT DISTINCT FROM now_sr) OR (missing_name_sr AND now_sr IS NULL) THEN name ELSE now_sr END"),
       ('name:sr-Latn', 'name_sr_latn', f"CASE WHEN wrong_name_sr_latn OR (missing_name_sr_latn AND name_sr_latn IS NULL) THEN {CYR2LAT('name', True)} ELSE name_sr_latn END")], 'name tags',
       "(SELECT *, CASE WHEN way_key % 8 <> 0 THEN name_sr END AS now_sr FROM q7) WHERE street_ref IS NOT NULL AND NOT wrong_name AND NOT missing_name AND name IS NOT NULL")})""", "q7"))
-add("plan_fix_int_names", lambda s, d: plan(E.fix_int_names(q7(World(s, d)))),
-    q(unpivot("osm_id", [("int_name", "int_name", INTNAME("name"))], "int_name", "q7 WHERE (wrong_int_name OR missing_int_name) AND proper = name"), "q7"))
+add("plan_fix_int_names", lambda s, d: (lambda w: plan(E.fix_int_names(q7(w), named_streets(w).select(
+        "osm_id", F.when(F.col("way_key") % 10 != 0, F.col("name")).alias("now_name"), F.when(F.col("way_key") % 3 == 0, F.lit("x")).otherwise(F.col("int_name")).alias("now_int_name")))))(World(s, d)),
+    q(unpivot("osm_id", [("int_name", "int_name", INTNAME("name"))], "int_name", "q7 WHERE (wrong_int_name OR missing_int_name) AND proper = name AND way_key % 10 <> 0 AND way_key % 3 <> 0"), "q7"))
 add("plan_fix_alt_names", lambda s, d: (lambda w: plan(E.fix_alt_names(ST.wrong_alt_names(named_streets(w)), w.street.select(F.lit("~~прве~~ x").alias("alt_suggestion"), F.lit("x").alias("full_name")).limit(0))))(World(s, d)), None)
 add("plan_unnamed_ways", lambda s, d: (lambda w: plan(E.unnamed_ways(found(w), w.way_line, w.street.withColumn("is_hamlet", T.is_hamlet("street_code")), w.muni)))(World(s, d)),
     q(unpivot("osm_id", [("ref:RS:ulica", "NULL", "street_code"), ("name", "NULL", "proper_name"), ("name:sr", "NULL", "proper_name"), ("name:sr-Latn", "NULL", CYR2LAT("proper_name", True)), ("int_name", "NULL", INTNAME("proper_name"))],

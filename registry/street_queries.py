@@ -167,6 +167,11 @@ add("top_name_mismatch", lambda s, d: (lambda w: ST.top_streets(ST.name_mismatch
       ORDER BY 2 DESC, 1 LIMIT 100) WHERE NOT h""", "q10", "street"))
 add("missing_geometry", lambda s, d: rounded(ST.missing_geometry(report(World(s, d))), "need_drawing", "need_conflating").select("street_id", "need_drawing", "need_conflating"),
     q("SELECT street_id, round(need_drawing, 4) AS need_drawing, round(need_conflating, 4) AS need_conflating FROM q11", "q11"))
+for metric in ("need_drawing", "need_conflating"):
+    add(f"top_{metric}", lambda s, d, by=metric: ST.top_streets(rounded(ST.missing_geometry(report(World(s, d))), by), by).select("street_id", by),
+        q(f"SELECT street_id, {metric} FROM (SELECT street_id, round({metric}, 4) AS {metric}, is_hamlet FROM q11 ORDER BY 2 DESC NULLS LAST, 1 LIMIT 100) WHERE NOT is_hamlet", "q11"))
+add("ring_streets_with_exceptions", lambda s, d: (lambda w: ST.ring_streets(w.street_line, w.street.where("street_id % 10 = 0").select("street_code", (F.col("street_id") % 20 == 0).alias("is_ring"))))(World(s, d)),
+    q("SELECT street_code, street_id % 20 = 0 AS ring FROM street", "street"))
 add("missing_geometry_per_muni", lambda s, d: rounded(ST.missing_per_muni(ST.missing_geometry(report(World(s, d)))), "drawing_length", "conflating_length", "drawing_conflated", "conflating_conflated", digits=3),
     q("""SELECT muni_id, count(*) FILTER (WHERE need_drawing > 0) AS drawing_count, round(coalesce(sum(need_drawing) FILTER (WHERE need_drawing > 0), 0.0), 3) AS drawing_length,
       count(*) FILTER (WHERE NOT need_drawing > 0) AS conflating_count, round(coalesce(sum(need_conflating) FILTER (WHERE NOT need_drawing > 0), 0.0), 3) AS conflating_length,
