@@ -5,6 +5,8 @@ Nothing is sent anywhere; the current map table is joined where a plan depends o
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -216,12 +218,33 @@ def fix_int_names(q7: DataFrame, now: DataFrame | None = None) -> DataFrame:
     return tag_rows(d, "osm_id", "int_name", [("int_name", F.col("int_name"), T.cyr2intname("name"))])
 
 
-def fix_alt_names(q8: DataFrame, replacements: DataFrame) -> DataFrame:
-    """Missing alternative names set to the suggestion; partial ones only where the table gives the full form. ``replacements``: ``alt_suggestion, full_name``."""
-    d = q8.where(F.col("alt_missing") & is_kind("osm_id", "w"))
-    d = keep_first(d, ["osm_id"], [F.asc("alt_suggestion")]).join(replacements, "alt_suggestion", "left")
-    new = F.when(F.col("alt_partial"), F.col("full_name")).otherwise(F.col("alt_suggestion"))
-    return tag_rows(d.withColumn("_new", new).where("_new IS NOT NULL"), "osm_id", "alt_name", [("alt_name", F.col("alt_name"), F.col("_new"))])
+ALT_SPELLINGS = [("alt_", "alt_name", "alt_name"), ("alt_sr_", "alt_name_sr", "alt_name:sr"), ("alt_latn_", "alt_name_sr_latn", "alt_name:sr-Latn")]
+
+
+def fix_alt_names(q8: DataFrame, replacements: DataFrame, now: DataFrame | None = None) -> DataFrame:
+    """Missing and wrong alternative names in three spellings set to the suggestion.
+
+    Partial suggestions are used only where the table gives the full form; the Latin forms of its rows are derived. ``replacements``:
+    ``alt_suggestion, full_name``. With ``now`` (``osm_id, now_name, now_alt_name, now_alt_name_sr, now_alt_name_sr_latn``) a tag is changed only while it is what the
+    analysis saw, and unnamed ways wait; otherwise the analysed tags stand for the current ones.
+    """
+    spellings = [x for x in ALT_SPELLINGS if f"{x[0]}missing" in q8.columns]
+    flags = [F.coalesce(F.col(f"{p}{f}"), F.lit(False)) for p, _, _ in spellings for f in ("missing", "wrong")]
+    d = q8.where(is_kind("osm_id", "w") & reduce(lambda x, y: x | y, flags))
+    if {"street_ref", "proper", "name"} <= set(q8.columns):
+        d = d.where(F.col("street_ref").isNotNull() & (F.col("name") == F.col("proper")))
+    d = keep_first(d, ["osm_id"], [F.asc("alt_suggestion")])
+    d = d.withColumns({f"now_{c}": F.col(c) for _, c, _ in spellings}) if now is None else d.join(now, "osm_id").where(F.col("now_name").isNotNull())
+    latin = replacements.select(T.cyr2lat_small("alt_suggestion").alias("alt_suggestion"), T.cyr2lat_small("full_name").alias("full_name"))
+    table = replacements.select("alt_suggestion", "full_name").unionByName(latin).groupBy("alt_suggestion").agg(F.min("full_name").alias("_full"))
+    changes = []
+    for p, c, tag in spellings:
+        d = d.join(table.select(F.col("alt_suggestion").alias(f"{p}suggestion"), F.col("_full").alias(f"_{p}full")), f"{p}suggestion", "left")
+        current = F.col(f"now_{c}")
+        go = (F.col(f"{p}wrong") & current.eqNullSafe(F.col(c))) | (F.col(f"{p}missing") & current.isNull())
+        new = F.when(F.col(f"{p}partial"), F.col(f"_{p}full")).otherwise(F.col(f"{p}suggestion"))
+        changes.append((tag, current, F.when(go, F.coalesce(new, current)).otherwise(current)))
+    return tag_rows(d, "osm_id", "alt_name", changes)
 
 
 def unnamed_ways(found: DataFrame, ways: DataFrame, summary: DataFrame, munis: DataFrame, options: Options = DEFAULTS) -> DataFrame:

@@ -307,7 +307,15 @@ add("plan_fix_name_tags", lambda s, d: (lambda w: plan(E.fix_name_tags(q7(w), na
 add("plan_fix_int_names", lambda s, d: (lambda w: plan(E.fix_int_names(q7(w), named_streets(w).select(
         "osm_id", F.when(F.col("way_key") % 10 != 0, F.col("name")).alias("now_name"), F.when(F.col("way_key") % 3 == 0, F.lit("x")).otherwise(F.col("int_name")).alias("now_int_name")))))(World(s, d)),
     q(unpivot("osm_id", [("int_name", "int_name", INTNAME("name"))], "int_name", "q7 WHERE (wrong_int_name OR missing_int_name) AND proper = name AND way_key % 10 <> 0 AND way_key % 3 <> 0"), "q7"))
-add("plan_fix_alt_names", lambda s, d: (lambda w: plan(E.fix_alt_names(ST.wrong_alt_names(named_streets(w)), w.street.select(F.lit("~~прве~~ x").alias("alt_suggestion"), F.lit("x").alias("full_name")).limit(0))))(World(s, d)), None)
+
+
+def alt_plan(w: World):
+    found_ = ST.wrong_alt_names(named_streets(w))
+    full = found_.where("alt_partial").select("alt_suggestion", F.regexp_replace("alt_suggestion", "~", "").alias("full_name")).distinct()
+    return plan(E.fix_alt_names(found_, full))
+
+
+add("plan_fix_alt_names", lambda s, d: alt_plan(World(s, d)), None)
 add("plan_unnamed_ways", lambda s, d: (lambda w: plan(E.unnamed_ways(found(w), w.way_line, w.street.withColumn("is_hamlet", T.is_hamlet("street_code")), w.muni)))(World(s, d)),
     q(unpivot("osm_id", [("ref:RS:ulica", "NULL", "street_code"), ("name", "NULL", "proper_name"), ("name:sr", "NULL", "proper_name"), ("name:sr-Latn", "NULL", CYR2LAT("proper_name", True)), ("int_name", "NULL", INTNAME("proper_name"))],
               "unnamed way", "(SELECT f.osm_id, f.share, f.way_length, t.street_code, t.proper_name, m.district, w.name, w.bridge FROM found f JOIN street t ON t.street_id = f.street_id JOIN muni m ON m.muni_id = f.muni_id JOIN way_base w ON w.osm_id = f.osm_id) "

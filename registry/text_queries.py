@@ -110,7 +110,7 @@ def named_streets(w: World):
         "osm_id", "way_key", "muni_id", "street_ref", F.when(F.col("street_ref").isNotNull(), p).alias("proper"), n.alias("name"),
         F.when(k % 4 == 0, p).when(k % 4 == 1, n).alias("name_sr"), F.when(k % 5 == 0, T.cyr2lat_small(p)).when(k % 5 == 1, T.cyr2intname(n)).when(k % 5 == 2, "").alias("name_sr_latn"),
         F.when(k % 6 == 0, T.cyr2intname(n)).when(k % 6 == 1, F.lit("Main Street")).alias("name_en"), F.when(k % 7 == 0, T.cyr2intname(n)).when(k % 7 == 1, n).alias("int_name"),
-        F.when(k % 3 == 0, F.lit("2. дивизије")).alias("alt_name"), F.lit(None).cast("string").alias("alt_name_sr"), F.lit(None).cast("string").alias("alt_name_sr_latn"))
+        F.when(k % 3 == 0, F.lit("2. дивизије")).alias("alt_name"), F.when(k % 3 == 1, F.lit("2. дивизије")).alias("alt_name_sr"), F.when(k % 3 == 2, F.lit("2. divizije")).alias("alt_name_sr_latn"))
 
 
 NAMED = {"named": (["way_base"], f"""

@@ -49,10 +49,19 @@ def test_apartments_and_alt_names(spark):
     b = spark.createDataFrame([("w1", "yes", None), ("w2", "yes", None), ("w3", "apartments", None), ("w4", "construction", "house"), ("w5", "school", None), ("r6", "yes", None)], "osm_id string, building string, construction string")
     got = sorted((r.entity_id, r.tag, r.old_value, r.new_value) for r in E.tag_apartments(status, b).collect())
     assert got == [("w1", "building", "yes", "apartments"), ("w4", "construction", "house", "apartments")]
-    q8 = spark.createDataFrame([("w1", None, True, "22. дивизије", False), ("w2", None, True, "~~прве~~ x", True), ("w3", None, True, "~~друге~~ x", True), ("w4", "a", False, "б", False)],
-                               "osm_id string, alt_name string, alt_missing boolean, alt_suggestion string, alt_partial boolean")
+    cols = ", ".join(f"{c} string, {p}missing boolean, {p}wrong boolean, {p}suggestion string, {p}partial boolean" for p, c, _ in E.ALT_SPELLINGS)
+    none = (None, False, False, "", False)
+    q8 = spark.createDataFrame([
+        ("w1", None, True, False, "22. дивизије", False, *none, *none), ("w2", None, True, False, "~~прве~~ x", True, *none, None, True, False, "~~prve~~ x", True),
+        ("w3", None, True, False, "~~друге~~ x", True, *none, *none), ("w4", "a", False, True, "б", False, "в", False, True, "г", False, *none),
+        ("w5", "a", False, True, "б", False, *none, *none), ("n6", None, True, False, "б", False, *none, *none), ("w7", "a", False, False, "", False, *none, *none)], f"osm_id string, {cols}")
     rep = spark.createDataFrame([("~~прве~~ x", "Прве x")], "alt_suggestion string, full_name string")
-    assert sorted((r.entity_id, r.new_value) for r in E.fix_alt_names(q8, rep).collect()) == [("w1", "22. дивизије"), ("w2", "Прве x")]
+    got = lambda df: sorted((r.entity_id, r.tag, r.new_value) for r in df.collect())
+    want = [("w1", "alt_name", "22. дивизије"), ("w2", "alt_name", "Прве x"), ("w2", "alt_name:sr-Latn", "Prve x"), ("w4", "alt_name", "б"), ("w4", "alt_name:sr", "г"), ("w5", "alt_name", "б")]
+    assert got(E.fix_alt_names(q8, rep)) == want
+    now = spark.createDataFrame([("w1", "N", "new", None, None), ("w2", "N", None, None, "x"), ("w4", "N", "a", "changed", None), ("w5", None, "a", None, None)],
+                                "osm_id string, now_name string, now_alt_name string, now_alt_name_sr string, now_alt_name_sr_latn string")
+    assert got(E.fix_alt_names(q8, rep, now)) == [("w2", "alt_name", "Прве x"), ("w4", "alt_name", "б")]
 
 
 def test_new_addresses_in_degrees_and_changes_with_nulls(spark):
