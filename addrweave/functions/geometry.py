@@ -146,6 +146,22 @@ def group_bounds(df: DataFrame, keys: list[str], x: str = "x", y: str = "y") ->
     return df.groupBy(*keys).agg(F.min(x).alias("xmin"), F.min(y).alias("ymin"), F.max(x).alias("xmax"), F.max(y).alias("ymax"))
 
 
+def convex_hull(points: Column | str) -> Column:
+    """Closed ring of the smallest convex shape around the points (counter-clockwise; two points give a line there and back)."""
+    pts = F.array_sort(F.array_distinct(_col(points)))
+
+    def chain(sorted_points: Column) -> Column:
+        def add(acc: Column, p: Column) -> Column:
+            def drop(a: Column, _: Column) -> Column:  # the last point goes while it makes no left turn
+                o, q = F.get(a, F.size(a) - 2), F.get(a, F.size(a) - 1)
+                turn = (q["x"] - o["x"]) * (p["y"] - o["y"]) - (q["y"] - o["y"]) * (p["x"] - o["x"])
+                return F.when((F.size(a) >= 2) & (turn <= 0), F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(a)
+            return F.concat(F.aggregate(acc, acc, drop), F.array(p))
+        return F.aggregate(sorted_points, F.slice(sorted_points, 1, 0), add)
+    low, high = chain(pts), chain(F.reverse(pts))
+    return F.concat(F.slice(low, F.lit(1), F.greatest(F.size(low) - 1, F.lit(0))), high)
+
+
 def way_shape(points: Column | str) -> Column:
     """Point for one vertex, Polygon for a closed way of more than two, else LineString."""
     p = _col(points)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrweave.functions import geometry as G
+from addrweave.functions.projection import to_utm
 from addrweave.operators.ranking import keep_first
 from addrweave.operators.skew import skew_join
 from addrweave.options import DEFAULTS, Options
@@ -56,16 +57,42 @@ def assemble_ways(ways: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFra
 def assemble_relations(relations: DataFrame, way_geoms: DataFrame) -> DataFrame:
     """Rings of each relation: closed outer and inner ways (the even-odd rule subtracts the inner ones).
 
-    ``all_open`` says no outer way is closed; ``outer_points`` then holds their vertices, whose hull is the shape. Non-way members and ways
-    without geometry are left out.
+    Where no outer way is closed (``all_open``) the only ring is the hull of their vertices; open outer ways beside closed ones are ``lines``.
+    Non-way members, ways without geometry and relations without outer ways are left out. A relation's members, which the map bounds, meet in one row.
     """
     m = relations.select("id", F.explode("members").alias("m")).where((F.col("m.type") == "w") & F.col("m.role").isin("outer", "inner"))
     g = way_geoms.select(F.col("id").alias("ref"), "points", (F.col("shape") == "Polygon").alias("closed"))
     j = skew_join(m.select("id", F.col("m.ref").alias("ref"), F.col("m.role").alias("role")), g, ["ref"], "inner")
     outer = F.col("role") == "outer"
-    return j.groupBy("id").agg(
-        F.collect_list(F.when(F.col("closed"), F.col("points"))).alias("rings"), (~F.bool_or(outer & F.col("closed"))).alias("all_open"),
-        F.flatten(F.collect_list(F.when(outer & ~F.col("closed"), F.col("points")))).alias("outer_points"))
+    d = j.groupBy("id").agg(
+        F.collect_list(F.when(F.col("closed"), F.col("points"))).alias("rings"), (~F.bool_or(outer & F.col("closed"))).alias("all_open"), F.bool_or(outer).alias("_outer"),
+        F.collect_list(F.when(outer & ~F.col("closed"), F.col("points"))).alias("lines")).where("_outer").drop("_outer")
+    return d.withColumns({"rings": F.when(F.col("all_open"), F.array(G.convex_hull(F.flatten("lines")))).otherwise(F.col("rings")),
+                          "lines": F.when(F.col("all_open"), F.slice("lines", 1, 0)).otherwise(F.col("lines"))})
+
+
+def address_entities(nodes: DataFrame, ways: DataFrame, relations: DataFrame, options: Options = DEFAULTS) -> DataFrame:
+    """Map entities with an address tag or id as the address analyses read them: ``osm_id, street, house_no, house_ref, x, y, rings``.
+
+    Coordinates are metres. ``rings`` holds the parts of ways and relations and is null for nodes; ``x, y`` is a vertex of them. ``muni_id`` comes
+    from a join to municipality polygons.
+    """
+    lines, _ = assemble_ways(ways, nodes)
+    shapes = assemble_relations(relations, lines)
+
+    def metres(p: Column) -> Column:
+        x, y = to_utm(p["x"], p["y"], options.metric_crs)
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    def entity(df: DataFrame, letter: str, parts: Column) -> DataFrame:
+        return df.select(F.concat(F.lit(letter), F.col("id").cast("string")).alias("osm_id"), "tags", F.transform(parts, lambda part: F.transform(part, metres)).alias("parts"))
+    point = F.struct(F.col("lon").cast("double").alias("x"), F.col("lat").cast("double").alias("y"))
+    d = entity(nodes, "n", F.array(F.array(point))).unionByName(entity(ways.join(lines, "id"), "w", F.array("points"))).unionByName(
+        entity(relations.join(shapes, "id"), "r", F.concat("rings", "lines")))
+    first = F.get(F.get("parts", F.lit(0)), F.lit(0))
+    d = d.select("osm_id", _tag("addr:street").alias("street"), _tag("addr:housenumber").alias("house_no"), _tag(options.house_ref).alias("house_ref"),
+                 first["x"].alias("x"), first["y"].alias("y"), F.when(~F.col("osm_id").startswith("n"), F.col("parts")).alias("rings"))
+    return d.where("street IS NOT NULL OR house_no IS NOT NULL OR house_ref IS NOT NULL")
 
 
 def union_tiles(tiles: list[DataFrame]) -> DataFrame:

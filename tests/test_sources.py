@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from addrweave.functions import geometry as G
 from addrweave.functions import projection as P
 from addrweave.operators import rollup as RU
 from addrweave.plans import mapping as M
@@ -71,7 +72,7 @@ def test_elements(spark):
     assert {r.id: r["shape"] for r in geoms.collect()} == {10: "Polygon", 11: "LineString", 12: "Point"}
     assert [tuple(r) for r in lost.collect()] == [(13, 99)]
     r = {x.id: x for x in E.assemble_relations(rels, geoms).collect()}
-    assert len(r[20].rings) == 1 and not r[20].all_open and r[21].all_open and len(r[21].outer_points) == 2
+    assert len(r[20].rings) == 1 and not r[20].all_open and r[21].all_open and len(r[21].rings[0]) == 3 and r[21].lines == []
     assert E.union_tiles([nodes.selectExpr("concat('n', id) AS osm_id")] * 2).count() == 5
 
 
@@ -112,3 +113,41 @@ def test_wgs84_grid_matches_zone_centre(spark):
     d = spark.createDataFrame([(500000.0, 4_982_950.4)], "x double, y double")
     lon, lat = d.select(*P.from_utm(F.col("x"), F.col("y"))).collect()[0]
     assert lon == pytest.approx(21.0) and lat == pytest.approx(45.0, abs=1e-6)
+
+
+def test_convex_hull(spark):
+    import random
+
+    rnd = random.Random(5)
+    sets = [[(rnd.randint(0, 9), rnd.randint(0, 9)) for _ in range(n)] for n in (1, 2, 3, 8, 25, 40)]
+
+    def hull(points):
+        pts = sorted(set(points))
+        def half(ps):
+            out = []
+            for p in ps:
+                while len(out) >= 2 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]) <= 0:
+                    out.pop()
+                out.append(p)
+            return out
+        return half(pts)[:-1] + half(pts[::-1])
+    df = spark.createDataFrame([(i, [{"x": float(x), "y": float(y)} for x, y in p]) for i, p in enumerate(sets)], "i int, p array<struct<x:double,y:double>>")
+    got = {r.i: [(v.x, v.y) for v in r.h] for r in df.select("i", G.convex_hull("p").alias("h")).collect()}
+    assert all(got[i] == hull([(float(x), float(y)) for x, y in p]) for i, p in enumerate(sets))
+
+
+def test_from_elements_to_the_match(spark):
+    """A building way around the register point is matched at distance 0; its node-only neighbour is farther."""
+    from addrweave.plans.address import match_addresses
+
+    lon, lat = 20.46, 44.81
+    corner = [(1, -1e-4, -1e-4), (2, 1e-4, -1e-4), (3, 1e-4, 1e-4), (4, -1e-4, 1e-4)]
+    nodes = spark.createDataFrame([(i, lon + a, lat + b, {}) for i, a, b in corner] + [(9, lon + 5e-4, lat, {"addr:street": "Осма", "addr:housenumber": "1"})], "id long, lon double, lat double, tags map<string,string>")
+    ways = spark.createDataFrame([(7, [1, 2, 3, 4, 1], {"addr:street": "Осма", "addr:housenumber": "1"}), (8, [1, 2], {"addr:street": ""})], "id long, nodes array<long>, tags map<string,string>")
+    relations = spark.createDataFrame([(5, [("w", 7, "outer")], {"addr:street": "Девета"})], "id long, members array<struct<type:string,ref:long,role:string>>, tags map<string,string>")
+    osm = E.address_entities(nodes, ways, relations).withColumn("muni_id", F.lit(1))
+    assert {r.osm_id for r in osm.collect()} == {"n9", "w7", "r5"}
+    x, y = E.to_utm(F.col("lon"), F.col("lat"))
+    auth = spark.createDataFrame([("a", 1, "Осма", "1", lon, lat)], "addr_id string, muni_id int, street string, house_no string, lon double, lat double").withColumns({"x": x, "y": y})
+    (r,) = match_addresses(auth, osm).collect()
+    assert (r.osm_id, r.distance, r.matching) == ("w7", 0.0, True)
