@@ -3,11 +3,12 @@
 A signature has ``CHUNKS * SYMBOLS`` symbols of 16 bits. Two signatures that differ in at most ``DISTANCE`` symbols have, by the
 pigeonhole, one of ``CHUNKS`` chunks with at most ``DISTANCE // CHUNKS`` (one) differing symbol. Each document files every chunk once per
 symbol left out, so such a pair meets under an equal key for certain. At a similarity of exactly 0.75 a signature differs in 12 of
-48 symbols on average (deviation 3), so the limit of 23 lies 3.7 deviations away.
+48 symbols on average (deviation 3), so the limit of 23 lies 3.7 deviations away. Pairs that meet are compared on ``ALL`` symbols,
+where 90 differences of 256 lie as far from the 64 expected.
 
 Links are confirmed on full shingle sets. Equal sets are one class; a key's members are not paired with each other: they are
-linked to the key's smallest and largest class first, and only members that still lie in different components afterwards are compared by
-signature, in blocks of bounded size, and then by sets.
+linked to the key's smallest and largest class first, and only members that still lie in different components afterwards are compared, in
+blocks of bounded size, by signature and by shingle hashes; a block gives links that join components, so no more than it has members.
 """
 
 from __future__ import annotations
@@ -25,19 +26,20 @@ from addrweave.llm.words import blocks, mix, shingle_sets
 
 SHINGLE, PERCENT = 5, 75
 CHUNKS, SYMBOLS, DISTANCE = 12, 4, 23
+ALL, ALL_DISTANCE = 256, 90
 MEMBERS = 1024  #: members of a key that one block holds
 _K = CHUNKS * SYMBOLS
-_FACTORS = (mix(np.arange(_K, dtype=np.uint64), 1) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_MASKS = (mix(np.arange(_K, dtype=np.uint64), 2) >> np.uint64(32)).astype(np.uint32)
+_FACTORS = (mix(np.arange(ALL, dtype=np.uint64), 1) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_MASKS = (mix(np.arange(ALL, dtype=np.uint64), 2) >> np.uint64(32)).astype(np.uint32)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     """16 bits of the smallest of each of the permuted shingle values."""
     short = (shingles >> np.uint64(32)).astype(np.uint32)
-    low = np.full(_K, 2**32 - 1, np.uint32)
+    low = np.full(ALL, 2**32 - 1, np.uint32)
     with np.errstate(over="ignore"):
-        for i in range(0, len(short), 2048):
-            part = (short[None, i : i + 2048] ^ _MASKS[:, None]) * _FACTORS[:, None]
+        for i in range(0, len(short), 512):
+            part = (short[None, i : i + 512] ^ _MASKS[:, None]) * _FACTORS[:, None]
             part ^= part >> np.uint32(15)
             low = np.minimum(low, (part * np.uint32(0x2C1B3C6D)).min(1))
         return (mix(low.astype(np.uint64)) >> np.uint64(48)).astype(np.uint16)
@@ -56,9 +58,19 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(signs, pa.binary())], ["doc_id", "n", "high", "low", "sign"])
 
 
+def _signs(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, ALL)
+
+
+def close(a: np.ndarray, m: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether signatures and set sizes (rows) allow a similarity that is high enough."""
+    apart = a != b
+    return (apart[:, :_K].sum(1) <= DISTANCE) & (apart.sum(1) <= ALL_DISTANCE) & (100 * np.minimum(m, n) >= PERCENT * np.maximum(m, n))
+
+
 def chunk_keys(signs: np.ndarray) -> np.ndarray:
     """Keys of each signature (rows): for each chunk and each symbol left out, the other symbols with both numbers."""
-    chunks = signs.reshape(-1, CHUNKS, SYMBOLS).astype(np.int64)
+    chunks = signs[:, :_K].reshape(-1, CHUNKS, SYMBOLS).astype(np.int64)
     keys = []
     for left in range(SYMBOLS):
         key = np.arange(CHUNKS, dtype=np.int64)[None, :] * SYMBOLS + left
@@ -73,7 +85,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = chunk_keys(np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint16).reshape(-1, _K))
+        keys = chunk_keys(_signs(batch.column("sign").to_pylist()))
         yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(np.asarray(batch.column("rep")), keys.shape[1]))], ["key", "rep"])
 
 
@@ -99,65 +111,115 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, _K) for c in ("sign_x", "sign_y"))
-            m, n = np.asarray(batch.column("n_x")), np.asarray(batch.column("n_y"))
-            keep = ((a != b).sum(1) <= DISTANCE) & (100 * np.minimum(m, n) >= PERCENT * np.maximum(m, n))
+            col = {c: batch.column(c) for c in batch.schema.names}
+            keep = close(_signs(col["sign_x"].to_pylist()), np.asarray(col["n_x"]), _signs(col["sign_y"].to_pylist()), np.asarray(col["n_y"]))
             yield batch.select(["x", "y"]).filter(pa.array(keep))
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """``pairs`` (``x``, ``y``) that keep the signature distance and whose full sets are similar enough.
 
-    Only texts of documents in some remaining pair are joined; a hot document is a skewed join key, which Spark splits.
+    ``docs`` holds the texts of candidates only; a hot document is a skewed join key, which Spark splits.
     """
     of = lambda c: classes.select(F.col("rep").alias(c), F.col("sign").alias(f"sign_{c}"), F.col("n").alias(f"n_{c}"))
     near = written(pairs.join(of("x"), "x").join(of("y"), "y").select("x", "y", "sign_x", "sign_y", "n_x", "n_y").mapInArrow(_near, "x long, y long").distinct(), "near-pairs")
-    used = near.select(F.col("x").alias("doc_id")).union(near.select("y")).distinct()
-    some = written(docs.join(used, "doc_id", "left_semi"), "near-texts")
-    of = lambda c: some.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
+    of = lambda c: docs.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
     return written(near.join(of("y"), "y").join(of("x"), "x").select("x", "y", "text_x", "text_y").mapInArrow(_similar, "x long, y long").distinct(), "links")
 
 
-_BLOCK_PAIRS = "x long, y long"
-
-
-def _across(frame):
-    """Pairs within one block pair of a key that lie in different components and keep the signature distance."""
-    import pandas as pd
-
-    left, right = frame[frame.side != 1], frame[frame.side != 0]
-    comp, n, rep = right.component.to_numpy(), right.n.to_numpy(), right.rep.to_numpy()
-    signs = np.frombuffer(b"".join(right.sign), np.uint16).reshape(-1, _K)
-    most = np.unique(comp, return_counts=True)
-    most = most[0][most[1].argmax()]
-    out = []
-    same_block = bool((frame.side == 2).any())
-    for c, m, r, s in zip(left.component.to_numpy(), left.n.to_numpy(), left.rep.to_numpy(), left.sign, strict=True):
-        other = comp != c
-        if same_block:  # the largest component's members are met from the other end
-            if c == most:
-                continue
-            other &= (comp == most) | (rep > r)
-        other = np.flatnonzero(other & (100 * np.minimum(m, n) >= PERCENT * np.maximum(m, n)))
-        if len(other):
-            near = other[(signs[other] != np.frombuffer(s, np.uint16)).sum(1) <= DISTANCE]
-            out.append(np.stack([np.minimum(rep[near], r), np.maximum(rep[near], r)]))
-    out = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
-    return pd.DataFrame({"x": out[0], "y": out[1]})
-
-
-def _residual(live: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
-    """Candidate pairs of members that share a key and still lie in different components."""
+def first_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of the first key that the signatures (rows) share, -1 where there is none."""
+    apart = (a[:, :_K] != b[:, :_K]).reshape(-1, CHUNKS, SYMBOLS)
+    few = apart.sum(2) <= DISTANCE // CHUNKS
+    chunk = few.argmax(1)
+    rows = np.arange(len(a))
+    return np.where(few[rows, chunk], chunk * SYMBOLS + apart[rows, chunk].argmax(1), -1)
+
+
+def _short_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets of 32-bit shingle hashes: all but exact within a pair; links are confirmed on full sets afterwards."""
+    for batch in batches:
+        for lo, hi, buf, offsets in blocks(batch):
+            sets = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in shingle_sets(buf, offsets, SHINGLE)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(sets, pa.binary())], ["rep", "short"])
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs within one block pair of a key (rows come together) that lie in different components and may be similar.
+
+    A pair that meets under several keys is looked at under the first one only, and given if it joins components that no other given pair of
+    the block joins. At most two blocks of members are held.
+    """
+    held: list[pa.RecordBatch] = []
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        col = {c: rows.column(c).to_numpy() for c in ("key", "i", "j", "rep", "component", "n", "side")}
+        sign, short = _signs(rows.column("sign").to_pylist()), [np.frombuffer(x.as_py(), np.uint32) for x in rows.column("short")]
+        edge = np.flatnonzero((np.diff(col["key"]) != 0) | (np.diff(col["i"]) != 0) | (np.diff(col["j"]) != 0)) + 1
+        out: list[tuple[int, int]] = []
+        for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), rows.num_rows], strict=True):
+            side, place = col["side"][lo:hi], np.arange(lo, hi)
+            left, right = place[side != 1], place[side != 0]
+            up: dict[int, int] = {}
+
+            def root(c: int, up: dict[int, int] = up) -> int:
+                while up.get(c, c) != c:
+                    c = up[c]
+                return c
+
+            for at in range(0, len(left), 128):
+                x = left[at : at + 128]
+                far = col["component"][x][:, None] != col["component"][right][None, :]
+                if side[0] == 2:
+                    far &= col["rep"][x][:, None] < col["rep"][right][None, :]
+                small, large = np.minimum(col["n"][x][:, None], col["n"][right][None, :]), np.maximum(col["n"][x][:, None], col["n"][right][None, :])
+                a, b = np.nonzero(far & (100 * small >= PERCENT * large))
+                for k in range(0, len(a), 4096):
+                    p, q = x[a[k : k + 4096]], right[b[k : k + 4096]]
+                    mine = first_key(sign[p], sign[q]) == col["key"][lo] >> 16 * (SYMBOLS - 1)
+                    p, q = p[mine], q[mine]
+                    near = close(sign[p], col["n"][p], sign[q], col["n"][q])
+                    for i, j in zip(p[near].tolist(), q[near].tolist(), strict=True):
+                        one, two = root(int(col["component"][i])), root(int(col["component"][j]))
+                        if one != two:
+                            same = len(np.intersect1d(short[i], short[j], assume_unique=True))
+                            if 100 * same >= PERCENT * (len(short[i]) + len(short[j]) - same):
+                                up[max(one, two)] = min(one, two)
+                                out.append((min(col["rep"][i], col["rep"][j]), max(col["rep"][i], col["rep"][j])))
+        return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], ["x", "y"])
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2048):
+            part = batch.slice(at, 2048)
+            group = lambda b, k: tuple(b.column(c)[k].as_py() for c in ("key", "i", "j"))
+            if held and group(held[-1], held[-1].num_rows - 1) != group(part, 0):
+                yield pairs(pa.Table.from_batches(held))
+                held = []
+            last, key = part.num_rows - 1, group(part, part.num_rows - 1)
+            while last > 0 and group(part, last - 1) == key:
+                last -= 1
+            if last > 0:
+                yield pairs(pa.Table.from_batches([*held, part.slice(0, last)]))
+                held = []
+            held.append(part.slice(last))
+    if held:
+        yield pairs(pa.Table.from_batches(held))
+
+
+def _residual(live: DataFrame, classes: DataFrame, links: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs of members that share a key, still lie in different components and look similar on 32-bit shingle hashes."""
     labels = components(links)
     placed = written(live.select("key", "rep").join(labels, live.rep == labels.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("component")), "placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low != high")
     mixed = mixed.select("key", F.ceil(F.col("size") / MEMBERS).cast("int").alias("parts"))
-    member = placed.join(mixed, "key").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-    member = member.join(classes.select("rep", "n", "sign"), "rep")
+    placed = written(placed.join(mixed, "key"), "mixed")
+    short = docs.mapInArrow(_short_sets, "rep long, short binary")
+    member = placed.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    member = member.join(classes.select("rep", "n", "sign").join(short, "rep"), "rep")
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    member = member.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rep", "component", "n", "sign",
+    member = member.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rep", "component", "n", "sign", "short",
                            F.when(F.col("part") == F.col("other"), 2).when(F.col("part") < F.col("other"), 0).otherwise(1).alias("side"))
-    return member.groupBy("key", "i", "j").applyInPandas(_across, _BLOCK_PAIRS).distinct()
+    return member.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_across, "x long, y long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -175,9 +237,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     keys = classes.select("rep", "sign").mapInArrow(_keys, "key long, rep long")
     ends = keys.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low != high")
     live = written(keys.join(ends, "key"), "keys")
+    docs = written(docs.join(live.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "candidates")  # whole texts are dealt out here only
     star = live.select(F.col("low").alias("x"), F.col("rep").alias("y")).union(live.select("rep", "high")).where("x != y").distinct()
     links = verified(star, classes, docs)
-    rest = _residual(live, classes, links)
+    rest = _residual(live, classes, links, docs)
     more = verified(rest.join(star, ["x", "y"], "left_anti"), classes, docs)
     same = info.join(classes.select("high", "low", "n", "rep"), ["high", "low", "n"], "left")
     twice = same.where("doc_id != rep").select(F.col("rep").alias("x"), F.col("doc_id").alias("y"))

@@ -77,11 +77,12 @@ def test_null_ids_repeats_and_empty_table(spark):
 def test_chunk_keys_meet_within_the_distance():
     rng = np.random.default_rng(0)
     for _ in range(200):
-        a = rng.integers(0, 2**16, nd.CHUNKS * nd.SYMBOLS).astype(np.uint16)
+        a = rng.integers(0, 2**16, nd.ALL).astype(np.uint16)
         b = a.copy()
-        at = rng.choice(len(a), nd.DISTANCE, replace=False)
+        at = rng.choice(nd.CHUNKS * nd.SYMBOLS, nd.DISTANCE, replace=False)
         b[at] ^= 1
-        assert set(nd.chunk_keys(a[None])[0]) & set(nd.chunk_keys(b[None])[0])
+        shared = set(nd.chunk_keys(a[None])[0]) & set(nd.chunk_keys(b[None])[0])
+        assert nd.first_key(a[None], b[None])[0] in {k >> 48 for k in shared}
 
 
 def test_components_of_a_long_chain(spark):
