@@ -23,6 +23,7 @@ from addrweave.llm.tokens import encoder, slices
 CAPACITY, END = 2048, 0
 SHARD, ISLANDS, EPOCHS = 8192, 3, 2
 POPULATION, GENERATIONS, ELITE = 4, 6, 1
+TASKS = 10_000
 FULL = 0.98  #: bins filled less are packed anew with those of other shards
 
 Bins = list[list[int]]
@@ -138,8 +139,8 @@ def _epoch(capacity: int, epoch: int) -> Callable:
     return run
 
 
-def _evolved(shards: DataFrame, capacity: int) -> DataFrame:
-    """Best chromosome of each shard (``shard``, ``lengths``) as ``bin_of``."""
+def _evolved(shards: DataFrame, count: int, capacity: int) -> DataFrame:
+    """Best chromosome of each of ``count`` shards (``shard``, ``lengths``) as ``bin_of``; a task an island, as far as ``TASKS`` go."""
     result, places = "shard long, island int, bins int, bin_of array<int>", F.sequence(F.lit(0), F.lit(ISLANDS - 1))
     islands = shards.select("shard", "lengths", F.explode(places).alias("island"))
     elite = None
@@ -149,7 +150,7 @@ def _evolved(shards: DataFrame, capacity: int) -> DataFrame:
         else:
             moved = elite.unionByName(elite.withColumn("island", F.pmod(F.col("island") + 1, F.lit(ISLANDS))))
             start = islands.join(moved.groupBy("shard", "island").agg(F.sort_array(F.collect_list("bin_of")).alias("migrants")), ["shard", "island"])
-        elite = written(start.repartition("shard", "island").mapInArrow(_epoch(capacity, epoch), result), "elite")
+        elite = written(start.repartition(min(count * ISLANDS, TASKS), "shard", "island").mapInArrow(_epoch(capacity, epoch), result), "elite")
     return elite.groupBy("shard").agg(F.min(F.struct("bins", "island", "bin_of")).alias("best")).select("shard", "best.bin_of")
 
 
@@ -179,7 +180,7 @@ def _round(pieces: DataFrame, shards: int, level: int, capacity: int) -> DataFra
     item = F.struct("length", "doc_id", "piece", "start", "ids_crc32")
     table = pieces.groupBy(F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(level)), F.lit(shards)).alias("shard")).agg(F.sort_array(F.collect_list(item), asc=False).alias("items"))
     table = written(table, "shards")
-    best = _evolved(table.select("shard", F.col("items.length").cast("array<int>").alias("lengths")), capacity)
+    best = _evolved(table.select("shard", F.col("items.length").cast("array<int>").alias("lengths")), shards, capacity)
     both = table.join(best, "shard").select("items", "bin_of", (F.lit(level << 52) + F.col("shard") * F.lit(1 << 20)).cast("long").alias("base"))
     return written(both.mapInArrow(_dealt, _DEALT), "dealt")
 

@@ -64,3 +64,12 @@ def test_crossover_keeps_every_piece_once():
     child = p.cross(a, b)
     assert sorted(k for one in child for k in one) == list(range(300)) and all(p.load(one) <= 100 for one in child)
     assert len(p.evolve([])[0]) <= len(a)
+
+
+def test_grouped_chunks_equal_single_ones():
+    rng = random.Random(3)
+    parts = ["a", "é", "\n", "'s", "don't", "123", "!!", " ", "日本", "ing", "\n\n", "x" * 70]
+    chunks = list({"".join(rng.choice(parts) for _ in range(rng.randint(1, 6))) for _ in range(3000)})
+    e = Encoder(vocabulary())
+    found = e._learn({*chunks, ""})
+    assert all(found[c] == e.whole([f" {c}"])[0] for c in [*chunks, ""])
