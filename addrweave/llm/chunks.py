@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from addrweave.llm.store import texts, written
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_KEYS = 1 << 20
 ASKED = "bucket int, chunk long, keys binary, extra binary"
 ANSWERED = "chunk long, bucket int, answer binary"
@@ -84,12 +84,23 @@ def by_bucket(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
     return [(b, edges[b], edges[b + 1]) for b in range(buckets) if edges[b] < edges[b + 1]]
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, byte by byte of equal weight: the upper ones are zeros, which compress away."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    return zstandard.ZstdCompressor(level=1).compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _unpack_keys(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
 def questions(chunk: int, keys: np.ndarray, extra: np.ndarray | None, buckets: int) -> pa.Table:
     """Rows of a chunk's sorted keys; ``extra``: what belongs to each key."""
     cut = by_bucket(keys, buckets)
     squeeze = zstandard.ZstdCompressor(level=1).compress
     more = [squeeze(extra[a:b].tobytes()) if extra is not None else b"" for _, a, b in cut]
-    return pa.table([pa.array([b for b, *_ in cut], pa.int32()), pa.array([chunk] * len(cut), pa.int64()), pa.array([keys[a:b].tobytes() for _, a, b in cut], pa.binary()), pa.array(more, pa.binary())], ["bucket", "chunk", "keys", "extra"])
+    return pa.table([pa.array([b for b, *_ in cut], pa.int32()), pa.array([chunk] * len(cut), pa.int64()), pa.array([_pack_keys(keys[a:b]) for _, a, b in cut], pa.binary()), pa.array(more, pa.binary())], ["bucket", "chunk", "keys", "extra"])
 
 
 def answer(asked: DataFrame, rule: Callable, extra: str | None = None, stats: int = 0) -> DataFrame:
@@ -102,7 +113,7 @@ def answer(asked: DataFrame, rule: Callable, extra: str | None = None, stats: in
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("chunk")
         expand = zstandard.ZstdDecompressor().decompress
-        keys = [np.frombuffer(k.as_py(), np.uint64) for k in rows.column("keys")]
+        keys = [_unpack_keys(k.as_py()) for k in rows.column("keys")]
         more = np.concatenate([np.frombuffer(expand(x.as_py()), extra) for x in rows.column("extra")]) if extra else None
         chunks = rows.column("chunk").to_numpy()
         which = np.repeat(np.arange(len(keys)), [len(k) for k in keys])

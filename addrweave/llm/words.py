@@ -17,7 +17,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256)
 LOWER[65:91] += 32
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 _MULTIPLIER = 0xD6E8FEB86659FD93
 
 

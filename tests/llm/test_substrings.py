@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import numpy as np
+
 from addrweave.llm import chunks
 from addrweave.llm.substrings import COVER, PERIOD, without_repetitions
 
@@ -41,3 +43,12 @@ def test_equals_brute_force(spark, monkeypatch):
     df = spark.createDataFrame([(d, t, "k") for d, t in rows], "doc_id long, text string, kept string").repartition(7)
     assert sorted((r.doc_id or -1, r.n_words, r.n_removed, r.kept_sha256, r.kept) for r in without_repetitions(df).collect()) == brute(rows)
     assert without_repetitions(df.limit(0)).collect() == []
+
+
+def test_keys_survive_packing():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 1000):
+        keys = np.unique(np.concatenate([rng.integers(0, 2**64, n, np.uint64), np.array([0, 2**64 - 1], np.uint64)]))
+        assert (chunks._unpack_keys(chunks._pack_keys(keys)) == keys).all()
+    same = np.array([5, 5, 9], np.uint64)  # one half of 128-bit keys may repeat
+    assert (chunks._unpack_keys(chunks._pack_keys(same)) == same).all()
