@@ -7,7 +7,9 @@ sum of its terms' list maxima stays below the threshold; then a block of segment
 left over are scored. The tests run on all passages of a batch at once.
 
 Retrieved items are verified on the whole document: the share of the item's distinct five-word shingles that occur there, for the question
-and for the answer (shingles that touch the last quarter of the words) apart.
+and for the answer (shingles that touch the last quarter of the words) apart. An answer of few shingles loses most of them by one changed word, so
+with ``whole`` (the query, ``clean`` and the pipeline give ``WHOLE``) an item with that share of all its shingles in the document counts too,
+retrieved or not: one rare word can be most of a short item's BM25 score. Such pairs are found by looking up all shingles of the documents.
 
 Item words are counted first; the index is built in shards of at most ``SHARD_WORDS`` words (about 100 bytes a word), each broadcast for its own
 pass over the documents. Document frequencies and lengths are those of all items.
@@ -27,7 +29,7 @@ from addrweave.llm.store import texts, written
 from addrweave.llm.words import blocks, split, windows
 
 SEGMENT, SHINGLE = 64, 5
-THRESHOLD, QUESTION, ANSWER = 0.6, 0.75, 0.5
+THRESHOLD, QUESTION, ANSWER, WHOLE = 0.6, 0.75, 0.5, 0.75
 K1, B = 1.2, 0.75
 BLOCK_SEGMENTS = 16
 SHARD_WORDS = 500_000
@@ -92,6 +94,8 @@ class Index:
     use_first: np.ndarray
     use: np.ndarray
     needed: np.ndarray  #: number of shingles by entry * 2 + answer
+    fresh: np.ndarray  #: whether a use is the first of its shingle and entry
+    whole: np.ndarray  #: number of distinct shingles by entry
 
     @classmethod
     def of(cls, rows: pa.Table, segments: int, mean: float) -> Index:
@@ -114,9 +118,11 @@ class Index:
         used = ~post
         shingles, which = np.unique(col["hash"][used].astype(np.uint64), return_inverse=True)
         use = entry[used] * 2 + col["kind"][used] - 1
-        by = np.argsort(which, kind="stable")
+        by = np.lexsort((use, which))
+        fresh = np.ones(len(by), bool)
+        fresh[1:] = (np.diff(which[by]) != 0) | (np.diff(use[by] // 2) != 0)
         return cls(items, terms, highest, _csr(term, len(terms)), segment, impact, _csr(term[start], len(terms)), key % (len(uid) // BLOCK_SEGMENTS + 1), np.maximum.reduceat(impact, start) if len(start) else impact,
-                   uid >> 32, BLOCK_SEGMENTS, shingles, _csr(which[by], len(shingles)), use[by], np.bincount(use, minlength=2 * len(entries)))
+                   uid >> 32, BLOCK_SEGMENTS, shingles, _csr(which[by], len(shingles)), use[by], np.bincount(use, minlength=2 * len(entries)), fresh, np.bincount(use[by][fresh] // 2, minlength=len(entries)))
 
     def retrieve(self, h: np.ndarray, text: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], float]:
         """Best score of every (text, entry) with a passage at or above the threshold."""
@@ -162,6 +168,35 @@ class Index:
             out[pair] = max(out.get(pair, 0.0), float(score[k]))
         return out
 
+    def held(self, h: np.ndarray, text: np.ndarray, first: np.ndarray, least: float) -> set[tuple[int, int]]:
+        """Every (text, entry) where the text has the share ``least`` of all the entry's shingles."""
+        out: set[tuple[int, int]] = set()
+        for size in range(1, SHINGLE + 1) if len(self.shingles) else ():
+            runs = windows(h, size)
+            place = np.minimum(np.searchsorted(self.shingles, runs), len(self.shingles) - 1)
+            known = np.flatnonzero(self.shingles[place] == runs)
+            known = known[known + size <= first[text[known] + 1]]
+            pair = np.unique(text[known] * np.int64(len(self.shingles)) + place[known])
+            one, places = _expand(self.use_first, pair % len(self.shingles))
+            one, places = one[self.fresh[places]], places[self.fresh[places]]
+            entries = np.int64(len(self.whole))
+            key, n = np.unique(pair[one] // len(self.shingles) * entries + self.use[places] // 2, return_counts=True)
+            enough = n >= least * self.whole[key % entries] - 1e-9  # an entry's shingles are of one size
+            out.update(zip((key[enough] // entries).tolist(), (key[enough] % entries).tolist(), strict=True))
+        return out
+
+    def score(self, h: np.ndarray, entry: int) -> float:
+        """Best score of an entry over the passages of one text."""
+        best = 0.0
+        for p in range(0, len(h), SEGMENT):
+            seen = np.unique(h[p : p + 2 * SEGMENT])
+            place = np.minimum(np.searchsorted(self.terms, seen), len(self.terms) - 1)
+            _, places = _expand(self.first, place[self.terms[place] == seen])
+            places = places[self.entry_of[self.segment[places]] == entry]
+            if len(places):
+                best = max(best, float(np.bincount(self.segment[places], weights=self.impact[places]).max()))
+        return best
+
     def overlap(self, runs: np.ndarray) -> np.ndarray:
         """Share of each entry's question and answer shingles among ``runs``."""
         found = np.intersect1d(self.shingles, runs, assume_unique=False)
@@ -169,7 +204,7 @@ class Index:
         return np.bincount(self.use[places], minlength=len(self.needed)) / np.maximum(self.needed, 1)
 
 
-def _query(shared) -> Callable:
+def _query(shared, least: float | None) -> Callable:
     def query(batches):
         index: Index = shared.value
         for batch in batches:
@@ -178,13 +213,17 @@ def _query(shared) -> Callable:
                 w = split(buf, offsets)
                 h = w.hashes(lower=True)
                 rows, shares = [], {}
-                for (t, e), score in sorted(index.retrieve(h, w.text, w.first).items()):
+                pairs = index.retrieve(h, w.text, w.first)
+                held = set() if least is None else index.held(h, w.text, w.first, least)
+                for t, e in held - pairs.keys():
+                    pairs[t, e] = index.score(h[w.first[t] : w.first[t + 1]], e)
+                for (t, e), score in sorted(pairs.items()):
                     if t not in shares:
                         mine = h[w.first[t] : w.first[t + 1]]
                         sizes = {SHINGLE} | set(range(1, min(SHINGLE, len(mine) + 1)))
                         shares[t] = index.overlap(np.concatenate([windows(mine, s) for s in sizes]))
                     question, answer = shares[t][2 * e], shares[t][2 * e + 1]
-                    if question >= QUESTION and answer >= ANSWER:
+                    if (question >= QUESTION and answer >= ANSWER) or (t, e) in held:
                         rows.append((ids[lo + t].as_py(), int(index.items[e]), score, float(question), float(answer)))
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64() if k < 2 else pa.float64()) for k in range(5)], ["doc_id", "item_id", "score", "question", "answer"])
 
@@ -194,9 +233,10 @@ def _query(shared) -> Callable:
 RESULT = "doc_id long, item_id long, score double, question double, answer double"
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, whole: float | None = None) -> DataFrame:
     """Pairs of a document and a benchmark item it contains: ``doc_id``, ``item_id``, ``score`` (best passage), ``question`` and ``answer`` overlap.
 
+    ``whole``: share of all shingles of an item that is enough by itself; None: question and answer decide alone.
     Null, empty or wordless texts and items match nothing; documents with a null id are checked, items with one are left out. Repeated documents give repeated rows; equal benchmark rows count
     once; different texts under one ``item_id`` are checked apart. Items under ten words are question and answer at once; under five
     words they are one shingle. Passages of one document are not cut off: texts of any length are read whole.
@@ -215,11 +255,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shard = rows.where(F.pmod(F.xxhash64("entry"), F.lit(shards)) == k).toArrow().combine_chunks()
         if shard.num_rows:
             shared = spark.sparkContext.broadcast(Index.of(shard, total.segments, total.words / total.segments))
-            found = texts(docs).mapInArrow(_query(shared), RESULT)
+            found = texts(docs).mapInArrow(_query(shared, whole), RESULT)
             out = found if out is None else out.unionByName(found)
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without contaminated documents; null ids stay."""
-    return docs.join(contaminated(docs, benchmark).select(F.col("doc_id").alias("doc_id")).distinct(), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(contaminated(docs, benchmark, WHOLE).select(F.col("doc_id").alias("doc_id")).distinct(), "doc_id", "left_anti").select(docs.columns)

@@ -89,3 +89,29 @@ def test_odd_rows(spark):
     assert sorted(((r.doc_id or 0), (r.item_id or 0)) for r in got) == [(0, 7), (3, 7), (3, 7), (4, 7)]
     assert sorted((r.doc_id or 0) for r in clean(docs, bench).collect()) == [0, 1, 2]  # the null id stays
     assert contaminated(docs, bench.limit(0)).collect() == [] and contaminated(docs.limit(0), bench).collect() == []
+
+
+def test_one_changed_word_at_every_place(spark):
+    """An edited item with 75 % or more of its shingles left is found, whatever word changed; one with a foreign answer is not."""
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in (15, 16, 19, 23, 26, 38, 59)]
+    docs, want = [], set()
+    for i, t in items:
+        for k in range(i):
+            w = t.split()
+            w[k] = "changed"
+            docs.append((1000 * i + k, " ".join(["before", *w, "after"])))
+            if sum(not j <= k < j + 5 for j in range(i - 4)) >= 0.75 * (i - 4):
+                want.add((1000 * i + k, i))
+    docs.append((1, " ".join([*items[-1][1].split()[:44], *(f"other{k}" for k in range(15))])))  # question without its answer: 40 of 55 shingles
+    got = {(r.doc_id, r.item_id) for r in contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), dc.WHOLE).collect()}
+    assert len(want) > 130 and want <= got and not any(d == 1 for d, _ in got)
+
+
+def test_a_rare_word_does_not_decide(spark):
+    """The one word that tells items apart carries most of the BM25 score; without it the item is found by its shingles."""
+    stem = [f"s{k}" for k in range(30)]
+    items = [(i, " ".join([*stem, f"own{i}"])) for i in range(200)]
+    docs = spark.createDataFrame([(1, " ".join([*stem, "changed"])), (2, "nothing of it")], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = contaminated(docs, bench, dc.WHOLE).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, i) for i in range(200)} and all(r.score < dc.THRESHOLD for r in got)
