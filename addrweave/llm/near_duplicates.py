@@ -2,9 +2,9 @@
 
 A signature has ``CHUNKS * SYMBOLS`` symbols of 16 bits. Two signatures that differ in at most ``DISTANCE`` symbols have, by the
 pigeonhole, one of ``CHUNKS`` chunks with at most ``DISTANCE // CHUNKS`` (one) differing symbol. Each document files every chunk once per
-symbol left out, so such a pair meets under an equal key for certain. At a similarity of exactly 0.75 a signature differs in 12 of
-48 symbols on average (deviation 3), so the limit of 23 lies 3.7 deviations away. Pairs that meet are compared on ``ALL`` symbols,
-where 90 differences of 256 lie as far from the 64 expected.
+symbol left out, so such a pair meets under an equal key for certain; most pairs that differ in more do too. At a similarity of exactly 0.75
+(12 of 48 symbols differ on average) a pair meets under no key with probability 1.0e-7. Pairs that meet are sifted on ``ALL`` symbols:
+more than 105 of 256 differ with probability 6.7e-09 where 64 are expected. Both rates fall as the similarity grows.
 
 Links are confirmed on full shingle sets. Equal sets are one class; a key's members are not paired with each other: they are
 linked to the key's smallest and largest class first, and only members that still lie in different components afterwards are compared, in
@@ -26,7 +26,7 @@ from addrweave.llm.words import blocks, mix, shingle_sets
 
 SHINGLE, PERCENT = 5, 75
 CHUNKS, SYMBOLS, DISTANCE = 12, 4, 23
-ALL, ALL_DISTANCE = 256, 90
+ALL, ALL_DISTANCE = 256, 105
 MEMBERS = 1024  #: members of a key that one block holds
 _K = CHUNKS * SYMBOLS
 _FACTORS = (mix(np.arange(ALL, dtype=np.uint64), 1) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -64,8 +64,7 @@ def _signs(column) -> np.ndarray:
 
 def close(a: np.ndarray, m: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Whether signatures and set sizes (rows) allow a similarity that is high enough."""
-    apart = a != b
-    return (apart[:, :_K].sum(1) <= DISTANCE) & (apart.sum(1) <= ALL_DISTANCE) & (100 * np.minimum(m, n) >= PERCENT * np.maximum(m, n))
+    return ((a != b).sum(1) <= ALL_DISTANCE) & (100 * np.minimum(m, n) >= PERCENT * np.maximum(m, n))
 
 
 def chunk_keys(signs: np.ndarray) -> np.ndarray:
@@ -137,7 +136,7 @@ def first_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _short_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets of 32-bit shingle hashes: all but exact within a pair; links are confirmed on full sets afterwards."""
+    """Sets of 32-bit shingle hashes; links are confirmed on full sets afterwards."""
     for batch in batches:
         for lo, hi, buf, offsets in blocks(batch):
             sets = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in shingle_sets(buf, offsets, SHINGLE)]
@@ -148,7 +147,8 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs within one block pair of a key (rows come together) that lie in different components and may be similar.
 
     A pair that meets under several keys is looked at under the first one only, and given if it joins components that no other given pair of
-    the block joins. At most two blocks of members are held.
+    the block joins. Equal 32-bit hashes within a set are made up for by the full sets' sizes, so no similar pair is lost to them; a pair that equal
+    hashes across sets might have lifted over the limit is given but joins nothing. At most two blocks of members are held.
     """
     held: list[pa.RecordBatch] = []
 
@@ -182,9 +182,13 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for i, j in zip(p[near].tolist(), q[near].tolist(), strict=True):
                         one, two = root(int(col["component"][i])), root(int(col["component"][j]))
                         if one != two:
+                            m, n = int(col["n"][i]), int(col["n"][j])
                             same = len(np.intersect1d(short[i], short[j], assume_unique=True))
-                            if 100 * same >= PERCENT * (len(short[i]) + len(short[j]) - same):
-                                up[max(one, two)] = min(one, two)
+                            most = same + min(m - len(short[i]), n - len(short[j]))
+                            if (100 + PERCENT) * most >= PERCENT * (m + n):
+                                least = same - (1 + (m * n >> 27) if m * n >= 4096 else 0)
+                                if (100 + PERCENT) * least >= PERCENT * (m + n):
+                                    up[max(one, two)] = min(one, two)
                                 out.append((min(col["rep"][i], col["rep"][j]), max(col["rep"][i], col["rep"][j])))
         return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], ["x", "y"])
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from addrweave.llm import near_duplicates as nd
@@ -88,3 +89,19 @@ def test_chunk_keys_meet_within_the_distance():
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k + 1, k) for k in range(40)] + [(100, 101), (101, 100), (5, 5), (None, 3)], "x long, y long")
     assert {r.node: r.component for r in components(edges).collect()} == {k: 0 for k in range(41)} | {100: 100, 101: 100}
+
+
+def test_sift_keeps_unlucky_pairs_that_met():
+    """26 of the first 48 symbols apart, or 100 of all 256, may still be a similarity of 0.75."""
+    a = np.zeros((2, nd.ALL), np.uint16)
+    b = a.copy()
+    b[0, :26], b[1, 40:140] = 1, 1
+    assert nd.close(a, np.array([80, 80]), b, np.array([80, 80])).all()
+
+
+def test_equal_short_hashes_lose_no_pair():
+    """Six of eight shingles are shared (0.75); two of the shared ones have one 32-bit hash."""
+    short = [np.array([1, 3, 4, 5, 6, x], np.uint32).tobytes() for x in (7, 8)]
+    sign = [np.zeros(nd.ALL, np.uint16).tobytes()] * 2
+    rows = pa.table({"key": [0, 0], "i": [0, 0], "j": [0, 0], "rep": [1, 2], "component": [1, 2], "n": [7, 7], "sign": sign, "short": short, "side": [2, 2]})
+    assert [(x, y) for b in nd._across(iter(rows.to_batches())) for x, y in zip(b["x"].to_pylist(), b["y"].to_pylist(), strict=True)] == [(1, 2)]
