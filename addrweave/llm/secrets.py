@@ -1,7 +1,7 @@
 """Secret scan: fixed patterns, and strings in a sensitive context that a primed compressor finds new.
 
-A candidate is a run of at least ``SHORTEST`` key-like characters with a sensitive word shortly before it on its line, outside the fixed patterns'
-spans. Its novelty is the number of bytes that it adds to the compressed size of the text around it, with a zstandard dictionary of code words and
+A candidate is a run of at least ``SHORTEST`` key-like characters outside the fixed patterns' spans with a sensitive word in the ``NEAR`` characters
+before it on its line, in the last ``NEAR`` of the nearest line above that is not blank, or in the header of the BEGIN/END block around it. Its novelty is the number of bytes that it adds to the compressed size of the text around it, with a zstandard dictionary of code words and
 identifiers; names and repeated strings add little. Candidates that add ``NOVEL`` bytes a character or more are reported as ``novel``.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from addrweave.llm.store import texts
 
 SHORTEST, NOVEL = 16, 0.62
-BEFORE, AFTER, NEAR = 512, 256, 48
+BEFORE, AFTER, NEAR = 512, 256, 256
 KINDS = ("assign", "access", "hex", "novel")
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -27,6 +27,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}")
 _SENSITIVE = re.compile(r"key|secret|token|passw|passphrase|pwd|auth|bearer|credential|private|signature", re.IGNORECASE | re.ASCII)
+_ABOVE = re.compile(_SENSITIVE.pattern.replace("bearer|", ""), _SENSITIVE.flags)  #: for the line above, without ``bearer``
+_BLOCK = re.compile(r"-----BEGIN ([^\n-]*)-----(.*?)(?:-----END|\Z)", re.DOTALL)
 #: Words of code and names of settings; strings made of these are not new.
 _CODE = """import from return class public private static final void string boolean integer float double const function lambda yield async await
 self this null None true false True False else elif while for range len print except raise finally default switch case break continue
@@ -59,12 +61,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
-    found = []
+def _context(text: str, a: int, blocks: list[tuple[int, int]], above: re.Pattern) -> bool:
+    """Whether a sensitive word stands before ``a`` on its line, on the line above or in the header of a block."""
+    start = text.rfind("\n", 0, a) + 1
+    if _SENSITIVE.search(text, max(start, a - NEAR), a) or any(s <= a < e for s, e in blocks):
+        return True
+    end = start
+    while end and text[end - 1].isspace():
+        end -= 1
+    return above.search(text, max(text.rfind("\n", 0, end) + 1, end - NEAR), end) is not None
+
+
+def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty, bearer_above: bool = False) -> list[tuple[int, int, int]]:
+    found, above = [], _SENSITIVE if bearer_above else _ABOVE
+    blocks = [m.span(2) for m in _BLOCK.finditer(text) if _SENSITIVE.search(m[1])]
     for m in _CANDIDATE.finditer(text):
         a, b = m.span()
-        line = text.rfind("\n", max(0, a - NEAR), a)
-        if _SENSITIVE.search(text, line + 1 if line >= 0 else max(0, a - NEAR), a) and not any(s < b and a < e for s, _, e in base) and novelty(text, a, b) >= NOVEL:
+        if _context(text, a, blocks, above) and not any(s < b and a < e for s, _, e in base) and novelty(text, a, b) >= NOVEL:
             found.append((a, 3, b))
     return found
 
@@ -73,7 +86,7 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], bearer_above: bool) -> Iterator[pa.RecordBatch]:
     novelty, names = Novelty(), ["doc_id", "n_assign", "n_access", "n_hex", "n_novel", "base_sha256", "spans"]
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
@@ -81,20 +94,21 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for text in part.column("text"):
                 text = text.as_py() or ""
                 base = base_spans(text)
-                new = novel_spans(text, base, novelty)
+                new = novel_spans(text, base, novelty, bearer_above)
                 n = [sum(k == kind for _, k, _ in base) for kind in range(3)]
                 rows.append((*n, len(new), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(sorted(base + new))))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array([r[k] for r in rows], pa.int64() if k < 4 else pa.string()) for k in range(6))], names)
 
 
-def secrets(docs: DataFrame) -> DataFrame:
+def secrets(docs: DataFrame, bearer_above: bool = False) -> DataFrame:
     """Secrets of every whole text: ``doc_id``, ``n_assign``, ``n_access``, ``n_hex``, ``n_novel``, ``base_sha256``, ``spans``.
 
     Spans are ``kind:start:end`` in code points, in order of start and then kind, joined by commas. ``assign`` spans the whole
     assignment. Null or empty text: no spans. One row per input row, repeated and null ids included; no rows for an empty table. A text's length
-    is not limited; each candidate is measured against a bounded surrounding.
+    is not limited; each candidate is measured against a bounded surrounding. ``bearer_above``: the word bearer on the line above counts as well
+    (on in the query and in ``without_secrets``).
     """
-    return texts(docs).mapInArrow(_scan, "doc_id long, n_assign long, n_access long, n_hex long, n_novel long, base_sha256 string, spans string")
+    return texts(docs).mapInArrow(lambda batches: _scan(batches, bearer_above), "doc_id long, n_assign long, n_access long, n_hex long, n_novel long, base_sha256 string, spans string")
 
 
 def without_secrets(docs: DataFrame) -> DataFrame:
@@ -113,7 +127,7 @@ def without_secrets(docs: DataFrame) -> DataFrame:
                 for text in part.column(at):
                     text = text.as_py()
                     spans = base_spans(text) if text else []
-                    spans = sorted(spans + novel_spans(text, spans, novelty)) if text else []
+                    spans = sorted(spans + novel_spans(text, spans, novelty, True)) if text else []
                     pieces, end = [], 0
                     for a, k, b in spans:
                         if a >= end:

@@ -3,5 +3,5 @@
 from addrweave.llm.secrets import secrets
 from addrweave.llm.store import documents
 
-QUERIES = {"op5_secret_scan": lambda spark, sf_dir: secrets(documents(spark, sf_dir))}
+QUERIES = {"op5_secret_scan": lambda spark, sf_dir: secrets(documents(spark, sf_dir), bearer_above=True)}
 ORACLES: dict[str, str] = {}
