@@ -117,10 +117,12 @@ def hausdorff(rows: DataFrame, key: str, partner: str) -> DataFrame:
 
 
 def _closes(chains: np.ndarray) -> bool:
-    """Do at most 99 parts (rows of start, end, length) chain up into one closed line? The two nearest free ends (under 20 m) are joined each time.
+    """Do parts (rows of start, end, length) chain up into one closed line? The two nearest free ends (under 20 m) are joined each time.
 
     A chain is only its two ends and its length, joints included; its middle plays no part in the answer.
     """
+    if len(chains) >= 100:
+        return _closes_long(chains)
     ends, lengths = chains[:, :4].reshape(-1, 2, 2), chains[:, 4]
     while len(ends) > 1:
         flat = ends.reshape(-1, 2)
@@ -137,17 +139,48 @@ def _closes(chains: np.ndarray) -> bool:
     return bool(np.hypot(*(ends[0, 0] - ends[0, 1])) < 0.2 * lengths[0])
 
 
+def _closes_long(chains: np.ndarray) -> bool:
+    """The same for many parts: ends stay where they are, so joints are taken in the order of their gaps; close ends meet by 20 m cells."""
+    xy = chains[:, :4].reshape(-1, 2)
+    cells: dict[tuple[int, int], list[int]] = {}
+    for k, c in enumerate(np.floor(xy / 20).astype(np.int64).tolist()):
+        cells.setdefault((c[0], c[1]), []).append(k)
+    near = []
+    for (cx, cy), mine in cells.items():
+        others = np.array([k for i in (-1, 0, 1) for j in (-1, 0, 1) for k in cells.get((cx + i, cy + j), ())])
+        for k in mine:
+            later = others[others // 2 < k // 2]
+            gap = np.hypot(*(xy[later] - xy[k]).T)
+            near += [(g, k, o) for g, o in zip(gap[gap < 20].tolist(), later[gap < 20].tolist(), strict=True)]
+    up, free, total = list(range(len(chains))), [True] * len(xy), float(chains[:, 4].sum())
+
+    def root(c: int) -> int:
+        while up[c] != c:
+            up[c] = up[up[c]]
+            c = up[c]
+        return c
+
+    for gap, k, o in sorted(near):
+        one, two = root(k // 2), root(o // 2)
+        if free[k] and free[o] and one != two:
+            up[one], free[k], free[o] = two, False, False
+            total += gap
+    left = [k for k in range(len(xy)) if free[k]]
+    return len(left) == 2 and bool(np.hypot(*(xy[left[0]] - xy[left[1]])) < 0.2 * total)
+
+
 @F.pandas_udf(BooleanType())
 def _chain_closes(chains: pd.Series) -> pd.Series:
     return chains.map(lambda c: None if c is None else _closes(np.asarray(c, dtype=float).reshape(-1, 5)))
 
 
-def is_ring(parts: Column | str) -> Column:
-    """An end gap below a fifth of the length; several parts are chained first, 100 or more are no ring."""
+def is_ring(parts: Column | str, limit: int | None = 100) -> Column:
+    """An end gap below a fifth of the length; several parts are chained first, ``limit`` or more are no ring (None: no limit)."""
     p = F.col(parts) if isinstance(parts, str) else parts
     line = F.element_at(p, 1)
     a, b = F.element_at(line, 1), F.element_at(line, -1)
     one = G.distance(a["x"], a["y"], b["x"], b["y"]) < 0.2 * G.length(p)
     chains = F.flatten(F.transform(p, lambda q: F.array(q[0]["x"], q[0]["y"], F.element_at(q, -1)["x"], F.element_at(q, -1)["y"], G.length(F.array(q)))))
-    many = _chain_closes(F.when((F.size(p) > 1) & (F.size(p) < 100), chains))
-    return F.when(F.size(p) == 1, one).when(F.size(p) < 100, many).otherwise(False)
+    few = F.size(p) < limit if limit is not None else F.size(p) > 1
+    many = _chain_closes(F.when((F.size(p) > 1) & few, chains))
+    return F.when(F.size(p) == 1, one).when(few, many).otherwise(False)

@@ -131,7 +131,7 @@ def top_streets(df: DataFrame, by: str, n: int = 100) -> DataFrame:
 
 def ring_streets(streets: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
     """Streets that close on themselves; ``exceptions(street_code, is_ring)`` overrule the test."""
-    r = streets.select("street_code", is_ring("lines").alias("ring"))
+    r = streets.select("street_code", is_ring("lines", limit=None).alias("ring"))
     if exceptions is None:
         return r
     return r.join(exceptions, "street_code", "left").select("street_code", F.coalesce("is_ring", "ring").alias("ring"))

@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,6 +149,25 @@ def test_rings(spark):
     assert {r.i: r.ring for r in df.select("i", L.is_ring("lines").alias("ring")).collect()} == {c[0]: c[2] for c in cases}
 
 
+def test_rings_of_many_parts(spark):
+    """Parts of a closed street in any order and direction; an arc and a street with a hole in it are no rings."""
+    from addrweave.plans.streets import ring_streets
+
+    def street(n, of, seed, gap=False):
+        at = lambda k: (2000 * math.cos(2 * math.pi * k / of), 2000 * math.sin(2 * math.pi * k / of))
+        rnd = random.Random(seed)
+        out = [[at(k), at(k + 1)][:: rnd.choice((1, -1))] for k in range(n) if not gap or k not in (40, 90)]
+        rnd.shuffle(out)
+        return parts(*out)
+
+    rows = [("a", street(120, 120, 1)), ("b", street(300, 300, 2)), ("c", street(120, 240, 3)), ("d", street(120, 120, 4, True)), ("e", street(99, 99, 5))]
+    got = {r.street_code: r.ring for r in ring_streets(spark.createDataFrame(rows, f"street_code string, lines {LINES}")).collect()}
+    assert got == {"a": True, "b": True, "c": False, "d": False, "e": True}
+    for seed in range(20):  # both ways of chaining agree
+        c = np.array([[q[0][0], q[0][1], q[1][0], q[1][1], math.dist(*q)] for q in ([(random.Random(seed * 99 + 2 * k + e).uniform(0, 60), random.Random(seed * 77 + 2 * k + e).uniform(0, 60)) for e in (0, 1)] for k in range(9))])
+        assert L._closes(c) == L._closes_long(c)
+
+
 def test_wkt(spark):
     rows = [("POINT (20.5 44.25)",), ("LINESTRING (0 0, 3 4)",), ("MULTIPOLYGON (((0 0,1 0,1 1,0 0)),((5 5, 6 5, 6 6, 5 5)))",), ("POINT (x y)",), (None,)]
     df = spark.createDataFrame(rows, "w string").repartition(1)
