@@ -107,7 +107,7 @@ def move_into_buildings(q2: DataFrame, node_tags: DataFrame, building_tags: Data
     return changed.unionByName(gone)
 
 
-def attach_street_refs(found: DataFrame, streets: DataFrame, ways: DataFrame, per_file: int = 10) -> DataFrame:
+def attach_street_refs(found: DataFrame, streets: DataFrame, ways: DataFrame, per_file: int = 10, options: Options = DEFAULTS) -> DataFrame:
     """E5: name-matched ways get the street code; 10 streets per batch and settlement, with the bounding box of each street's ways."""
     hit = found.where(F.col("name_match") & is_kind("osm_id", "w")).select("osm_id", "street_id")
     pts = ways.select("osm_id", G.bounds("lines").alias("b"))
