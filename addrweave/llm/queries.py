@@ -6,7 +6,7 @@ import importlib
 
 import corpus_pipeline
 
-MODULES = ["near_duplicate_queries", "toxicity_queries", "decontamination_queries", "secrets_queries", "packing_queries", "token_files_queries", "token_counts_queries", "top_k_queries", "substrings_queries", "language_model_queries", "whitening_queries", "manifest_queries"]
+MODULES = ["near_duplicate_queries", "toxicity_queries", "decontamination_queries", "secrets_queries", "packing_queries", "token_files_queries", "token_counts_queries", "top_k_queries", "substrings_queries", "language_model_queries", "whitening_queries", "manifest_queries", "suffixes_queries"]
 
 
 def load() -> tuple[dict, dict]:
