@@ -1,89 +1,167 @@
-"""Incremental address matching on Structured Streaming.
+"""Incremental address matching over geometry on Structured Streaming.
 
-Map changes arrive as a stream. Each micro-batch appends the changed map rows and the re-matched addresses to two logs (one folder per
-batch, overwritten on retry, so a batch may be replayed); readers take the newest row per id, and ``compact`` folds a log into its base.
+Map changes arrive as a stream; each micro-batch re-matches only the addresses that its changes can reach. All state lies in tables of row versions in
+folders ``block=B/batch=N`` (``BlockLog``). Map and register are blocked by municipality and square of ``BLOCK`` metres, an entity lying in every block
+its box touches; what is looked up by an id has a second table blocked by a hash of that id. A batch reads only the folders of the blocks it touches and
+writes only its own ``batch=N`` folders, by dynamic partition overwrite: a batch that is replayed after a failure reads what it read before and
+replaces what it had written.
 
-Why a neighbourhood is enough: which address wins a map entity depends on that entity and the addresses within the radius of it, and an
-address keeps its best among the entities it won. A changed entity thus only touches the addresses near its old or new place, or holding
+Why a neighbourhood is enough: which address wins a map entity depends on that entity and the addresses within the radius of its shape, and an
+address keeps its best among the entities it won. A changed entity thus only touches the addresses near its old or new shape, or holding
 its old or new id. Their results need the entities near them, and those entities' winners need the addresses near those in turn.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from addrweave.operators.cells import radius_pairs
+from addrweave.functions import geometry as G
+from addrweave.operators.cells import explode_box, shape_pairs
 from addrweave.operators.ranking import keep_first
 from addrweave.options import DEFAULTS, Options
 from addrweave.plans.address import match_addresses
 from addrweave.session import stable
 
-MAP_COLUMNS = ["osm_id", "muni_id", "street", "house_no", "house_ref", "x", "y"]
+MAP_COLUMNS = ["osm_id", "muni_id", "street", "house_no", "house_ref", "x", "y", "rings"]
+BLOCK = 2000.0
+BUCKETS = 64
+LISTED = 20_000  # block names that are listed for pruning; beyond it blocks are met by a join
 
 
-class Log:
-    """Append-only table of row versions: ``path/batch=N``; the newest batch wins per key, ``deleted`` rows drop out."""
+def bucket_of(c: str) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("string")
 
-    def __init__(self, spark: SparkSession, path: str, key: str):
-        self.spark, self.path, self.key = spark, path, key
 
-    def append(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+def in_blocks(df: DataFrame, size: float, grow: float = 0.0, block: str = "block") -> DataFrame:
+    """One row per block that the box of a row's shape (``rings``, else ``x``, ``y``), widened by ``grow``, touches."""
+    x, y, b = F.col("x").cast("double"), F.col("y").cast("double"), G.bounds("rings")
+    box = [F.coalesce(b[k], c) + s for k, c, s in (("xmin", x, -grow), ("ymin", y, -grow), ("xmax", x, grow), ("ymax", y, grow))]
+    return explode_box(df, *box, size).withColumn(block, F.concat_ws("_", F.col("muni_id").cast("string"), "_cx", "_cy")).drop("_cx", "_cy")
 
-    def versions(self, before: int | None = None) -> DataFrame:
-        d = self.spark.read.option("basePath", self.path).parquet(self.path)
-        return d if before is None else d.where(F.col("batch") < before)  # prunes folders
 
-    def current(self, before: int | None = None) -> DataFrame:
-        return keep_first(self.versions(before), [self.key], [F.desc("batch")]).where("NOT deleted").drop("batch", "deleted")
+class BlockLog:
+    """Row versions in ``path/block=B/batch=N``; in a block the newest batch wins per key and ``deleted`` rows drop out."""
 
-    def compact(self, into: str) -> Log:
-        """Newest rows as batch -1 of a new log; the old folders stay for whoever still reads them."""
-        new = Log(self.spark, into, self.key)
-        new.append(self.current().withColumn("deleted", F.lit(False)), -1)
+    def __init__(self, spark: SparkSession, path: str, key: str):
+        self.spark, self.path, self.key, self.schema = spark, path, key, None
+
+    def append(self, df: DataFrame, batch_id: int) -> None:
+        """Rows with ``block`` and ``deleted`` as batch ``batch_id``; the same batch written again replaces itself."""
+        d = df.withColumns({"block": F.coalesce("block", F.lit("none")), "batch": F.lit(batch_id)})
+        if self.schema is None:
+            self.schema = StructType()
+            for f in [f for f in d.schema if f.name not in ("block", "batch")]:
+                self.schema.add(f.name, StructType.fromDDL(f"c {f.dataType.simpleString()}")[0].dataType)  # nullable all through
+            self.schema.add("block", "string").add("batch", "integer")
+        d = d.select(*[F.col(f.name).cast(f.dataType) for f in self.schema])
+        d.repartition("block").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("block", "batch").parquet(self.path)
+
+    def versions(self, blocks: DataFrame | None = None, before: int | None = None) -> DataFrame:
+        """All versions, those of the named ``blocks`` (a table with ``block``), or those older than a batch: only their folders are read."""
+        d = self.spark.read.schema(self.schema).parquet(self.path)
+        if before is not None:
+            d = d.where(F.col("batch") < before)
+        if blocks is None:
+            return d
+        names = [r[0] for r in blocks.select("block").distinct().limit(LISTED + 1).collect()]
+        if len(names) > LISTED:
+            return d.join(blocks.select("block").distinct(), "block", "left_semi")
+        return d.where(F.col("block").isin(names))
+
+    def current(self, blocks: DataFrame | None = None, before: int | None = None) -> DataFrame:
+        """Newest rows, one per key (the copies of a row in several blocks are equal)."""
+        newest = keep_first(self.versions(blocks, before), ["block", self.key], [F.desc("batch")]).where("NOT deleted")
+        return keep_first(newest, [self.key], [F.col("block")]).drop("block", "batch", "deleted")
+
+    def compact(self, into: str) -> BlockLog:
+        """Newest rows of each block as batch -1 of a new log; the old folders stay for whoever still reads them."""
+        new = BlockLog(self.spark, into, self.key)
+        new.append(keep_first(self.versions(), ["block", self.key], [F.desc("batch")]).where("NOT deleted").drop("batch"), -1)
         return new
 
 
 class IncrementalMatch:
-    """Keeps the address analysis up to date with a stream of map changes."""
+    """Keeps the address analysis up to date with a stream of map changes.
 
-    def __init__(self, spark: SparkSession, auth: DataFrame, root: str, options: Options = DEFAULTS):
-        self.spark, self.auth, self.options = spark, auth, options
-        self.map, self.analysis = Log(spark, f"{root}/map", "osm_id"), Log(spark, f"{root}/analysis", "addr_id")
+    ``auth`` as for ``match_addresses``, each ``addr_id`` once. ``root``: folder of the state, shared by driver and executors.
+    """
+
+    def __init__(self, spark: SparkSession, auth: DataFrame, root: str, options: Options = DEFAULTS, block: float = BLOCK):
+        self.spark, self.auth, self.options, self.block = spark, auth, options, block
+        self.map, self.by_id, self.by_ref = (BlockLog(spark, f"{root}/{n}", "osm_id") for n in ("map", "map_by_id", "map_by_ref"))
+        self.addresses, self.address_by_id, self.analysis = (BlockLog(spark, f"{root}/{n}", "addr_id") for n in ("addresses", "addresses_by_id", "analysis"))
+
+    def _place(self, df: DataFrame, grow: float = 0.0) -> DataFrame:
+        return in_blocks(df, self.block, grow)
+
+    @staticmethod
+    def _alive(df: DataFrame) -> DataFrame:
+        return df.withColumn("deleted", F.lit(False))
+
+    def _addresses_in(self, df: DataFrame) -> DataFrame:
+        """Addresses with the block of their point."""
+        return self._place(df.withColumn("rings", F.expr(f"CAST(NULL AS {G.PARTS})"))).drop("rings")
 
     def start(self, osm: DataFrame) -> None:
-        """Full batch over the first map; becomes batch -1 of both logs."""
-        self.map.append(osm.select(*MAP_COLUMNS, F.lit(False).alias("deleted")), -1)
-        self.analysis.append(match_addresses(self.auth, self.map.current(), self.options).withColumn("deleted", F.lit(False)), -1)
+        """Full batch over the first map; becomes batch -1 of all tables."""
+        first = stable(osm.select(*MAP_COLUMNS))
+        auth = stable(self.auth)
+        self.map.append(self._alive(self._place(first)), -1)
+        self.by_id.append(self._alive(first.withColumn("block", bucket_of("osm_id"))), -1)
+        self.by_ref.append(self._alive(first.where("house_ref IS NOT NULL").withColumn("block", bucket_of("house_ref"))), -1)
+        self.addresses.append(self._alive(self._addresses_in(auth)), -1)
+        self.address_by_id.append(self._alive(auth.withColumn("block", bucket_of("addr_id"))), -1)
+        self.analysis.append(self._alive(self._addresses_in(match_addresses(auth, first, self.options))), -1)
 
     def process(self, changes: DataFrame, batch_id: int) -> None:
         """One micro-batch of ``change_no, action`` and map columns; later changes of an entity win."""
         last = keep_first(changes, ["osm_id"], [F.desc("change_no")])
         last = stable(last.select(*MAP_COLUMNS, (F.col("action") == "delete").alias("deleted")))
-        before = self.map.current(batch_id)
-        touched = stable(last.where("NOT deleted").drop("deleted").unionByName(before.join(last.select("osm_id"), "osm_id", "left_semi").select(*MAP_COLUMNS)))
-        self.map.append(last, batch_id)
-        osm = self.map.current(batch_id + 1)
-        todo = stable(self._near_addresses(touched).select("addr_id").union(touched.where("house_ref IS NOT NULL").select(F.col("house_ref").alias("addr_id"))).distinct())
-        redo = self.auth.join(todo, "addr_id", "left_semi")
-        entities = self._near_entities(redo, osm)
-        rivals = self._near_addresses(entities).select("addr_id").union(todo).distinct()
-        carriers = osm.join(todo.withColumnRenamed("addr_id", "house_ref"), "house_ref", "left_semi").select(*MAP_COLUMNS)
-        part = match_addresses(self.auth.join(rivals, "addr_id", "left_semi"), entities.unionByName(carriers).dropDuplicates(["osm_id"]), self.options)
-        self.analysis.append(part.join(todo, "addr_id", "left_semi").withColumn("deleted", F.lit(False)), batch_id)
+        before = self.by_id.current(last.select(bucket_of("osm_id").alias("block")), batch_id)
+        before = stable(before.join(last.select("osm_id"), "osm_id", "left_semi").select(*MAP_COLUMNS))
+        after = last.where("NOT deleted").drop("deleted")
+        self._write_map(last, before, after, batch_id)
+        todo = stable(self._touched_addresses(before.unionByName(after)))
+        entities = stable(self._near_entities(todo, batch_id + 1))
+        rivals = self._near_addresses(entities).unionByName(todo)
+        rivals = keep_first(rivals, ["addr_id"], [F.col("muni_id")])
+        carriers = self.by_ref.current(todo.select(bucket_of("addr_id").alias("block")), batch_id + 1)
+        carriers = carriers.join(todo.select(F.col("addr_id").alias("house_ref")), "house_ref", "left_semi").select(*MAP_COLUMNS)
+        part = match_addresses(rivals, entities.unionByName(carriers), self.options)  # carriers have an id, entities have none
+        self.analysis.append(self._alive(self._addresses_in(part.join(todo.select("addr_id"), "addr_id", "left_semi"))), batch_id)
+
+    def _write_map(self, last: DataFrame, before: DataFrame, after: DataFrame, batch_id: int) -> None:
+        """New rows into their blocks, and a mark of deletion into blocks that an entity has left."""
+        def versions(new: DataFrame, old: DataFrame) -> DataFrame:
+            left = old.join(new.select("osm_id", "block"), ["osm_id", "block"], "left_anti").withColumn("deleted", F.lit(True))
+            return self._alive(new).unionByName(left)
+
+        self.map.append(versions(self._place(after), self._place(before)), batch_id)
+        self.by_id.append(last.withColumn("block", bucket_of("osm_id")), batch_id)
+        with_ref = [d.where("house_ref IS NOT NULL").withColumn("block", bucket_of("house_ref")) for d in (after, before)]
+        self.by_ref.append(versions(*with_ref), batch_id)
+
+    def _touched_addresses(self, touched: DataFrame) -> DataFrame:
+        """Addresses near an old or new shape without id, or named by an old or new id."""
+        refs = touched.where("house_ref IS NOT NULL").select(F.col("house_ref").alias("addr_id")).distinct()
+        named = self.address_by_id.current(refs.select(bucket_of("addr_id").alias("block"))).join(refs, "addr_id", "left_semi")
+        return keep_first(self._near_addresses(touched.where("house_ref IS NULL")).unionByName(named), ["addr_id"], [F.col("muni_id")])
+
+    def _pairs(self, auth: DataFrame, entities: DataFrame) -> DataFrame:
+        shapes = entities.select("osm_id", "muni_id", F.col("x").alias("mx"), F.col("y").alias("my"), "rings")
+        return shape_pairs(auth.select("addr_id", "muni_id", "x", "y"), shapes, self.options.radius, ["muni_id"], self.options.rows_per_task)[0]
 
     def _near_addresses(self, entities: DataFrame) -> DataFrame:
-        e = entities.where("house_ref IS NULL").select("muni_id", F.col("x").alias("mx"), F.col("y").alias("my")).distinct()
-        return radius_pairs(self.auth.select("muni_id", "addr_id", "x", "y"), e, self.options.radius, ["muni_id"], rows_per_task=self.options.rows_per_task)[0].select("addr_id").distinct()
-
-    def _near_entities(self, auth: DataFrame, osm: DataFrame) -> DataFrame:
-        free = osm.where("house_ref IS NULL").select("osm_id", "muni_id", F.col("x").alias("mx"), F.col("y").alias("my"))
-        a = auth.select("muni_id", "x", "y").distinct()
-        near = radius_pairs(a, free, self.options.radius, ["muni_id"], rows_per_task=self.options.rows_per_task)[0].select("osm_id").distinct()
-        return osm.join(near, "osm_id", "left_semi").select(*MAP_COLUMNS)
+        known = self.addresses.current(self._place(entities, self.options.radius).select("block"))
+        return known.join(self._pairs(known, entities).select("addr_id").distinct(), "addr_id", "left_semi")
+
+    def _near_entities(self, auth: DataFrame, before: int) -> DataFrame:
+        around = self._place(auth.select("muni_id", "x", "y", F.expr(f"CAST(NULL AS {G.PARTS})").alias("rings")), self.options.radius)
+        free = self.map.current(around.select("block"), before).where("house_ref IS NULL")
+        return free.join(self._pairs(auth, free).select("osm_id").distinct(), "osm_id", "left_semi").select(*MAP_COLUMNS)
 
     def run(self, changes_path: str, schema: StructType, checkpoint: str, files_per_batch: int = 1) -> StreamingQuery:
         """Read all change files present, in micro-batches, and stop; call again (or schedule) for later ones."""

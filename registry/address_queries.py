@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from addrweave.operators import ranking as R
 from addrweave.plans import address as A
+from addrweave.session import checkpoint_dir
+from addrweave.streaming.incremental import IncrementalMatch
 from registry.sql import NORM, NORM_LATIN, lcs_sql, number_similarity_sql
 from registry.world import World, duck
 
@@ -73,3 +77,31 @@ ORACLES["conflation_join"] = q("SELECT * REPLACE (round(conflated_distance, 6) A
 
 QUERIES["radius_candidates"] = lambda s, d: A.candidates(auth(World(s, d)), World(s, d).map_entity).withColumn("distance", F.round("distance", 6))
 ORACLES["radius_candidates"] = q("""SELECT a.addr_id, a.muni_id, n.osm_id, round(n.distance, 6) AS distance FROM auth_address a LEFT JOIN near n ON n.addr_id = a.addr_id""", "near")
+
+
+def streamed(s, d):
+    """The first map, then the changes of ``events`` as a stream of two micro-batches."""
+    w = World(s, d)
+    root = f"{checkpoint_dir(s)}/stream-{uuid.uuid4().hex}"
+    half = w.table("events").agg(F.max("event_id")).first()[0] // 2
+    changes = w.map_change
+    for part in (changes.where(F.col("change_no") <= half), changes.where(F.col("change_no") > half)):  # files in the order of events
+        part.coalesce(1).write.mode("append").parquet(f"{root}/changes")
+    inc = IncrementalMatch(s, auth(w), f"{root}/state")
+    inc.start(w.map_entity)
+    query = inc.run(f"{root}/changes", changes.schema, f"{root}/checkpoint")
+    query.awaitTermination()
+    return inc.current()
+
+
+def after_changes(body: str) -> str:
+    """The steps of the match over the map after all events."""
+    steps = {name: (["map_after" if n == "map_entity" else n for n in needs], sql.replace("map_entity", "map_after")) for name, (needs, sql) in STEPS.items()}
+    return duck(body, "q1", extra=steps)
+
+
+QUERIES["stream_matching"] = lambda s, d: streamed(s, d).select(
+    "addr_id", "muni_id", "conflated_osm_id", F.round("conflated_distance", 6).alias("conflated_distance"), "osm_id", "osm_street", "osm_house_no",
+    F.round("distance", 6).alias("distance"), "score", "matching")
+ORACLES["stream_matching"] = after_changes("""SELECT addr_id, muni_id, conflated_osm_id, round(conflated_distance, 6) AS conflated_distance, osm_id, osm_street, osm_house_no,
+  round(distance, 6) AS distance, score, matching FROM q1""")

@@ -239,8 +239,15 @@ class World:
 
     @cached_property
     def map_change(self) -> DataFrame:
-        return self.table("events").select("event_id", "ts", F.col("user_id").alias("addr_key"),
-                                           F.expr("CASE event_type WHEN 'signup' THEN 'create' WHEN 'error' THEN 'delete' ELSE 'modify' END").alias("action"))
+        """Map rows as they are after each event: an event concerns one of seven entities of its user."""
+        e = self.table("events").select("event_id", "user_id", "event_type", (F.col("user_id") * 100 + F.col("event_id") % 7).alias("entity_key"))
+        kind, east = F.col("event_type"), F.when(F.col("event_type") == "signup", 45).otherwise(0)
+        shifted = F.transform("rings", lambda r: F.transform(r, lambda p: F.struct((p["x"] + east).alias("x"), p["y"].alias("y"))))
+        return e.join(self.map_entity, "entity_key").select(
+            F.col("event_id").alias("change_no"), F.when(kind == "error", "delete").otherwise("modify").alias("action"), "osm_id", "muni_id", "street",
+            F.when(kind == "click", (1 + F.col("event_id") % 30).cast("string")).otherwise(F.col("house_no")).alias("house_no"),
+            F.when(kind == "purchase", F.col("user_id").cast("string")).when(kind != "view", F.col("house_ref")).alias("house_ref"),
+            (F.col("x") + east).alias("x"), "y", shifted.alias("rings"))
 
 
 # name -> (needed CTEs, SQL body) for DuckDB
@@ -323,8 +330,16 @@ CTES: dict[str, tuple[list[str], str]] = {
         CASE WHEN addr_key % 17 = 0 THEN proper_name || '.' ELSE proper_name END AS hc_street,
         CASE WHEN addr_key % 45 = 0 THEN '999' ELSE house_no END AS hc_house_no FROM auth_address"""),
     "way_node": ([], "SELECT DISTINCT l_orderkey AS way_id, l_partkey AS node_id FROM lineitem"),
-    "map_change": ([], """SELECT event_id, ts, user_id AS addr_key,
-        CASE event_type WHEN 'signup' THEN 'create' WHEN 'error' THEN 'delete' ELSE 'modify' END AS action FROM events"""),
+    "map_change": (["map_entity"], """
+      SELECT event_id, event_type, m.osm_id, m.muni_id, street, CASE WHEN event_type = 'click' THEN cast(1 + event_id % 30 AS varchar) ELSE house_no END AS house_no,
+        CASE WHEN event_type = 'purchase' THEN cast(user_id AS varchar) WHEN event_type <> 'view' THEN house_ref END AS house_ref,
+        x + CASE WHEN event_type = 'signup' THEN 45 ELSE 0 END AS x, y, half
+      FROM events JOIN map_entity m ON entity_key = user_id * 100 + event_id % 7"""),
+    "map_after": (["map_entity", "map_change"], """
+      SELECT osm_id, muni_id, street, house_no, house_ref, x, y, half FROM map_entity WHERE osm_id NOT IN (SELECT osm_id FROM map_change)
+      UNION ALL
+      SELECT osm_id, muni_id, street, house_no, house_ref, x, y, half FROM (
+        SELECT *, row_number() OVER (PARTITION BY osm_id ORDER BY event_id DESC) AS rn FROM map_change) WHERE rn = 1 AND event_type <> 'error'"""),
 }
 
 
