@@ -6,7 +6,7 @@ A pair is kept only in the cell of one agreed point, so no later de-duplication
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from addrweave.functions import geometry as G
@@ -58,28 +58,86 @@ def shape_pairs(points: DataFrame, shapes: DataFrame, radius: float, scope: list
     return pairs.where(F.col("distance") <= radius).drop("rings", *box), keys
 
 
+def explode_along(df: DataFrame, size: float | Column, grow: float | Column = 0.0, names: tuple[str, str, str, str] = ("x1", "y1", "x2", "y2"), shift: float = 0.0) -> DataFrame:
+    """One row per cell ``(_cx, _cy)`` whose square, widened by ``grow``, the segment touches; rows of cells lie ``shift`` above multiples of ``size``.
+
+    Column by column: a segment is in the cells between its heights at the two edges of a column, so a long slanting one takes as many cells as it
+    passes, not those of its box. A hair of slack covers rounding.
+    """
+    size, grow = (v if isinstance(v, Column) else F.lit(float(v)) for v in (size, grow))
+    x1, y1, x2, y2 = (F.col(c) for c in names)
+    d = df.withColumns({"_size": size, "_grow": grow + size * 1e-6})
+    s, g = F.col("_size"), F.col("_grow")
+    d = d.withColumn("_cx", F.explode(F.sequence(F.floor((F.least(x1, x2) - g) / s), F.floor((F.greatest(x1, x2) + g) / s))))
+    low, high = F.greatest(F.col("_cx") * s - g, F.least(x1, x2)), F.least((F.col("_cx") + 1) * s + g, F.greatest(x1, x2))
+
+    def height(x: Column) -> Column:
+        return F.least(F.greatest(y1 + (x - x1) * ((y2 - y1) / F.nullif(x2 - x1, F.lit(0.0))), F.least(y1, y2)), F.greatest(y1, y2))
+
+    steep = x1 == x2
+    d = d.withColumns({"_ya": F.when(steep, y1).otherwise(height(low)), "_yb": F.when(steep, y2).otherwise(height(high))})
+    rows = F.sequence(F.floor((F.least("_ya", "_yb") - g - shift) / s), F.floor((F.greatest("_ya", "_yb") + g - shift) / s))
+    return d.withColumn("_cy", F.explode(rows)).drop("_size", "_grow", "_ya", "_yb")
+
+
+_SHIFT = 0.3819660113  # rows of polygon cells lie this share of a cell off round coordinates, so that no corner stands exactly under a vertex
+
+
 def polygon_cells(polygons: DataFrame, size: float, grow: float = 0.0) -> tuple[DataFrame, DataFrame]:
-    """Cut polygons into cells: ``(_cx, _cy, _whole, _edges)`` next to the polygon's other columns; and the edge rows behind them.
+    """Cut polygons into cells: ``(_cx, _cy, _whole, _edges, _odd)`` next to the polygon's other columns; and the edge rows behind them.
 
-    ``polygons`` has a unique ``polygon_id`` and ``rings``. A cell keeps the edges a rightward ray from it can cross; cells no
-    edge comes near are either dropped (outside) or marked whole (inside) and carry no edges.
+    ``polygons`` has a unique ``polygon_id`` and ``rings``. A cell keeps the edges that touch it (or come within ``grow``) and one bit: whether the number of
+    edges that cross its bottom line farther right is odd. The bit is a running sum from the right over the row's crossings, each counted in
+    the one cell it falls in (``b`` of that cell's edge). Cells that no edge touches are left out where outside, and ``_whole``, without edges, inside.
     """
     attrs = [c for c in polygons.columns if c not in ("rings", "polygon_id")]
-    b = G.bounds("rings")
-    edge = F.explode(G.segments("rings")).alias("e")
-    edges = polygons.select("polygon_id", *attrs, cell_of(b["xmin"] - grow, size).alias("_c0"), edge)
     e = F.col("e")
-    spread = (edges.withColumn("_cy", F.explode(F.sequence(cell_of(F.least(e["y1"], e["y2"]) - grow, size), cell_of(F.greatest(e["y1"], e["y2"]) + grow, size))))
-              .withColumn("_cx", F.explode(F.sequence(F.col("_c0"), cell_of(F.greatest(e["x1"], e["x2"]) + grow, size)))))
-    near = F.col("_cx") >= cell_of(F.least(e["x1"], e["x2"]) - grow, size)
-    cells = spread.groupBy("polygon_id", *attrs, "_cx", "_cy").agg(F.collect_list("e").alias("_edges"), F.bool_or(near).alias("_near"))
-    mid_x, mid_y = (F.col("_cx") + 0.5) * size, (F.col("_cy") + 0.5) * size
-    inside = G.crossings(F.col("_edges"), mid_x, mid_y) % 2 == 1
-    cells = (cells.withColumn("_whole", ~F.col("_near")).where(F.col("_near") | inside)
-             .withColumn("_edges", F.when(F.col("_near"), F.col("_edges"))).drop("_near"))
+    edges = polygons.select("polygon_id", *attrs, F.explode(G.segments("rings")).alias("e")).select(
+        "polygon_id", *attrs, *[e[c].alias(c) for c in ("x1", "y1", "x2", "y2")])
+    spread = explode_along(edges, size, grow, shift=size * _SHIFT)
+    x1, y1, x2, y2, bottom = (*(F.col(c) for c in ("x1", "y1", "x2", "y2")), _bottom(size))
+    crosses = ((y1 > bottom) != (y2 > bottom)) & (cell_of(x1 + (bottom - y1) * ((x2 - x1) / F.nullif(y2 - y1, F.lit(0.0))), size) == F.col("_cx"))
+    spread = spread.withColumn("b", F.coalesce(crosses, F.lit(False)))
+    cells = spread.groupBy("polygon_id", *attrs, "_cx", "_cy").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2", "b")).alias("_edges"), F.count_if("b").alias("_n"))
+    row = Window.partitionBy("polygon_id", "_cy").orderBy("_cx")
+    right = F.coalesce(F.sum("_n").over(Window.partitionBy("polygon_id", "_cy").orderBy(F.desc("_cx")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cells = cells.withColumns({"_right": right, "_before": F.lag("_cx").over(row)})
+    inside = (F.col("_n") + F.col("_right")) % 2 == 1  # of the untouched cells on the left
+    gap = F.when(inside & (F.col("_before") + 1 < F.col("_cx")), F.sequence(F.col("_before") + 1, F.col("_cx") - 1)).otherwise(F.expr("array()"))
+    kinds = F.concat(F.array(F.struct(F.col("_cx").alias("cx"), F.lit(False).alias("whole"))), F.transform(gap, lambda c: F.struct(c.cast("bigint").alias("cx"), F.lit(True).alias("whole"))))
+    cells = cells.withColumn("_k", F.explode(kinds)).select(
+        "polygon_id", *attrs, F.col("_k.cx").alias("_cx"), "_cy", F.col("_k.whole").alias("_whole"),
+        F.when(~F.col("_k.whole"), F.col("_edges")).alias("_edges"), (F.col("_right") % 2 == 1).alias("_odd"))
     return cells, spread
 
 
+def _bottom(size: float) -> Column:
+    return (F.col("_cy") + F.lit(_SHIFT)) * F.lit(float(size))
+
+
+def _inside_cell(px: Column, py: Column, size: float, border: bool) -> Column:
+    """Even-odd test of a point by its cell: the way goes down to the bottom line, then right; only the cell's edges and its bit are needed.
+
+    Edges below the point: those that cross its vertical between bottom line and point. Both halves use the same side test at the corner, so they
+    agree about every edge.
+    """
+    bottom = _bottom(size)
+
+    def side(e: Column, y: Column) -> Column:
+        return (e["x2"] - e["x1"]) * (y - e["y1"]) - (px - e["x1"]) * (e["y2"] - e["y1"])
+
+    def below(e: Column) -> Column:
+        east = e["x2"] > e["x1"]
+        return ((e["x1"] > px) != (e["x2"] > px)) & F.when(east, side(e, py) > 0).otherwise(side(e, py) < 0) & F.when(east, side(e, bottom) <= 0).otherwise(side(e, bottom) >= 0)
+
+    def right_of(e: Column) -> Column:
+        return e["b"] & F.when(e["y2"] > e["y1"], side(e, bottom) > 0).otherwise(side(e, bottom) < 0)
+
+    odd = ((F.size(F.filter("_edges", below)) + F.size(F.filter("_edges", right_of))) % 2 == 1) != F.col("_odd")
+    on = G.on_edge(F.col("_edges"), px, py)
+    return (odd | on) if border else (odd & ~on)
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, border: bool = True, grow: float = 0.0, scope: list[str] | None = None,
                        xy: tuple[str, str] = ("x", "y"), rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Inner join of points to every polygon they lie in (or within ``grow`` of).
@@ -89,12 +147,12 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, bord
     """
     px, py = F.col(xy[0]).cast("double"), F.col(xy[1]).cast("double")
     cells, edge_rows = polygon_cells(polygons, size, grow)
-    pts = points.withColumns({"_cx": cell_of(px, size), "_cy": cell_of(py, size)})
+    pts = points.withColumns({"_cx": cell_of(px, size), "_cy": cell_of(py - size * _SHIFT, size)})
     p2, c2, keys = split_hot(pts, cells, (scope or []) + ["_cx", "_cy"], rows_per_task, count_right=edge_rows)
-    hit = G.inside_edges(F.col("_edges"), px, py, border)
+    hit = _inside_cell(px, py, size, border)
     if grow:
         hit = hit | (F.array_min(F.transform("_edges", lambda s: G.point_segment_distance(px, py, s["x1"], s["y1"], s["x2"], s["y2"]))) <= grow)
-    return by_keys(p2, keys).join(by_keys(c2, keys), keys).where(F.col("_whole") | hit).drop("_cx", "_cy", "_bl", "_br", "_whole", "_edges")
+    return by_keys(p2, keys).join(by_keys(c2, keys), keys).where(F.col("_whole") | hit).drop("_cx", "_cy", "_bl", "_br", "_whole", "_edges", "_odd")
 
 
 def segment_pairs(left: DataFrame, right: DataFrame, radius: float, size: float, scope: list[str] | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from addrweave.functions import geometry as G
-from addrweave.operators.cells import explode_segments, segment_pairs
+from addrweave.operators.cells import explode_along, explode_segments, segment_pairs
 from addrweave.operators.skew import ROWS_PER_TASK
+from addrweave.session import stable
 
 
 def near_stretch(pairs: DataFrame, r: float) -> DataFrame:
@@ -57,21 +58,27 @@ def covered_length(left: DataFrame, right: DataFrame, radius: float, keys: list[
     return _united_length(near_stretch(pairs, radius).select(*keys, "seg", "_lo", "_hi", "_len"), keys)
 
 
-def covered_by_partners(rows: DataFrame, radius: float, key: str, blocks: int = 8) -> DataFrame:
+def covered_by_partners(rows: DataFrame, radius: float, key: str, partners_per_block: int = 1000) -> DataFrame:
     """G9 with flat ends: metres of each key's ``lines`` within ``radius`` of the union of its partners' ``other_lines``.
 
-    Each row already holds a line and one partner, so no join is needed; segments whose boxes are apart are dropped inside the row. Stretches
-    are first united inside hashed blocks, so a segment under very many partners reaches its last task as a few united stretches.
+    Each row holds the key's line and one partner. Segments meet by cells within a key, so a long line never meets all segments of its partners.
+    Stretches are united in two levels: first in blocks of partners, as many as the key has thousands of them, then the united ones of all blocks.
     """
-    p = rows.select(key, F.posexplode(G.segments("lines")).alias("seg", "s"), _end_marked("other_lines").alias("_others")).select(
-        key, "seg", "s", F.explode("_others").alias("o")).selectExpr(
-        f"`{key}`", "seg", "s.x1", "s.y1", "s.x2", "s.y2", "o.x1 AS u1", "o.y1 AS v1", "o.x2 AS u2", "o.y2 AS v2", "o.fs AS _fs", "o.fe AS _fe").where(
-        f"least(x1, x2) - {radius} <= greatest(u1, u2) AND greatest(x1, x2) + {radius} >= least(u1, u2) "
-        f"AND least(y1, y2) - {radius} <= greatest(v1, v2) AND greatest(y1, y2) + {radius} >= least(v1, v2)")
-    st = near_stretch(p, radius).select(key, "seg", "_lo", "_hi", "_len", F.pmod(F.xxhash64("u1", "v1", "u2", "v2"), F.lit(blocks)).alias("_block"))
+    own = rows.groupBy(key).agg(F.min("lines").alias("lines"), F.ceil(F.count("*") / partners_per_block).alias("_blocks")).withColumn("_cell", _cell_size(2.0 * radius))
+    left = explode_along(explode_segments(own, "lines"), F.col("_cell"), radius)
+    right = rows.select(key, _cell_size(2.0 * radius).alias("_cell"), F.explode(_end_marked("other_lines")).alias("o")).select(
+        key, "_cell", *[F.col(f"o.{c}").alias(n) for c, n in (("x1", "u1"), ("y1", "v1"), ("x2", "u2"), ("y2", "v2"), ("fs", "_fs"), ("fe", "_fe"))])
+    right = explode_along(right, F.col("_cell"), names=("u1", "v1", "u2", "v2")).drop("_cell")
+    pairs = left.join(right, [key, "_cx", "_cy"])  # a pair may meet in several cells: it gives the same stretch, which the union takes once
+    st = near_stretch(pairs, radius).select(key, "seg", "_lo", "_hi", "_len", F.pmod(F.xxhash64("u1", "v1", "u2", "v2"), F.col("_blocks")).alias("_block"))
     return _united_length(_unite(st, [key, "seg", "_block"]), [key])
 
 
+def _cell_size(least: float) -> Column:
+    """Cells of a key: the mean length of its own line's segments, so cells and segments are about as many."""
+    return F.greatest(F.lit(float(least)), G.length("lines") / F.greatest(F.size(G.segments("lines")), F.lit(1)))
+
+
 def _end_marked(parts: str) -> Column:
     """All segments with flags for the first and last one of a part."""
     def of_part(part: Column) -> Column:
@@ -102,18 +109,39 @@ def _unite(stretch: DataFrame, keys: list[str]) -> DataFrame:
 def hausdorff(rows: DataFrame, key: str, partner: str) -> DataFrame:
     """Discrete Hausdorff distance (vertices to nearest segment, both ways) between each key's ``lines`` and all its ``other_lines``.
 
-    Each row holds the key's line and one partner (``key, partner`` is unique). Vertices meet segments inside the row as exploded rows, so
-    distances run in generated code; a task sends one minimum per vertex.
+    Each row holds the key's line and one partner (``key, partner`` is unique); each round reads ``rows``, so they should be stored. A nearest join within the key: vertices and segments meet by cells,
+    a vertex looks one cell far, and those that found nothing so near go on with cells four times as wide. Keys without vertices or segments on a side
+    give no row; a vertex with a coordinate that is no number has no distance.
     """
-    def side(points: str, segs: str, owner: Column) -> Column:
-        return F.transform(F.flatten(F.col(points)), lambda p, i: F.named_struct(
-            F.lit("rid"), owner, F.lit("pos"), i, F.lit("x"), p["x"], F.lit("y"), p["y"], F.lit("segs"), F.col(segs)))
-
-    own = F.lit(None).cast(rows.schema[partner].dataType)
-    both = F.concat(side("lines", "_so", own), side("other_lines", "_sl", F.col(partner)))
-    d = rows.withColumns({"_sl": G.segments("lines"), "_so": G.segments("other_lines")}).select(key, F.explode(both).alias("v")).select(key, "v.rid", "v.pos", "v.x", "v.y", F.explode("v.segs").alias("s"))
-    d = d.select(key, "rid", "pos", G.point_segment_distance(F.col("x"), F.col("y"), *[F.col(f"s.{c}") for c in ("x1", "y1", "x2", "y2")]).alias("_d"))
-    return d.groupBy(key, "rid", "pos").agg(F.min("_d").alias("_d")).groupBy(key).agg(F.max("_d").alias("hausdorff"))
+    rows = rows.where((F.size(G.segments("lines")) > 0) & (F.size(G.segments("other_lines")) > 0))
+    own = rows.groupBy(key).agg(F.min("lines").alias("lines")).withColumn("_cell", _cell_size(1.0))
+    theirs = rows.select(key, F.col(partner).cast("string").alias("_rid"), "other_lines", _cell_size(1.0).alias("_cell"))
+
+    def vertices(df: DataFrame, parts: str, side: int, rid: Column) -> DataFrame:
+        return df.select(key, "_cell", F.lit(side).alias("_side"), rid.alias("_rid"), F.posexplode(F.flatten(F.col(parts))).alias("_pos", "p")).select(
+            key, "_cell", "_side", "_rid", "_pos", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+
+    def segments(df: DataFrame, parts: str, side: int) -> DataFrame:
+        return df.select(key, "_cell", F.lit(side).alias("_side"), F.explode(G.segments(parts)).alias("s")).select(key, "_cell", "_side", "s.*")
+
+    open_points = vertices(own, "lines", 0, F.lit("")).unionByName(vertices(theirs, "other_lines", 1, F.coalesce("_rid", F.lit(""))))
+    targets = segments(theirs, "other_lines", 0).unionByName(segments(own, "lines", 1))
+    names, found, wider = [key, "_side", "_rid", "_pos"], None, 1.0
+    while True:
+        size = F.col("_cell") * wider
+        near = explode_along(targets, size, size).drop("_cell")
+        met = open_points.withColumns({"_cx": F.floor(F.col("x") / size), "_cy": F.floor(F.col("y") / size)}).join(near, [key, "_side", "_cx", "_cy"])
+        d = G.point_segment_distance(F.col("x"), F.col("y"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
+        hits = met.groupBy(*names, "_cell").agg(F.min(d).alias("_d")).where(F.col("_d") <= size).select(*names, "_d")
+        if wider >= 4.0**24:  # cells wider than any plane: what is left has no distance
+            break
+        hits = stable(hits)
+        found = hits if found is None else found.unionByName(hits)
+        rest = open_points.join(hits.select(*names), names, "left_anti").where(~F.isnan("x") & ~F.isnan("y"))
+        if rest.isEmpty():
+            break
+        open_points, wider = rest, wider * 4
+    return found.groupBy(key).agg(F.max("_d").alias("hausdorff"))
 
 
 def _closes(chains: np.ndarray) -> bool:

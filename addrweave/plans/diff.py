@@ -11,6 +11,7 @@ from addrweave.functions import geometry as G
 from addrweave.operators.lines import hausdorff
 from addrweave.operators.ranking import keep_first
 from addrweave.operators.skew import split_hot
+from addrweave.session import stable
 
 
 def added(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -79,7 +80,7 @@ def diff_streets(old: DataFrame, new: DataFrame) -> DataFrame:
     cols = ["settl_id", "street_name"]
     p = _paired(old, new, "street_code", cols).where(_same_muni())
     both = old.select("street_code", "lines").join(new.select("street_code", F.col("lines").alias("other_lines"), F.lit(0).alias("_one")), "street_code")
-    far = hausdorff(both, "street_code", "_one")
+    far = hausdorff(stable(both), "street_code", "_one")
     out = _flags(p, cols).join(far, "street_code", "left").withColumn("moved_metres", F.bround("hausdorff").cast("long"))
     return out.where(_any([F.col(f"{c}_changed") for c in cols] + [F.col("moved_metres") > 0])).drop("_om", "_on", "hausdorff")
 

@@ -13,6 +13,7 @@ from addrweave.operators.ranking import keep_first
 from addrweave.operators.skew import skew_join
 from addrweave.options import DEFAULTS, EXCLUDED_DISTRICTS, Options
 from addrweave.plans.mapping import lookup_name
+from addrweave.session import stable
 
 # Highway classes that are no street candidates.
 NO_STREET = ["footway", "cycleway", "path", "steps", "proposed", "construction", "corridor", "platform", "services", "rest_area", "raceway"]
@@ -49,7 +50,7 @@ def found_ways(streets: DataFrame, ways: DataFrame, options: Options = DEFAULTS)
 
 def street_summary(streets: DataFrame, ways: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """Q9, register side: per street its length, the ways that carry its code, covered length and largest distance to them."""
-    con = conflated_ways(streets, ways, options)
+    con = stable(conflated_ways(streets, ways, options))
     sums = con.groupBy("street_id").agg(F.count("*").alias("conflated_count"), F.sum("way_length").alias("conflated_length"), F.max("way_length").alias("conflated_max_length"))
     cover = covered_by_partners(con, options.buffer, "street_id")
     error = hausdorff(con, "street_id", "osm_id").withColumnRenamed("hausdorff", "max_error")
