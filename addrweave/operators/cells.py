@@ -199,17 +199,56 @@ def segment_distance() -> Column:
     return F.when(boxes & _cross_or_touch(), 0.0).otherwise(ends)
 
 
+def _first_points(df: DataFrame, key: str, parts: str) -> DataFrame:
+    """One vertex of each part."""
+    return df.select(key, F.explode(parts).alias("_part")).where(F.size("_part") > 0).select(key, F.col("_part")[0]["x"].alias("x"), F.col("_part")[0]["y"].alias("y"))
+
+
+def _touching(left: DataFrame, right: DataFrame, grow: float, size: float, keys: list[str], rows_per_task: int) -> DataFrame:
+    """``keys`` of segments ``x1..y2`` and ``u1..v2`` at most ``grow`` apart, as often as they share a cell; both sides take only the cells they pass."""
+    lc, rc = explode_along(left, size, grow), explode_along(right, size, 0.0, ("u1", "v1", "u2", "v2"))
+    l2, r2, on = split_hot(lc, rc, ["_cx", "_cy"], rows_per_task)
+    return by_keys(l2, on).join(by_keys(r2, on), on).where(segment_distance() <= grow).select(*keys)
+
+
 def lines_in_polygons(lines: DataFrame, polygons: DataFrame, size: float, grow: float = 0.0, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """J3/J4 and G7 for lines: distinct ``(line_id, polygon_id)`` where the line meets the polygon or comes within ``grow``.
 
-    ``lines`` has ``line_id`` and ``lines``; a line meets a polygon if a vertex is inside or a segment comes within reach of an edge.
+    ``lines`` has ``line_id`` and ``lines``. A part that comes near no edge lies inside or outside as a whole, so one vertex of each part is tested.
     """
     segs = explode_segments(lines.select("line_id", "lines"), "lines")
-    starts = segs.select("line_id", F.col("x1").alias("x"), F.col("y1").alias("y"))
-    inside = points_in_polygons(starts, polygons.select("polygon_id", "rings"), size, True, 0.0, None, ("x", "y"), rows_per_task).select("line_id", "polygon_id")
+    inside = points_in_polygons(_first_points(lines, "line_id", "lines"), polygons.select("polygon_id", "rings"), size, True, 0.0, None, ("x", "y"), rows_per_task).select("line_id", "polygon_id")
     edges = explode_segments(polygons.select("polygon_id", "rings"), "rings", ("u1", "v1", "u2", "v2"), "edge")
-    touching = segment_pairs(segs, edges, grow, size, None, rows_per_task).where(segment_distance() <= grow).select("line_id", "polygon_id")
-    return inside.unionByName(touching).distinct()
+    return inside.unionByName(_touching(segs, edges, grow, size, ["line_id", "polygon_id"], rows_per_task)).distinct()
+
+
+def polygons_meet(left: DataFrame, right: DataFrame, size: float, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Distinct ``(left_id, polygon_id)`` of polygons that share a point, borders included.
+
+    ``left`` has ``left_id, rings`` and ``right`` has ``polygon_id, rings``. Edges cross or touch, or a ring of one lies in the other: then its first vertex does.
+    """
+    outer = lines_in_polygons(left.select(F.col("left_id").alias("line_id"), F.col("rings").alias("lines")), right, size, 0.0, rows_per_task).withColumnRenamed("line_id", "left_id")
+    seeds = _first_points(right.withColumnRenamed("polygon_id", "_right"), "_right", "rings")
+    held = points_in_polygons(seeds, left.select(F.col("left_id").alias("polygon_id"), "rings"), size, True, 0.0, None, ("x", "y"), rows_per_task)
+    return outer.unionByName(held.select(F.col("polygon_id").alias("left_id"), F.col("_right").alias("polygon_id"))).distinct()
+
+
+def entities_in_areas(entities: DataFrame, members: DataFrame, size: float, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Distinct ``(osm_id, area_id)`` of entities that share a point with any member of an area.
+
+    ``entities``: ``osm_id, x, y`` and ``rings`` (null for points; open parts are lines). ``members``: ``area_id, rings``, any number of rows for an area, as a
+    municipality's own border and those of its settlements; where they overlap, an entity still counts once. An entity may lie in several areas.
+    """
+    m = members.select("area_id", "rings").withColumn("polygon_id", F.monotonically_increasing_id())
+    m = stable(m)  # the numbers are met again after two joins
+    points = entities.where("rings IS NULL").select("osm_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    hits = points_in_polygons(points, m.select("polygon_id", "rings"), size, True, rows_per_task=rows_per_task).select("osm_id", "polygon_id")
+    shapes = entities.where("rings IS NOT NULL").select(F.col("osm_id").alias("left_id"), "rings")
+    closed = F.filter("rings", lambda r: (F.size(r) > 3) & (F.get(r, F.lit(0)) == F.get(r, F.size(r) - 1)))
+    lines = lines_in_polygons(shapes.select(F.col("left_id").alias("line_id"), F.col("rings").alias("lines")), m, size, 0.0, rows_per_task).select(F.col("line_id").alias("osm_id"), "polygon_id")
+    around = points_in_polygons(_first_points(m.withColumnRenamed("polygon_id", "_member"), "_member", "rings"), shapes.select(F.col("left_id").alias("polygon_id"), closed.alias("rings")), size, True, rows_per_task=rows_per_task)
+    hits = hits.unionByName(lines).unionByName(around.select(F.col("polygon_id").alias("osm_id"), F.col("_member").alias("polygon_id")))
+    return hits.join(m.select("polygon_id", "area_id"), "polygon_id").select("osm_id", "area_id").distinct()
 
 
 def nearest_polygon(points: DataFrame, polygons: DataFrame, start: float, reach: float | None = None, xy: tuple[str, str] = ("x", "y")) -> DataFrame:

@@ -23,13 +23,22 @@ def address_progress(q1: DataFrame, osm: DataFrame | None = None) -> DataFrame:
     return g.join(m, g["muni_id"].eqNullSafe(m["_m"]) & (g["level"] == m["_l"]), "left").drop("_m", "_l")
 
 
-def building_ratio(addresses: DataFrame, buildings: DataFrame, keys: list[str]) -> DataFrame:
-    """Addresses and buildings per key, ``100 * buildings / addresses`` capped at 100000; no address gives 100001 as sort value."""
+def building_counts(addresses: DataFrame, buildings: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of both tables per key."""
     a = addresses.groupBy(*keys).agg(F.count("*").alias("addresses"))
     b = buildings.groupBy(*keys).agg(F.count("*").alias("buildings"))
-    j = a.join(b, keys, "full").fillna(0, ["addresses", "buildings"])
+    return a.join(b, keys, "full").fillna(0, ["addresses", "buildings"])
+
+
+def with_ratio(counts: DataFrame) -> DataFrame:
+    """``100 * buildings / addresses`` capped at 100000; no address gives 100001 as sort value."""
     ratio = F.least(F.try_divide(100.0 * F.col("buildings"), F.col("addresses")), F.lit(100000.0))
-    return j.withColumns({"ratio": ratio, "ratio_order": F.coalesce(ratio, F.lit(100001.0))})
+    return counts.withColumns({"ratio": ratio, "ratio_order": F.coalesce(ratio, F.lit(100001.0))})
+
+
+def building_ratio(addresses: DataFrame, buildings: DataFrame, keys: list[str]) -> DataFrame:
+    """Addresses and buildings per key that both tables carry, and their ratio (``settlement_building_ratio`` finds the key by geometry)."""
+    return with_ratio(building_counts(addresses, buildings, keys))
 
 
 def with_zero_rows(counts: DataFrame, keys_table: DataFrame, key: str) -> DataFrame:

@@ -100,7 +100,7 @@ def progress_state() -> Column:
 
 
 def import_check(osm: DataFrame, auth: DataFrame, options: Options = DEFAULTS) -> DataFrame:
-    """J7 + Q5: map entities with an authority id that is unknown, far away, or has another street or number."""
+    """J7 + Q5: map entities with an authority id that is unknown, far away, or has another street or number. With a ``note`` column also the note to list."""
     a = auth.select(F.col("addr_id").alias("house_ref"), F.col("muni_id").alias("a_muni_id"), F.col("street").alias("a_street"), F.col("house_no").alias("a_house_no"),
                     F.col("x").alias("ax"), F.col("y").alias("ay"), F.lit(True).alias("known"))
     j = skew_join(osm.where(F.col("house_ref").isNotNull()), a, ["house_ref"], "left", options.rows_per_task)
@@ -109,15 +109,22 @@ def import_check(osm: DataFrame, auth: DataFrame, options: Options = DEFAULTS) -
         return F.coalesce(left == right, F.lit(False))
 
     number = T.norm_latin("a_house_no")
+    note = [import_note(F.col("note"), options).alias("note")] if "note" in osm.columns else []
     out = j.select(
         "osm_id", "house_ref", "a_muni_id", "street", "house_no", "a_street", "a_house_no", F.coalesce("known", F.lit(False)).alias("known"),
         G.shape_distance(F.col("ax"), F.col("ay"), _shape(osm), F.col("x"), F.col("y")).alias("distance"),
         same(F.col("a_street"), F.col("street")).alias("street_perfect"), same(T.norm("a_street"), T.norm("street")).alias("street_partial"),
-        same(number, F.col("house_no")).alias("number_perfect"), same(number, T.norm_latin("house_no")).alias("number_partial"))
+        same(number, F.col("house_no")).alias("number_perfect"), same(number, T.norm_latin("house_no")).alias("number_partial"), *note)
     ok = F.col("street_perfect") & F.col("street_partial") & F.col("number_perfect") & F.col("number_partial")
     return out.where(~F.col("known") | (F.col("distance") > options.far) | ~ok)
 
 
+def import_note(note: Column, options: Options = DEFAULTS) -> Column:
+    """A mapper's note is listed if it names the authority and is not the mark of a removal; else an empty text."""
+    kept = note.contains(options.authority) & ~note.contains(f"Izbrisano iz {options.authority}-a")
+    return F.when(F.coalesce(kept, F.lit(False)), note).otherwise("")
+
+
 def import_priority() -> Column:
     """1 id unknown, 2 other street, 3 other number, 4 street spelled otherwise, 5 number spelled otherwise."""
     return (F.when(~F.col("known"), 1).when(~F.col("street_perfect") & ~F.col("street_partial"), 2)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from addrweave.functions import text as T
 from addrweave.operators.cells import points_in_polygons
+from addrweave.operators.rollup import with_zero_rows
 from addrweave.options import DEFAULTS, Options
 
 # Resolution codes.
@@ -32,7 +33,7 @@ def building_facts(pairs: DataFrame) -> DataFrame:
     number = T.house_number_int("house_no")
     per_address = pairs.groupBy("building_id", "b_street", "b_house_no", "b_has_note", "street", "house_no").agg(
         F.count("*").alias("rows"), F.sum(F.col("is_poi").cast("long")).alias("pois"), F.sum(F.col("is_simple").cast("long")).alias("simple"),
-        F.bool_or("has_note").alias("note"), F.min("osm_id").alias("first_id"), F.first("muni_id").alias("muni_id"))
+        F.bool_or("has_note").alias("note"), F.min("osm_id").alias("first_id"), F.min("muni_id").alias("muni_id"))
     same = F.col("street").eqNullSafe(F.col("b_street")) & F.col("house_no").eqNullSafe(F.col("b_house_no"))
     one = F.struct(F.col("first_id"), F.col("street"), F.col("house_no"), F.col("muni_id"))
     text = F.coalesce(F.concat(F.lit("="), F.col("street")), F.lit(""))
@@ -97,11 +98,12 @@ def addresses_in_buildings(nodes: DataFrame, buildings: DataFrame, options: Opti
     return pairs.join(codes, "building_id")  # one code per building; adaptive execution splits a crowded one
 
 
-def resolution_breakdown(q2: DataFrame) -> DataFrame:
-    """Distinct buildings per municipality and resolution, nine columns and a total."""
+def resolution_breakdown(q2: DataFrame, munis: DataFrame | None = None) -> DataFrame:
+    """Distinct buildings per municipality and resolution, nine columns and a total; with ``munis`` zeros for those without any."""
     one = q2.select("muni_id", "building_id", "resolution").distinct()
     codes = [c for c in RESOLUTIONS if c != NO_ACTION]
-    return one.groupBy("muni_id").agg(*[F.count_if(F.col("resolution") == c).alias(RESOLUTIONS[c].lower()) for c in codes], F.count("*").alias("total"))
+    counts = one.groupBy("muni_id").agg(*[F.count_if(F.col("resolution") == c).alias(RESOLUTIONS[c].lower()) for c in codes], F.count("*").alias("total"))
+    return counts if munis is None else with_zero_rows(counts, munis, "muni_id")
 
 
 def building_listing(q2: DataFrame, options: Options = DEFAULTS) -> DataFrame:

@@ -36,7 +36,8 @@ def entity_resolution(entities: DataFrame, ways: DataFrame, relations: DataFrame
     """Apartment code and closest building of each map entity.
 
     ``entities``: ``osm_id``; ``ways``/``relations``: ``osm_id, building`` (null if untagged) for all that exist; ``node_ways``: ``node_id, way_id``
-    with prefixes; ``in_building``: ``node_id, building_id``.
+    with prefixes; ``in_building``: ``node_id, building_id``. Ways may bring ``building_part``: a way that is an entity itself and no building goes by
+    its part; ways and buildings that a node lies on or in do not.
     """
     e = entities.select("osm_id").distinct()
     code = F.when(F.col("building") == "apartments", APARTMENT).when(F.col("building").isNotNull(), NOT_APARTMENT).otherwise(NOT_BUILDING)
@@ -46,11 +47,13 @@ def entity_resolution(entities: DataFrame, ways: DataFrame, relations: DataFrame
     via_way = keep_first(via_way, ["node_id"], [F.desc("code"), F.asc("way_id")]).select(
         F.col("node_id").alias("osm_id"), "code", F.when(F.col("code") > NOT_BUILDING, F.col("way_id")).alias("closest"))
     inside = in_building.select("node_id", F.col("building_id").alias("osm_id"))
-    inside = skew_join(inside, ways.unionByName(relations).select("osm_id", code.alias("in_code")), ["osm_id"], "inner")
+    inside = skew_join(inside, ways.select("osm_id", "building").unionByName(relations.select("osm_id", "building")).select("osm_id", code.alias("in_code")), ["osm_id"], "inner")
     inside = keep_first(inside, ["node_id"], [F.asc("osm_id")]).select(F.col("node_id"), "in_code", F.col("osm_id").alias("in_closest"))
     n = nodes.join(via_way, "osm_id", "left").join(inside.withColumnRenamed("node_id", "osm_id"), "osm_id", "left").select(
         "osm_id", F.coalesce("code", "in_code", F.lit(DETACHED)).alias("code"), F.when(F.col("code").isNotNull(), F.col("closest")).otherwise(F.col("in_closest")).alias("closest"))
-    shapes = e.where(~F.col("osm_id").startswith("n")).join(ways.unionByName(relations).withColumn("exists", F.lit(True)), "osm_id", "left").select(
+    own = ways.withColumn("building", F.coalesce("building", "building_part")) if "building_part" in ways.columns else ways
+    own = own.select("osm_id", "building").unionByName(relations.select("osm_id", "building"))
+    shapes = e.where(~F.col("osm_id").startswith("n")).join(own.withColumn("exists", F.lit(True)), "osm_id", "left").select(
         "osm_id", F.when(F.col("exists").isNull(), NOT_FOUND).otherwise(code).alias("code"), F.when(F.col("building").isNotNull(), F.col("osm_id")).alias("closest"))
     return n.unionByName(shapes)
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from addrweave.functions import geometry as G
 from addrweave.functions import text as T
-from addrweave.operators.cells import within_or_nearest
+from addrweave.operators.cells import points_in_polygons, polygons_meet, within_or_nearest
 from addrweave.operators.ranking import group_order
+from addrweave.operators.rollup import building_counts, with_ratio, with_zero_rows
 from addrweave.operators.skew import skew_join
 
 POINT = "struct<x:double,y:double>"
@@ -69,6 +70,18 @@ def fill_settlements(auth: DataFrame, polygons: DataFrame, size: float, reach: f
     return within_or_nearest(pts, polygons, size, reach).withColumnRenamed("point_id", "addr_id")
 
 
+def settlement_building_ratio(addresses: DataFrame, buildings: DataFrame, settlements: DataFrame, size: float) -> DataFrame:
+    """Per settlement polygon the register addresses in it, the map buildings that meet it, and their ratio; settlements without either come with zeros.
+
+    ``addresses``: ``addr_id, x, y``; ``buildings``: ``osm_id, rings``; ``settlements``: ``settl_id, rings``, one polygon each. A building on a border
+    counts in every settlement it meets.
+    """
+    areas = settlements.select(F.col("settl_id").alias("polygon_id"), "rings")
+    inside = points_in_polygons(addresses.select("addr_id", "x", "y"), areas, size).select(F.col("polygon_id").alias("settl_id"))
+    met = polygons_meet(buildings.select(F.col("osm_id").alias("left_id"), "rings"), areas, size).select(F.col("polygon_id").alias("settl_id"))
+    return with_ratio(with_zero_rows(building_counts(inside, met, ["settl_id"]), settlements, "settl_id"))
+
+
 def replace_group(df: DataFrame, rows: DataFrame, key: str, value) -> DataFrame:
     """Rows of one group replaced by new ones."""
     return df.where(F.col(key) != F.lit(value)).unionByName(rows)

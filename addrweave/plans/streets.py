@@ -10,6 +10,7 @@ from addrweave.functions import names as N
 from addrweave.functions import text as T
 from addrweave.operators.lines import covered_by_partners, covered_length, hausdorff, is_ring
 from addrweave.operators.ranking import keep_first
+from addrweave.operators.rollup import with_zero_rows
 from addrweave.operators.skew import skew_join
 from addrweave.options import DEFAULTS, EXCLUDED_DISTRICTS, Options
 from addrweave.plans.mapping import lookup_name
@@ -108,21 +109,23 @@ def missing_geometry(report: DataFrame, options: Options = DEFAULTS) -> DataFram
     return report.where("conflated_count > 0").withColumns({"need_drawing": draw, "need_conflating": conflate}).where("need_drawing > 0 OR need_conflating > 0")
 
 
-def missing_per_muni(q11: DataFrame) -> DataFrame:
-    """Per municipality, streets that need drawing first, the others need conflating; hamlets left out."""
+def missing_per_muni(q11: DataFrame, munis: DataFrame | None = None) -> DataFrame:
+    """Per municipality, streets that need drawing first, the others need conflating; hamlets left out. With ``munis`` zeros for those without any."""
     draw = F.col("need_drawing") > 0
 
     def of(cond: Column, c: str) -> Column:
         return F.sum(F.when(cond, F.col(c)).otherwise(0.0))
-    return q11.where(~F.col("is_hamlet")).groupBy("muni_id").agg(
+    counts = q11.where(~F.col("is_hamlet")).groupBy("muni_id").agg(
         F.count_if(draw).alias("drawing_count"), of(draw, "need_drawing").alias("drawing_length"), F.count_if(~draw).alias("conflating_count"),
         of(~draw, "need_conflating").alias("conflating_length"), of(draw, "conflated_length").alias("drawing_conflated"), of(~draw, "conflated_length").alias("conflating_conflated"))
+    return counts if munis is None else with_zero_rows(counts, munis, "muni_id")
 
 
-def mismatch_per_muni(q10: DataFrame, summary: DataFrame) -> DataFrame:
-    """Mismatching ways and metres per municipality, hamlets left out."""
+def mismatch_per_muni(q10: DataFrame, summary: DataFrame, munis: DataFrame | None = None) -> DataFrame:
+    """Mismatching ways and metres per municipality, hamlets left out. With ``munis`` zeros for those without any."""
     s = summary.where(~F.col("is_hamlet")).select("street_id", "muni_id")
-    return q10.join(s, "street_id").groupBy("muni_id").agg(F.sum("wrong_count").alias("ways"), F.sum("total_length").alias("length"))
+    counts = q10.join(s, "street_id").groupBy("muni_id").agg(F.sum("wrong_count").alias("ways"), F.sum("total_length").alias("length"))
+    return counts if munis is None else with_zero_rows(counts, munis, "muni_id")
 
 
 def top_streets(df: DataFrame, by: str, n: int = 100) -> DataFrame:

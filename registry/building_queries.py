@@ -8,7 +8,7 @@ from addrweave.functions import geometry as G
 from addrweave.functions import text as T
 from addrweave.operators import ranking as R
 from addrweave.operators import rollup as RU
-from addrweave.operators.cells import lines_in_polygons, points_in_polygons
+from addrweave.operators.cells import entities_in_areas, lines_in_polygons, points_in_polygons
 from addrweave.plans import address as A
 from addrweave.plans import buildings as B
 from addrweave.plans import settlements as SE
@@ -120,14 +120,19 @@ add("building_resolution", lambda s, d: B.resolution(B.building_facts(B.nodes_in
     q("SELECT building_id, resolution, pois, simple, addresses FROM resolved", "resolved"))
 add("addresses_in_buildings", lambda s, d: q2(World(s, d)).select("osm_id", "building_id", "muni_id", "resolution", "pois", "simple"), q("SELECT osm_id, building_id, muni_id, resolution, pois, simple FROM q2", "q2"))
 CODES = {c: n.lower() for c, n in B.RESOLUTIONS.items() if c != 1}
-add("resolution_breakdown", lambda s, d: B.resolution_breakdown(q2(World(s, d))),
-    q("SELECT muni_id, " + ", ".join(f"count(DISTINCT building_id) FILTER (WHERE resolution = {c}) AS {n}" for c, n in CODES.items()) + ", count(DISTINCT building_id) AS total FROM q2 GROUP BY muni_id", "q2"))
+add("resolution_breakdown", lambda s, d: B.resolution_breakdown(q2(World(s, d)), World(s, d).muni),
+    q("SELECT m.muni_id, " + ", ".join(f"count(DISTINCT building_id) FILTER (WHERE resolution = {c}) AS {n}" for c, n in CODES.items())
+      + ", count(DISTINCT building_id) AS total FROM muni m LEFT JOIN q2 ON q2.muni_id = m.muni_id GROUP BY m.muni_id", "q2", "muni"))
 add("building_listing", lambda s, d: B.building_listing(q2(World(s, d))).drop("any_ref"),
     q("SELECT building_id, concat_ws(' ', any_value(b_street), any_value(b_house_no)) AS building_address, count(*) AS nodes, count(*) FILTER (WHERE is_poi) AS pois, CASE any_value(resolution) "
       + " ".join(f"WHEN {c} THEN '{n}'" for c, n in B.RESOLUTIONS.items()) + " END AS resolution_name FROM q2 GROUP BY building_id", "q2"))
 add("import_check", lambda s, d: A.import_check(World(s, d).map_entity, auth(World(s, d))).withColumn("distance", F.round("distance", 6)).withColumn("priority", A.import_priority()),
     q("""SELECT * REPLACE (round(distance, 6) AS distance), cast(CASE WHEN NOT known THEN 1 WHEN NOT street_perfect AND NOT street_partial THEN 2 WHEN NOT number_perfect AND NOT number_partial THEN 3
       WHEN NOT street_perfect THEN 4 ELSE 5 END AS int) AS priority FROM problem""", "problem"))
+NOTES = ["RGZ: proveriti", "Izbrisano iz RGZ-a 2024-01-15", "RGZ; Izbrisano iz RGZ-a 2024-01-15", "bez broja"]
+add("import_notes", lambda s, d: (lambda w: A.import_check(w.map_entity.withColumn("note", F.get(F.array(*[F.lit(n) for n in NOTES]), (F.col("entity_key") % 5).cast("int"))), auth(w)))(World(s, d)).select("osm_id", "note"),
+    q(f"""SELECT p.osm_id, CASE WHEN contains(n, 'RGZ') AND NOT contains(n, 'Izbrisano iz RGZ-a') THEN n ELSE '' END AS note
+      FROM problem p JOIN (SELECT osm_id, {NOTES}[entity_key % 5 + 1] AS n FROM map_entity) USING (osm_id)""", "problem", "map_entity"))
 add("import_too_far", lambda s, d: A.import_check(World(s, d).map_entity, auth(World(s, d))).where("distance >= 30").select("osm_id", F.round("distance", 6).alias("distance")),
     q("SELECT osm_id, round(distance, 6) AS distance FROM problem WHERE distance >= 30", "problem"))
 add("duplicated_refs", lambda s, d: A.duplicated_refs(World(s, d).map_entity, World(s, d).auth_address).select("house_ref", "osm_id", "street", "house_no", "muni_name", "entities"),
@@ -147,10 +152,22 @@ add("address_progress", lambda s, d: RU.address_progress(with_state(World(s, d))
         round(100.0 * count(*) FILTER (WHERE state = 'conflated') / count(*), 6) AS ratio FROM q1 GROUP BY GROUPING SETS ((muni_id, settl_id), (muni_id), ())) g
       LEFT JOIN (SELECT muni_id, count(*) AS on_map, CASE WHEN grouping(muni_id) = 1 THEN 3 ELSE 1 END AS level FROM map_entity GROUP BY GROUPING SETS ((muni_id), ())) m
         ON m.muni_id IS NOT DISTINCT FROM g.muni_id AND m.level = g.level""", "q1", "map_entity"))
-add("building_ratio", lambda s, d: RU.building_ratio(auth(World(s, d)), World(s, d).map_node.where("is_poi"), ["muni_id"]).withColumns({"ratio": F.round("ratio", 6), "ratio_order": F.round("ratio_order", 6)}),
-    q("""SELECT coalesce(a.muni_id, b.muni_id) AS muni_id, coalesce(a.n, 0) AS addresses, coalesce(b.n, 0) AS buildings, round(least(100.0 * coalesce(b.n, 0) / nullif(coalesce(a.n, 0), 0), 100000.0), 6) AS ratio,
-      round(coalesce(least(100.0 * coalesce(b.n, 0) / nullif(coalesce(a.n, 0), 0), 100000.0), 100001.0), 6) AS ratio_order
-      FROM (SELECT muni_id, count(*) AS n FROM auth_address GROUP BY 1) a FULL JOIN (SELECT muni_id, count(*) AS n FROM map_node WHERE is_poi GROUP BY 1) b ON a.muni_id = b.muni_id""", "auth_address", "map_node"))
+add("building_ratio", lambda s, d: (lambda w: SE.settlement_building_ratio(auth(w), w.map_entity.where("rings IS NOT NULL"), w.settl_polygon, 500.0))(World(s, d)).withColumns(
+    {"ratio": F.round("ratio", 6), "ratio_order": F.round("ratio_order", 6)}),
+    q("""SELECT settl_id, addresses, buildings, round(least(100.0 * buildings / nullif(addresses, 0), 100000.0), 6) AS ratio, round(coalesce(least(100.0 * buildings / nullif(addresses, 0), 100000.0), 100001.0), 6) AS ratio_order
+      FROM (SELECT settl_id, (SELECT count(*) FROM auth_address a WHERE a.x BETWEEN bx0 AND bx1 AND a.y BETWEEN by0 AND by1) AS addresses,
+        (SELECT count(*) FROM map_entity e WHERE e.half > 0 AND e.x + e.half >= bx0 AND e.x - e.half <= bx1 AND e.y + e.half >= by0 AND e.y - e.half <= by1) AS buildings FROM settl_box)""", "auth_address", "map_entity", "settl_box"))
+add("entities_in_munis", lambda s, d: (lambda w: entities_in_areas(w.map_entity.select("osm_id", "x", "y", "rings"), w.muni_polygon.select(F.col("muni_id").alias("area_id"), "rings").unionByName(
+    w.settl_polygon.select(F.col("muni_id").alias("area_id"), "rings")), 500.0))(World(s, d)),
+    duck("SELECT osm_id, muni_id AS area_id FROM in_box UNION SELECT osm_id, muni_id FROM in_ring", "in_box", "in_ring", extra={
+        **STEPS,
+        "in_box": (["map_entity", "settl_box"], """SELECT e.osm_id, b.muni_id FROM map_entity e JOIN settl_box b ON e.x + e.half >= bx0 AND e.x - e.half <= bx1 AND e.y + e.half >= by0 AND e.y - e.half <= by1"""),
+        "side": (["muni_edge"], """SELECT muni_id, x1, y1, x2, y2, min(x1) OVER w AS bx0, max(x1) OVER w AS bx1, min(y1) OVER w AS by0, max(y1) OVER w AS by1 FROM muni_edge WINDOW w AS (PARTITION BY muni_id)"""),
+        "in_ring": (["map_entity", "side"], """
+          SELECT osm_id, muni_id FROM (SELECT e.osm_id, e.x, e.y, e.half, m.muni_id, m.x1, m.y1, m.x2, m.y2 FROM map_entity e JOIN side m ON e.x + e.half >= bx0 AND e.x - e.half <= bx1 AND e.y + e.half >= by0 AND e.y - e.half <= by1)
+          GROUP BY osm_id, muni_id
+          HAVING bool_and((x2 - x1) * (y - y1) - (x - x1) * (y2 - y1) + half * (abs(x2 - x1) + abs(y2 - y1)) >= 0)"""),  # a convex ring meets a square that no side and no box parts from it
+    }))
 add("distinct_values", lambda s, d: RU.distinct_values(World(s, d).map_entity.where("house_ref IS NOT NULL"), ["house_ref"], "street", "house_no"),
     q("""SELECT DISTINCT house_ref, 'street' AS attribute, street AS value FROM map_entity WHERE house_ref IS NOT NULL AND street IS NOT NULL
       UNION ALL SELECT DISTINCT house_ref, 'house_no', house_no FROM map_entity WHERE house_ref IS NOT NULL AND house_no IS NOT NULL""", "map_entity"))

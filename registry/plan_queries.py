@@ -62,13 +62,20 @@ STEPS = {
       FROM (SELECT h.*, a.addr_id, count(*) OVER (PARTITION BY h.muni_id, hc_street, hc_house_no) AS copies, row_number() OVER (PARTITION BY h.muni_id, hc_street, hc_house_no ORDER BY hc_id, addr_id) AS rn
         FROM housing h LEFT JOIN auth_address a ON a.muni_id = h.muni_id AND replace(replace(a.proper_name, ' ', ''), '.', '') = replace(replace(hc_street, ' ', ''), '.', '') AND a.house_no = hc_house_no) WHERE rn = 1
       QUALIFY (NOT (addr_id IS NOT NULL AND copies = 1)) OR row_number() OVER (PARTITION BY CASE WHEN addr_id IS NOT NULL AND copies = 1 THEN addr_id END ORDER BY hc_id) = 1"""),
-    "ent_code": (["map_entity", "map_building", "way_node", "in_building"], """
-      SELECT e.osm_id, CASE WHEN osm_id[1] = 'n' THEN coalesce(v.code, CASE WHEN entity_key % 9 = 1 THEN i.code END, 2)
-        WHEN osm_id[1] = 'r' THEN CASE entity_key % 4 WHEN 0 THEN 5 WHEN 1 THEN 4 WHEN 2 THEN 3 ELSE 1 END ELSE t.code END AS code
-      FROM map_entity e JOIN (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 5 WHEN 'O' THEN 4 ELSE 3 END AS code FROM orders) i ON i.o_orderkey = e.entity_key LEFT JOIN (SELECT 'w' || o_orderkey AS oid, CASE o_orderstatus WHEN 'F' THEN 'apartments' WHEN 'O' THEN 'yes' END AS building, CASE o_orderstatus WHEN 'F' THEN 5 WHEN 'O' THEN 4 ELSE 3 END AS code FROM orders) t ON t.oid = e.osm_id
-      LEFT JOIN (SELECT 'n' || node_id AS nid, max(CASE o_orderstatus WHEN 'F' THEN 5 WHEN 'O' THEN 4 ELSE 3 END) AS code FROM way_node JOIN orders ON o_orderkey = way_id GROUP BY 1) v ON v.nid = e.osm_id"""),
+    "way_tag": ([], """
+      SELECT 'w' || o_orderkey AS wid, o_orderkey, CASE o_orderstatus WHEN 'F' THEN 5 WHEN 'O' THEN 4 ELSE 3 END AS code,
+        CASE o_orderstatus WHEN 'F' THEN 5 WHEN 'O' THEN 4 ELSE CASE o_orderkey % 4 WHEN 0 THEN 5 WHEN 1 THEN 4 ELSE 3 END END AS own_code FROM orders"""),
+    "node_code": (["way_node", "way_tag"], """
+      SELECT 'n' || node_id AS nid, max(code) AS code, arg_min('w' || way_id, (-code, 'w' || way_id)) AS way FROM way_node JOIN way_tag ON o_orderkey = way_id GROUP BY 1"""),
+    "ent_code": (["map_entity", "way_tag", "node_code"], """
+      SELECT e.osm_id, CASE e.osm_id[1] WHEN 'n' THEN coalesce(v.code, CASE WHEN entity_key % 9 = 1 THEN t.code END, 2)
+          WHEN 'r' THEN CASE entity_key % 4 WHEN 0 THEN 5 WHEN 1 THEN 4 WHEN 2 THEN 3 ELSE 1 END ELSE t.own_code END AS code,
+        CASE e.osm_id[1] WHEN 'n' THEN CASE WHEN v.code > 3 THEN v.way WHEN v.code IS NULL AND entity_key % 9 = 1 THEN t.wid END
+          WHEN 'r' THEN CASE WHEN entity_key % 4 < 2 THEN e.osm_id END ELSE CASE WHEN t.own_code > 3 THEN e.osm_id END END AS closest
+      FROM map_entity e JOIN way_tag t ON t.o_orderkey = e.entity_key LEFT JOIN node_code v ON v.nid = e.osm_id"""),
     "hc_status": (["hc_addr", "map_entity", "ent_code"], """
-      SELECT h.*, coalesce(s.entities, 0) AS entities, s.resolution FROM hc_addr h LEFT JOIN (SELECT e.house_ref, count(*) AS entities, max(c.code) AS resolution FROM map_entity e JOIN ent_code c ON c.osm_id = e.osm_id
+      SELECT h.*, coalesce(s.entities, 0) AS entities, s.resolution, s.closest_building
+      FROM hc_addr h LEFT JOIN (SELECT e.house_ref, count(*) AS entities, max(c.code) AS resolution, arg_min(struct_pack(v := c.closest), (-c.code, e.osm_id)).v AS closest_building FROM map_entity e JOIN ent_code c ON c.osm_id = e.osm_id
         WHERE e.house_ref IS NOT NULL GROUP BY 1) s ON s.house_ref = h.addr_id"""),
 }
 
@@ -153,7 +160,9 @@ add("diff_streets", lambda s, d: (lambda w: D.diff_streets(w.street_line.withCol
 
 # --- housing
 def way_tags(w: World):
-    return w.table("orders").select(F.concat(F.lit("w"), F.col("o_orderkey").cast("string")).alias("osm_id"), F.when(F.col("o_orderstatus") == "F", "apartments").when(F.col("o_orderstatus") == "O", "yes").alias("building"))
+    k, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    part = F.when(status == "P", F.when(k % 4 == 0, "apartments").when(k % 4 == 1, "yes"))
+    return w.table("orders").select(F.concat(F.lit("w"), k.cast("string")).alias("osm_id"), F.when(status == "F", "apartments").when(status == "O", "yes").alias("building"), part.alias("building_part"))
 
 
 def resolutions(w: World):
@@ -170,8 +179,8 @@ def hc(w: World):
 
 
 add("housing_addresses", lambda s, d: hc(World(s, d)), q("SELECT * FROM hc_addr", "hc_addr"))
-add("housing_status", lambda s, d: (lambda w: H.housing_status(hc(w), w.map_entity, resolutions(w)).select("hc_id", "addr_id", "entities", "resolution"))(World(s, d)),
-    q("SELECT hc_id, addr_id, entities, resolution FROM hc_status", "hc_status"))
+add("housing_status", lambda s, d: (lambda w: H.housing_status(hc(w), w.map_entity, resolutions(w)).select("hc_id", "addr_id", "entities", "resolution", "closest_building"))(World(s, d)),
+    q("SELECT hc_id, addr_id, entities, resolution, closest_building FROM hc_status", "hc_status"))
 add("housing_counts", lambda s, d: (lambda w: H.housing_counts(H.housing_status(hc(w), w.map_entity, resolutions(w))))(World(s, d)),
     q("""SELECT muni_id, count(*) AS communities, count(*) FILTER (WHERE found_in_register) AS in_register, count(*) FILTER (WHERE entities > 0) AS in_map, count(*) FILTER (WHERE resolution = 1) AS entity_not_found,
       count(*) FILTER (WHERE resolution = 2) AS node_detached, count(*) FILTER (WHERE resolution = 3) AS not_building, count(*) FILTER (WHERE resolution = 4) AS not_apartment, count(*) FILTER (WHERE resolution = 5) AS apartment

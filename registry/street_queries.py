@@ -15,7 +15,7 @@ from registry.text_queries import NAMED, named_streets
 from registry.world import World, duck
 
 QUERIES, ORACLES = {}, {}
-NO_STREET = "('footway','cycleway','path','steps','proposed','construction','corridor','platform','services','rest_area','raceway')"
+NO_STREET = "(" + ", ".join(f"'{c}'" for c in ST.NO_STREET) + ")"
 
 
 def stretch_sql(source: str, r: float) -> tuple[str, ...]:
@@ -159,8 +159,10 @@ add("settlement_street_totals", lambda s, d: ST.settlement_totals(report(World(s
       round_even(round(sum(conflated_length), 2), 0) AS conflated_length FROM report WHERE NOT is_hamlet GROUP BY settl_id""", "report"))
 add("name_mismatch", lambda s, d: rounded(ST.name_mismatch(found(World(s, d)), World(s, d).way_line), "total_length", "average_length"),
     q("SELECT * REPLACE (round(total_length, 4) AS total_length, round(average_length, 4) AS average_length) FROM q10", "q10"))
-add("name_mismatch_per_muni", lambda s, d: (lambda w: rounded(ST.mismatch_per_muni(ST.name_mismatch(found(w), w.way_line), w.street.select("street_id", "muni_id", (F.substring("street_code", 7, 1) == "2").alias("is_hamlet"))), "length"))(World(s, d)),
-    q("SELECT t.muni_id, cast(sum(wrong_count) AS bigint) AS ways, round(sum(total_length), 4) AS length FROM q10 JOIN street t ON t.street_id = q10.street_id WHERE substr(t.street_code, 7, 1) <> '2' GROUP BY t.muni_id", "q10", "street"))
+add("name_mismatch_per_muni", lambda s, d: (lambda w: rounded(ST.mismatch_per_muni(ST.name_mismatch(found(w), w.way_line), w.street.select("street_id", "muni_id", (F.substring("street_code", 7, 1) == "2").alias("is_hamlet")), w.muni), "length"))(World(s, d)),
+    q("""SELECT m.muni_id, coalesce(ways, 0) AS ways, coalesce(length, 0.0) AS length FROM muni m LEFT JOIN (
+      SELECT t.muni_id, cast(sum(wrong_count) AS bigint) AS ways, round(sum(total_length), 4) AS length FROM q10 JOIN street t ON t.street_id = q10.street_id
+      WHERE substr(t.street_code, 7, 1) <> '2' GROUP BY t.muni_id) USING (muni_id)""", "q10", "street", "muni"))
 add("top_name_mismatch", lambda s, d: (lambda w: ST.top_streets(ST.name_mismatch(found(w), w.way_line).withColumn("total_length", F.round("total_length", 4)).join(
     w.street.select("street_id", (F.substring("street_code", 7, 1) == "2").alias("is_hamlet")), "street_id"), "total_length").select("street_id", "total_length"))(World(s, d)),
     q("""SELECT street_id, total_length FROM (SELECT q10.street_id, round(total_length, 4) AS total_length, substr(t.street_code, 7, 1) = '2' AS h FROM q10 JOIN street t ON t.street_id = q10.street_id
@@ -172,11 +174,11 @@ for metric in ("need_drawing", "need_conflating"):
         q(f"SELECT street_id, {metric} FROM (SELECT street_id, round({metric}, 4) AS {metric}, is_hamlet FROM q11 ORDER BY 2 DESC NULLS LAST, 1 LIMIT 100) WHERE NOT is_hamlet", "q11"))
 add("ring_streets_with_exceptions", lambda s, d: (lambda w: ST.ring_streets(w.street_line, w.street.where("street_id % 10 = 0").select("street_code", (F.col("street_id") % 20 == 0).alias("is_ring"))))(World(s, d)),
     q("SELECT street_code, street_id % 20 = 0 AS ring FROM street", "street"))
-add("missing_geometry_per_muni", lambda s, d: rounded(ST.missing_per_muni(ST.missing_geometry(report(World(s, d)))), "drawing_length", "conflating_length", "drawing_conflated", "conflating_conflated", digits=3),
-    q("""SELECT muni_id, count(*) FILTER (WHERE need_drawing > 0) AS drawing_count, round(coalesce(sum(need_drawing) FILTER (WHERE need_drawing > 0), 0.0), 3) AS drawing_length,
+add("missing_geometry_per_muni", lambda s, d: rounded(ST.missing_per_muni(ST.missing_geometry(report(World(s, d))), World(s, d).muni), "drawing_length", "conflating_length", "drawing_conflated", "conflating_conflated", digits=3),
+    q("""SELECT m.muni_id, count(*) FILTER (WHERE need_drawing > 0) AS drawing_count, round(coalesce(sum(need_drawing) FILTER (WHERE need_drawing > 0), 0.0), 3) AS drawing_length,
       count(*) FILTER (WHERE NOT need_drawing > 0) AS conflating_count, round(coalesce(sum(need_conflating) FILTER (WHERE NOT need_drawing > 0), 0.0), 3) AS conflating_length,
       round(coalesce(sum(conflated_length) FILTER (WHERE need_drawing > 0), 0.0), 3) AS drawing_conflated, round(coalesce(sum(conflated_length) FILTER (WHERE NOT need_drawing > 0), 0.0), 3) AS conflating_conflated
-      FROM q11 WHERE NOT is_hamlet GROUP BY muni_id""", "q11"))
+      FROM muni m LEFT JOIN (SELECT * FROM q11 WHERE NOT is_hamlet) f ON f.muni_id = m.muni_id GROUP BY m.muni_id""", "q11", "muni"))
 add("ring_streets", lambda s, d: (lambda w: ST.ring_streets(w.street_line.withColumn("lines", F.array(F.concat(F.col("lines")[0], F.when(F.col("street_id") % 3 == 0, F.slice(F.col("lines")[0], 1, 1)).otherwise(F.slice(F.col("lines")[0], 1, 0)))))))(World(s, d)),
     q("SELECT street_code, street_id % 3 = 0 AS ring FROM street", "street"))
 add("line_measures", lambda s, d: World(s, d).way_line.select("osm_id", F.round(G.length("lines"), 4).alias("length"), G.bounds("lines")["xmin"].alias("xmin"), G.bounds("lines")["ymax"].alias("ymax")),
@@ -189,4 +191,7 @@ from registry.sql import CYR2LAT, INTNAME  # noqa: E402
 
 add("suggested_names", lambda s, d: ST.suggested_names(named_streets(World(s, d))).select("osm_id", "suggest_sr", "suggest_sr_latn", "suggest_int_name"),
     q(f"SELECT osm_id, coalesce(proper, name, '?') AS suggest_sr, coalesce({CYR2LAT('coalesce(proper, name)', True)}, '?') AS suggest_sr_latn, coalesce({INTNAME('coalesce(proper, name)')}, '?') AS suggest_int_name FROM named", "named"))
+ALT = {"wrong_alt_name": "alt_wrong", "missing_alt_name": "alt_missing", "wrong_alt_name_sr": "alt_sr_wrong", "missing_alt_name_sr": "alt_sr_missing",
+       "wrong_alt_name_sr_latn": "alt_latn_wrong", "missing_alt_name_sr_latn": "alt_latn_missing"}
+add("alt_name_counts", lambda s, d: (lambda w: ST.name_counts(ST.wrong_alt_names(named_streets(w)).withColumns({k: F.col(v) for k, v in ALT.items()}), w.muni, list(ALT)))(World(s, d)), None)
 add("wrong_alt_names", lambda s, d: ST.wrong_alt_names(named_streets(World(s, d))).select("osm_id", *[f"{p}{c}" for p in ("alt_", "alt_sr_", "alt_latn_") for c in ("missing", "wrong", "suggestion", "partial")]), None)

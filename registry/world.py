@@ -88,6 +88,17 @@ class World:
         corners = [(-200, -200), (1400, -200), (1400, 1000), (600, 1400), (-200, 1000), (-200, -200)]
         return self.muni.select("muni_id", "muni_name", "district", F.array(F.array(*[pt(x, y) for x, y in corners])).alias("rings"))
 
+    @cached_property
+    def settl_polygon(self) -> DataFrame:
+        """Three strips for each municipality: they overlap by 40 m and stick out of it in the south and east."""
+        k = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k")
+        m = self.muni.select("muni_id", "ox", "oy", k).withColumns({"west": F.col("ox") - 200 + F.col("k") * 560, "south": F.col("oy") - 260})
+
+        def pt(x, y):
+            return F.struct((F.col("west") + x).cast("double").alias("x"), (F.col("south") + y).cast("double").alias("y"))
+        ring = F.array(*[pt(x, y) for x, y in ((0, 0), (600, 0), (600, 1200), (0, 1200), (0, 0))])
+        return m.select((F.col("muni_id") * 10 + F.col("k")).alias("settl_id"), "muni_id", F.array(ring).alias("rings"))
+
     @cached_property
     def street(self) -> DataFrame:
         k, size = F.col("p_partkey"), F.col("p_size")
@@ -261,6 +272,8 @@ CTES: dict[str, tuple[list[str], str]] = {
     "muni_edge": (["muni_ring"], """
       SELECT a.muni_id, a.muni_name, a.pos, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
       FROM muni_ring a JOIN muni_ring b ON a.muni_id = b.muni_id AND b.pos = a.pos % 5 + 1"""),
+    "settl_box": (["muni"], """
+      SELECT muni_id * 10 + k AS settl_id, muni_id, ox - 200 + k * 560 AS bx0, oy - 260 AS by0, ox + 400 + k * 560 AS bx1, oy + 940 AS by1 FROM muni, range(0, 3) AS r(k)"""),
     "street": ([], f"""
       SELECT p_partkey AS street_id,
         lpad(cast(cast(floor(p_partkey / 20) AS bigint) % 1000000 AS varchar), 6, '0') || CASE WHEN p_type = 'SMALL' THEN '2' ELSE '1' END
