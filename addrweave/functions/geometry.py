@@ -117,6 +117,23 @@ def ring_area(ring: Column) -> Column:
     return F.aggregate(segs, F.lit(0.0), lambda acc, s: acc + (s["x1"] * s["y2"] - s["x2"] * s["y1"])) / 2.0
 
 
+def area_and_centroid(rings: Column | str) -> Column:
+    """Area of all rings together (outer ones and holes turn opposite ways, or there are no holes) and its centre, as a struct ``area, x, y``; null for none.
+
+    Coordinates are taken from the first vertex, so nothing is lost far from the origin.
+    """
+    r = _col(rings)
+    ox, oy = F.get(F.get(r, F.lit(0)), F.lit(0))["x"], F.get(F.get(r, F.lit(0)), F.lit(0))["y"]
+
+    def add(acc: Column, s: Column) -> Column:
+        x1, y1, x2, y2 = s["x1"] - ox, s["y1"] - oy, s["x2"] - ox, s["y2"] - oy
+        c = x1 * y2 - x2 * y1
+        return F.struct((acc["a"] + c).alias("a"), (acc["x"] + (x1 + x2) * c).alias("x"), (acc["y"] + (y1 + y2) * c).alias("y"))
+
+    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    return F.aggregate(segments(r), zero, add, lambda t: F.when(t["a"] != 0, F.struct((F.abs(t["a"]) / 2.0).alias("area"), (ox + t["x"] / (3.0 * t["a"])).alias("x"), (oy + t["y"] / (3.0 * t["a"])).alias("y"))))
+
+
 def round_coordinates(parts: Column | str, digits: int) -> Column:
     """Every coordinate rounded."""
     return F.transform(_col(parts), lambda part: F.transform(part, lambda p: F.struct(

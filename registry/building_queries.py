@@ -182,10 +182,31 @@ add("settlement_seeds", lambda s, d: SE.seeds(auth(World(s, d))).withColumns({"x
 add("nearest_settlement", lambda s, d: SE.nearest_seed(World(s, d).map_entity.select("osm_id", "muni_id", "x", "y"), SE.seeds(auth(World(s, d)))).select("osm_id", "nearest_settl_id", F.round("seed_distance", 4).alias("seed_distance")),
     q("""SELECT osm_id, arg_min(settl_id, (d, settl_id)) AS nearest_settl_id, round(min(d), 4) AS seed_distance FROM (SELECT e.osm_id, s.settl_id, sqrt((e.x - s.x) * (e.x - s.x) + (e.y - s.y) * (e.y - s.y)) AS d
       FROM map_entity e JOIN (SELECT muni_id, settl_id, avg(x) AS x, avg(y) AS y FROM auth_address GROUP BY ALL) s ON s.muni_id = e.muni_id) GROUP BY osm_id""", "map_entity", "auth_address"))
-add("settlement_borders", lambda s, d: SE.settlement_borders(auth(World(s, d)), World(s, d).muni_polygon).select("muni_id", "settl_id", F.round(F.abs(G.ring_area(F.col("ring"))), 2).alias("area")).groupBy("muni_id").agg(
-    F.count("*").alias("settlements"), F.round(F.sum("area") / 1000.0, 1).alias("area")),
-    q("""SELECT e.muni_id, any_value(s.n) AS settlements, round(abs(sum(cast(x1 AS double) * y2 - cast(x2 AS double) * y1)) / 2 / 1000.0, 1) AS area FROM muni_edge e
-      JOIN (SELECT muni_id, count(DISTINCT settl_id) AS n FROM auth_address GROUP BY muni_id) s ON s.muni_id = e.muni_id GROUP BY e.muni_id""", "muni_edge", "auth_address"))
+add("settlement_borders", lambda s, d: SE.settlement_borders(auth(World(s, d)), World(s, d).muni_polygon).withColumn("c", G.area_and_centroid("rings")).select(
+    "muni_id", "settl_id", "addresses", F.round("c.area", 1).alias("area"), F.round("c.x", 3).alias("cx"), F.round("c.y", 3).alias("cy")),
+    duck("""
+      SELECT any_value(muni_id) AS muni_id, settl_id, any_value(addresses) AS addresses, round(any_value(doubled) / 2, 1) AS area,
+        round(any_value(x0) + any_value(sx) / (3 * any_value(doubled)), 3) AS cx, round(any_value(y0) + any_value(sy) / (3 * any_value(doubled)), 3) AS cy
+      FROM tile_sum GROUP BY settl_id""", "tile_sum", extra={
+        "seed": (["auth_address"], "SELECT muni_id, settl_id, avg(x) AS x0, avg(y) AS y0, count(*) AS addresses FROM auth_address GROUP BY muni_id, settl_id"),
+        "plane": (["seed", "muni_edge"], """
+          SELECT s.settl_id, cast(m.y2 - m.y1 AS double) AS nx, cast(m.x1 - m.x2 AS double) AS ny, cast(m.y2 - m.y1 AS double) * (m.x1 - x0) + cast(m.x1 - m.x2 AS double) * (m.y1 - y0) AS c FROM seed s JOIN muni_edge m ON m.muni_id = s.muni_id
+          UNION ALL
+          SELECT a.settl_id, b.x0 - a.x0, b.y0 - a.y0, ((b.x0 - a.x0) * (b.x0 - a.x0) + (b.y0 - a.y0) * (b.y0 - a.y0)) / 2 FROM seed a JOIN seed b ON a.muni_id = b.muni_id AND (a.x0 <> b.x0 OR a.y0 <> b.y0)"""),
+        "unit": (["plane"], "SELECT settl_id, nx / sqrt(nx * nx + ny * ny) AS nx, ny / sqrt(nx * nx + ny * ny) AS ny, c / sqrt(nx * nx + ny * ny) AS c, row_number() OVER (PARTITION BY settl_id) AS k FROM plane"),
+        "corner": (["unit"], """
+          SELECT p.settl_id, (p.c * q.ny - q.c * p.ny) / (p.nx * q.ny - q.nx * p.ny) AS x, (p.nx * q.c - q.nx * p.c) / (p.nx * q.ny - q.nx * p.ny) AS y
+          FROM unit p JOIN unit q ON p.settl_id = q.settl_id AND p.k < q.k AND abs(p.nx * q.ny - q.nx * p.ny) > 1e-9"""),
+        "tile_corner": (["corner", "unit"], """
+          SELECT c.settl_id, round(c.x, 6) AS rx, round(c.y, 6) AS ry, any_value(c.x) AS x, any_value(c.y) AS y, atan2(any_value(c.y), any_value(c.x)) AS turn FROM corner c JOIN unit u ON u.settl_id = c.settl_id
+          GROUP BY c.settl_id, c.x, c.y HAVING max(u.nx * c.x + u.ny * c.y - u.c) < 1e-6"""),
+        "tile_edge": (["tile_corner"], """
+          SELECT settl_id, x, y, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x2, coalesce(lead(y) OVER w, first_value(y) OVER w) AS y2
+          FROM (SELECT settl_id, rx, ry, any_value(x) AS x, any_value(y) AS y, any_value(turn) AS turn FROM tile_corner GROUP BY settl_id, rx, ry) WINDOW w AS (PARTITION BY settl_id ORDER BY turn)"""),
+        "tile_sum": (["tile_edge", "seed"], """
+          SELECT s.*, t.doubled, t.sx, t.sy FROM seed s LEFT JOIN (SELECT settl_id, sum(x * y2 - x2 * y) AS doubled, sum((x + x2) * (x * y2 - x2 * y)) AS sx, sum((y + y2) * (x * y2 - x2 * y)) AS sy FROM tile_edge GROUP BY settl_id) t
+          ON t.settl_id = s.settl_id AND NOT EXISTS (SELECT 1 FROM seed o WHERE o.muni_id = s.muni_id AND o.x0 = s.x0 AND o.y0 = s.y0 AND o.settl_id < s.settl_id)"""),
+    }))
 add("address_listing", lambda s, d: SE.address_listing(matched(World(s, d))).withColumns({"score": F.round("score", 6), "distance": F.round("distance", 6)}),
     q("""SELECT addr_id, settl_id, street, house_no, lpad(cast(rk AS varchar), cast(length(cast(mx AS varchar)) AS int), '0') || '-' || lpad(regexp_extract(house_no, '^([0-9]+)', 1), 5, '0') || regexp_extract(house_no, '^[0-9]+(.*)$', 1) AS sort_key,
         'https://www.openstreetmap.org/' || CASE conflated_osm_id[1] WHEN 'n' THEN 'node' WHEN 'w' THEN 'way' ELSE 'relation' END || '/' || substr(conflated_osm_id, 2) AS conflated_link,
