@@ -96,13 +96,11 @@ def address_entities(nodes: DataFrame, ways: DataFrame, relations: DataFrame, op
 
 
 def union_tiles(tiles: list[DataFrame]) -> DataFrame:
-    """Overlapping tiles as one table, each entity once: its row in the first tile that has it."""
-    if len(tiles) == 1:
-        return tiles[0].dropDuplicates(["osm_id"])
+    """Overlapping tiles as one table, each entity once: its row in the first tile that has it (of several there, the one whose JSON text is smallest)."""
     d = tiles[0].withColumn("_tile", F.lit(0))
     for i, t in enumerate(tiles[1:], 1):
         d = d.unionByName(t.withColumn("_tile", F.lit(i)))
-    return keep_first(d, ["osm_id"], [F.asc("_tile")]).drop("_tile")
+    return keep_first(d, ["osm_id"], [F.asc("_tile"), F.to_json(F.struct(*tiles[0].columns))]).drop("_tile")
 
 
 def _tag(key: str) -> Column:

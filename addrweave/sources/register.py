@@ -45,9 +45,10 @@ def load_addresses(spark: SparkSession, path: str, options: Options = DEFAULTS)
 
 def load_streets(spark: SparkSession, path: str, options: Options = DEFAULTS) -> DataFrame:
     """Streets of all municipality files; a file with a house-number id column holds addresses and is refused."""
-    header = spark.read.csv(path, header=True).columns  # header only, no schema inference
-    if "kucni_broj_id" in header:
-        raise ValueError(f"{path} holds addresses, not streets")
+    heads = spark.read.text(path, wholetext=False).where(F.col("value").rlike(r'(^|,)"?kucni_broj_id"?(,|$)'))  # of any file of the folder
+    wrong = heads.select(F.col("_metadata.file_name").alias("f")).limit(1).collect()
+    if wrong:
+        raise ValueError(f"{wrong[0].f} holds addresses, not streets")
     d = _read_csv(spark, path, STREET_CSV)
     parts = G.parse_wkt_parts("geometry")
     d = d.where(T.norm("opstina_ime_lat") == F.url_decode("file_muni")).withColumn("lines", parts).where("lines IS NOT NULL")

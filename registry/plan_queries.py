@@ -11,6 +11,7 @@ from addrweave.plans import edits as E
 from addrweave.plans import housing as H
 from addrweave.plans import mapping as M
 from addrweave.plans import streets as ST
+from addrweave.sources import changes as CH
 from addrweave.sources import elements as EL
 from addrweave.sources import register as RG
 from registry.address_queries import auth, matched
@@ -257,6 +258,27 @@ add("plan_new_addresses_per_street", lambda s, d: plan(E.new_addresses_per_stree
     duck(unpivot("cast(-sno AS varchar)", NEW, "new address per street", "fresh WHERE true", "create", "settl_id || '-' || street_code"), "fresh", extra=NEWEST))
 add("plan_attach_refs", lambda s, d: plan(E.attach_refs(matched(World(s, d)))),
     duck(unpivot("osm_id", [("ref:RS:kucni_broj", "NULL", "addr_id")], "attach id", "hit WHERE true", batch="settl_id || '-matched-' || cast(floor((no - 1) / 100) AS bigint)"), "hit", extra=NEWEST))
+
+
+def change_elements(w: World):
+    """The files that attach ids: elements with all their tags, ways with their nodes."""
+    k = F.col("entity_key")
+    tags = F.map_filter(F.create_map(F.lit("addr:street"), F.col("street"), F.lit("addr:housenumber"), F.col("house_no"), F.lit("note"), F.when(k % 4 == 0, "a < b & 'c'")), lambda _, v: v.isNotNull())
+    entities = w.map_entity.select("osm_id", (1 + k % 7).alias("version"), (F.col("y") / 100000.0).alias("lat"), (F.col("x") / 100000.0).alias("lon"), tags.alias("tags"))
+    members = w.way_node.select(F.concat(F.lit("w"), F.col("way_id").cast("string")).alias("osm_id"), F.col("node_id").alias("pos"), F.concat(F.lit("n"), F.col("node_id").cast("string")).alias("ref"))
+    return CH.change_elements(E.attach_refs(matched(w)), entities, members)
+
+
+TAG = "coalesce('    <tag k=\"{}\" v=\"' || {} || '\"/>' || chr(10), '')"
+add("change_elements", lambda s, d: change_elements(World(s, d)),
+    duck(f"""SELECT settl_id || '-matched-' || cast(floor((h.no - 1) / 100) AS bigint) AS batch_id, kind, cast(substr(e.osm_id, 2) AS bigint) AS number,
+        '  <' || kind || ' id="' || substr(e.osm_id, 2) || '" action="modify" visible="true" version="' || (1 + entity_key % 7) || '"'
+          || CASE WHEN kind = 'node' THEN printf(' lat="%.7f" lon="%.7f"', e.y / 100000.0, e.x / 100000.0) ELSE '' END || '>' || chr(10) || CASE WHEN kind = 'way' THEN coalesce(nd, '') ELSE '' END
+          || {TAG.format('addr:housenumber', 'e.house_no')} || {TAG.format('addr:street', 'e.street')} || {TAG.format('note', "CASE WHEN entity_key % 4 = 0 THEN 'a &lt; b &amp; &apos;c&apos;' END")}
+          || {TAG.format('ref:RS:kucni_broj', 'h.addr_id')} || '  </' || kind || '>' AS value
+      FROM hit h JOIN (SELECT *, CASE osm_id[1] WHEN 'n' THEN 'node' ELSE 'way' END AS kind FROM map_entity) e ON e.osm_id = h.osm_id
+      LEFT JOIN (SELECT 'w' || way_id AS wid, string_agg('    <nd ref="' || node_id || '"/>' || chr(10), '' ORDER BY node_id) AS nd FROM way_node GROUP BY 1) n ON n.wid = e.osm_id""",
+         "hit", "map_entity", "way_node", extra=NEWEST))
 add("plan_auto_attach", lambda s, d: plan(E.auto_attach(matched(World(s, d)))),
     q(unpivot("osm_id", [("ref:RS:kucni_broj", "NULL", "addr_id"), ("addr:street", "osm_street", "street"), ("addr:housenumber", "osm_house_no", NORM_LATIN("house_no"))], "auto attach",
               "q1 WHERE conflated_osm_id IS NULL AND osm_id[1] IN ('n', 'w') AND distance <= 50 AND (matching OR distance <= 20)"), "q1"))
