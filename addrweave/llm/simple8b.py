@@ -19,69 +19,79 @@ COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 SPAN = 4096
 _HEAD = struct.Struct("<4sIQQ")
+_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)  # bits of small ids
 
 
-def _span(ids: np.ndarray) -> np.ndarray:
-    n = len(ids)
-    width = np.zeros(n + COUNTS[0], np.uint8)  # padded: what lies beyond the end needs no bits
-    width[:n] = np.frexp(ids.astype(np.float64))[1]
-    selector = np.full(n, 15)
-    widest, size, reach = width.copy(), 1, {1: width}
-    while size < COUNTS[0]:  # widest of the next 1, 2, 4, ... ids
-        widest = np.maximum(widest, np.concatenate([widest[size:], np.zeros(min(size, len(widest)), np.uint8)]))
-        size *= 2
+def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words, and the place of each span's first word. Ids are below 2**60.
+
+    All spans are packed side by side, as rows of a matrix padded with zeros: what lies beyond a span's end needs no bits. For every place the selector that
+    takes most ids is found at once; then all spans advance together, a word a step.
+    """
+    n, most = len(ids), int(COUNTS[0])
+    if not n:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    if int(ids.max()) >> 60:
+        raise ValueError("an id needs more than 60 bits")
+    spans = -(-n // SPAN)
+    padded = np.zeros((spans, SPAN + most), np.uint64)
+    full = np.zeros(spans * SPAN, np.uint64)
+    full[:n] = ids
+    padded[:, :SPAN] = full.reshape(spans, SPAN)
+    width = _BITS[padded] if int(ids.max()) < len(_BITS) else np.frexp(padded.astype(np.float64))[1].astype(np.uint8)
+    count, selector = np.ones((spans, SPAN), np.uint8), np.full((spans, SPAN), 15, np.uint8)
+    widest, size, reach = width, 1, {1: width}
+    while size < most:  # widest of the next 1, 2, 4, ... ids
+        further = np.zeros_like(widest)
+        further[:, :-size] = widest[:, size:]
+        widest, size = np.maximum(widest, further), size * 2
         reach[size] = widest
     for s in range(14, -1, -1):
         k = int(COUNTS[s])
         half = 1 << k.bit_length() - 1
-        most = np.maximum(reach[half][:n], reach[half][k - half : n + k - half])
-        fits = most <= WIDTHS[s]
-        if not fits.any() and s < 13:
+        fits = np.maximum(reach[half][:, :SPAN], reach[half][:, k - half : k - half + SPAN]) <= WIDTHS[s]
+        if s < 13 and not fits.any():
             break
-        selector[fits] = s
-    after, starts, at = (np.arange(n) + COUNTS[selector]).tolist(), [], 0
-    while at < n:
-        starts.append(at)
-        at = after[at]
-    starts = np.array(starts)
-    chosen = selector[starts]
-    padded = np.concatenate([ids.astype(np.uint64), np.zeros(COUNTS[0], np.uint64)])
-    words = chosen.astype(np.uint64) << np.uint64(60)
+        selector[fits], count[fits] = s, k
+    flat, length = count.ravel(), np.minimum(np.arange(1, spans + 1) * SPAN, n) - np.arange(spans) * SPAN
+    at, live, steps = np.zeros(spans, np.int64), np.arange(spans), []
+    while len(live):
+        place = live * SPAN + at[live]
+        steps.append(place)
+        at[live] += flat[place]
+        live = live[at[live] < length[live]]
+    starts = np.sort(np.concatenate(steps))
+    chosen, span = selector.ravel()[starts], starts // SPAN
+    words, source = chosen.astype(np.uint64) << np.uint64(60), padded.ravel()
+    begin = starts + span * most  # in the padded matrix
     for s in np.unique(chosen[chosen > 1]):
-        at = np.flatnonzero(chosen == s)
-        shifts = (np.arange(COUNTS[s]) * WIDTHS[s]).astype(np.uint64)
-        words[at] |= np.bitwise_or.reduce(padded[starts[at][:, None] + np.arange(COUNTS[s])] << shifts, axis=1)
-    return words
-
-
-def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words, and the place of each span's first word. Ids are below 2**60."""
-    if len(ids) and int(ids.max()) >> 60:
-        raise ValueError("an id needs more than 60 bits")
-    spans = [_span(ids[k : k + SPAN]) for k in range(0, len(ids), SPAN)]
-    first = np.cumsum([0, *map(len, spans)])[:-1] if spans else np.empty(0, np.int64)
-    return np.concatenate(spans) if spans else np.empty(0, np.uint64), first.astype(np.uint64)
+        mine = np.flatnonzero(chosen == s)
+        word = np.zeros(len(mine), np.uint64)
+        for k in range(int(COUNTS[s])):
+            word |= source[begin[mine] + k] << np.uint64(k * int(WIDTHS[s]))
+        words[mine] |= word
+    return words, np.searchsorted(starts, np.arange(spans) * SPAN).astype(np.uint64)
 
 
 def decode(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
-    """The ``n`` ids of all spans at once."""
-    out = np.zeros(n, np.uint64)
+    """The ``n`` ids of all spans at once: spans are rows of a matrix wide enough for what the last word of one says too much."""
     if not n:
-        return out
+        return np.zeros(0, np.uint64)
+    spans, most = len(first), int(COUNTS[0])
     selector = (words >> np.uint64(60)).astype(np.int64)
-    ends = np.cumsum(COUNTS[selector])
-    start = ends - COUNTS[selector]
-    span = np.searchsorted(first, np.arange(len(words)), "right") - 1
-    start = start - start[first.astype(np.int64)][span] + span * SPAN
-    limit = np.minimum((span + 1) * SPAN, n)
-    for s in np.unique(selector[selector > 1]):
-        at = np.flatnonzero(selector == s)
-        shifts = (np.arange(COUNTS[s]) * WIDTHS[s]).astype(np.uint64)
-        value = (words[at][:, None] >> shifts) & np.uint64((1 << int(WIDTHS[s])) - 1)
-        place = start[at][:, None] + np.arange(COUNTS[s])
-        inside = place < limit[at][:, None]
-        out[place[inside]] = value[inside]
-    return out
+    counts = COUNTS[selector]
+    start = np.cumsum(counts) - counts
+    span = np.zeros(len(words), np.int64)
+    span[first[1:].astype(np.int64)] = 1
+    span = np.cumsum(span)
+    start += span * (SPAN + most) - start[first.astype(np.int64)][span]
+    out = np.zeros(spans * (SPAN + most), np.uint64)
+    for s in np.unique(selector[selector > 1]).tolist():
+        mine, width = np.flatnonzero(selector == s), int(WIDTHS[s])
+        word, place, mask = words[mine], start[mine], np.uint64((1 << width) - 1)
+        for k in range(int(COUNTS[s])):
+            out[place + k] = (word >> np.uint64(k * width)) & mask
+    return out.reshape(spans, SPAN + most)[:, :SPAN].ravel()[:n]
 
 
 @dataclass

@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-REMEMBERED = 24 << 20  #: bytes of chunks kept; the table is emptied when it is full
+REMEMBERED = 24 << 20  #: bytes of chunks kept, in two tables of half that size: the newer and the one before
 GROUP = 64
 _SPACE_BEFORE_SPACE = re.compile(r"\s ")
 
@@ -31,6 +31,7 @@ class Encoder:
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each id: a letter a byte in this alphabet
         self.lengths[list(vocabulary.values())] = [len(piece) for piece in vocabulary]
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.size = 0
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -55,19 +56,22 @@ class Encoder:
         return out
 
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of all ``chunks``, each after a space; new ones are remembered."""
-        if self.size > REMEMBERED:
-            self.known.clear()
-            self.size = 0
-        found = dict(zip(chunks, map(self.known.get, chunks)))
-        new = [c for c, ids in found.items() if ids is None]
-        inner = [c for c in new if c and not (c[0].isspace() or c[-1].isspace())]
-        other = list(set(new) - set(inner))
-        learnt = dict(zip(inner, self._joined(inner), strict=True)) | dict(zip(other, self.whole([f" {c}" for c in other]), strict=True))
-        found |= learnt
-        self.known |= learnt
-        self.size += sum(map(len, new)) + 8 * len(new)
-        return found
+        """``known``, with the ids of all ``chunks``, each after a space.
+
+        A full table becomes the old one, out of which chunks that come again are taken over; so frequent chunks are never forgotten.
+        """
+        if self.size > REMEMBERED // 2:
+            self.old, self.known, self.size = self.known, {}, 0
+        new = chunks - self.known.keys()
+        again = new & self.old.keys()
+        new -= again
+        inner = [c for c in new if c and c == c.strip()]
+        other = list(new.difference(inner))
+        self.known.update((c, self.old[c]) for c in again)
+        self.known.update(zip(inner, self._joined(inner), strict=True))
+        self.known.update(zip(other, self.whole([f" {c}" for c in other]), strict=True))
+        self.size += sum(map(len, new)) + sum(map(len, again)) + 8 * (len(new) + len(again))
+        return self.known
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""

@@ -54,3 +54,26 @@ def test_files(spark):
         start += len(ids)
     assert sorted((r.doc_id or -1, r.start, r.n_tokens, r.ids_crc32) for r in got) == sorted(want)
     assert read_tokens(write_tokens(df.limit(0), vocabulary())).collect() == []
+
+
+def test_chunks_survive_a_full_table(monkeypatch):
+    from addrweave.llm import tokens
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 400)
+    e, plain = tokens.Encoder(tokens.vocabulary()), tokens.Encoder(tokens.vocabulary())
+    texts = [f"often word{k} word{k // 2} often and{k}" for k in range(60)]
+    for t in texts:
+        assert e([t]) == plain.whole([t])
+    assert len(e.known) + len(e.old) < 60 and "often" in e.known
+
+
+def test_spans_of_all_lengths():
+    import numpy as np
+
+    from addrweave.llm import simple8b as S
+
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 239, 240, 241, S.SPAN - 1, S.SPAN, S.SPAN + 1, 3 * S.SPAN + 77):
+        for ids in (np.zeros(n, np.uint64), rng.integers(0, 2, n), rng.integers(0, 50_000, n), rng.integers(0, 2**59, n) >> rng.integers(0, 60, n)):
+            words, first = S.encode(ids.astype(np.uint64))
+            assert (S.decode(words, first, n) == ids).all() and len(first) == -(-n // S.SPAN)
