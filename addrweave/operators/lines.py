@@ -127,20 +127,19 @@ def hausdorff(rows: DataFrame, key: str, partner: str) -> DataFrame:
     open_points = vertices(own, "lines", 0, F.lit("")).unionByName(vertices(theirs, "other_lines", 1, F.coalesce("_rid", F.lit(""))))
     targets = segments(theirs, "other_lines", 0).unionByName(segments(own, "lines", 1))
     names, found, wider = [key, "_side", "_rid", "_pos"], None, 1.0
-    while True:
+    while wider < 4.0**24:  # then cells are wider than any plane
         size = F.col("_cell") * wider
         near = explode_along(targets, size, size).drop("_cell")
-        met = open_points.withColumns({"_cx": F.floor(F.col("x") / size), "_cy": F.floor(F.col("y") / size)}).join(near, [key, "_side", "_cx", "_cy"])
+        met = open_points.withColumns({"_cx": F.floor(F.col("x") / size), "_cy": F.floor(F.col("y") / size)}).join(near, [key, "_side", "_cx", "_cy"], "left")
         d = G.point_segment_distance(F.col("x"), F.col("y"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
-        hits = met.groupBy(*names, "_cell").agg(F.min(d).alias("_d")).where(F.col("_d") <= size).select(*names, "_d")
-        if wider >= 4.0**24:  # cells wider than any plane: what is left has no distance
-            break
-        hits = stable(hits)
+        met = stable(met.groupBy(*names, "x", "y", "_cell").agg(F.min(d).alias("_d")))
+        settled = F.coalesce(F.col("_d") <= size, F.lit(False))
+        hits = met.where(settled & ~F.isnan("_d")).select(key, "_d")
         found = hits if found is None else found.unionByName(hits)
-        rest = open_points.join(hits.select(*names), names, "left_anti").where(~F.isnan("x") & ~F.isnan("y"))
-        if rest.isEmpty():
+        open_points = met.where(~settled & ~F.isnan("x") & ~F.isnan("y")).drop("_d")
+        if open_points.isEmpty():
             break
-        open_points, wider = rest, wider * 4
+        wider *= 4
     return found.groupBy(key).agg(F.max("_d").alias("hausdorff"))
 
 
