@@ -45,8 +45,8 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return scores[order], ids[order]
 
 
-def search(q: np.ndarray, floor: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, block: int = BLOCK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Number, scores and ids of each query's best rows of at least its floor, ``k`` and its own row at most more."""
+def search(q: np.ndarray, floor: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, block: int = BLOCK, own: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number, scores and ids of each query's ``k`` best rows of at least its floor; rows with its ``own`` id are passed over before they take a place."""
     starts = np.arange(0, len(rows), block)
     high, low = np.maximum.reduceat(rows, starts), np.minimum.reduceat(rows, starts)
     bounds = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
@@ -60,7 +60,7 @@ def search(q: np.ndarray, floor: np.ndarray, rows: np.ndarray, ids: np.ndarray,
             some = some[bounds[i, some] >= kth]
             place = np.concatenate([np.arange(starts[b], min(starts[b] + block, len(rows))) for b in some])
             s = rows[place] @ q[i]
-            keep = s >= kth
+            keep = s >= kth if own is None else (s >= kth) & (ids[place] != own[i])
             got_s, got_i = _best(np.concatenate([got_s, s[keep]]), np.concatenate([got_i, ids[place[keep]]]), k)
             if len(got_s) == k:
                 kth = max(kth, got_s[-1])
@@ -77,7 +77,7 @@ def _searcher(shared, dims: int, k: int) -> Callable:
             order = np.argsort(ids, kind="stable")
             ids, rows = ids[order], rows[order]
             for lo in range(0, len(q), 512):
-                out = [(np.full(len(i), query_ids[lo + n]), i, s) for n, s, i in search(q[lo : lo + 512], floor[lo : lo + 512], rows, ids, k + 1)]
+                out = [(np.full(len(i), query_ids[lo + n]), i, s) for n, s, i in search(q[lo : lo + 512], floor[lo : lo + 512], rows, ids, k, own=query_ids[lo : lo + 512])]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[c] for o in out]).astype(np.int64)) for c in range(3)], ["query_id", "vec_id", "score"])
 
     return run

@@ -44,3 +44,10 @@ def test_blocks_are_pruned_and_ties_kept():
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert top_k(df).collect() == [] and top_k(spark.createDataFrame([(7, [1.0])], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_many_rows_of_a_query_id_take_no_places(spark):
+    """Eight vectors under id 0 score highest for each other; they take no places. As in the SQL, the rows of one query id are ranked together."""
+    rows = [(0, [100.0 + i, 0.0]) for i in range(8)] + [(i, [float(i), 1.0]) for i in range(1, 9)]
+    got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).where("query_id = 0").orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(8, 256 * (100 + i) * 256 * 8) for i in range(7, 2, -1)]
