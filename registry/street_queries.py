@@ -181,10 +181,17 @@ add("missing_geometry_per_muni", lambda s, d: rounded(ST.missing_per_muni(ST.mis
       FROM muni m LEFT JOIN (SELECT * FROM q11 WHERE NOT is_hamlet) f ON f.muni_id = m.muni_id GROUP BY m.muni_id""", "q11", "muni"))
 add("ring_streets", lambda s, d: (lambda w: ST.ring_streets(w.street_line.withColumn("lines", F.array(F.concat(F.col("lines")[0], F.when(F.col("street_id") % 3 == 0, F.slice(F.col("lines")[0], 1, 1)).otherwise(F.slice(F.col("lines")[0], 1, 0)))))))(World(s, d)),
     q("SELECT street_code, street_id % 3 = 0 AS ring FROM street", "street"))
-PARTS = F.transform(G.segments("lines"), lambda g, i: F.when(i % 2 == 0, F.array(F.struct(g["x1"].alias("x"), g["y1"].alias("y")), F.struct(g["x2"].alias("x"), g["y2"].alias("y")))).otherwise(
-    F.array(F.struct(g["x2"].alias("x"), g["y2"].alias("y")), F.struct(g["x1"].alias("x"), g["y1"].alias("y")))))
+
+
+def own_parts():
+    """Each segment of ``lines`` as a part of its own, every other one turned round."""
+    def part(a, b):
+        return F.array(F.struct(a[0].alias("x"), a[1].alias("y")), F.struct(b[0].alias("x"), b[1].alias("y")))
+    return F.transform(G.segments("lines"), lambda g, i: F.when(i % 2 == 0, part((g["x1"], g["y1"]), (g["x2"], g["y2"]))).otherwise(part((g["x2"], g["y2"]), (g["x1"], g["y1"]))))
+
+
 add("ring_streets_of_parts", lambda s, d: (lambda w: ST.ring_streets(w.street_line.withColumn("lines", F.array(F.concat(F.col("lines")[0], F.when(
-    F.col("street_id") % 3 == 0, F.slice(F.col("lines")[0], 1, 1)).otherwise(F.slice(F.col("lines")[0], 1, 0))))).withColumn("lines", F.reverse(PARTS))))(World(s, d)),
+    F.col("street_id") % 3 == 0, F.slice(F.col("lines")[0], 1, 1)).otherwise(F.slice(F.col("lines")[0], 1, 0))))).withColumn("lines", F.reverse(own_parts()))))(World(s, d)),
     q("SELECT street_code, street_id % 3 = 0 AS ring FROM street", "street"))
 add("line_measures", lambda s, d: World(s, d).way_line.select("osm_id", F.round(G.length("lines"), 4).alias("length"), G.bounds("lines")["xmin"].alias("xmin"), G.bounds("lines")["ymax"].alias("ymax")),
     q("""SELECT l.osm_id, round(l.way_length, 4) AS length, v.xmin, v.ymax FROM way_len l JOIN (SELECT osm_id, cast(min(x) AS double) AS xmin, cast(max(y) AS double) AS ymax FROM way_vertex GROUP BY osm_id) v ON v.osm_id = l.osm_id""", "way_len"))

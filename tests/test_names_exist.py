@@ -4,7 +4,10 @@ import builtins
 import dis
 import importlib
 import pkgutil
+import subprocess
+import sys
 import types
+from pathlib import Path
 
 import pytest
 
@@ -33,3 +36,8 @@ def test_global_names_exist(name):
         code = compile(f.read(), module.__file__, "exec")
     missing = {i.argval for c in codes(code) for i in dis.get_instructions(c) if i.opname == "LOAD_GLOBAL" and not hasattr(module, i.argval) and not hasattr(builtins, i.argval)}
     assert not missing
+
+
+def test_queries_load_without_a_session():
+    root = Path(registry.__file__).resolve().parent.parent
+    subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"], cwd=root, check=True, timeout=120)
