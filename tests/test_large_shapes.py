@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,3 +95,24 @@ def test_points_in_line_with_vertices_and_borders(spark):
         edge = {(i, k) for i, x, y in pts for k, s in shapes.items() if on(s, x, y)}
         inner = {(i, k) for i, x, y in pts for k, s in shapes.items() if (i, k) not in edge and even_odd(s, x, y)}
         assert strict == inner and got == inner | edge
+
+
+def test_generated_code_of_line_joins_is_compiled(spark):
+    """The JVM only interprets methods of more than 8,000 bytes, which makes a pair of segments many times dearer."""
+    line = "array(array(named_struct('x', cast(id AS double), 'y', 0D), named_struct('x', cast(id AS double), 'y', 9D)))"
+    lines = spark.range(4).selectExpr("cast(id AS string) AS osm_id", "id % 2 AS muni_id", f"{line} AS lines")
+    others = spark.range(4).selectExpr("id AS street_id", "id % 2 AS muni_id", f"{line} AS other_lines")
+    rows = lines.crossJoin(others.select("street_id", "other_lines"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for threshold in ("-1", "10000000"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            for df in (L.covered_length(lines, others, 30.0, ["osm_id", "street_id"], scope=["muni_id"]), L.covered_by_partners(rows, 30.0, "street_id")):
+                query = df._jdf.queryExecution()
+                text = query.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+                sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+                assert sizes and max(sizes) < 8000, sizes
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
