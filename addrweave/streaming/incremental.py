@@ -1,10 +1,11 @@
 """Incremental address matching over geometry on Structured Streaming.
 
 Map changes arrive as a stream; each micro-batch re-matches only the addresses that its changes can reach. All state lies in tables of row versions in
-folders ``block=B/batch=N`` (``BlockLog``). Map and register are blocked by municipality and square of ``BLOCK`` metres, an entity lying in every block
-its box touches; what is looked up by an id has a second table blocked by a hash of that id. A batch reads only the folders of the blocks it touches and
-writes only its own ``batch=N`` folders, by dynamic partition overwrite: a batch that is replayed after a failure reads what it read before and
-replaces what it had written.
+folders ``folder=F/batch=N`` (``BlockLog``). Map and register are blocked by municipality and square of ``BLOCK`` metres, an entity lying in every block
+its box touches; what is looked up by an id has a second table blocked by a hash of that id. Blocks are many (a country has tens of thousands), so a folder
+holds those of one hash, in order: a batch writes ``FOLDERS`` files a table at most, however large the map. A batch reads only the folders of
+the blocks it touches and writes only its own ``batch=N`` folders, by dynamic partition overwrite: a batch that is replayed after a failure reads
+what it read before and replaces what it had written.
 
 Why a neighbourhood is enough: which address wins a map entity depends on that entity and the addresses within the radius of its shape, and an
 address keeps its best among the entities it won. A changed entity thus only touches the addresses near its old or new shape, or holding
@@ -28,13 +29,18 @@ from addrweave.session import stable
 MAP_COLUMNS = ["osm_id", "muni_id", "street", "house_no", "house_ref", "x", "y", "rings"]
 BLOCK = 2000.0
 BUCKETS = 64
-LISTED = 20_000  # block names that are listed for pruning; beyond it blocks are met by a join
+FOLDERS = 64  # folders of a table and batch: tasks and files of a write
+LISTED = 1000  # block names that are listed for pruning within folders; beyond it blocks are met by a join
 
 
 def bucket_of(c: str) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("string")
 
 
+def folder_of(block: Column | str) -> Column:
+    return F.pmod(F.xxhash64(block), F.lit(FOLDERS)).cast("int")
+
+
 def in_blocks(df: DataFrame, size: float, grow: float = 0.0, block: str = "block") -> DataFrame:
     """One row per block that the box of a row's shape (``rings``, else ``x``, ``y``), widened by ``grow``, touches."""
     x, y, b = F.col("x").cast("double"), F.col("y").cast("double"), G.bounds("rings")
@@ -43,7 +49,7 @@ def in_blocks(df: DataFrame, size: float, grow: float = 0.0, block: str = "block
 
 
 class BlockLog:
-    """Row versions in ``path/block=B/batch=N``; in a block the newest batch wins per key and ``deleted`` rows drop out."""
+    """Row versions in ``path/folder=F/batch=N``, F by a hash of the block; in a block the newest batch wins per key and ``deleted`` rows drop out."""
 
     def __init__(self, spark: SparkSession, path: str, key: str):
         self.spark, self.path, self.key, self.schema = spark, path, key, None
@@ -55,9 +61,10 @@ class BlockLog:
             self.schema = StructType()
             for f in [f for f in d.schema if f.name not in ("block", "batch")]:
                 self.schema.add(f.name, StructType.fromDDL(f"c {f.dataType.simpleString()}")[0].dataType)  # nullable all through
-            self.schema.add("block", "string").add("batch", "integer")
-        d = d.select(*[F.col(f.name).cast(f.dataType) for f in self.schema])
-        d.repartition("block").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("block", "batch").parquet(self.path)
+            self.schema.add("block", "string").add("folder", "integer").add("batch", "integer")
+        d = d.withColumn("folder", folder_of("block")).select(*[F.col(f.name).cast(f.dataType) for f in self.schema])
+        d = d.repartition(FOLDERS, "folder").sortWithinPartitions("folder", "batch", "block")
+        d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("folder", "batch").parquet(self.path)
 
     def versions(self, blocks: DataFrame | None = None, before: int | None = None) -> DataFrame:
         """All versions, those of the named ``blocks`` (a table with ``block``), or those older than a batch: only their folders are read."""
@@ -65,11 +72,12 @@ class BlockLog:
         if before is not None:
             d = d.where(F.col("batch") < before)
         if blocks is None:
-            return d
-        names = [r[0] for r in blocks.select("block").distinct().limit(LISTED + 1).collect()]
-        if len(names) > LISTED:
-            return d.join(blocks.select("block").distinct(), "block", "left_semi")
-        return d.where(F.col("block").isin(names))
+            return d.drop("folder")
+        blocks = blocks.select("block").distinct()
+        named = blocks.withColumn("folder", folder_of("block")).limit(LISTED + 1).collect()
+        if len(named) > LISTED:  # so many blocks lie in all folders
+            return d.drop("folder").join(blocks, "block", "left_semi")
+        return d.where(F.col("folder").isin(sorted({r.folder for r in named})) & F.col("block").isin([r.block for r in named])).drop("folder")
 
     def current(self, blocks: DataFrame | None = None, before: int | None = None) -> DataFrame:
         """Newest rows, one per key (the copies of a row in several blocks are equal)."""

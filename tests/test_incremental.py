@@ -94,3 +94,13 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert [tuple(r) for r in log.current().collect()] == [(1, "c")]
     assert {tuple(r) for r in log.current(before=0).collect()} == {(1, "a"), (2, "b")}
     assert {tuple(r) for r in log.current(spark.createDataFrame([("x",)], "block string"), 0).collect()} == {(1, "a"), (2, "b")}
+
+
+def test_many_blocks_lie_in_few_folders(spark, tmp_path):
+    """A country's blocks are tens of thousands; a folder and file for each in every batch took most of the time."""
+    log = BlockLog(spark, str(tmp_path), "k")
+    rows = spark.range(600).selectExpr("id AS k", "concat('m_', id) AS block", "false AS deleted")
+    log.append(rows, -1)
+    assert len([p for p in tmp_path.iterdir() if p.is_dir()]) <= 64
+    assert sorted(r.k for r in log.current(rows.where("k < 5").select("block")).collect()) == [0, 1, 2, 3, 4]
+    assert log.current().count() == 600
