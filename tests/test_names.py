@@ -43,3 +43,12 @@ def test_rule_tables():
 def test_name_rules(spark, rule, args, want):
     df = spark.createDataFrame([tuple(args)], ", ".join(f"c{i} string" for i in range(len(args)))).repartition(1)
     assert df.select(rule(*[F.col(c) for c in df.columns])).collect()[0][0] is want
+
+
+def test_a_filter_on_checks_repeats_no_step(spark):
+    """Filters are pushed down with what their columns are made of: the check would be computed many times a row."""
+    df = spark.range(3).selectExpr("id", "concat('Трећег марта ', id) AS proper", "CAST(NULL AS string) AS alt")
+    out = N.check_alt_names(df, F.col("proper"), F.col("proper"), F.col("alt"))
+    plan = out.where("missing OR wrong")._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter " in line]
+    assert filters and not any("lambda" in line for line in filters)
