@@ -116,3 +116,37 @@ def test_generated_code_of_line_joins_is_compiled(spark):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+def test_generated_code_of_touching_segments_is_compiled(spark):
+    line = "array(array(named_struct('x', cast(id AS double), 'y', 0D), named_struct('x', cast(id AS double), 'y', 9D)))"
+    lines, polygons = spark.range(4).selectExpr("id AS line_id", f"{line} AS lines"), spark.range(4).selectExpr("id AS polygon_id", f"{line} AS rings")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        query = C.lines_in_polygons(lines, polygons, 500.0)._jdf.queryExecution()
+        text = query.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+        assert sizes and max(sizes) < 8000, sizes
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_segments_near_as_by_hand(spark):
+    rng = random.Random(5)
+    segs = [tuple(float(rng.randint(0, 12)) for _ in range(8)) for _ in range(400)]
+    df = spark.createDataFrame([(i, *s) for i, s in enumerate(segs)] + [(-1, math.nan, *segs[0][1:]), (-2, None, *segs[0][1:])], "i int, x1 double, y1 double, x2 double, y2 double, u1 double, v1 double, u2 double, v2 double")
+
+    def turn(a, b, p):
+        v = (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])
+        return (v > 0) - (v < 0)
+
+    for grow in (0.0, 1.37):
+        want = set()
+        for i, (x1, y1, x2, y2, u1, v1, u2, v2) in enumerate(segs):
+            a, b, c, d = (x1, y1), (x2, y2), (u1, v1), (u2, v2)
+            ends = min(point_segment(*p, s) for p, s in ((a, (c, d)), (b, (c, d)), (c, (a, b)), (d, (a, b))))
+            proper = turn(a, b, c) * turn(a, b, d) < 0 and turn(c, d, a) * turn(c, d, b) < 0
+            if proper or ends <= grow + 1e-9:
+                want.add(i)
+        assert {r.i for r in C.segments_near(df, grow, ["i"]).collect()} == want
