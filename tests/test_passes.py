@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from addrweave.operators import cells as C
 from addrweave.plans import edits as E
 
 
@@ -23,3 +24,14 @@ def test_buildings_to_merge_are_found_once(spark):
     rows = {(r.entity_id, r.action, r.new_value) for r in E.move_into_buildings(q2, tags, tags).collect()}
     assert rows == {("w1", "modify", "1;2"), ("n1", "delete", None), ("n2", "delete", None)}
     assert seen.value == 3
+
+
+def test_far_points_are_not_computed_once_a_round(spark):
+    ring = "array(array(named_struct('x', 0D, 'y', 0D), named_struct('x', 9D, 'y', 0D), named_struct('x', 9D, 'y', 9D), named_struct('x', 0D, 'y', 9D), named_struct('x', 0D, 'y', 0D)))"
+    polygons, passes = spark.range(1).selectExpr("id AS polygon_id", f"{ring} AS rings"), []
+    for x in (15.0, 30000.0):
+        points, seen = counted(spark, spark.createDataFrame([(1, x, 5.0)], "point_id long, x double, y double"), "x")
+        (row,) = C.within_or_nearest(points, polygons, 10.0).collect()
+        assert (row.polygon_id, row.distance) == (0, x - 9.0)
+        passes.append(seen.value)
+    assert passes[0] == passes[1]
