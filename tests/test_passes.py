@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from addrweave.operators import cells as C
 from addrweave.plans import edits as E
+from addrweave.plans import housing as H
 
 
 def counted(spark, df, column):
@@ -35,3 +36,13 @@ def test_far_points_are_not_computed_once_a_round(spark):
         assert (row.polygon_id, row.distance) == (0, x - 9.0)
         passes.append(seen.value)
     assert passes[0] == passes[1]
+
+
+def test_communities_are_matched_once(spark):
+    addresses, seen = counted(spark, spark.createDataFrame([(1, "a1"), (2, "a2"), (3, None)], "hc_id long, addr_id string"), "addr_id")
+    osm = spark.createDataFrame([("w1", "a1"), ("n2", "a1"), ("w3", "a2"), ("w4", "x")], "osm_id string, house_ref string")
+    codes = spark.createDataFrame([("w1", 4, "w1"), ("n2", 5, "w9")], "osm_id string, code int, closest string")
+    codes, coded = counted(spark, codes, "code")
+    rows = {(r.hc_id, r.entities, r.resolution, r.closest_building, r.found_in_map) for r in H.housing_status(addresses, osm, codes).collect()}
+    assert rows == {(1, 2, 5, "w9", True), (2, 1, None, None, True), (3, 0, None, None, False)}
+    assert (seen.value, coded.value) == (3, 2)
