@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from addrweave.operators import cells as C
+from addrweave.plans import address as A
 from addrweave.plans import edits as E
 from addrweave.plans import housing as H
 
@@ -46,3 +47,15 @@ def test_communities_are_matched_once(spark):
     rows = {(r.hc_id, r.entities, r.resolution, r.closest_building, r.found_in_map) for r in H.housing_status(addresses, osm, codes).collect()}
     assert rows == {(1, 2, 5, "w9", True), (2, 1, None, None, True), (3, 0, None, None, False)}
     assert (seen.value, coded.value) == (3, 2)
+
+
+def test_distances_and_number_parts_are_computed_once_a_pair(spark):
+    auth = spark.createDataFrame([("a1", 1, "Дуга", "5a", 0.0, 0.0)], "addr_id string, muni_id long, street string, house_no string, x double, y double")
+    osm = spark.createDataFrame([("w1", 1, "Дуга", "5a", None, 50.0, 0.0), ("w2", 1, "Дуга", "6", None, 60.0, 0.0)], "osm_id string, muni_id long, street string, house_no string, house_ref string, x double, y double")
+    osm = osm.withColumn("rings", F.expr("array(array(named_struct('x', x, 'y', -9D), named_struct('x', x, 'y', 9D)))"))
+    pairs, _ = A.scored_pairs(auth, osm)
+    assert {(r.osm_id, r.distance, r.matching) for r in pairs.collect()} == {("w1", 50.0, True), ("w2", 60.0, False)}
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")
+    assert len(plan) == 2
+    above, condition = plan[0], plan[1].splitlines()[0]
+    assert "lambda" not in condition and "regexp_replace" not in above
