@@ -1,9 +1,8 @@
 """Packing of documents into sequences by a grouping genetic algorithm on islands.
 
-Pieces are dealt by hash into shards of about ``SHARD`` pieces. Each shard is evolved on ``ISLANDS`` islands (tasks): a chromosome is a set of bins;
+Pieces are dealt by hash into shards of about ``SHARD`` pieces. A shard where best fit does not reach the bound of its total length is evolved on ``ISLANDS`` islands (tasks): a chromosome is a set of bins;
 crossover injects whole well-filled bins of one parent into the other, drops the bins that hold an injected piece and best-fits the displaced pieces. After
-an epoch each island's elite moves to the next island and evolution goes on there; a shard that has reached the bound of its total
-length rests. What the shards leave in badly filled bins is dealt and packed anew, over fewer shards each time, until one shard is left or none is saved.
+an epoch each island's elite moves to the next island and evolution goes on there; a shard that has reached the bound rests. What the shards leave in badly filled bins is dealt and packed anew, over fewer shards each time, until one shard is left or none is saved.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from addrweave.llm.store import texts, written
-from addrweave.llm.tokens import encoder, slices
+from addrweave.llm.tokens import encoded
 
 CAPACITY, END = 2048, 0
 SHARD, ISLANDS, EPOCHS = 8192, 3, 2
@@ -139,10 +138,29 @@ def _epoch(capacity: int, epoch: int) -> Callable:
     return run
 
 
+def _first(capacity: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, lengths in zip(batch.column("shard"), batch.column("lengths"), strict=True):
+                packer = Packer(lengths.as_py(), capacity, seed=0)
+                bins = packer.first(0.0)
+                yield pa.RecordBatch.from_arrays([pa.array([shard.as_py()], pa.int64()), pa.array([_bin_of(bins, len(packer.lengths))], pa.list_(pa.int32())), pa.array([len(bins) <= packer.bound])], ["shard", "bin_of", "rests"])
+
+    return run
+
+
 def _evolved(shards: DataFrame, count: int, capacity: int) -> DataFrame:
-    """Best chromosome of each of ``count`` shards (``shard``, ``lengths``) as ``bin_of``; a task an island, as far as ``TASKS`` go."""
+    """Best chromosome of each of ``count`` shards (``shard``, ``lengths``) as ``bin_of``.
+
+    Best fit, with which every island begins, comes once a shard; only shards where it misses the bound go to the islands, a task each, as far as ``TASKS`` go.
+    """
     result, places = "shard long, island int, bins int, bin_of array<int>", F.sequence(F.lit(0), F.lit(ISLANDS - 1))
-    islands = shards.select("shard", "lengths", F.explode(places).alias("island"))
+    fitted = written(shards.select("shard", "lengths").repartition(min(count, TASKS), "shard").mapInArrow(_first(capacity), "shard long, bin_of array<int>, rests boolean"), "fitted")
+    resting, left = fitted.where("rests").select("shard", "bin_of"), fitted.where("not rests").select("shard")
+    count = left.count()
+    if not count:
+        return resting
+    islands = shards.join(left, "shard").select("shard", "lengths", F.explode(places).alias("island"))
     elite = None
     for epoch in range(EPOCHS):
         if elite is None:
@@ -151,7 +169,7 @@ def _evolved(shards: DataFrame, count: int, capacity: int) -> DataFrame:
             moved = elite.unionByName(elite.withColumn("island", F.pmod(F.col("island") + 1, F.lit(ISLANDS))))
             start = islands.join(moved.groupBy("shard", "island").agg(F.sort_array(F.collect_list("bin_of")).alias("migrants")), ["shard", "island"])
         elite = written(start.repartition(min(count * ISLANDS, TASKS), "shard", "island").mapInArrow(_epoch(capacity, epoch), result), "elite")
-    return elite.groupBy("shard").agg(F.min(F.struct("bins", "island", "bin_of")).alias("best")).select("shard", "best.bin_of")
+    return resting.unionByName(elite.groupBy("shard").agg(F.min(F.struct("bins", "island", "bin_of")).alias("best")).select("shard", "best.bin_of"))
 
 
 _DEALT = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, load long"
@@ -205,19 +223,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def _cut(path: str, capacity: int, end: int) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, tail = encoder(path), np.array([end], "<u4").tobytes()
         for batch in batches:
-            for part, strings in slices(batch):
-                rows: list[tuple] = []
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(strings), strict=True):
-                    ids += tail
-                    n = len(ids) // 4
-                    at = 0
-                    for piece in range(-(-n // capacity)):
-                        length = (n - 1) % capacity + 1 if not piece else capacity
-                        rows.append((doc_id, piece, at, length, zlib.crc32(ids[4 * at : 4 * (at + length)])))
-                        at += length
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int32() if k == 1 else pa.int64()) for k in range(5)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            for doc_id, sizes, ids in encoded(path, batch, end):
+                pieces = -(-sizes // capacity)
+                doc = np.repeat(np.arange(len(sizes)), pieces)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                first = ((sizes - 1) % capacity + 1)[doc]
+                start, length = np.where(piece, first + (piece - 1) * capacity, 0), np.where(piece, capacity, first)
+                raw, at = memoryview(ids).cast("B"), 4 * ((np.cumsum(sizes) - sizes)[doc] + start)
+                crc = [zlib.crc32(raw[a:b]) for a, b in zip(at.tolist(), (at + 4 * length).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([doc_id.take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return cut
 

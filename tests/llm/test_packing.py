@@ -5,7 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from addrweave.llm import packing
 from addrweave.llm.packing import pack, packed
@@ -73,3 +73,38 @@ def test_grouped_chunks_equal_single_ones():
     e = Encoder(vocabulary())
     found = e._learn({*chunks, ""})
     assert all(found[c] == e.whole([f" {c}"])[0] for c in [*chunks, ""])
+
+
+def test_segments_equal_the_library():
+    rng = random.Random(6)
+    parts = ["a", "Ab", "é", "ÿ", "×", "÷", "ŉ", "Ɓ", "ª", "я", "日", "٣", "9", "12", "'", "'s", "'LL", ",", "_", "(", "—", "\u0301", "\x00", "\x1c", "\x7f", "\x85", "\xa0", "\u2028", "\u3000", "\u200b"]
+    parts += [" ", "  ", " ", "\n", "\n\n", "\r\n", "\t", "\v", "\f", "😀", "<|endoftext|>", "<|endoftext", "|>"]
+    texts = ["", " ", *(a + b for a in parts for b in parts), *("".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(20_000)), "x" * 700, " " * 700]
+    e = Encoder(vocabulary())
+    got, library = e(texts), Tokenizer.from_file(vocabulary())
+    for text, ids, want in zip(texts, got, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == want.ids, text
+
+
+def test_a_word_is_encoded_once_whatever_surrounds_it():
+    e = Encoder(vocabulary())
+    e(["one lorem, lorem. lorem; lorem\nNext lorem's lorem! lorem"])
+    assert {c for c in e.known if "lorem" in str(c)} == {"lorem"}
+
+
+def test_other_tokenizers_get_whole_texts(tmp_path):
+    library = Tokenizer.from_file(vocabulary())
+    library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+    library.save(path := str(tmp_path / "other.json"))
+    texts = ["word", "two, words", "", "a\nb  c"]
+    assert Encoder(path)(texts) == [np.asarray(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_islands_are_for_shards_that_miss_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 100)
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    hard, evolve = [(d, 0, 0, 1025, d) for d in range(50)], packing._epoch
+    runs = []
+    monkeypatch.setattr(packing, "_epoch", lambda *a: runs.append(a) or evolve(*a))
+    assert check(pack(spark.createDataFrame([(d, 0, 0, 512, d) for d in range(400)], schema)).collect(), 2048) <= 104 and not runs
+    assert check(pack(spark.createDataFrame(hard, schema)).collect(), 2048) == 50 and len(runs) == packing.EPOCHS
