@@ -26,7 +26,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words, and the place of each span's first word. Ids are below 2**60.
 
     All spans are packed side by side, as rows of a matrix padded with zeros: what lies beyond a span's end needs no bits. For every place the selector that
-    takes most ids is found at once; then all spans advance together, a word a step.
+    takes most ids is found at once; then all spans advance together, a word a step (``_starts``).
     """
     n, most = len(ids), int(COUNTS[0])
     if not n:
@@ -39,28 +39,20 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     full[:n] = ids
     padded[:, :SPAN] = full.reshape(spans, SPAN)
     width = _BITS[padded] if int(ids.max()) < len(_BITS) else np.frexp(padded.astype(np.float64))[1].astype(np.uint8)
-    count, selector = np.ones((spans, SPAN), np.uint8), np.full((spans, SPAN), 15, np.uint8)
-    widest, size, reach = width, 1, {1: width}
-    while size < most:  # widest of the next 1, 2, 4, ... ids
-        further = np.zeros_like(widest)
-        further[:, :-size] = widest[:, size:]
-        widest, size = np.maximum(widest, further), size * 2
-        reach[size] = widest
+    selector, size, reach = np.full((spans, SPAN), 15, np.uint8), 1, {1: width}
     for s in range(14, -1, -1):
         k = int(COUNTS[s])
         half = 1 << k.bit_length() - 1
+        while size < half:  # widest of the next 2, 4, ... ids, as far as they are asked for
+            further = reach[size].copy()
+            np.maximum(further[:, :-size], reach[size][:, size:], out=further[:, :-size])
+            size *= 2
+            reach[size] = further
         fits = np.maximum(reach[half][:, :SPAN], reach[half][:, k - half : k - half + SPAN]) <= WIDTHS[s]
         if s < 13 and not fits.any():
             break
-        selector[fits], count[fits] = s, k
-    flat, length = count.ravel(), np.minimum(np.arange(1, spans + 1) * SPAN, n) - np.arange(spans) * SPAN
-    at, live, steps = np.zeros(spans, np.int64), np.arange(spans), []
-    while len(live):
-        place = live * SPAN + at[live]
-        steps.append(place)
-        at[live] += flat[place]
-        live = live[at[live] < length[live]]
-    starts = np.sort(np.concatenate(steps))
+        np.putmask(selector, fits, s)
+    starts = _starts(selector, n)
     chosen, span = selector.ravel()[starts], starts // SPAN
     words, source = chosen.astype(np.uint64) << np.uint64(60), padded.ravel()
     begin = starts + span * most  # in the padded matrix
@@ -73,6 +65,33 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words, np.searchsorted(starts, np.arange(spans) * SPAN).astype(np.uint64)
 
 
+def _starts(selector: np.ndarray, n: int) -> np.ndarray:
+    """Places of the ids that begin a word, ascending.
+
+    All spans go on side by side eight words a step, and the words between are filled in. A place past a span's ids leads to itself, so that no span need be taken out.
+    """
+    spans = len(selector)
+    length = np.full(spans, SPAN)
+    length[-1] = n - (spans - 1) * SPAN
+    one = np.arange(spans * (SPAN + 1)).reshape(spans, SPAN + 1)
+    at = one[:, 0].copy()
+    ends = at + length
+    one[:, :SPAN] += COUNTS.take(selector)
+    np.minimum(one, ends[:, None], out=one)
+    one = one.ravel()
+    two = one.take(one)
+    four = two.take(two)
+    eight, steps = four.take(four), []
+    while (at < ends).any():
+        steps.append(at)
+        at = eight.take(at)
+    starts = np.array(steps).T
+    for further in (four, two, one):
+        starts = np.stack([starts, further.take(starts)], 2).reshape(spans, -1)
+    starts = starts[starts < ends[:, None]]  # by span, and ascending in it
+    return starts - starts // (SPAN + 1)
+
+
 def decode(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
     """The ``n`` ids of all spans at once: spans are rows of a matrix wide enough for what the last word of one says too much."""
     if not n:

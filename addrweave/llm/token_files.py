@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from addrweave.llm.simple8b import Block
 from addrweave.llm.store import texts, written
-from addrweave.llm.tokens import encoder, slices
+from addrweave.llm.tokens import encoded
 
 END, BLOCK_IDS = 2, 1 << 18
 FILES = "part int, block int, start long, n_ids long, payload binary"
@@ -25,23 +25,26 @@ FILES = "part int, block int, start long, n_ids long, payload binary"
 
 def _write(path: str, end: int) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, tail, part = encoder(path), np.array([end], "<u4").tobytes(), TaskContext.get().partitionId()
-        block, start, held, docs, size = 0, 0, [], [], 0
+        part = TaskContext.get().partitionId()
+        block, start, held, size = 0, 0, [], 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
-            payload = Block(docs, np.array([len(h) // 4 for h in held]), ids).dumps()
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([start], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([payload], pa.binary())], ["part", "block", "start", "n_ids", "payload"])
+            docs, sizes, ids = zip(*held, strict=True)
+            payload = Block([d for some in docs for d in some.to_pylist()], np.concatenate(sizes), np.concatenate(ids)).dumps()
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([start], pa.int64()), pa.array([size], pa.int64()), pa.array([payload], pa.binary())], ["part", "block", "start", "n_ids", "payload"])
 
         for batch in batches:
-            for rows, strings in slices(batch):
-                for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encode(strings), strict=True):
-                    held.append(ids + tail)
-                    docs.append(doc_id)
-                    size += len(held[-1]) // 4
-                    if size >= BLOCK_IDS:
+            for doc_id, sizes, ids in encoded(path, batch, end):
+                ends, lo, at = np.cumsum(sizes), 0, 0
+                while lo < len(sizes):
+                    hi = int(np.searchsorted(ends, at + BLOCK_IDS - size)) + 1  # after the document that fills the block
+                    full, hi = hi <= len(sizes), min(hi, len(sizes))
+                    to = int(ends[hi - 1])
+                    held.append((doc_id.slice(lo, hi - lo), sizes[lo:hi], ids[at:to]))
+                    size, lo, at = size + to - at, hi, to
+                    if full:
                         yield flush()
-                        block, start, held, docs, size = block + 1, start + size, [], [], 0
+                        block, start, held, size = block + 1, start + size, [], 0
         if held:
             yield flush()
 
@@ -61,7 +64,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for base, payload in zip(batch.column("start").to_pylist(), batch.column("payload"), strict=True):
             block = Block.loads(payload.as_py())
-            raw, ends = block.ids.astype("<u4").tobytes(), np.cumsum(block.sizes)
+            raw, ends = memoryview(block.ids.astype("<u4").tobytes()), np.cumsum(block.sizes)
             starts = ends - block.sizes
             crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(block.doc_ids, pa.int64()), pa.array(starts + base), pa.array(block.sizes), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])

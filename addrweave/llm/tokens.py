@@ -176,6 +176,8 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        if not texts:
+            return []
         ids, sizes = self.flat(pa.array(texts, pa.string()))
         raw, ends = ids.tobytes(), (4 * np.cumsum(sizes)).tolist()
         return [raw[i:j] for i, j in zip([0, *ends], ends)]

@@ -77,3 +77,58 @@ def test_spans_of_all_lengths():
         for ids in (np.zeros(n, np.uint64), rng.integers(0, 2, n), rng.integers(0, 50_000, n), rng.integers(0, 2**59, n) >> rng.integers(0, 60, n)):
             words, first = S.encode(ids.astype(np.uint64))
             assert (S.decode(words, first, n) == ids).all() and len(first) == -(-n // S.SPAN)
+
+
+def test_words_reach_the_library_once():
+    from addrweave.llm import tokens
+
+    e, asked = tokens.Encoder(vocabulary()), []
+    library = e.library
+
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            asked.extend(map(len, texts))
+            return library.encode_batch_fast(texts, **how)
+
+    e.library = Counting()
+    words = [f"{a}o{b}i" for a in "bcdfg" for b in "klmnp"]
+    e([f"x {one}, {other}.\n{one}; {other}\n" for one in words for other in words])
+    assert sum(asked) < 1000 and e([]) == []
+
+
+def test_blocks_end_with_the_document_that_fills_them(monkeypatch):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from addrweave.llm import token_files
+
+    monkeypatch.setattr(token_files, "BLOCK_IDS", 100)
+    monkeypatch.setattr(token_files, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    texts = ["one two " * (k * 7 % 23) for k in range(60)] + [None, "word " * 500, ""]
+    batch = pa.table({"doc_id": pa.array([*range(len(texts) - 1), None], pa.int64()), "text": pa.array(texts, pa.string())}).to_batches()[0]
+    parts = [batch.slice(0, 17), batch.slice(17, 0), batch.slice(17)]
+    rows = [r for b in token_files._write(vocabulary(), 2)(iter(parts)) for r in b.to_pylist()]
+    blocks, start = [Block.loads(r["payload"]) for r in rows], 0
+    for k, (row, block) in enumerate(zip(rows, blocks, strict=True)):
+        assert (row["part"], row["block"], row["start"], row["n_ids"]) == (3, k, start, len(block.ids)) and len(block.ids) == block.sizes.sum()
+        assert k == len(rows) - 1 or len(block.ids) >= 100 > len(block.ids) - block.sizes[-1]
+        start += len(block.ids)
+    library = Tokenizer.from_file(vocabulary())
+    assert [d for b in blocks for d in b.doc_ids] == batch.column("doc_id").to_pylist()
+    assert [i for b in blocks for i in b.ids.tolist()] == [i for t in texts for i in [*library.encode(t or "", add_special_tokens=False).ids, 2]]
+
+
+def test_starts_of_words_equal_a_plain_walk():
+    from addrweave.llm import simple8b as S
+
+    rng = np.random.default_rng(3)
+    for n in (1, S.SPAN, S.SPAN + 5, 3 * S.SPAN - 1):
+        selector = rng.integers(0, 16, (-(-n // S.SPAN), S.SPAN)).astype(np.uint8)
+        want = []
+        for span, row in enumerate(selector):
+            at, length = 0, min(S.SPAN, n - span * S.SPAN)
+            while at < length:
+                want.append(span * S.SPAN + at)
+                at += int(S.COUNTS[row[at]])
+        assert S._starts(selector, n).tolist() == want
