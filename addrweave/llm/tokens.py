@@ -4,25 +4,25 @@ A byte-level pre-tokenizer of GPT-2's kind splits texts by one pattern. Texts ar
 bytes tell (``_PAIR``): before white space that follows a visible character or comes before one, after white space other than a space, and between letters,
 digits and marks. Only ASCII and some Latin letters count as known; nothing is cut next to any other character, save at a space. A segment is
 whole pieces, and the pattern looks ahead only past white space, by one character; no cut lies where that would change the piece before it. A batch's distinct segments are
-found by Arrow, and their ids are remembered in a bounded table. A text with a special token's string is one segment, and so is any text
-where the tokenizer's file asks for something else than such a pre-tokenizer. The ids are those of ``encode(text, add_special_tokens=False)``.
+found by Arrow and remembered, with their ids, in a bounded table of arrays; but for odd ones, no segment becomes a Python object. A text with a special token's
+string is one segment, and so is any text where the tokenizer's file asks for something else than such a pre-tokenizer. The ids are those of
+``encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from functools import lru_cache
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-REMEMBERED = 24 << 20  #: bytes of chunks kept, in two tables of half that size: the newer and the one before
+REMEMBERED = 12 << 20  #: bytes of segments and ids kept, in two tables of half that size: the newer and the one before
 GROUP = 256
-LONG = 256  #: characters of a segment beyond which it is not remembered
+LONG = 256  #: bytes of a segment beyond which it is not remembered
 
 _SPACE, _WHITE, _LETTER, _DIGIT, _MARK, _QUOTE, _LEAD = range(1, 8)  # 0: any other byte
 _VISIBLE = (_LETTER, _DIGIT, _MARK, _QUOTE)
@@ -65,6 +65,59 @@ def cuts(data: bytes, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut.view(bool)) + 1
 
 
+def _offsets(strings: pa.Array) -> np.ndarray:
+    return np.frombuffer(strings.buffers()[1], np.int32, len(strings) + 1, 4 * strings.offset) if len(strings) else np.zeros(1, np.int32)
+
+
+class Table(Mapping):
+    """Distinct segments and their ids, in arrays. Keys: a string, what follows a space; bytes, a segment that begins otherwise."""
+
+    def __init__(self, segments: pa.Array, pool: np.ndarray, sizes: np.ndarray) -> None:
+        self.segments, self.pool, self.sizes = segments, pool, sizes  # the ids of all segments one after another, and how many each has
+
+    @classmethod
+    def empty(cls) -> Table:
+        return cls(pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64))
+
+    def __len__(self) -> int:
+        return len(self.segments)
+
+    def __iter__(self) -> Iterator[str | bytes]:
+        return (s[1:] if s[:1] == " " else s.encode() for s in self.segments.to_pylist())
+
+    def __getitem__(self, key: str | bytes) -> bytes:
+        row = pc.index(self.segments, f" {key}" if isinstance(key, str) else key.decode()).as_py()
+        if row < 0:
+            raise KeyError(key)
+        return self.spread(np.array([row])).tobytes()
+
+    def __add__(self, other: Table) -> Table:
+        return Table(pa.concat_arrays([self.segments, other.segments]), np.concatenate([self.pool, other.pool]), np.concatenate([self.sizes, other.sizes]))
+
+    @property
+    def nbytes(self) -> int:
+        return self.segments.nbytes + self.pool.nbytes + self.sizes.nbytes
+
+    def spread(self, rows: np.ndarray) -> np.ndarray:
+        """The ids of the rows one after another."""
+        counts = self.sizes[rows]
+        ends = np.cumsum(counts)
+        place = np.arange(ends[-1] if len(ends) else 0)
+        place += np.repeat((np.cumsum(self.sizes) - self.sizes)[rows] - ends + counts, counts)
+        return self.pool[place]
+
+    def take(self, rows: np.ndarray) -> Table:
+        return Table(self.segments.take(pa.array(rows)), self.spread(rows), self.sizes[rows])
+
+    def rows(self, segments: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """Each segment's row, counted on in the second result for those not in the table: these, distinct."""
+        if not len(segments):
+            return np.zeros(0, np.int32), segments
+        both = pa.chunked_array([self.segments, segments]).dictionary_encode()
+        mine = both.chunk(both.num_chunks - 1)
+        return mine.indices.to_numpy(), mine.dictionary.slice(len(self))
+
+
 class Encoder:
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -79,51 +132,75 @@ class Encoder:
         vocabulary = self.library.get_vocab()
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each id: a letter a byte in this alphabet
         self.lengths[list(vocabulary.values())] = [len(piece) for piece in vocabulary]
-        self.known: dict[str | bytes, bytes] = {}  # a string: what follows a space; bytes: a segment that begins otherwise
-        self.old: dict[str | bytes, bytes] = {}
-        self.size = 0
+        self.known, self.old = Table.empty(), Table.empty()
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _joined(self, chunks: list[str], lead: str) -> list[bytes]:
-        """Ids of chunks that neither begin nor end with white space, some at a time: the library's cost lies mostly in the call.
+    def _alone(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        raw = self.whole(chunks.to_pylist())
+        return np.frombuffer(b"".join(raw), "<u4"), np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+
+    def _joined(self, chunks: pa.Array, lead: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks that, but for a space before, neither begin nor end with white space, some at a time: the library's cost lies mostly in the call.
 
         A group's chunks, each after ``lead``, are one text, and its ids are cut where the lengths of the ids' bytes reach the chunks' ends. A space belongs to
-        the chunk; a line feed is a piece of its own, and its id is left out.
+        the chunk; a line feed is a piece of its own, and its id is left out. Where the ids' bytes do not fit a group's chunks, these are encoded one by one.
         """
-        groups = [chunks[k : k + GROUP] for k in range(0, len(chunks), GROUP)]
-        out: list[bytes] = []
-        for group, e in zip(groups, self.library.encode_batch_fast([lead + lead.join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.asarray(e.ids, "<u4")
-            size = np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in group), np.int64, len(group)) + 1
-            reached, ends = np.cumsum(self.lengths[ids]), np.cumsum(size)
-            stop = np.searchsorted(reached, ends) + 1
-            begin = np.concatenate([[0], stop[:-1]])
-            if not np.array_equal(reached[np.minimum(stop, len(ids)) - 1], ends) or lead == "\n" and (self.lengths[ids[begin]] != 1).any():
-                out += self.whole([lead.strip("\n") + c for c in group])
-                continue
-            raw, skip = ids.tobytes(), int(lead == "\n")
-            out += [raw[i:j] for i, j in zip((4 * (begin + skip)).tolist(), (4 * stop).tolist(), strict=True)]
-        return out
-
-    def _learn(self, chunks: set[str | bytes]) -> dict[str | bytes, bytes]:
-        """``known``, with the ids of all ``chunks``: strings, each after a space, and bytes as they are.
-
-        Chunks of the old table that come again are taken over; so frequent chunks are never forgotten.
+        led = chunks if lead == " " else pc.binary_join_element_wise(lead, chunks, "")
+        offsets = _offsets(led).astype(np.int64)
+        first = np.append(np.arange(0, len(led), GROUP), len(led))
+        data, at = memoryview(led.buffers()[2]), offsets[first].tolist()
+        parts = [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast([str(data[i:j], "utf-8") for i, j in zip(at, at[1:])], add_special_tokens=False)]
+        ids, ends = np.concatenate(parts), offsets[1:] - offsets[0]
+        size = self.lengths[ids]
+        reached = np.cumsum(size)
+        stop = np.searchsorted(reached, ends) + 1
+        begin = np.concatenate([[0], stop[:-1]])
+        fits = np.array_equal(stop[first[1:] - 1], np.cumsum(list(map(len, parts)))) and np.array_equal(reached[stop - 1], ends)
+        if not fits or lead == "\n" and (size[begin] != 1).any():
+            if len(chunks) <= GROUP:
+                return self._alone(chunks)
+            pools, sizes = zip(*(self._joined(chunks.slice(k, GROUP), lead) for k in range(0, len(chunks), GROUP)), strict=True)
+            return np.concatenate(pools), np.concatenate(sizes)
+        return (ids, stop - begin) if lead == " " else (np.delete(ids, begin), stop - begin - 1)
+
+    def _encoded(self, segments: pa.Array) -> Table:
+        """The segments and their ids, from the library."""
+        length, offsets = np.diff(_offsets(segments)), _offsets(segments)[:-1]
+        lead = length > 0
+        lead[lead] = np.frombuffer(segments.buffers()[2], np.uint8)[offsets[lead]] == 32
+        inner = (length <= LONG) & (length > lead) & (pc.binary_length(pc.utf8_trim_whitespace(segments)).to_numpy() == length - lead) & self.cut
+        order, parts = [], []
+        for how, kind in ((" ", inner & lead), ("\n", inner & ~lead), ("", ~inner)):
+            if kind.any():
+                some = segments.filter(pa.array(kind))
+                order.append(np.flatnonzero(kind))
+                parts.append(self._joined(some, how) if how else self._alone(some))
+        pool, sizes = map(np.concatenate, zip(*parts, strict=True))
+        back = np.argsort(np.concatenate(order), kind="stable")
+        return Table(segments, Table(segments, pool, sizes).spread(back), sizes[back])
+
+    def _ids(self, segments: pa.Array) -> tuple[Table, np.ndarray]:
+        """A table, and the row of each segment in it; a full table becomes the old one.
+
+        Segments of the old table that come again are taken over; so frequent ones are never forgotten.
         """
-        new = chunks.difference(self.known)
-        again = [c for c in new if c in self.old]
-        self.known.update((c, self.old[c]) for c in again)
-        new.difference_update(again)
-        self.size += sum(map(len, new)) + sum(map(len, again)) + 8 * (len(new) + len(again))
-        for lead, keys in ((" ", [c for c in new if isinstance(c, str)]), ("\n", [c for c in new if isinstance(c, bytes)])):
-            strings = keys if lead == " " else [c.decode() for c in keys]
-            inner = [bool(self.cut and c and c == c.strip()) for c in strings]
-            self.known.update(zip(compress(keys, inner), self._joined(list(compress(strings, inner)), lead), strict=True))
-            other = [k for k, joined in enumerate(inner) if not joined]
-            self.known.update(zip((keys[k] for k in other), self.whole([lead.strip("\n") + strings[k] for k in other]), strict=True))
-        return self.known
+        if self.known.nbytes > REMEMBERED // 2:
+            self.old, self.known = self.known, Table.empty()
+        index, new = self.known.rows(segments)
+        if not len(new):
+            return self.known, index
+        row, unknown = self.old.rows(new)
+        table = self.known + (self.old + self._encoded(unknown) if len(unknown) else self.old).take(row)
+        self.known, short = table, np.diff(_offsets(table.segments)) <= LONG
+        if not short.all():
+            self.known = table.take(np.flatnonzero(short))
+        return table, index
+
+    def _learn(self, chunks: Iterable[str | bytes]) -> Table:
+        """A table with the ids of all ``chunks``: strings, each after a space, and bytes as they are."""
+        return self._ids(pa.array([f" {c}" if isinstance(c, str) else c.decode() for c in chunks], pa.string()))[0]
 
     def _segments(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """The texts' segments, and how many of them lie before each text and in all."""
@@ -147,32 +224,12 @@ class Encoder:
         segments = pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.astype(np.int32)), buffer)
         return segments, np.searchsorted(ends, bounds)
 
-    def _ids(self, segments: list[str]) -> list[bytes]:
-        """Ids of each segment; a full table becomes the old one."""
-        if self.size > REMEMBERED // 2:
-            self.old, self.known, self.size = self.known, {}, 0
-        keys = [s[1:] if s[0] == " " else s.encode() for s in segments]
-        found = list(map(self.known.get, keys))
-        new = [k for k, ids in enumerate(found) if ids is None]
-        known = self._learn({keys[k] for k in new if len(segments[k]) <= LONG})
-        long = [k for k in new if len(segments[k]) > LONG]
-        for k in new:
-            found[k] = known.get(keys[k])
-        for k, ids in zip(long, self.whole([segments[k] for k in long]), strict=True):
-            found[k] = ids
-        return found
-
     def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another (unsigned 32-bit), and their number in each text. No text is null."""
         segments, before = self._segments(texts)
-        distinct = segments.dictionary_encode()
-        found, index = self._ids(distinct.dictionary.to_numpy(zero_copy_only=False).tolist()), distinct.indices.to_numpy()
-        pool, size = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
-        counts = size[index]
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        place = np.arange(ends[-1])
-        place += np.repeat((np.cumsum(size) - size)[index] - ends[:-1], counts)
-        return pool[place], np.diff(ends[before])
+        table, row = self._ids(segments)
+        ends = np.concatenate([[0], np.cumsum(table.sizes[row])])
+        return table.spread(row), np.diff(ends[before])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""

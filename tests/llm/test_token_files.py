@@ -132,3 +132,76 @@ def test_starts_of_words_equal_a_plain_walk():
                 want.append(span * S.SPAN + at)
                 at += int(S.COUNTS[row[at]])
         assert S._starts(selector, n).tolist() == want
+
+
+def test_tables_take_the_memory_they_count(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from addrweave.llm import tokens
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 1 << 20)
+    e = tokens.Encoder(vocabulary())
+    e(["some words first"])
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    for k in range(40):
+        e.flat(pa.array([" ".join(f"w{chr(97 + k % 26)}{n:x}q" for n in range(k * 3000, k * 3000 + 3000))]))
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert len(e.known) + len(e.old) > 3000 and held < 3 << 20
+
+
+def test_no_python_call_a_segment():
+    import cProfile
+    import pstats
+
+    import pyarrow as pa
+
+    from addrweave.llm import tokens
+
+    e = tokens.Encoder(vocabulary())
+    words = [f"{a}{b}{c}{d}" for a in "bcdfgklm" for b in "aeiou" for c in "nprstvwz" for d in "aeioulmn"]
+    texts = pa.array([" ".join(words), ".".join(words)])
+    with cProfile.Profile() as profile:
+        ids, sizes = e.flat(texts)
+    library = Tokenizer.from_file(vocabulary())
+    assert ids.tolist() == [i for t in texts.to_pylist() for i in library.encode(t, add_special_tokens=False).ids] and sizes.sum() == len(ids)
+    assert pstats.Stats(profile).total_calls < len(words)
+
+
+def test_small_tables_and_groups_equal_the_library(monkeypatch):
+    import random
+
+    from addrweave.llm import tokens
+
+    rng = random.Random(4)
+    parts = ["a", "é", "Ab", "日本", "x" * 9, "'s", "12", "--", " ", "  ", "\n", "　", "\xa0", "\x1c", "<|endoftext|>"]
+    library = Tokenizer.from_file(vocabulary())
+    for remembered, group, long in ((0, 1, 1), (300, 3, 8), (3000, 7, 300)):
+        for name, value in (("REMEMBERED", remembered), ("GROUP", group), ("LONG", long)):
+            monkeypatch.setattr(tokens, name, value)
+        e = tokens.Encoder(vocabulary())
+        for _ in range(60):
+            texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(0, 8))]
+            assert [np.frombuffer(ids, "<u4").tolist() for ids in e(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_pieces_that_do_not_fit_are_encoded_alone(tmp_path, monkeypatch):
+    from tokenizers import AddedToken, models, pre_tokenizers
+
+    from addrweave.llm import tokens
+
+    small = Tokenizer(models.BPE({"a": 0, "b": 1, "Ġ": 2, "Ċ": 3, "ab": 4, "Ġab": 5}, [("a", "b"), ("Ġ", "ab")]))  # other bytes have no id
+    small.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+    eager = Tokenizer.from_file(vocabulary())
+    eager.add_special_tokens([AddedToken("<|eats|>", lstrip=True, rstrip=True)])
+    texts = ["ab c ab", "c", "", "ab\nab c", " ab ba", "x <|eats|>  y\n<|eats|>", "word <|eats|> word", "word, word"]
+    for k, library in enumerate((small, eager)):
+        library.save(path := str(tmp_path / f"{k}.json"))
+        for group in (1, 2, 256):
+            monkeypatch.setattr(tokens, "GROUP", group)
+            e = tokens.Encoder(path)
+            assert e.cut
+            assert [np.frombuffer(ids, "<u4").tolist() for ids in e(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
