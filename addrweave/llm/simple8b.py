@@ -48,10 +48,10 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             np.maximum(further[:, :-size], reach[size][:, size:], out=further[:, :-size])
             size *= 2
             reach[size] = further
-        fits = np.maximum(reach[half][:, :SPAN], reach[half][:, k - half : k - half + SPAN]) <= WIDTHS[s]
+        fits = np.maximum(reach[half][:, :SPAN], reach[half][:, k - half : k - half + SPAN]) <= np.uint8(WIDTHS[s])  # compared as bytes
         if s < 13 and not fits.any():
             break
-        np.putmask(selector, fits, s)
+        selector -= fits.view(np.uint8)  # what fits a selector fits all above it
     starts = _starts(selector, n)
     chosen, span = selector.ravel()[starts], starts // SPAN
     words, source = chosen.astype(np.uint64) << np.uint64(60), padded.ravel()
