@@ -90,3 +90,11 @@ def test_distance_to_shape_by_steps(spark):
             assert r.d == pytest.approx(min(away(r.px, r.py, *leg) for leg in legs), abs=1e-12)
     text = d.select(G.point_lines_distance(F.col("px"), F.col("py"), "rings").alias("d"))._jdf.queryExecution().analyzed().toString()
     assert text.count("/") == 1  # the nearest point's place is found once, not once for each use
+
+
+def test_box_of_shape_without_lambdas(spark):
+    """With a lambda the whole step ran as interpreted expressions, for every shape and in every batch."""
+    shapes = [([[(1.0, 2.0), (5.0, -3.0)], [(9.0, 0.0)]],), ([[], [(4.0, 4.0)]],), ([],), (None,)]
+    d = spark.createDataFrame(shapes, f"rings {POINT}").select(G.bounds("rings").alias("b"))
+    assert [tuple(r.b) for r in d.collect()] == [(1.0, -3.0, 9.0, 2.0), (4.0, 4.0, 4.0, 4.0), (None,) * 4, (None,) * 4]
+    assert "lambda" not in d._jdf.queryExecution().analyzed().toString()
